@@ -23,6 +23,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(_documents(spark, sf_dir), length=50, digest=True)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+
+    return judge(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), max_labelled=20_000)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
