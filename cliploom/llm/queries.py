@@ -41,6 +41,16 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir), window=35, digest=True)
 
 
+#: (host, path, verdict) of the URL query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_rules import apply_rules, rules_frame
+
+    return apply_rules(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules_frame(spark, URL_RULES))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rank_bpe import token_digests
 
@@ -52,4 +62,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_url_filters": """
+            with p as (
+                select page_id,
+                    coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+                    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+                from pages
+            ), r(h, q, v) as (values """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES) + """),
+            m as (
+                select page_id, host, path, h || q as rule, v,
+                    row_number() over (partition by page_id order by case when h is null then -1 else length(h || q) end desc) as k
+                from p left join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, q)
+            )
+            select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m where k = 1
+        """,
+    }
