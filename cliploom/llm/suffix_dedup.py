@@ -27,7 +27,7 @@ from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_part
 
 GRAM = 20
 CTX = 6  # bytes of a phrase's hash that are sent, beside the 8 of its trigger's
-SLAB = 1 << 20
+SLAB = 1 << 19
 
 
 class Phrases:
@@ -96,7 +96,7 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     bytes of text on average for strings of 50.
     """
     n = shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or 6 * n, n_buckets or 4 * n
+    n_batches, n_buckets = n_batches or 4 * n, n_buckets or n
     rows = batches(docs, id_col, text_col, n_batches)
     first = answer(ask(rows, lambda b, _: _offer(b, length, n_buckets)), 1, _dictionary)
     second = answer(ask(rows, lambda b, got: _contexts(b, length, n_buckets, got), first), 2, lambda m: _suffix_order(m, length))
