@@ -2,8 +2,8 @@
 
 A short word is a row of parts with the rank of each adjacent pair beside it. The lowest rank is found by a
 scan, its right boundary is deleted, and the two neighbouring ranks are refreshed, until no pair has a rank.
-Many distinct words are held as rows of one matrix, so each step works on all of them at once; words are
-encoded once per worker and then looked up.
+Many distinct words are held as rows of one matrix, so each step works on all of them at once. Parts of texts are told
+apart by a 64-bit hash within a slab and by their bytes in the worker's cache, so each distinct part is encoded once.
 
 Nulls are empty texts; an empty text has no tokens. Extra columns are ignored; rows are kept as they are, repeated ids included.
 """
@@ -14,10 +14,11 @@ import hashlib
 import json
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .columns import memo
+from .columns import Rolling, U, byte_codes, memo, mix, slabs, text_buffer
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
@@ -63,7 +64,8 @@ class RankBPE:
         self.split = regex.compile(PATTERN)
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.pieces: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
+        self.flat = None
 
     def _table(self, keys: np.ndarray) -> None:
         """Open-addressed table from a pair of ids to its rank."""
@@ -179,87 +181,127 @@ class RankBPE:
         ends = np.cumsum(held.sum(1)) * 4
         return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
-    def _learn(self, chunks: list[str]) -> list[bytes]:
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of texts that are split on their own."""
-        split = [self.split.findall(c) for c in chunks]
+        out: list[bytes] = [b""] * len(chunks)
+        text = [c.decode() for c in chunks]
+        word = [i for i, t in enumerate(text) if t[1:].isalpha() and (t[0] == " " or t[0].isalpha())]  # letters, or a space and letters, are one piece
+        for i, ids in zip(word, self.merge([chunks[i] for i in word]), strict=True):
+            out[i] = ids
+        whole = set(word)
+        rest = [i for i in range(len(chunks)) if i not in whole]
+        split = [self.split.findall(text[i]) for i in rest]
         new = list({p for ps in split for p in ps} - self.pieces.keys())
         if len(self.pieces) + len(new) > CACHE_WORDS:
             self.pieces = {}
             new = list({p for ps in split for p in ps})
         self.pieces.update(zip(new, self.merge([p.encode() for p in new]), strict=True))
         get = self.pieces.__getitem__
-        return [b"".join(map(get, ps)) for ps in split]
+        for i, ps in zip(rest, split, strict=True):
+            out[i] = b"".join(map(get, ps))
+        return out
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, as the library gives them with add_special_tokens=False.
+    def encode_flat(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets of each text's ids) of texts in one UTF-8 buffer, as the library gives them with add_special_tokens=False.
 
-        A single space before other characters always begins a piece, so a text without two spaces in a
-        row is cut there and each part is looked up; others go through the pattern whole.
+        A space before another character always begins a piece, so a text without two spaces in a row is cut
+        before each space, and each distinct part is encoded once; other texts go through the pattern whole.
         """
-        plain, odd = [], []
-        for i, t in enumerate(texts):
-            (odd if "  " in t or self.special and any(s in t for s in self.special) else plain).append(i)
-        out: list[bytes] = [b""] * len(texts)
-        chunks = [texts[i].split(" ") for i in plain]
-        heads = self._learn([c[0] for c in chunks])
-        new = set().union(*chunks) - self.spaced.keys() if chunks else set()
-        if len(self.spaced) + len(new) > CACHE_WORDS:
-            self.spaced = {}
-            new = set().union(*chunks)
-        word = [c for c in new if c.isalpha()]  # a space and letters alone are one piece
-        other = [c for c in new if not c.isalpha()]
-        self.spaced.update(zip(word, self.merge([b" " + c.encode() for c in word]), strict=True))
-        self.spaced.update(zip(other, self._learn([" " + c for c in other]), strict=True))
-        get = self.spaced.__getitem__
-        for i, head, c in zip(plain, heads, chunks, strict=True):
-            c[0] = None
-            out[i] = head + b"".join(map(get, c[1:]))
-        for i in odd:
-            parts = self.split_special.split(texts[i]) if self.split_special else [texts[i]]
-            out[i] = b"".join(self.special[p].to_bytes(4, "little") if p in self.special else b"".join(self._learn([p])) for p in parts if p)
+        n = len(offs) - 1
+        raw = buf.tobytes()
+        space = buf == 0x20
+        odd = np.zeros(n, bool)
+        odd[np.searchsorted(offs, np.flatnonzero(space[:-1] & space[1:]), "right") - 1] = True
+        for s in self.special:
+            at = raw.find(s.encode())
+            while at >= 0:
+                odd[np.searchsorted(offs, at, "right") - 1] = True
+                at = raw.find(s.encode(), at + 1)
+        mark = space
+        mark[offs[:-1][np.diff(offs) > 0]] = True
+        start = np.flatnonzero(mark)
+        row = np.searchsorted(offs, start, "right") - 1
+        end = np.r_[start[1:], len(buf)] if len(start) else start
+        use = ~odd[row]
+        start, end, row = start[use], end[use], row[use]
+        key = mix(Rolling(byte_codes()[buf]).spans(start, end) + (end - start).astype(U) * U(0x9E3779B97F4A7C15)) if len(start) else np.zeros(0, U)
+        code, distinct = pd.factorize(key)
+        first = np.empty(len(distinct), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        words = [raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        found = list(map(self.chunks.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            for i, x in zip(new, self._learn([words[i] for i in new]), strict=True):
+                found[i] = x
+            if len(self.chunks) + len(new) > CACHE_WORDS:
+                self.chunks = {}
+            self.chunks.update((words[i], found[i]) for i in new[-CACHE_WORDS:])
+        pool = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        each = size[code]
+        after = np.cumsum(each)
+        ids = pool[np.repeat(begin[code] - (after - each), each) + np.arange(int(each.sum()))]
+        count = np.bincount(row, each, n).astype(np.int64)
+        cut = np.r_[0, np.cumsum(count)]
+        if not odd.any():
+            return ids, cut
+        parts = []
+        for i in range(n):
+            x = ids[cut[i] : cut[i + 1]]
+            if odd[i]:
+                x = np.frombuffer(self._encode_odd(raw[offs[i] : offs[i + 1]].decode()), "<u4")
+                count[i] = len(x)
+            parts.append(x)
+        return np.concatenate(parts), np.r_[0, np.cumsum(count)]
+
+    def _encode_odd(self, text: str) -> bytes:
+        parts = self.split_special.split(text) if self.split_special else [text]
+        return b"".join(self.special[p].to_bytes(4, "little") if p in self.special else b"".join(self._learn([p.encode()])) for p in parts if p)
+
+    def decode_flat(self, ids: np.ndarray, cut: np.ndarray) -> list[bytes]:
+        """UTF-8 of the text of each run of ids; bytes that are no UTF-8 become U+FFFD."""
+        if self.flat is None:
+            size = np.array([len(b) for b in self.bytes], np.int64)
+            self.flat = np.frombuffer(b"".join(self.bytes), np.uint8), np.cumsum(size) - size, size
+        pool, begin, size = self.flat
+        each = size[ids]
+        after = np.r_[0, np.cumsum(each)]
+        raw = pool[np.repeat(begin[ids] - after[:-1], each) + np.arange(int(after[-1]))].tobytes()
+        ends = after[cut].tolist()
+        out = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        for i, x in enumerate(out):
+            try:
+                x.decode()
+            except UnicodeDecodeError:
+                out[i] = x.decode(errors="replace").encode()
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        """UTF-8 of the text of ids; bytes that are no UTF-8 become U+FFFD."""
-        raw = b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        try:
-            raw.decode()
-            return raw
-        except UnicodeDecodeError:
-            return raw.decode(errors="replace").encode()
-
 
 def tokenizer(path: str) -> RankBPE:
     """One encoder per worker and file."""
     return memo(f"bpe {path}", lambda: RankBPE(path))
 
 
-def text_pieces(column, size: int = 4 << 20):
-    """Lists of texts of about size characters in all."""
-    some, n = [], 0
-    for x in column:
-        some.append(x.as_py() or "")
-        n += len(some[-1])
-        if n >= size:
-            yield some
-            some, n = [], 0
-    if some:
-        yield some
+def encoded(bpe: RankBPE, batch: pa.RecordBatch, size: int = 4 << 20):
+    """(doc_id column, ids, offsets) of the rows of a batch of (doc_id, text), some at a time."""
+    buf, offs = text_buffer(batch.column(1))
+    for x, y in slabs(offs, size):
+        yield batch.column(0).slice(x, y - x), *bpe.encode_flat(buf[offs[x] : offs[y]], offs[x : y + 1] - offs[x])
 
 
 def encode_decode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, ids (little-endian 32-bit), decoded text. No shuffle."""
+    """doc_id, ids and decoded text of each row of docs. No shuffle."""
 
     def run(batches):
         bpe = tokenizer(vocab_path)
         for b in batches:
-            at = 0
-            for texts in text_pieces(b.column(1)):
-                ids = bpe.encode_batch(texts)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])
-                at += len(texts)
+            for doc, ids, cut in encoded(bpe, b):
+                lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([doc, lists, pa.array([x.decode() for x in bpe.decode_flat(ids, cut)], pa.string())], ["doc_id", "ids", "decoded"])
 
-    return _slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def token_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,14 +310,13 @@ def token_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
     def run(batches):
         bpe = tokenizer(vocab_path)
         for b in batches:
-            at = 0
-            for texts in text_pieces(b.column(1)):
-                ids = bpe.encode_batch(texts)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-                at += len(texts)
+            for doc, ids, cut in encoded(bpe, b):
+                raw, ends = memoryview(ids.astype("<u4", copy=False).tobytes()), (4 * cut).tolist()
+                digest = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(ends, ends[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(cut), pa.int64()), pa.array(digest, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decode_flat(ids, cut)], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
