@@ -57,6 +57,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_documents(spark, sf_dir), vocabulary())
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_blocks import read_tokens, scratch_path, write_tokens
+
+    path = scratch_path(spark, "tokens")
+    write_tokens(_documents(spark, sf_dir), path, vocabulary(), end_id=0)
+    return read_tokens(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and callable(f)}
 
