@@ -35,6 +35,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13, share=20)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_mix import identify
+
+    return identify(_documents(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cover_dedup import remove_repeats
 
