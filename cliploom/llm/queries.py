@@ -41,6 +41,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_documents(spark, sf_dir))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .parity_join import link_components
+
+    return link_components(_documents(spark, sf_dir), k=4, percent=85)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cover_dedup import remove_repeats
 
