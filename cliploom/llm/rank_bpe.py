@@ -23,7 +23,7 @@ from .columns import Rolling, U, byte_codes, memo, mix, slabs, text_buffer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
 #: Entries of a worker's word cache; it starts anew when full, so memory is bounded and results do not change.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Longer words go through the scan one by one.
 MATRIX_WIDTH = 48
 
@@ -284,7 +284,7 @@ def tokenizer(path: str) -> RankBPE:
     return memo(f"bpe {path}", lambda: RankBPE(path))
 
 
-def encoded(bpe: RankBPE, batch: pa.RecordBatch, size: int = 4 << 20):
+def encoded(bpe: RankBPE, batch: pa.RecordBatch, size: int = 2 << 20):
     """(doc_id column, ids, offsets) of the rows of a batch of (doc_id, text), some at a time."""
     buf, offs = text_buffer(batch.column(1))
     for x, y in slabs(offs, size):

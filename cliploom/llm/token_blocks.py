@@ -132,7 +132,7 @@ def segments(raw: bytes):
         at = s.end
 
 
-def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 4 << 20, file_segments: int = 16, **packing) -> None:
+def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 2 << 20, file_segments: int = 12, **packing) -> None:
     """Encodes docs in ascending doc_id order and writes files of at most file_segments segments, each of about segment_bytes of text or one document."""
 
     def run(batches):
@@ -147,7 +147,7 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, i
                 ids, cut = bpe.encode_flat(buf[offs[x] : offs[y]], offs[x : y + 1] - offs[x])
                 whole = np.insert(ids, cut[1:], end_id)
                 out.append(pack(key[x:y], null[x:y], np.diff(cut) + 1, whole, **packing))
-                if len(out) == 4:
+                if len(out) == 8:
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["segment"])
                     out = []
             if out:
