@@ -53,6 +53,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir), window=35, digest=True)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(_documents(spark, sf_dir), coverage=0.8)
+
+
 #: (host, path, verdict) of the URL query.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
