@@ -24,10 +24,10 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def batches(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(batch, doc_id, text) of all rows; a null id is dealt out by its text."""
+def batches(docs: DataFrame, id_col: str, text_col: str, n: int, carry: bool = False) -> DataFrame:
+    """(batch, doc_id, text) of all rows, and with carry their whole rows but the text; a null id is dealt out by its text."""
     i, t = docs[id_col].cast("long"), docs[text_col].cast("string")
-    return docs.select(F.pmod(F.xxhash64(F.coalesce(i, F.xxhash64(t))), F.lit(n)).cast("int").alias("batch"), i.alias("doc_id"), t.alias("text"))
+    return docs.select(F.pmod(F.xxhash64(F.coalesce(i, F.xxhash64(t))), F.lit(n)).cast("int").alias("batch"), i.alias("doc_id"), t.alias("text"), *([F.struct(*[docs[c] for c in docs.columns if c != text_col] or [F.lit(0).alias("_")]).alias("row")] if carry else []))
 
 
 class Batch:

@@ -21,6 +21,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from .columns import Rolling, U, byte_codes, mix, planes, starts_of_runs, unplanes
 from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_partitions
@@ -89,18 +91,35 @@ class Phrases:
         return one, many, order, group, list(by_bucket(self.trigger[one], buckets))
 
 
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, "
+
+
 def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes (kept_sha256 if digest) of each row, without every byte covered by a string of `length` bytes that also starts in a row of smaller doc_id.
 
     Three passes over one exchange of the texts; what else is shuffled is about 17 bytes a phrase, a phrase being 16
     bytes of text on average for strings of 50.
     """
+    return _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, False).drop("row")
+
+
+def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
+    """docs with the kept text; a character that is cut in part goes as a whole. Nulls become empty texts; other columns are as they are."""
+    x = _run(docs, length, id_col, text_col, n_batches, n_buckets, False, True)
+    return x.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) -> DataFrame:
     n = shuffle_partitions(docs)
     n_batches, n_buckets = n_batches or 4 * n, n_buckets or n
-    rows = batches(docs, id_col, text_col, n_batches)
+    rows = batches(docs, id_col, text_col, n_batches, carry)
     first = answer(ask(rows, lambda b, _: _offer(b, length, n_buckets)), 1, _dictionary)
     second = answer(ask(rows, lambda b, got: _contexts(b, length, n_buckets, got), first), 2, lambda m: _suffix_order(m, length))
-    return finish(rows, first.unionByName(second), lambda b, got: _judge(b, length, n_buckets, got, digest), "doc_id long, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary"))
+    kept = ("kept_text" if carry else "kept_sha256") if carry or digest else "kept"
+    schema = _parse_datatype_string(RESULT + f"{kept} {'binary' if kept == 'kept' else 'string'}")
+    if carry:
+        schema = StructType([*schema.fields, rows.schema["row"]])
+    return finish(rows, first.unionByName(second), lambda b, got: _judge(b, length, n_buckets, got, kept), schema)
 
 
 def _offer(b: Batch, length: int, buckets: int):
@@ -227,7 +246,7 @@ def _ordered_minimum(text: np.ndarray, at: np.ndarray, trigger: np.ndarray, doc:
     return least
 
 
-def _judge(b: Batch, length: int, buckets: int, got: dict, digest: bool) -> pa.Table:
+def _judge(b: Batch, length: int, buckets: int, got: dict, name: str) -> pa.Table:
     p = Phrases(b.buf, b.offs, length)
     one, _, order, group, parts = p.parse(b.ids, buckets)
     whole = np.full(len(one), np.iinfo(np.int64).max)  # by distinct phrase: the least doc_id that has it
@@ -273,5 +292,5 @@ def _judge(b: Batch, length: int, buckets: int, got: dict, digest: bool) -> pa.T
     kept = []
     for i, (x, y) in enumerate(zip(b.offs[:-1].tolist(), b.offs[1:].tolist(), strict=True)):
         raw = b.buf[x:y].tobytes() if not removed[i] else b.buf[x:y][~gone[x:y]].tobytes()
-        kept.append(hashlib.sha256(raw).hexdigest() if digest else raw)
-    return pa.table({"doc_id": b.table.column("doc_id"), "n_bytes": pa.array(n), "n_removed": pa.array(removed), "n_spans": pa.array(spans), **({"kept_sha256": pa.array(kept, pa.string())} if digest else {"kept": pa.array(kept, pa.binary())})})
+        kept.append(hashlib.sha256(raw).hexdigest() if name == "kept_sha256" else raw.decode(errors="ignore") if name == "kept_text" else raw)
+    return pa.table({"doc_id": b.table.column("doc_id"), "n_bytes": pa.array(n), "n_removed": pa.array(removed), "n_spans": pa.array(spans), name: pa.array(kept, pa.binary() if name == "kept" else pa.string()), **({"row": b.table.column("row")} if name == "kept_text" else {})})
