@@ -5,11 +5,404 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import reading, text
+from ..operators import ctc, edits, grouping, intervals, quality, rollup
+from ..sources import sinks
+from ..streaming import jobs
+from . import fixtures
+from .fixtures import CLIPS_SQL, INTERVALS_SQL, table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+RULES_SQL = CLIPS_SQL + """,
+    rated as (select *, case when duration > 0 then length(text) / duration end as rate from clips),
+    ruled as (
+        select *, list_filter([
+            case when duration < 1.5::double then 'duration_too_short' end, case when duration > 12 then 'duration_too_long' end,
+            case when length(text) < 4 then 'text_too_short' end, case when rate < 4 then 'speech_rate_low' end, case when rate > 28 then 'speech_rate_high' end,
+            case when clip_ratio > 0.005::double then 'clipping' end, case when snr_db < 10 then 'low_snr' end, case when asr_prob < 0.55::double then 'low_asr_confidence' end,
+            case when ctc_score < 0.6::double then 'text_audio_mismatch' end, case when completeness < 0.8::double then 'text_incomplete' end,
+            case when no_speech_prob > 0.5::double and ctc_score < 0.75::double then 'no_speech' end, case when text = '' then 'empty_text' end], lambda x: x is not null) as reasons0
+        from rated
+    ),
+    marked as (
+        select *, coalesce(sum(case when len(reasons0) = 0 then 1 else 0 end) over (partition by source_id, lower(text) order by idx rows between unbounded preceding and 1 preceding), 0) > 0 and text <> '' as dup from ruled
+    ),
+    reviewed as (select *, case when dup then list_append(reasons0, 'duplicate_text') else reasons0 end as reasons, len(reasons0) = 0 and not dup as accepted from marked)"""
+
+
+def _reviewed(spark, sf_dir):
+    return quality.review(fixtures.clips(spark, sf_dir))
+
+
+@query(f"with {RULES_SQL} select source_id, idx, array_to_string(reasons, ',') as reasons, accepted from reviewed")
+def qc_reasons(spark, sf_dir):
+    return _reviewed(spark, sf_dir).select("source_id", "idx", F.array_join("reasons", ",").alias("reasons"), "accepted")
+
+
+@query(f"with {RULES_SQL} select source_id, count(*) as total, count(*) filter (accepted) as n_accepted, count(*) filter (not accepted) as n_rejected, count(*) filter (dup) as n_duplicate from reviewed group by source_id")
+def qc_funnel(spark, sf_dir):
+    return quality.funnel(_reviewed(spark, sf_dir))
+
+
+@query(f"with {RULES_SQL} select source_id, idx from reviewed where dup")
+def qc_dedup(spark, sf_dir):
+    return _reviewed(spark, sf_dir).where(F.array_contains("reasons", "duplicate_text")).select("source_id", "idx")
+
+
+@query(f"""with {RULES_SQL}, x as (select idx, unnest(reasons) as reason, generate_subscripts(reasons, 1) - 1 as pos from reviewed)
+    select reason, count(*) as n, min(idx) as first_idx, arg_min(pos, idx * 100 + pos)::bigint as first_pos from x group by reason""")
+def reason_histogram(spark, sf_dir):
+    return quality.reason_histogram(_reviewed(spark, sf_dir))
+
+
+@query(f"with {RULES_SQL}, x as (select unnest(reasons) as reason from reviewed) select reason, count(*) as n from x group by reason")
+def merged_histogram(spark, sf_dir):
+    r = _reviewed(spark, sf_dir).select("source_id", F.explode("reasons").alias("reason")).groupBy("source_id", "reason").agg(F.count("*").alias("n"))
+    return quality.merge_histograms(r)
+
+
+@query(f"""with {RULES_SQL}, s as (select distinct source_id from clips)
+    select s.source_id, count(r.idx) as clips, coalesce(sum(floor(r.duration * 1000 + 0.5)), 0)::bigint as ms from s left join reviewed r on r.source_id = s.source_id and accepted group by 1""")
+def source_rollup(spark, sf_dir):
+    r = _reviewed(spark, sf_dir)
+    return rollup.source_rollup(r.where("accepted"), fixtures.clips(spark, sf_dir))
+
+
+@query("""with v as (select l_extendedprice as x, row_number() over (order by l_extendedprice) as k, count(*) over () as n from lineitem),
+    p as (select unnest([0.0, 0.1, 0.5, 0.9, 1.0])::double as p) select p, x as value from p join v on k = round_even(p * (n - 1), 0) + 1""")
+def nearest_rank_percentiles(spark, sf_dir):
+    return rollup.nearest_rank(table(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
+@query("select count(*) as n, floor((quantile_cont(value, 0.92::double) - quantile_cont(value, 0.08::double)) * 1e3 + 0.5) / 1e3 as spread from events")
+def linear_spread(spark, sf_dir):
+    return rollup.linear_spread(table(spark, sf_dir, "events"), "value").select("n", (F.floor(F.col("spread") * 1e3 + 0.5) / 1e3).alias("spread"))
+
+
+@query(f"""with {RULES_SQL}, a as (select idx, row_number() over (order by md5('1234|' || idx), idx) as r, count(*) over () as n from reviewed where accepted)
+    select idx, case when r <= least(least(100, greatest(1, floor(n * 0.02::double))), greatest(0, n - 1)) then 'val' else 'train' end as part from a""")
+def split_train_val(spark, sf_dir):
+    return rollup.split(_reviewed(spark, sf_dir).where("accepted"), "idx").select("idx", "part")
+
+
+EDITS_SQL = CLIPS_SQL + """,
+    c as (select *, source_id || '/' || idx || '.wav' as wav from clips),
+    e as (select case when idx % 50 = 7 then 'gone' || idx || '.wav' else idx || '.wav' end as name, duration + (idx % 4) * 0.03::double as duration, case idx % 3 when 0 then text when 1 then '' else 'Edited ' || idx end as text from clips),
+    j as (select name, e.duration, e.text, c.idx, case when c.idx is null then 'unmatched' when abs(c.duration - e.duration) > 0.05::double then 'mismatched' when e.text = '' or e.text = c.text then 'unchanged' else 'applied' end as outcome from e left join c on name = c.idx || '.wav')"""
+
+
+def _edits(spark, sf_dir):
+    c = fixtures.clips(spark, sf_dir)
+    i = F.col("idx")
+    wav = F.concat(i.cast("string"), F.lit(".wav"))
+    e = c.select(F.when(i % 50 == 7, F.concat(F.lit("gone"), wav)).otherwise(wav).alias("name"), (F.col("duration") + (i % 4) * 0.03).alias("duration"), F.when(i % 3 == 0, F.col("text")).when(i % 3 == 1, "").otherwise(F.concat(F.lit("Edited "), i.cast("string"))).alias("text"))
+    return e, c.withColumn("wav", F.concat("source_id", F.lit("/"), wav))
+
+
+@query(f"with {EDITS_SQL} select c.idx, case when outcome = 'applied' then j.text else c.text end as text, case when outcome = 'applied' then 'manual' end as text_source, case when outcome = 'applied' then 1 else c.ctc_score end as ctc_score, case when outcome = 'applied' then 1 else c.completeness end as completeness from c left join j on j.idx = c.idx")
+def edit_upsert(spark, sf_dir):
+    return edits.apply(*_edits(spark, sf_dir)).select("idx", "text", "text_source", "ctc_score", "completeness")
+
+
+@query(f"with {EDITS_SQL} select outcome, count(*) as n from j group by outcome")
+def edit_outcomes(spark, sf_dir):
+    return edits.outcome(*_edits(spark, sf_dir)).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {CLIPS_SQL}, s as (select idx, ctc_score as old, completeness as old_full, (idx * 7 % 11)::double / 10 as new, (idx * 5 % 13)::double / 10 as new_full from clips)
+    select idx, case when old >= 0.8::double and old_full >= 0.9::double then 'kept' when new > old + 0.05::double then 'by_score'
+        when abs(1 - new_full) + 0.05::double < abs(1 - old_full) and new > old - 0.05::double then 'by_completeness' else 'tried' end as decision from s""")
+def rescore_decision(spark, sf_dir):
+    i = F.col("idx")
+    c = fixtures.clips(spark, sf_dir).withColumns({"new_score": (i * 7 % 11).cast("double") / 10, "new_completeness": (i * 5 % 13).cast("double") / 10})
+    return quality.rescore(c).select("idx", "decision")
+
+
+@query(f"with {CLIPS_SQL} select idx, coalesce(nullif(case when idx % 3 = 0 then '' when idx % 3 = 1 then 'refined ' || idx end, ''), nullif(case when idx % 2 = 0 then 'again ' || idx end, ''), text) as text from clips")
+def text_choice(spark, sf_dir):
+    i = F.col("idx")
+    c = fixtures.clips(spark, sf_dir).select("idx", F.col("text").alias("raw_text"), F.when(i % 3 == 0, "").when(i % 3 == 1, F.concat(F.lit("refined "), i.cast("string"))).alias("refined_text"), F.when(i % 2 == 0, F.concat(F.lit("again "), i.cast("string"))).alias("rescored_text"))
+    return c.select("idx", quality.chosen_text().alias("text"))
+
+
+def _words(spark, sf_dir):
+    return fixtures.intervals(spark, sf_dir).where("not is_sil").select("source_id", "ord", "s", "e", "text", "v")
+
+
+def _silences(spark, sf_dir):
+    return fixtures.intervals(spark, sf_dir).where("is_sil").select("source_id", "ord", "s", "e")
+
+
+def _totals(spark, sf_dir):
+    return fixtures.intervals(spark, sf_dir).groupBy("source_id").agg(F.max("e").alias("total"))
+
+
+def _named(words):
+    return words.withColumnsRenamed({"s": "rs", "e": "re", "ord": "rord"})
+
+
+@query(f"""with {INTERVALS_SQL}, w as (select *, row_number() over (partition by source_id order by s, e, ord) as k from iv where not is_sil),
+    g as (select *, max(case when k = 1 then e else greatest(s, e) end) over (partition by source_id order by s, e, ord rows unbounded preceding) as e2 from w)
+    select source_id, ord, greatest(s, coalesce(lag(e2) over (partition by source_id order by s, e, ord), s)) as s2, e2 from g""")
+def overlap_repair(spark, sf_dir):
+    return intervals.overlap_repair(_words(spark, sf_dir)).select("source_id", "ord", "s2", "e2")
+
+
+@query(f"""with {INTERVALS_SQL}, r as (select * from iv where not is_sil), t as (select source_id, max(e) + 5 as total from iv group by 1),
+    g as (select source_id, greatest(0, coalesce(max(e) over (partition by source_id order by ord rows between unbounded preceding and 1 preceding), 0)) as s, s as e from r
+        union all select t.source_id, greatest(0, coalesce(max(r.e), 0)), any_value(total) from t left join r on r.source_id = t.source_id group by t.source_id)
+    select * from g where e - s >= 0.05::double""")
+def interval_complement(spark, sf_dir):
+    return intervals.complement(_words(spark, sf_dir), _totals(spark, sf_dir).withColumn("total", F.col("total") + 5))
+
+
+@query("""with q as (select event_id as frame, event_id - row_number() over (order by event_id) as g from events where value < 20)
+    , i as (select min(frame) as lo, max(frame) + 1 as hi from q group by g)
+    select 's' as source_id, lo, hi, floor(lo * 0.01::double * 1e4 + 0.5) / 1e4 as s, floor(hi * 0.01::double * 1e4 + 0.5) / 1e4 as e from i where hi * 0.01::double - lo * 0.01::double >= 0.03::double""")
+def silence_islands(spark, sf_dir):
+    return intervals.islands(fixtures.frames(spark, sf_dir), F.col("level") < 20, step=0.01, min_length=0.03)
+
+
+@query("select 's' as source_id, floor((coalesce(median(case when event_id % 3 = 0 then value end), median(value)) - 25) * 1e3 + 0.5) / 1e3 as threshold from events")
+def reference_level(spark, sf_dir):
+    f = fixtures.frames(spark, sf_dir).withColumn("inside", F.col("frame") % 3 == 0)
+    return intervals.reference_level(f).select("source_id", (F.floor(F.col("threshold") * 1e3 + 0.5) / 1e3).alias("threshold"))
+
+
+@query(f"""with {INTERVALS_SQL}, r as (select source_id, ord, s, e, e - s as len, (e - 5) - (s + 5) as kept from iv where is_sil),
+    b as (select *, coalesce(sum(kept) over (partition by source_id order by len desc, ord rows between unbounded preceding and 1 preceding), 0) as before from r where len >= 30 and kept >= 10)
+    select source_id, ord, s + 5 as s, e - 5 as e from b where before < 3000""")
+def noise_budget(spark, sf_dir):
+    return intervals.noise_budget(_silences(spark, sf_dir), budget=3000, min_length=30, trim=5, min_trimmed=10)
+
+
+@query(f"""with {INTERVALS_SQL}, f as (select user_id as source_id, event_id as frame, floor(epoch_us(ts) / 100000000)::bigint // 2 as k from events)
+    select source_id, frame from f where exists (select 1 from iv where is_sil and iv.source_id = f.source_id and f.k >= trunc(iv.s / 2) and f.k < ceil(iv.e / 2))""")
+def frames_in_speech(spark, sf_dir):
+    x = fixtures.intervals(spark, sf_dir)
+    f = x.select("source_id", F.col("ord"), F.floor(F.col("s") / 2).alias("frame"))
+    return intervals.frames_in_speech(f, x.where("is_sil"), step=2.0).select("source_id", F.col("ord").alias("frame"))
+
+
+RATES_SQL = INTERVALS_SQL + """,
+    w as (select *, (e - s) / greatest(length(trim(text, '.,!?…;:"'')]}»')), 1) as rate from iv where not is_sil),
+    lim as (select source_id, greatest(0.12::double, median(rate) * 0.5::double) as lim from w group by 1),
+    cuts as (select x.source_id, ord, (s + e) / 2 as time, least((s + e) / 2, s + 0.08::double) as before, greatest((s + e) / 2, e - 0.08::double) as after, e - s as length
+        from iv x join lim on lim.source_id = x.source_id where is_sil and e > s and not exists (
+            select 1 from w where w.source_id = x.source_id and w.s < x.e and w.e > x.s and (least(w.e, x.e) - greatest(w.s, x.s)) / (x.e - x.s) >= 0.5::double and w.rate >= lim))"""
+
+
+def _cuts(spark, sf_dir):
+    w = _named(_words(spark, sf_dir))
+    return intervals.cut_points(_silences(spark, sf_dir), w, intervals.rate_limits(w, factor=0.5), most=0.5, width=4000.0)
+
+
+@query(f"with {RATES_SQL} select source_id, ord, time, before, after, length from cuts")
+def cut_anti_join(spark, sf_dir):
+    return _cuts(spark, sf_dir)
+
+
+@query(f"with {RATES_SQL} select source_id, floor(lim * 1e3 + 0.5) / 1e3 as lim from lim")
+def word_rate_limit(spark, sf_dir):
+    return intervals.rate_limits(_named(_words(spark, sf_dir)), factor=0.5).select("source_id", (F.floor(F.col("limit") * 1e3 + 0.5) / 1e3).alias("lim"))
+
+
+@query(f"""with {INTERVALS_SQL}, p as (select x.source_id, x.ord, any_value(x.e - x.s) as len, coalesce(sum(least(w.e, x.e) - greatest(w.s, x.s)) filter (w.s is not null), 0) as covered
+        from iv x left join iv w on not w.is_sil and w.source_id = x.source_id and w.s < x.e and w.e > x.s where x.is_sil group by 1, 2)
+    select source_id, count(*) as n_targets, count(*) filter (covered / len < 0.2::double) as n_clean from p group by 1""")
+def silence_coverage(spark, sf_dir):
+    return intervals.silence_coverage(_silences(spark, sf_dir), _named(_words(spark, sf_dir)), width=4000.0)
+
+
+ASSIGN_SQL = RATES_SQL + """,
+    t as (select source_id, s, e, ord, 0 as cut, (s + e) / 2 as mid, text, v from iv where not is_sil union all select source_id, null, null, ord, 1, time, null, null from cuts),
+    a as (select *, sum(cut) over (partition by source_id order by mid, cut desc, ord rows unbounded preceding)::bigint as block from t),
+    assigned as (select source_id, ord, s, e, text, v, block from a where cut = 0)"""
+
+
+@query(f"with {ASSIGN_SQL} select source_id, ord, block from assigned")
+def midpoint_assign(spark, sf_dir):
+    return intervals.assign_blocks(_words(spark, sf_dir), _cuts(spark, sf_dir), chunk=100_000.0).select("source_id", "ord", "block")
+
+
+@query(f"""with recursive {INTERVALS_SQL}, tot as (select source_id, max(e) as total from iv group by 1),
+    m as (select source_id, (s + e) / 2 as t from iv where is_sil and e - s >= 100),
+    b as (select source_id, 0 as n, 0::double as bound from tot
+        union all select b.source_id, b.n + 1, (select min(t) from m where m.source_id = b.source_id and t - b.bound >= 20000) from b where exists (select 1 from m where m.source_id = b.source_id and t - b.bound >= 20000)),
+    l as (select b.source_id, max(n) as top, max(bound) as last, any_value(total) as total from b join tot on tot.source_id = b.source_id group by 1)
+    select b.source_id, b.n::bigint as n, case when b.n = top and top > 0 and total - last < 10000 then total else bound end as bound from b join l on l.source_id = b.source_id
+    union all select source_id, top + 1, total from l where not (total - last < 10000 and top > 0)""")
+def chunk_bounds(spark, sf_dir):
+    return grouping.chunk_bounds(_silences(spark, sf_dir), _totals(spark, sf_dir), target=20_000.0, min_silence=100.0)
+
+
+GROUPS_SQL = ASSIGN_SQL + """,
+    tt as (select source_id, max(e) as total from iv group by 1),
+    c2 as (select source_id, row_number() over (partition by source_id order by time, ord) as block, after as span_start, lead(before) over (partition by source_id order by time, ord) as nxt from cuts),
+    b2 as (select c2.source_id, block, span_start, coalesce(nxt, total) as span_end from c2 join tt on tt.source_id = c2.source_id
+        union all select tt.source_id, 0, 0, coalesce((select arg_min(before, time) from cuts where cuts.source_id = tt.source_id), total) from tt),
+    b3 as (select b2.*, coalesce(n, 0) as n_words, coalesce(ends, false) as ends from b2 left join (select source_id, block, count(*) as n, arg_max(text, (s + e) / 2) in ('click', 'view') as ends from assigned group by 1, 2) w on w.source_id = b2.source_id and w.block = b2.block),
+    walk as (
+        select source_id, block, case when n_words > 0 then block end as first, case when n_words > 0 then span_start end as gs, span_end as ge, ends from b3 where block = 0
+        union all
+        select x.source_id, x.block, case when x.n_words = 0 then null when w.first is null or not ((w.ge - w.gs < 1500 and x.span_end - w.gs <= 12000) or not (x.span_end - w.gs > 8000 or (w.ends and w.ge - w.gs >= 1500))) then x.block else w.first end,
+            case when x.n_words = 0 then null when w.first is null or not ((w.ge - w.gs < 1500 and x.span_end - w.gs <= 12000) or not (x.span_end - w.gs > 8000 or (w.ends and w.ge - w.gs >= 1500))) then x.span_start else w.gs end, x.span_end, x.ends
+        from walk w join b3 x on x.source_id = w.source_id and x.block = w.block + 1
+    ),
+    grouped as (select source_id, block::bigint as block, first::bigint as group_block from walk where first is not null)"""
+
+
+def _grouped(spark, sf_dir):
+    w, c, t = _words(spark, sf_dir), _cuts(spark, sf_dir), _totals(spark, sf_dir)
+    a = intervals.assign_blocks(w, c, chunk=100_000.0)
+    n = a.groupBy("source_id", "block").agg(F.count("*").alias("n_words"), F.max_by("text", (F.col("s") + F.col("e")) / 2).isin("click", "view").alias("ends"))
+    b = grouping.blocks_of(w, c, t).join(n, ["source_id", "block"], "left").select("source_id", "block", "span_start", "span_end", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("ends", F.lit(False)).alias("ends"))
+    return a, grouping.greedy_groups(b, 1500.0, 8000.0, 12000.0)
+
+
+@query(f"with recursive {GROUPS_SQL} select source_id, block, group_block from grouped")
+def greedy_groups(spark, sf_dir):
+    return _grouped(spark, sf_dir)[1]
+
+
+@query(f"""with recursive {GROUPS_SQL} select a.source_id, group_block, count(*) as word_count, min(s) as speech_start, max(e) as speech_end, sum(floor(v * 1000 + 0.5))::bigint as prob_milli, min(v) as min_word_prob, string_agg(text, ' ' order by s, e, ord) as raw_text
+    from assigned a join grouped g on g.source_id = a.source_id and g.block = a.block group by 1, 2""")
+def segment_rollup(spark, sf_dir):
+    a, g = _grouped(spark, sf_dir)
+    return grouping.segments(a.join(g, ["source_id", "block"]).withColumn("prob", F.col("v")))
+
+
+@query("""with f as (select user_id as source_id, event_id, epoch_us(ts) // 1000000 as t, floor(value * 100 + 0.5)::bigint as power, event_type from events),
+    ed as (select source_id, event_id as ord, 'start' as label, t as pos from f where event_type = 'error' union all select source_id, event_id, 'end', t + 4000 from f where event_type = 'error')
+    select ed.source_id, ed.ord, label, count(*) as n, sum(power) > 5000 * count(*) as loud from ed join f on f.source_id = ed.source_id and f.t >= pos - 20000 and f.t < pos + 20000 group by 1, 2, 3""")
+def boundary_audit(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    t = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long")
+    f = e.select(F.col("user_id").alias("source_id"), F.col("event_id").alias("ord"), t.alias("t"), F.floor(F.col("value") * 100 + 0.5).alias("power"), "event_type")
+    ends = F.explode(F.array(F.struct(F.lit("start").alias("label"), F.col("t").alias("at")), F.struct(F.lit("end").alias("label"), (F.col("t") + 4000).alias("at")))).alias("x")
+    edges = f.where("event_type = 'error'").select("source_id", "ord", ends).select("source_id", "ord", "x.label", "x.at")
+    limit = f.select("source_id").distinct().withColumn("threshold", F.lit(5000))
+    return intervals.boundary_audit(edges, f.select("source_id", "t", "power"), limit, half=20_000, width=40_000.0)
+
+
+@query("""with recursive p as (select conv_id, turn, trim(text) as t, row_number() over (partition by conv_id order by turn) as k from conversations),
+    w as (select conv_id, k, turn as f, turn as l, t as buf, null::bigint as df, null::bigint as dl, null::varchar as dt from p where k = 1
+        union all select p.conv_id, p.k, case when strlen(buf || ' ' || t) > 900 then turn else f end, turn, case when strlen(buf || ' ' || t) > 900 then t else buf || ' ' || t end,
+            case when strlen(buf || ' ' || t) > 900 then f end, case when strlen(buf || ' ' || t) > 900 then l end, case when strlen(buf || ' ' || t) > 900 then buf end from w join p on p.conv_id = w.conv_id and p.k = w.k + 1)
+    select conv_id, df as first, dl as last, dt as text from w where dt is not null
+    union all select conv_id, f, l, buf from w where k = (select max(k) from p where p.conv_id = w.conv_id)""")
+def byte_pack(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.trim("text").alias("text"))
+    return grouping.pack_bytes(c, 900, "conv_id", "turn")
+
+
+@query("""with f as (select label::bigint as clip, vec_id, list_position(embedding, list_max(embedding)) - 1 as c from embeddings),
+    l as (select *, lag(c) over (partition by clip order by vec_id) as p from f)
+    select clip, coalesce(string_agg(c, ',' order by vec_id) filter (c <> 0 and (p is null or p <> c)), '') as classes from l group by clip""")
+def ctc_greedy(spark, sf_dir):
+    g = ctc.greedy(fixtures.emissions(spark, sf_dir))
+    return g.select("clip", F.array_join(F.transform("classes", lambda c: c.cast("string")), ",").alias("classes"))
+
+
+@query()
+def ctc_align(spark, sf_dir):
+    e = fixtures.emissions(spark, sf_dir)
+    return ctc.align(e, ctc.greedy(e).withColumnRenamed("classes", "tokens"))
+
+
+@query("select doc_id, trim(regexp_replace(regexp_replace(replace(replace(text, '–', '-'), '—', '-'), '\\.{3,}|…{2,}', '…', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) as text from documents")
+def pre_clean(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.squeeze(F.regexp_replace(F.translate("text", "–—", "--"), r"\.{3,}|…{2,}", "…")).alias("text"))
+
+
+@query("""with a as (select doc_id, regexp_replace(text, '[^ ,.!?…A-Za-z]', ' ', 'g') as t from documents),
+    b as (select doc_id, regexp_replace(regexp_replace(t, '\\s+([,.!?…;:])', '\\1', 'g'), '([,.!?…])(\\s*[,.!?…])+', '\\1', 'g') as t from a),
+    c as (select doc_id, trim(trim(regexp_replace(regexp_replace(t, '([,.!?…])([^\\s])', '\\1 \\2', 'g'), '\\s+', ' ', 'g')), ' ,;:-') as t from b)
+    select doc_id, case when t <> '' and right(t, 1) not in ('.', '!', '?', '…') then t || '.' else t end as text from c""")
+def post_clean_ascii(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.post_clean(F.col("text"), "A-Za-z").alias("text"))
+
+
+@query()
+def prepare_tts_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.prepare_speech(F.col("text")).alias("text"))
+
+
+@query("""with s as (select conv_id, turn, strlen(text) as n from conversations)
+    select conv_id, turn, floor(case when n >= 115 then 0.85::double when n <= 25 then 0.85::double * 0.76::double else 0.85::double * (0.76::double + 0.24::double * ((n - 25)::double / 90)) end * 1e6 + 0.5) / 1e6 as speed from s""")
+def speed_ramp(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.floor(text.speed_for(F.col("text")) * 1e6 + 0.5) / 1e6).alias("speed"))
+
+
+@query("select page_id, coalesce(nullif(trim(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'source') as id from pages")
+def sanitise(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.sanitise_id(F.col("url")).alias("id"))
+
+
+_D = "['không','một','hai','ba','bốn','năm','sáu','bảy','tám','chín']"
+_G = f"""case when g = 0 then null else concat_ws(' ', case when g >= 100 or not lead then {_D}[g // 100 + 1] || ' trăm' end,
+    case when g // 10 % 10 > 1 then {_D}[g // 10 % 10 + 1] || ' mươi' when g // 10 % 10 = 1 then 'mười' when g % 10 > 0 and (g >= 100 or not lead) then 'lẻ' end,
+    case when g % 10 = 0 then null when g // 10 % 10 > 0 and g % 10 = 5 then 'lăm' when g // 10 % 10 > 1 and g % 10 = 1 then 'mốt' when g // 10 % 10 > 1 and g % 10 = 4 then 'tư' else {_D}[g % 10 + 1] end) end"""
+
+
+@query(f"""with n as (select distinct l_orderkey * 7919 + l_partkey as n from lineitem),
+    k as (select n, unnest([3, 2, 1, 0]) as k from n), g as (select n, k, (n // (1000 ** k)::bigint) % 1000 as g, n < (1000 ** (k + 1))::bigint as lead from k)
+    , r as (select n, k, {_G} as t from g)
+    select n, coalesce(string_agg(t || case k when 3 then ' tỷ' when 2 then ' triệu' when 1 then ' nghìn' else '' end, ' ' order by k desc), 'không') as words from r group by n""")
+def read_integer(spark, sf_dir):
+    n = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 7919 + F.col("l_partkey")).alias("n")).distinct()
+    return n.select("n", reading.read_integer(F.col("n")).alias("words"))
+
+
+@query()
+def read_aloud(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", reading.read_aloud(F.col("text")).alias("text"))
+
+
+@query("select distinct unnest(string_split(text, '')) as ch from documents")
+def distinct_chars(spark, sf_dir):
+    return sinks.distinct_characters(table(spark, sf_dir, "documents"))
+
+
+@query("with c as (select distinct unnest(string_split(text, '')) as ch from documents) select count(*) + 1 = 64 as fits, count(*) as n from c")
+def vocab_check(spark, sf_dir):
+    return sinks.vocabulary_fits(sinks.distinct_characters(table(spark, sf_dir, "documents")), 64)
+
+
+@query("""with e as (select user_id as job, epoch_us(ts) // 1000000 as sec, value from events),
+    s as (select job, min(sec) as started, max(sec) as done_at, count(*) as done, arg_max(floor(value)::bigint, sec) as extra from e group by job)
+    select job, done, greatest(0, floor((done_at - started) / done::double * extra - 60 + 0.5))::bigint as eta from s""")
+def job_eta(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long").alias("at"), "value")
+    s = e.groupBy("job").agg(F.min("at").alias("started"), F.max("at").alias("done_at"), F.count("*").alias("done"), F.max_by(F.floor("value"), "at").alias("extra"))
+    return s.withColumn("total", F.col("done") + F.col("extra")).select("job", "done", jobs.seconds_left(F.col("done_at") + 60).alias("eta"))
+
+
+@query("select user_id as job, arg_max(event_type, ts) as state, arg_max(value, ts) filter (event_type = 'error') as error from events group by 1")
+def job_state(spark, sf_dir):
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.col("ts").alias("at"), F.col("event_type").alias("state"), F.when(F.col("event_type") == "error", F.col("value")).alias("error"))
+    return jobs.latest(log)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
