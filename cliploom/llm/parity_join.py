@@ -33,6 +33,9 @@ from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_part
 K1, K2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: A word of more classes is set aside where a document can do without.
 FREQUENT = 32
+SKETCH_BITS = 2048
+#: Bytes of each shingle's hash that are kept for the comparison of two sets.
+SET_BYTES = 6
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -188,7 +191,7 @@ def _present(messages: list[bytes]) -> list[bytes | None]:
     return out
 
 
-MEETING = "kind string, doc_id long, n long, rep long, shingles binary, meeting long, least long, band int, spare int, frequent boolean"
+MEETING = "kind string, doc_id long, n long, rep long, sketch binary, shingles binary, meeting long, least long, band int, spare int, frequent boolean"
 
 
 def _lists(t: pa.Table) -> pa.Table:
@@ -204,7 +207,7 @@ def _lists(t: pa.Table) -> pa.Table:
     keep = few[np.unique(np.stack([name[few], d[few].view(U)]), axis=1, return_index=True)[1]] if len(few) else few
     at = np.r_[keep, at[frequent[at]]]
     z = pa.nulls(len(at), pa.int64())
-    return pa.table({"kind": ["meeting"] * len(at), "doc_id": d[at], "n": z, "rep": z, "shingles": pa.nulls(len(at), pa.binary()), "meeting": name[at].view(np.int64), "least": least[at], "band": band[at].astype(np.int32), "spare": spare[at].astype(np.int32), "frequent": frequent[at]}).cast(pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in ("doc_id", "n", "rep")), ("shingles", pa.binary()), ("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_())]))
+    return pa.table({"kind": ["meeting"] * len(at), "doc_id": d[at], "n": z, "rep": z, "sketch": pa.nulls(len(at), pa.binary()), "shingles": pa.nulls(len(at), pa.binary()), "meeting": name[at].view(np.int64), "least": least[at], "band": band[at].astype(np.int32), "spare": spare[at].astype(np.int32), "frequent": frequent[at]}).cast(pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in ("doc_id", "n", "rep")), ("sketch", pa.binary()), ("shingles", pa.binary()), ("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_())]))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -219,49 +222,75 @@ def _documents(b: Batch, k: int, buckets: int, got: dict) -> pa.Table:
     sets = shingle_sets(b, k)
     rep = _representatives(b, sets, buckets, got)
     met = set(np.concatenate([unplanes(r, len(r) // 8, 8, np.int64) for (n, _), r in got.items() if n == 2] or [np.zeros(0, np.int64)]).tolist())
-    held = [s.tobytes() if i in met and i == r else None for i, r, s in zip(b.ids.tolist(), rep.tolist(), sets, strict=True)]
+    here = [i in met and i == r for i, r in zip(b.ids.tolist(), rep.tolist(), strict=True)]
+    held = [planes(s >> U(64 - 8 * SET_BYTES), SET_BYTES) if x else None for x, s in zip(here, sets, strict=True)]
+    sketch = [bit_sketch(s) if x else None for x, s in zip(here, sets, strict=True)]
     n = len(sets)
     null = b.ids == NULL_ID
-    return pa.table({"kind": pa.array(["document"] * n, pa.string()), "doc_id": b.table.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "rep": pa.array(rep, pa.int64(), mask=null), "shingles": pa.array(held, pa.binary()), **{c: pa.nulls(n, t) for c, t in (("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_()))}})
+    return pa.table({"kind": pa.array(["document"] * n, pa.string()), "doc_id": b.table.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "rep": pa.array(rep, pa.int64(), mask=null), "sketch": pa.array(sketch, pa.binary()), "shingles": pa.array(held, pa.binary()), **{c: pa.nulls(n, t) for c, t in (("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_()))}})
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of pairs whose sets reach the similarity."""
-    s = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set"))
-    both = pairs.join(s("a"), "a").join(s("b"), "b").select("a", "b", "a_set", "b_set")
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: its lineage ends, and its size is known when joins are planned."""
+    path = f"{shared_folder(df.sparkSession)}/parity-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def run(bs):
+
+def bit_sketch(s: np.ndarray) -> bytes:
+    """SKETCH_BITS bits, each the parity of the shingles dealt to it: two sketches differ in no more bits than their sets in shingles."""
+    count = np.bincount((mix(s ^ K1) % U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((count & 1).astype(np.uint8)).tobytes()
+
+
+def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of pairs whose sets reach the similarity. Sketches are compared first; the sets follow only where those are near enough."""
+
+    def both(p: DataFrame, *columns: str) -> DataFrame:
+        one = docs.select("doc_id", *columns)
+        x = p.join(one, p["a"] == one["doc_id"]).select("a", "b", *[F.col(c).alias(f"a_{c}") for c in columns])
+        return x.join(one, x["b"] == one["doc_id"]).select("a", "b", *[f"a_{c}" for c in columns], *[F.col(c).alias(f"b_{c}") for c in columns])
+
+    def near(bs):
+        for t in bs:
+            n, m = (t.column(c).to_numpy().astype(np.int64) for c in (2, 4))
+            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint8).reshape(len(n), SKETCH_BITS // 8) for c in (3, 5))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            yield t.select([0, 1]).filter(pa.array(((100 + percent) * apart <= (100 - percent) * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))))
+
+    def linked(bs):
         for t in bs:
             ok = np.zeros(t.num_rows, bool)
-            for i, (x, y) in enumerate(zip(t.column(2), t.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
-                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    common = int((y[at] == x).sum())
-                    ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"]).filter(pa.array(ok))
+            n, m = t.column(2).to_pylist(), t.column(4).to_pylist()
+            for i, (x, y) in enumerate(zip(t.column(3), t.column(5), strict=True)):
+                x, y = unplanes(x.as_buffer(), n[i], SET_BYTES), unplanes(y.as_buffer(), m[i], SET_BYTES)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                common = int((y[at] == x).sum())
+                ok[i] = 100 * common >= percent * (n[i] + m[i] - common)
+            yield t.select([0, 1]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    close = settled(both(pairs, "n", "sketch").mapInArrow(near, "a long, b long").distinct())
+    return both(close, "n", "shingles").mapInArrow(linked, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, component) of all ends of links: the least doc_id that is reachable. Least neighbours and pointer jumping, in logarithmic rounds; each round is checkpointed."""
-    edges = links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct().checkpoint()
+    """(doc_id, component) of all ends of links: the least doc_id that is reachable. Least neighbours and pointer jumping, in logarithmic rounds; each round is written and read again."""
+    edges = settled(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
     label = edges.select(F.explode(F.array("lo", "hi")).alias("doc_id")).distinct().withColumn("component", F.col("doc_id"))
     while True:
         l1 = label.select(F.col("doc_id").alias("lo"), F.col("component").alias("c_lo"))
         l2 = label.select(F.col("doc_id").alias("hi"), F.col("component").alias("c_hi"))
         seen = edges.join(l1, "lo").join(l2, "hi").where("c_lo <> c_hi").select(F.greatest("c_lo", "c_hi").alias("root"), F.least("c_lo", "c_hi").alias("to"))
-        hook = seen.groupBy("root").agg(F.min("to").alias("to")).checkpoint()
+        hook = settled(seen.groupBy("root").agg(F.min("to").alias("to")))
         if hook.isEmpty():
             return label
         while True:  # roots that hook onto hooked roots
             up = hook.select(F.col("root").alias("to"), F.col("to").alias("top"))
-            hook = hook.join(up, "to", "left").select("root", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")).checkpoint()
+            hook = settled(hook.join(up, "to", "left").select("root", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")))
             if hook.where("moved").isEmpty():
                 break
             hook = hook.select("root", "to")
-        label = label.join(hook.select(F.col("root").alias("component"), "to"), "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")).checkpoint()
+        label = settled(label.join(hook.select(F.col("root").alias("component"), "to"), "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")))
 
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
@@ -282,39 +311,39 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     out = finish(rows, first.unionByName(second), lambda b, got: _documents(b, k, n_buckets, got), MEETING)
     out.unionByName(sent.groupBy("bucket").applyInArrow(_lists, MEETING)).write.partitionBy("kind").parquet(folder)
     found = spark.read.schema(MEETING).parquet(folder)
-    documents = found.where("kind = 'document'").select("doc_id", "n", "rep", "shingles")
-    sets = documents.where("shingles is not null").select("doc_id", "shingles").dropDuplicates()
+    documents = found.where("kind = 'document'").select("doc_id", "n", "rep", "sketch", "shingles")
+    sets = documents.where("shingles is not null").select("doc_id", "n", "sketch", "shingles")
     meeting = found.where("kind = 'meeting'")
     # A frequent word counts only for documents that cannot do without their frequent words.
     bound = meeting.where("frequent").groupBy("doc_id", "band").agg(F.count("*").alias("uses"), F.min("spare").alias("spare")).where("uses > spare").select("doc_id", "band")
     few = meeting.where("not frequent").select("meeting", "doc_id", "least").distinct()
     many = meeting.where("frequent").join(bound, ["doc_id", "band"], "left_semi").select("meeting", "doc_id", "least")
-    held = few.unionByName(many).checkpoint()
+    held = settled(few.unionByName(many))
 
     star = held.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    tested = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
+    tested = settled(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     # Rows of one doc_id are one document: their classes are linked.
     several = documents.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a < hi").select("doc_id", "a")
-    links = verify(tested, sets, percent).unionByName(documents.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()).checkpoint()
+    links = settled(verify(tested, sets, percent).unionByName(documents.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()))
     label = components(links)
 
     def apart(pairs: DataFrame) -> DataFrame:
         x = pairs.join(label.select(F.col("doc_id").alias("a"), F.col("component").alias("ca")), "a", "left").join(label.select(F.col("doc_id").alias("b"), F.col("component").alias("cb")), "b", "left")
         return x.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    more = apart(star.distinct()).join(tested, ["a", "b"], "left_anti").checkpoint()
+    more = settled(apart(star.distinct()).join(tested, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        tested = tested.unionByName(more).checkpoint()
-        links = links.unionByName(verify(more, sets, percent)).checkpoint()
+        tested = settled(tested.unionByName(more))
+        links = settled(links.unionByName(verify(more, sets, percent)))
         label = components(links)
     # What is left: pairs of different components that share a word and were not compared.
     labelled = held.join(label, "doc_id", "left").select("meeting", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting")
     left = labelled.join(mixed, "meeting", "left_semi")
     other = left.select("meeting", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    rest = left.withColumnRenamed("doc_id", "a").join(other, "meeting").where("a < b and c <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti").checkpoint()
+    rest = settled(left.withColumnRenamed("doc_id", "a").join(other, "meeting").where("a < b and c <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = links.unionByName(verify(rest, sets, percent)).checkpoint()
+        links = settled(links.unionByName(verify(rest, sets, percent)))
         label = components(links)
     return documents.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id")).join(label.select(F.col("doc_id").alias("class_id"), "component"), "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
 
