@@ -122,7 +122,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray, cuts: int
     alive, rules = np.ones(len(bad), bool), []
     points = {k: np.unique(np.quantile(v, np.linspace(0, 1, cuts + 1), method="nearest")) for k, v in x.items()} if len(bad) else {}
     middle = {k: (p[1:] + p[:-1]) / 2 for k, p in points.items()}
-    while len(rules) < max_rules and (bad & alive & part).sum() >= 5 and (bad & alive & ~part).any():
+    while len(rules) < max_rules and (bad & alive & part).sum() >= 3 and (bad & alive & ~part).any():
         rule: list[Condition] = []
         mask = alive & part
         while len(rule) < max_conditions and (mask & ~bad).any():
@@ -163,13 +163,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray, cuts: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label: str = "quality", **options) -> DecisionList:
-    """Rules from at most max_labelled labelled rows, those of least hash; the driver gets their numbers only."""
+    """Rules from at most max_labelled labelled rows, those of least hash; the driver gets their numbers only. Documents that the base limits reject teach nothing."""
     some = (
         labels.select(F.col(label_id).cast("long").alias("_id"), F.col(label).cast("int").alias("_label")).dropna()
         .withColumn("_hash", F.xxhash64("_id", "_label")).orderBy("_hash", "_id").limit(max_labelled)
     )
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(some), "_id")
-    found = with_statistics(rows, "_text", "_stats", keep_text=False).select("_label", (F.pmod(F.col("_hash"), F.lit(3)) > 0).alias("_grow"), "_hash", *[c.alias(k) for k, c in feature_columns("_stats").items()]).orderBy("_hash", *FEATURES).toPandas()
+    found = with_statistics(rows, "_text", "_stats", keep_text=False).where(~base_failed("_stats")).select("_label", (F.pmod(F.col("_hash"), F.lit(3)) > 0).alias("_grow"), "_hash", *[c.alias(k) for k, c in feature_columns("_stats").items()]).orderBy("_hash", *FEATURES).toPandas()
     bad = (found["_label"] == 0).to_numpy(bool)
     if not len(bad) or bad.all() or not bad.any():
         return DecisionList([])
