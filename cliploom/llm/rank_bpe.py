@@ -23,11 +23,23 @@ from .columns import Rolling, U, byte_codes, memo, mix, slabs, text_buffer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
 #: Entries of a worker's word cache; it starts anew when full, so memory is bounded and results do not change.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
 #: Longer words go through the scan one by one.
 MATRIX_WIDTH = 48
 
 
+LETTER, DIGIT, SPACE, WHITE, MARK, OTHER = range(6)
+
+
+def _byte_kinds() -> np.ndarray:
+    kind = np.full(256, MARK, np.uint8)
+    kind[0x80:] = OTHER
+    kind[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+    kind[0x30:0x3A] = DIGIT
+    kind[0x20], kind[0x09:0x0E], kind[0x27] = SPACE, WHITE, OTHER
+    return kind
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in a vocabulary file: itself if printable in Latin-1, else the next free one from U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -86,7 +98,7 @@ class RankBPE:
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; NO_RANK where it has none or an id is below 0."""
-        keys = np.where((left < 0) | (right < 0), -2, left * len(self.bytes) + right).ravel()
+        keys = np.where((left < 0) | (right < 0), -2, left.astype(np.int64) * len(self.bytes) + right).ravel()
         at = self._slot(keys)
         out = np.full(len(keys), NO_RANK, np.int32)
         todo = np.flatnonzero(keys >= 0)
@@ -153,7 +165,7 @@ class RankBPE:
     def _merge_rows(self, words: list[bytes], size: np.ndarray) -> list[bytes]:
         n, width = len(words), int(size.max())
         flat = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        parts = np.full((n, width + 1), -1, np.int64)
+        parts = np.full((n, width + 1), -1, np.int32)
         parts[np.arange(width + 1) < size[:, None]] = flat
         ranks = np.full((n, width + 1), NO_RANK, np.int32)
         ranks[:, :-1] = self.rank(parts[:, :-1], parts[:, 1:])
@@ -205,7 +217,8 @@ class RankBPE:
         """(ids, offsets of each text's ids) of texts in one UTF-8 buffer, as the library gives them with add_special_tokens=False.
 
         A space before another character always begins a piece, so a text without two spaces in a row is cut
-        before each space, and each distinct part is encoded once; other texts go through the pattern whole.
+        before each space and then where the kind of character changes, and each distinct part is encoded once;
+        other texts go through the pattern whole.
         """
         n = len(offs) - 1
         raw = buf.tobytes()
@@ -219,6 +232,7 @@ class RankBPE:
                 at = raw.find(s.encode(), at + 1)
         mark = space
         mark[offs[:-1][np.diff(offs) > 0]] = True
+        hard = self._cut_words(buf, mark)
         start = np.flatnonzero(mark)
         row = np.searchsorted(offs, start, "right") - 1
         end = np.r_[start[1:], len(buf)] if len(start) else start
@@ -232,7 +246,9 @@ class RankBPE:
         found = list(map(self.chunks.get, words))
         new = [i for i, x in enumerate(found) if x is None]
         if new:
-            for i, x in zip(new, self._learn([words[i] for i in new]), strict=True):
+            whole = hard[start[first[new]]]
+            plain, mixed = [i for i, h in zip(new, whole.tolist(), strict=True) if not h], [i for i, h in zip(new, whole.tolist(), strict=True) if h]
+            for i, x in zip(plain + mixed, [*self.merge([words[i] for i in plain]), *self._learn([words[i] for i in mixed])], strict=True):
                 found[i] = x
             if len(self.chunks) + len(new) > CACHE_WORDS:
                 self.chunks = {}
@@ -256,6 +272,33 @@ class RankBPE:
             parts.append(x)
         return np.concatenate(parts), np.r_[0, np.cumsum(count)]
 
+    @staticmethod
+    def _cut_words(buf: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Adds to mark (starts of parts) the places where the pattern surely cuts a part: letters, digits and other marks apart, each
+        white character alone. Gives the bytes of parts that are left whole, for the pattern itself: those with an apostrophe, two white
+        characters in a row, or letters beyond Latin-1.
+        """
+        kind = memo("bpe_kinds", _byte_kinds)[buf]
+        if not len(buf):
+            return np.zeros(0, bool)
+        unsure = kind == OTHER
+        lead = np.flatnonzero(buf == 0xC3)  # U+00C0 to U+00FF: all letters but the signs of multiplication and division
+        after = buf[np.minimum(lead + 1, len(buf) - 1)]
+        good = lead[(after != 0x97) & (after != 0xB7)]
+        unsure[good] = False
+        unsure[np.minimum(good + 1, len(buf) - 1)] = False
+        kind[buf >= 0x80] = LETTER
+        white = (kind == SPACE) | (kind == WHITE)
+        unsure[1:] |= white[1:] & white[:-1] & ~(mark[1:] & (kind[1:] == SPACE))
+        part = np.cumsum(mark) - 1
+        hard = np.zeros(int(part[-1]) + 1, bool)
+        hard[part[unsure]] = True
+        hard = hard[part]
+        cut = np.zeros(len(buf), bool)
+        cut[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
+        mark |= cut & ~hard
+        return hard
+
     def _encode_odd(self, text: str) -> bytes:
         parts = self.split_special.split(text) if self.split_special else [text]
         return b"".join(self.special[p].to_bytes(4, "little") if p in self.special else b"".join(self._learn([p.encode()])) for p in parts if p)
@@ -284,7 +327,7 @@ def tokenizer(path: str) -> RankBPE:
     return memo(f"bpe {path}", lambda: RankBPE(path))
 
 
-def encoded(bpe: RankBPE, batch: pa.RecordBatch, size: int = 2 << 20):
+def encoded(bpe: RankBPE, batch: pa.RecordBatch, size: int = 1 << 20):
     """(doc_id column, ids, offsets) of the rows of a batch of (doc_id, text), some at a time."""
     buf, offs = text_buffer(batch.column(1))
     for x, y in slabs(offs, size):

@@ -132,7 +132,7 @@ def segments(raw: bytes):
         at = s.end
 
 
-def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 2 << 20, file_segments: int = 12, **packing) -> None:
+def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = 1 << 20, file_segments: int = 16, **packing) -> None:
     """Encodes docs in ascending doc_id order and writes files of at most file_segments segments, each of about segment_bytes of text or one document."""
 
     def run(batches):
