@@ -118,7 +118,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int = 21, id_col:
     period = max(1, min(period, window - 1))
     cover = difference_cover(period)
     n = shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or 4 * n, n_buckets or n
+    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
     rows = batches(docs, id_col, text_col, n_batches)
 
     def offer(b: Batch, _):

@@ -296,7 +296,7 @@ def components(links: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (the least doc_id of the same set) of each row."""
     spark, n = docs.sparkSession, shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or 4 * n, n_buckets or n
+    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
     bands, folder = Bands(percent), f"{shared_folder(spark)}/parity-{uuid.uuid4().hex}"
     rows = batches(docs, id_col, text_col, n_batches)
 

@@ -111,7 +111,7 @@ def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
 
 def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) -> DataFrame:
     n = shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or 4 * n, n_buckets or n
+    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
     rows = batches(docs, id_col, text_col, n_batches, carry)
     first = answer(ask(rows, lambda b, _: _offer(b, length, n_buckets)), 1, _dictionary)
     second = answer(ask(rows, lambda b, got: _contexts(b, length, n_buckets, got), first), 2, lambda m: _suffix_order(m, length))
