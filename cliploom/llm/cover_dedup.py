@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .columns import SPACE_LIKE, U, Words, covered, planes, separators, slabs, starts_of_runs, unplanes
-from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_partitions
+from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 
 def difference_cover(period: int) -> list[int]:
@@ -117,8 +117,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, period: int = 21, id_col:
     """doc_id, n_words, n_removed and the kept words joined by a space (kept_sha256 if digest) of each row, without every word covered by a window whose words also start anywhere else."""
     period = max(1, min(period, window - 1))
     cover = difference_cover(period)
-    n = shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
+    if not (n_batches and n_buckets):
+        n_batches, n_buckets = sizes(docs, text_col)
     rows = batches(docs, id_col, text_col, n_batches)
 
     def offer(b: Batch, _):

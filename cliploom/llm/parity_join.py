@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .columns import SPACE_LIKE, U, Words, mix, planes, separators, slabs, unplanes
-from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_partitions
+from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 K1, K2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: A word of more classes is set aside where a document can do without.
@@ -295,8 +295,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (the least doc_id of the same set) of each row."""
-    spark, n = docs.sparkSession, shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
+    spark = docs.sparkSession
+    if not (n_batches and n_buckets):
+        n_batches, n_buckets = sizes(docs, text_col)
     bands, folder = Bands(percent), f"{shared_folder(spark)}/parity-{uuid.uuid4().hex}"
     rows = batches(docs, id_col, text_col, n_batches)
 

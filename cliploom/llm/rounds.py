@@ -2,8 +2,8 @@
 
 Documents are dealt to batches by a hash of their id, once; each round reuses that exchange. A batch sends each
 bucket one message: its distinct keys, already merged, so that a key that a third of the corpus holds reaches its
-bucket at most once per batch. The bucket answers each batch by the places of keys in its message. Batches and
-buckets grow with spark.sql.shuffle.partitions, so both stay small whatever the input.
+bucket at most once per batch. The bucket answers each batch by the places of keys in its message. The numbers of
+batches and buckets follow the size of the input, so both stay small whatever it is.
 """
 
 from __future__ import annotations
@@ -20,8 +20,22 @@ from .columns import text_buffer
 REPLY = "batch int, round int, bucket int, reply binary"
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of input, as it lies on disk, of a batch of documents; of a bucket, a third more.
+BATCH_BYTES, MOST_BATCH_BYTES, EVEN_BYTES = 3 << 19, 64 << 20, 30 << 30
+
+
+def sizes(docs: DataFrame, text_col: str) -> tuple[int, int]:
+    """(batches, buckets) for an input of this size.
+
+    Up to EVEN_BYTES a batch has BATCH_BYTES, so memory is the same at every size. Beyond, batches grow with the root of the
+    input, up to MOST_BATCH_BYTES, so that a message does not shrink to a few keys. The size is the planner's estimate, or the sum of
+    lengths where it has none.
+    """
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if not 0 < size < 1 << 56:
+        size = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).collect()[0][0] or 0
+    each = int(min(MOST_BATCH_BYTES, BATCH_BYTES * max(1.0, size / EVEN_BYTES) ** 0.5))
+    return max(4, -(-size // each)), max(3, -(-size * 3 // (4 * each)))
 
 
 def batches(docs: DataFrame, id_col: str, text_col: str, n: int, carry: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from .columns import Rolling, U, byte_codes, mix, planes, starts_of_runs, unplanes
-from .rounds import Batch, answer, ask, batches, by_bucket, finish, shuffle_partitions
+from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 GRAM = 20
 CTX = 6  # bytes of a phrase's hash that are sent, beside the 8 of its trigger's
@@ -110,8 +110,8 @@ def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", tex
 
 
 def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) -> DataFrame:
-    n = shuffle_partitions(docs)
-    n_batches, n_buckets = n_batches or n + n // 2, n_buckets or n
+    if not (n_batches and n_buckets):
+        n_batches, n_buckets = sizes(docs, text_col)
     rows = batches(docs, id_col, text_col, n_batches, carry)
     first = answer(ask(rows, lambda b, _: _offer(b, length, n_buckets)), 1, _dictionary)
     second = answer(ask(rows, lambda b, got: _contexts(b, length, n_buckets, got), first), 2, lambda m: _suffix_order(m, length))
