@@ -34,6 +34,8 @@ K1, K2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: A word of more classes is set aside where a document can do without.
 FREQUENT = 32
 SKETCH_BITS = 2048
+#: Members of a block of a word that many share.
+BLOCK = 1024
 #: Bytes of each shingle's hash that are kept for the comparison of two sets.
 SET_BYTES = 6
 NULL_ID = np.iinfo(np.int64).min
@@ -273,24 +275,57 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both(close, "n", "shingles").mapInArrow(linked, "a long, b long").distinct()
 
 
+def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) with a < b of members (meeting, doc_id, c, size) of different c in one meeting whose sketches are near enough.
+
+    Sketches are compared in blocks of about BLOCK members, so no pair that is too far apart becomes a row and no meeting, however
+    large, is one task: its members are dealt to blocks, and each pair of blocks is a group of its own.
+    """
+    x = members.join(docs.select("doc_id", "n", "sketch"), "doc_id").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    x = x.withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.select("meeting", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "doc_id", "c", "n", "sketch")
+
+    def run(t: pa.Table) -> pa.Table:
+        i, c, n, mine = (t.column(k).to_numpy() for k in ("doc_id", "c", "n", "mine"))
+        s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), U).reshape(len(i), SKETCH_BITS // 64)
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        rows, cols = (np.flatnonzero(mine == k) for k in (p, q))
+        found = []
+        for at in range(0, len(rows), 32):
+            r = rows[at : at + 32, None]
+            ok = (c[r] != c[cols]) & (100 * np.minimum(n[r], n[cols]) >= percent * np.maximum(n[r], n[cols]))
+            ok &= (i[r] < i[cols]) if p == q else True
+            k, j = np.nonzero(ok)
+            u, v = r[k, 0], cols[j]
+            apart = np.bitwise_count(s[u] ^ s[v]).sum(1, dtype=np.int64)
+            near = (100 + percent) * apart <= (100 - percent) * (n[u] + n[v])
+            found.append(np.stack([np.minimum(i[u], i[v])[near], np.maximum(i[u], i[v])[near]]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    return x.groupBy("meeting", "p", "q").applyInArrow(run, "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, component) of all ends of links: the least doc_id that is reachable. Least neighbours and pointer jumping, in logarithmic rounds; each round is written and read again."""
+    """(doc_id, component) of all ends of links: the least doc_id that is reachable.
+
+    Labels begin as the vertices themselves. In each round a label that meets a lesser one across a link hooks onto the least
+    such, and onto where that one hooks; rounds end when both ends of every link agree, and are written and read again.
+    """
     edges = settled(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
     label = edges.select(F.explode(F.array("lo", "hi")).alias("doc_id")).distinct().withColumn("component", F.col("doc_id"))
+
+    def unequal(label: DataFrame) -> DataFrame:
+        ends = [label.select(F.col("doc_id").alias(e), F.col("component").alias(f"c_{e}")) for e in ("lo", "hi")]
+        return edges.join(ends[0], "lo").join(ends[1], "hi").where("c_lo <> c_hi").select(F.greatest("c_lo", "c_hi").alias("root"), F.least("c_lo", "c_hi").alias("to"))
+
     while True:
-        l1 = label.select(F.col("doc_id").alias("lo"), F.col("component").alias("c_lo"))
-        l2 = label.select(F.col("doc_id").alias("hi"), F.col("component").alias("c_hi"))
-        seen = edges.join(l1, "lo").join(l2, "hi").where("c_lo <> c_hi").select(F.greatest("c_lo", "c_hi").alias("root"), F.least("c_lo", "c_hi").alias("to"))
-        hook = settled(seen.groupBy("root").agg(F.min("to").alias("to")))
-        if hook.isEmpty():
+        hook = unequal(label).groupBy("root").agg(F.min("to").alias("to"))
+        up = hook.select(F.col("root").alias("to"), F.col("to").alias("top"))
+        hook = hook.join(up, "to", "left").select(F.col("root").alias("component"), F.coalesce("top", "to").alias("_to"))
+        label = settled(label.join(hook, "component", "left").select("doc_id", F.coalesce("_to", "component").alias("component")))
+        if unequal(label).isEmpty():
             return label
-        while True:  # roots that hook onto hooked roots
-            up = hook.select(F.col("root").alias("to"), F.col("to").alias("top"))
-            hook = settled(hook.join(up, "to", "left").select("root", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")))
-            if hook.where("moved").isEmpty():
-                break
-            hook = hook.select("root", "to")
-        label = settled(label.join(hook.select(F.col("root").alias("component"), "to"), "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")))
 
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
@@ -339,10 +374,8 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
         label = components(links)
     # What is left: pairs of different components that share a word and were not compared.
     labelled = held.join(label, "doc_id", "left").select("meeting", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting")
-    left = labelled.join(mixed, "meeting", "left_semi")
-    other = left.select("meeting", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    rest = settled(left.withColumnRenamed("doc_id", "a").join(other, "meeting").where("a < b and c <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+    mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting", "size")
+    rest = settled(near_in_meetings(labelled.join(mixed, "meeting"), sets, percent).join(tested, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = settled(links.unionByName(verify(rest, sets, percent)))
         label = components(links)

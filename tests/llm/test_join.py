@@ -57,6 +57,7 @@ def test_components(spark, near, options):
 
 def test_frequent_words_lose_no_link(spark, near, monkeypatch):
     monkeypatch.setattr(J, "FREQUENT", 2)
+    monkeypatch.setattr(J, "BLOCK", 3)
     got = J.link_components(frame(spark, near)).select("doc_id", "n_shingles", "component_id").collect()
     assert by_text(got) == by_text(brute(near, 4, 85))
 
