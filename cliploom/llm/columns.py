@@ -5,6 +5,7 @@ Everything here takes whole texts. A null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
 import numpy as np
@@ -25,6 +26,14 @@ def memo(name: str, make):
     return kept[name]
 
 
+def tidy() -> None:
+    """Gives free memory back to the system, so that a long-lived worker holds no more than its task needs."""
+    trim = memo("malloc_trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", None))
+    if trim:
+        trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of MurmurHash3, in place."""
     h ^= h >> U(33)
@@ -38,7 +47,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     kept = memo("powers", dict)
     if kept.get("n", 0) < n:
-        n = max(n, 1 << 21)
+        n = 1 << max(19, n.bit_length())
         kept["n"] = n
         for k, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             x = np.full(n, base, U)

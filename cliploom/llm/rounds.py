@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import text_buffer
+from .columns import text_buffer, tidy
 
 REPLY = "batch int, round int, bucket int, reply binary"
 
@@ -64,6 +64,7 @@ def ask(rows: DataFrame, compose: Callable, replies: DataFrame | None = None) ->
 
     def out(batch: int, pairs) -> pa.Table:
         pairs = list(pairs)
+        tidy()
         return pa.table({"bucket": pa.array([b for b, _ in pairs], pa.int32()), "batch": pa.array([batch] * len(pairs), pa.int32()), "message": pa.array([m for _, m in pairs], pa.large_binary()).cast(pa.binary())})
 
     schema = "bucket int, batch int, message binary"
@@ -79,6 +80,7 @@ def answer(messages: DataFrame, number: int, decide: Callable) -> DataFrame:
         t = t.sort_by("batch")
         batch, bucket = t.column("batch").to_pylist(), t.column("bucket")[0].as_py()
         kept = [(b, r) for b, r in zip(batch, decide(t.column("message").to_pylist()), strict=True) if r]
+        tidy()
         return pa.table({"batch": pa.array([b for b, _ in kept], pa.int32()), "round": pa.array([number] * len(kept), pa.int32()), "bucket": pa.array([bucket] * len(kept), pa.int32()), "reply": pa.array([r for _, r in kept], pa.binary())})
 
     return messages.groupBy("bucket").applyInArrow(run, REPLY)
@@ -88,6 +90,7 @@ def finish(rows: DataFrame, replies: DataFrame, judge: Callable, schema: str) ->
     """Rows of schema; judge(Batch, {(round, bucket): reply}) gives a table for each batch."""
 
     def run(t: pa.Table, r: pa.Table) -> pa.Table:
+        tidy()
         return judge(Batch(t), heard(r))
 
     return rows.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(run, schema)

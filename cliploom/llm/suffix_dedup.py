@@ -29,7 +29,7 @@ from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 GRAM = 20
 CTX = 6  # bytes of a phrase's hash that are sent, beside the 8 of its trigger's
-SLAB = 1 << 19
+SLAB = 1 << 18
 
 
 class Phrases:
