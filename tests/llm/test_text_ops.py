@@ -41,7 +41,7 @@ def test_quality_statistics(spark, rows):
 
 def test_quality_rules_learn(spark):
     r = random.Random(5)
-    rows = [(i, " ".join(r.choice(["word", "other", f"t{r.randrange(999)}"]) + ("$$" if i % 4 == 0 else "") for _ in range(80))) for i in range(240)]
+    rows = [(i, " ".join(r.choice("abcdefgh") * r.randrange(1, 9) + str(r.randrange(99999)) + ("$$" if i % 4 == 0 else "") for _ in range(80))) for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(0, 240, 2)], "doc_id long, quality int")
     rules = quality_rules.fit(frame(spark, rows), labels)
     assert rules.rules and "reject if" in str(rules)
