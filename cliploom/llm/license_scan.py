@@ -1,9 +1,13 @@
-"""Licence notices in documents: winnowed fingerprints pick candidates, banded alignment settles them.
+"""Licence notices in documents: winnowed fingerprints and rare words pick candidates, banded alignment settles them.
 
 Fingerprints of the templates (the least gram hash of each run of two grams of three words) form an inverted index from
-hash to template and place; a template of three words, too short to share a run, is looked up by its one gram. Hits of a document on nearly one diagonal are one candidate; there the template is aligned
-with the document's words within a band around the diagonal, and the match is reported if its words cover enough of the
-template. Between two documents nothing is compared, so there is no shuffle.
+hash to template and place; a template of three words, too short to share a run, is looked up by its one gram. A match may
+share no gram (words changed or put in between), so templates are indexed by words as well: of a template that may lack e
+words, the e + 1 longest words, one of which each match has. Around such a word the diagonals stay that have, within the
+band, the words that the coverage asks for; so every alignment within a band about one diagonal is found. Neighbouring
+diagonals are one candidate; there the template is aligned with the document's words within a band around them, and
+the match is reported if its words cover enough of the template; then what lies before and after it is aligned
+likewise. Between two documents nothing is compared, so there is no shuffle.
 
 Words are runs of ASCII letters (lower-cased), digits and bytes above 127. A null or empty text has no matches; repeated rows each get their row, a null doc_id comes back null; extra columns are
 ignored. A template of one or two words is refused. The templates are the stated query set and go to every task; their size is checked.
@@ -11,6 +15,7 @@ ignored. A template of one or two words is refused. The templates are the stated
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -18,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import Words, memo, slabs, text_buffer
+from .columns import U, Words, memo, slabs, text_buffer
 from .decontaminate import words_of
 
 GRAM, RUN = 3, 2
+#: Words looked at in one go around hits of rare words.
+WINDOWS = 1 << 20
 MAX_TEMPLATE_BYTES = 32 << 20
 
 #: Short notices by licence.
@@ -74,9 +81,9 @@ class Index:
 
 
 class Templates:
-    """Winnowed index of the templates, and one of all grams of those too short to share a run."""
+    """Winnowed index of the templates, one of all grams of those too short to share a run, and one of the longest words of each."""
 
-    def __init__(self, texts: dict[str, str]):
+    def __init__(self, texts: dict[str, str], coverage: float, band: int):
         self.names = sorted(texts)
         buf, offs = text_buffer(pa.array([texts[k].encode() for k in self.names], pa.large_binary()))
         w = words_of(buf, offs)
@@ -86,13 +93,58 @@ class Templates:
         kept, short = winnowed(w, at, h), w.count[row] < GRAM + RUN - 1
         self.long, self.short = (Index(h[m], row[m], (at - w.first[row])[m]) for m in (kept & ~short, short))
 
+        self.need = [max(1, math.ceil(coverage * len(x))) for x in self.words]
+        self.slack = [max(2, int(band * len(x) / 100)) for x in self.words]
+        size = w.end - w.start
+        rare = [s + np.argsort(-size[s:e], kind="stable")[: max(0, e - s - n + 1)] for s, e, n in zip(w.first, w.first[1:], self.need, strict=False)]
+        at = np.concatenate(rare) if rare else np.zeros(0, np.int64)
+        self.rare = Index(w.hash[at], w.row[at], at - w.first[w.row[at]])
+
     def hits(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the document's word, template, place in the template) of each fingerprint in common."""
+        """(row, template, diagonal) of each fingerprint in common and of each diagonal with words enough near it."""
         at, h = all_grams(w)
         kept = np.flatnonzero(winnowed(w, at, h))
         i, entry = self.long.hits(h[kept])
         j, more = self.short.hits(h)
-        return np.r_[at[kept][i], at[j]], np.r_[self.long.template[entry], self.short.template[more]], np.r_[self.long.place[entry], self.short.place[more]]
+        place, template, start = np.r_[at[kept][i], at[j]], np.r_[self.long.template[entry], self.short.template[more]], np.r_[self.long.place[entry], self.short.place[more]]
+        row = np.searchsorted(w.first, place, "right") - 1
+        out = [(row, template, place - w.first[row] - start)]
+        place, entry = self.rare.hits(w.hash)
+        for k in np.unique(self.rare.template[entry]).tolist():
+            mine = self.rare.template[entry] == k
+            out += self.near(w, k, place[mine], self.rare.place[entry[mine]])
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def near(self, w: Words, k: int, place: np.ndarray, start: np.ndarray):
+        """(row, template, diagonal) of the diagonals of template k that have enough of its words within the band, from hits of its rare words."""
+        words, need, slack = Index(np.array(self.words[k], U), np.zeros(len(self.words[k]), np.int64), np.arange(len(self.words[k]))), self.need[k], self.slack[k]
+        n, row = len(self.words[k]), np.searchsorted(w.first, place, "right") - 1
+        lo, hi = np.maximum(place - start - 2 * slack, w.first[row]), np.minimum(place - start + n + 2 * slack, w.first[row + 1])
+        step, keep = max(1, WINDOWS // (n + 4 * slack)), []
+        for i in range(0, len(place), step):  # words of the template in the window of each hit, in whatever order
+            at = lo[i : i + step, None] + np.arange(n + 4 * slack)
+            x = w.hash[np.minimum(at, len(w.hash) - 1)]
+            found = words.hash[np.minimum(np.searchsorted(words.hash, x), n - 1)] == x
+            keep.append((found & (at < hi[i : i + step, None])).sum(1) >= need)
+        keep = np.flatnonzero(np.concatenate(keep))
+        row, d = row[keep], (place - start - w.first[row])[keep]
+        order = np.lexsort((d, row))
+        row, d = row[order], d[order]
+        for g in np.split(np.arange(len(d)), np.flatnonzero((np.diff(row) > 0) | (np.diff(d) > 2 * slack + 1)) + 1) if len(d) else ():
+            r, low, high = int(row[g[0]]), int(d[g[0]]) - slack, int(d[g[-1]]) + slack
+            base = int(w.first[r])
+            a, b = max(0, low - slack), min(int(w.count[r]), high + slack + n)
+            i, entry = words.hits(w.hash[base + a : base + b])
+            pos, at = words.place[entry], i + a - words.place[entry]
+            o = np.lexsort((at, pos))
+            pos, at = pos[o], at[o]
+            begin, end = at - slack, at + slack + 1  # diagonals that have this word within the band, each once a template word
+            again = np.flatnonzero(pos[1:] == pos[:-1]) + 1
+            begin[again] = np.maximum(begin[again], end[again - 1])
+            begin, end = np.clip(begin, low, high + 1) - low, np.clip(end, low, high + 1) - low
+            have = np.cumsum(np.bincount(begin, minlength=high - low + 2) - np.bincount(end, minlength=high - low + 2))[:-1]
+            good = np.flatnonzero(have >= need) + low
+            yield np.full(len(good), r), np.full(len(good), k), good
 
 
 def align(template: list[int], doc: list[int], lo: int, low_diagonal: int, high_diagonal: int) -> tuple[int, int, int]:
@@ -121,23 +173,25 @@ def align(template: list[int], doc: list[int], lo: int, low_diagonal: int, high_
     return best[0], -best[1], best[2]
 
 
-def matches(w: Words, r: int, places: np.ndarray, template: np.ndarray, start: np.ndarray, t: Templates, coverage: float, band: int) -> list[dict]:
-    """Matches in one row: hits are (place in row, template, place in template)."""
+def matches(w: Words, r: int, template: np.ndarray, diagonal: np.ndarray, t: Templates) -> list[dict]:
+    """Matches in one row: hits are (template, diagonal)."""
     out = []
     for k in np.unique(template).tolist():
-        mine = template == k
-        words = t.words[k]
-        d = np.sort(places[mine] - start[mine])
-        slack = max(2, int(band * len(words) / 100))
+        words, need, slack = t.words[k], t.need[k], t.slack[k]
+        d = np.unique(diagonal[template == k])
         cut = np.flatnonzero(np.diff(d) > slack) + 1
         found = []
         for group in np.split(d, cut):
             low, high = int(group[0]) - slack, int(group[-1]) + slack
             base = int(w.first[r])
-            lo, hi = max(0, low), min(int(w.count[r]), high + len(words))
-            n, s, e = align(words, w.hash[base + lo : base + hi].tolist(), lo, low, high)
-            if n >= coverage * len(words):
-                found.append((n, s, e))
+            todo = [(max(0, low), min(int(w.count[r]), high + len(words)))]
+            while todo:
+                lo, hi = todo.pop()
+                if hi - lo >= need:
+                    n, s, e = align(words, w.hash[base + lo : base + hi].tolist(), lo, low, high)
+                    if n >= need:
+                        found.append((n, s, e))
+                        todo += [(lo, s), (e, hi)]
         found.sort(key=lambda x: (-x[0], x[2] - x[1], x[1]))
         taken: list[tuple[int, int]] = []
         for n, s, e in found:
@@ -162,19 +216,18 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     sent, name = docs.sparkSession.sparkContext.broadcast(dict(texts)), uuid.uuid4().hex
 
     def run(batches):
-        t = memo(f"templates {name}", lambda: Templates(sent.value))
+        t = memo(f"templates {name}", lambda: Templates(sent.value, coverage, band))
         for b in batches:
             buf, offs = text_buffer(b.column(1))
             for x, y in slabs(offs):
                 w = words_of(buf[offs[x] : offs[y]], offs[x : y + 1] - offs[x])
                 found: list[list[dict]] = [[] for _ in range(y - x)]
-                place, template, start = t.hits(w)
-                order = np.argsort(place, kind="stable")
-                place, template, start = place[order], template[order], start[order]
-                row = np.searchsorted(w.first, place, "right") - 1
+                row, template, diagonal = t.hits(w)
+                order = np.argsort(row, kind="stable")
+                row, template, diagonal = row[order], template[order], diagonal[order]
                 for r in np.unique(row).tolist():
                     i, j = np.searchsorted(row, [r, r + 1])
-                    found[r] = matches(w, r, place[i:j] - w.first[r], template[i:j], start[i:j], t, coverage, band)
+                    found[r] = matches(w, r, template[i:j], diagonal[i:j], t)
                 names = [sorted({m["license"] for m in f}) for f in found]
                 kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("matched", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), pa.array(w.count, pa.int64()), pa.array([len(f) for f in found], pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(found, kind)], ["doc_id", "n_words", "n_matches", "licenses", "matches"])

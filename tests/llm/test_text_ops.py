@@ -117,6 +117,50 @@ def test_licences(spark):
         license_scan.scan(frame(spark, rows), {"short": "MIT"})
 
 
+def common_words(t, d, low, high):
+    """Most words of t and d in common, in order, at diagonals from low to high."""
+    best = {}
+    for i, x in enumerate(t):
+        row = {}
+        for j in range(max(0, i + low), min(len(d), i + high + 1)):
+            row[j] = max(row.get(j - 1, best.get(j - 1, 0)), best.get(j, 0), best.get(j - 1, 0) + (x == d[j]))
+        best = {j: max(best.get(j, 0), row.get(j, 0)) for j in {*best, *row}}
+        best = dict(sorted(best.items()))
+        for a, b in zip(list(best), list(best)[1:], strict=False):
+            best[b] = max(best[a], best[b])
+    return max(best.values(), default=0)
+
+
+def test_licences_against_all_alignments(spark):
+    """Templates of many lengths, with words left out, changed and put in at random and at even distances, against every template on every diagonal."""
+    r = random.Random(3)
+    texts = {**license_scan.NOTICES, **{f"own{n}": " ".join(f"w{(i * 7 + n) % 40}" for i in range(n)) for n in (4, 9, 11, 14)}}
+    words = {k: ALNUM.findall(x.translate(FOLD)) for k, x in texts.items()}
+    rows = [(1, "Released under MIT License"), (2, "Released under a MIT License"), (3, "x Licensed under CC BY 4.0 y"), (4, "Licensed under CC xx NC 4.0"), (5, "Released xx under yy the zz MIT zz License")]
+    for k, x in words.items():
+        miss = int(0.2 * len(x) + 1e-9)
+        for m in range(9):
+            out = r.sample(range(len(x)), min(len(x), miss + m // 5)) if m % 3 else [(i + 1) * len(x) // (miss + 1) for i in range(miss)]
+            d = [y for i, y in enumerate(x) for y in ([y] if i not in out else ["zz"] if m % 2 else []) + ["yy"] * (r.random() < 0.05 * m)]
+            rows.append((len(rows) + 1, " ".join([r.choice("the of this license under all".split()) for _ in range(r.randrange(9))] + d + ["zz"] * r.randrange(9))))
+    got = {x["doc_id"]: x for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), texts).collect()}
+    n = 0
+    for i, text in rows:
+        d = ALNUM.findall(text.translate(FOLD))
+        for k, x in words.items():
+            slack = max(2, int(0.15 * len(x)))
+            found = common_words(x, d, -len(x), len(d)) >= 0.8 * len(x)
+            within = found and any(common_words(x, d, c - slack, c + slack) >= 0.8 * len(x) for c in range(-len(x), len(d)))
+            n += within
+            assert within <= (k in got[i]["licenses"]) <= found, (k, text)
+    assert n > 80 and all(got[i]["n_matches"] >= 1 for i in range(1, 6))
+
+
+def test_licences_side_by_side(spark):
+    rows = [(1, "Released under MIT License " * 3), (2, "all rights reserved " * 4), (3, "This work is licensed under GNU General Public License version 3 " * 2)]
+    assert {x["doc_id"]: x["n_matches"] for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1: 3, 2: 4, 3: 2}
+
+
 def test_licences_of_all_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     want = {d: sorted(k for k, n in license_scan.NOTICES.items() if n.rstrip(".").lower() in t.lower()) for d, t in docs.collect()}
