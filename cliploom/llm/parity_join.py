@@ -51,11 +51,12 @@ class Bands:
         self.spare = spare
 
     def of(self, n: int) -> list[tuple[int, int, int]]:
-        """(band, d, parts) of each band in which a set of n shingles looks for partners: its own, and the one below if a partner may be there."""
+        """(band, d, parts) of each band in which a set of n shingles looks for partners: its own, and each below where a partner may be."""
         c = int(np.searchsorted(self.low, n, "right")) - 1
         out = [self._at(c)]
-        if c and n * self.percent <= 100 * (self.low[c] - 1):
-            out.append(self._at(c - 1))
+        while c and n * self.percent <= 100 * (self.low[c] - 1):
+            c -= 1
+            out.append(self._at(c))
         return [x for x in out if x[1]]  # d = 0: only equal sets, which are one class
 
     def _at(self, c: int) -> tuple[int, int, int]:

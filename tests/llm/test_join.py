@@ -62,6 +62,26 @@ def test_frequent_words_lose_no_link(spark, near, monkeypatch):
     assert by_text(got) == by_text(brute(near, 4, 85))
 
 
+@pytest.mark.parametrize("percent", [20, 45, 60, 85])
+def test_sizes_far_apart(spark, percent):
+    """Pairs of a set and the least part of it that is similar enough, and the part that just isn't."""
+    rows = []
+    for n in (5, 21, 35, 56, 89, 100, 130):
+        for m in (-(-n * percent // 100), -(-n * percent // 100) - 1):
+            w = [f"{n}x{m}y{i}" for i in range(n + 3)]
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(w[: m + 3] if m else []))]
+    got = J.link_components(frame(spark, rows), percent=percent).select("doc_id", "n_shingles", "component_id").collect()
+    assert by_text(got) == by_text(brute(rows, 4, percent))
+
+
+@pytest.mark.parametrize("percent", [10, 33, 50, 60, 62, 80, 85])
+def test_similar_sizes_share_a_band(percent):
+    bands = J.Bands(percent)
+    of = [{b for b, *_ in bands.of(n)} for n in range(1, 400)]
+    for n in range(1, 400):
+        assert all(of[n - 1] & of[m - 1] for m in range(-(-n * percent // 100), n) if bands._at(int(np.searchsorted(bands.low, m, "right")) - 1)[1])
+
+
 def test_one_of_each(spark, near):
     df = frame(spark, near)
     kept = J.one_of_each(df, k=4, percent=85)
