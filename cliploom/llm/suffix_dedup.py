@@ -166,6 +166,11 @@ def _first_reply(r: bytes):
     return unplanes(v[4:], n, 4, np.int64), unplanes(v[4 + 4 * n :], n, 8, np.int64), np.frombuffer(v[4 + 12 * n :], np.uint8, n) > 0
 
 
+def _wide(length: int) -> int:
+    """Bytes that hold a phrase's number of starts, which is at most length."""
+    return (length.bit_length() + 7) // 8
+
+
 def _contexts(b: Batch, length: int, buckets: int, got: dict):
     """Text of the phrases whose trigger has several."""
     p = Phrases(b.buf, b.offs, length)
@@ -176,7 +181,7 @@ def _contexts(b: Batch, length: int, buckets: int, got: dict):
             if mixed.any():
                 q = one[i + at[mixed]]
                 text = b"".join(b.buf[s : s + c + length - 1].tobytes() for s, c in zip(p.start[q].tolist(), p.count[q].tolist(), strict=True))
-                yield k, np.uint32(len(q)).tobytes() + planes(p.trigger[q]) + planes(p.hash[q], CTX) + planes(b.ids[p.row[q]]) + p.count[q].astype(np.uint8).tobytes() + text
+                yield k, np.uint32(len(q)).tobytes() + planes(p.trigger[q]) + planes(p.hash[q], CTX) + planes(b.ids[p.row[q]]) + planes(p.count[q], _wide(length)) + text
 
 
 def _suffix_order(messages: list[bytes], length: int) -> list[bytes | None]:
@@ -188,8 +193,8 @@ def _suffix_order(messages: list[bytes], length: int) -> list[bytes | None]:
         t.append(unplanes(v[4:], n))
         h.append(unplanes(v[4 + 8 * n :], n, CTX))
         d.append(unplanes(v[4 + (8 + CTX) * n :], n, 8, np.int64))
-        c.append(np.frombuffer(v[4 + (16 + CTX) * n :], np.uint8, n).astype(np.int64))
-        text.append(np.frombuffer(v[4 + (17 + CTX) * n :], np.uint8))
+        c.append(unplanes(v[4 + (16 + CTX) * n :], n, _wide(length), np.int64))
+        text.append(np.frombuffer(v[4 + (16 + CTX + _wide(length)) * n :], np.uint8))
     t, h, d, c, text = map(np.concatenate, (t, h, d, c, text))
     begin = np.cumsum(c + length - 1) - (c + length - 1)
     order = np.lexsort((d, h, t))

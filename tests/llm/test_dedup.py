@@ -43,6 +43,18 @@ def test_suffix(spark, rows, options):
     assert by_text(got) == by_text(brute_bytes(rows, options["length"]))
 
 
+@pytest.mark.parametrize("length", [256, 300, 700])
+def test_suffix_of_long_strings(spark, rng, length):
+    """Phrases of more than 255 starts, several of one trigger."""
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(9000)) for _ in range(2)]
+    rows = []
+    for i in range(24):
+        b, a = rng.choice(base), rng.randrange(6000)
+        rows.append((i * 7 % 24, "".join(rng.choice("xyz") for _ in range(rng.randrange(40))) + b[a : a + rng.randrange(length, 3000)] + rng.choice("xyz")))
+    got = deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), length=length, digest=True).collect()
+    assert by_text(got) == by_text(brute_bytes(rows, length))
+
+
 def test_suffix_keeps_columns(spark, rows):
     df = frame(spark, rows)
     out = strip_repeats(df, length=50)
