@@ -2,7 +2,7 @@
 
 Decisions: documents that fail the quality rules go; one document of each group of near copies stays, that of least
 doc_id; byte strings of 50 that start in an earlier document go from the texts (n_chars follows); contaminated documents
-go; what is left is encoded. A document whose text is all repeated stays, with an empty text.
+go; what is left is encoded, and decoded from its ids. A document whose text is all repeated stays, with an empty text.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

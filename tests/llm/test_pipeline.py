@@ -65,3 +65,10 @@ def test_registered():
 @pytest.mark.parametrize("name", [k for k in queries.queries() if k != "op10_token_output"])
 def test_queries_run(spark, name):
     assert queries.queries()[name](spark, DATA).count() > 0
+
+
+def test_last_stage_decodes(spark):
+    rows = [(1, "Xin chào, the cat 😀\n\n  ß"), (2, ""), (3, None), (4, "\x00 a\r\n" + "word " * 200)]
+    got = corpus_pipeline.STAGES[-1][1](spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA).collect()
+    assert sorted((r["doc_id"], r["decoded"]) for r in got) == [(d, t or "") for d, t in rows]
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
