@@ -10,6 +10,9 @@ highly repetitive text costs one comparison a phrase. Only where one trigger has
 suffixes put in order: the suffix array of those phrases, to depth `length` (the bytes past a phrase's own starts
 are those of the next phrases of the parse), in which equal neighbours share the least doc_id.
 
+The parse itself is not ordered: there is no suffix array of the sequence of phrases and no merge into corpus order. Equal
+strings share a trigger, so which strings are equal, all that the removal asks, is known within each trigger.
+
 Matches never cross rows. Nulls count as empty texts; a null doc_id sorts before all others and comes back null; rows
 of equal doc_id do not remove each other's text; repeated rows each get their row. Extra columns are ignored.
 """
