@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,10 +71,23 @@ def summary_json(summary: DataFrame) -> DataFrame:
     return summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def report(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float], most: int = 10_000) -> str:
-    """A Markdown page of per-source and per-reason figures: a row a source and a reason, small by nature and bounded by `most`."""
-    out = [f"# {project}", "", "| source | clips | minutes |", "|-|-|-|"]
-    out += [f"| {r['source_id']} | {r['clips']} | {r['ms'] / 60000:.2f} |" for r in sources.orderBy("source_id").limit(most).collect()]
-    out += ["", "| reason | clips |", "|-|-|", *[f"| {r['reason']} | {r['n']} |" for r in reasons.limit(most).collect()]]
-    out += ["", "| stage | seconds |", "|-|-|", *[f"| {k} | {v:.1f} |" for k, v in timings.items()]]
-    return "\n".join(out) + "\n"
+def report_lines(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> Iterator[str]:
+    """The lines of a Markdown page of per-source and per-reason figures: every source and every reason, a partition at a time on the driver."""
+    yield from (f"# {project}", "", "| source | clips | minutes |", "|-|-|-|")
+    for r in sources.orderBy("source_id").toLocalIterator():
+        yield f"| {r['source_id']} | {r['clips']} | {r['ms'] / 60000:.2f} |"
+    yield from ("", "| reason | clips |", "|-|-|")
+    for r in reasons.toLocalIterator():
+        yield f"| {r['reason']} | {r['n']} |"
+    yield from ("", "| stage | seconds |", "|-|-|", *[f"| {k} | {v:.1f} |" for k, v in timings.items()])
+
+
+def report(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> str:
+    """The page as a whole; write_report holds a line at a time."""
+    return "\n".join(report_lines(project, sources, reasons, timings)) + "\n"
+
+
+def write_report(path: str, project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> None:
+    """The page as a file of the driver, written line by line."""
+    with open(path, "w", encoding="utf-8") as f:
+        f.writelines(x + "\n" for x in report_lines(project, sources, reasons, timings))

@@ -181,6 +181,15 @@ def test_sinks(spark, tmp_path):
     assert "| s | 2 | 1.00 |" in page and "| low_snr | 3 |" in page
 
 
+def test_report_has_every_source(spark, tmp_path):
+    many = spark.range(10_050).selectExpr("format_string('s%05d', id) as source_id", "id as clips", "id * 60000 as ms")
+    args = "p", many, spark.createDataFrame([("low_snr", 3)], "reason string, n long"), {"qc": 0.01}
+    page = sinks.report(*args)
+    assert [x.split(" | ")[0] for x in page.splitlines() if x.startswith("| s0") or x.startswith("| s1")] == [f"| s{i:05d}" for i in range(10_050)]
+    sinks.write_report(str(tmp_path / "report.md"), *args)
+    assert (tmp_path / "report.md").read_text() == page
+
+
 def test_folds(spark):
     p = spark.createDataFrame([(1, i, t) for i, t in enumerate(["aa", "bb", "c" * 9, "é", "f"])], "source_id long, ord long, text string")
     assert [(r["first"], r["last"], r["text"]) for r in grouping.pack_bytes(p, 6).orderBy("first").collect()] == [(0, 1, "aa bb"), (2, 2, "c" * 9), (3, 4, "é f")]
