@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -64,6 +66,35 @@ def viterbi(logp: np.ndarray, tokens: np.ndarray, blank: int = 0) -> np.ndarray
     return out
 
 
+def tokenise(words: DataFrame, vocab: dict[str, int], delimiter: str = "|") -> DataFrame:
+    """(clip, tokens, owners) of words (clip, word, text): character ids with a delimiter between words, and the word of each, -1 for delimiters.
+
+    Texts are composed (NFC) and lower-cased; characters out of the vocabulary go. Words with none left are skipped, the others keep
+    their numbers; a clip without any has no row. A clip is a window of seconds, so its words fit a task.
+    """
+    if delimiter not in vocab:
+        raise ValueError(f"the vocabulary has no delimiter {delimiter}")
+
+    def run(t: pa.Table) -> pa.Table:
+        tokens, owners = [], []
+        for r in t.sort_by("word").to_pylist():
+            ids = [vocab[c] for c in unicodedata.normalize("NFC", r["text"] or "").lower() if c != delimiter and c in vocab]
+            if ids:
+                between = [vocab[delimiter]] if tokens else []
+                tokens += between + ids
+                owners += [-1] * len(between) + [r["word"]] * len(ids)
+        n = 1 if tokens else 0
+        return pa.table({"clip": t.column("clip").slice(0, n), "tokens": pa.array([tokens][:n], pa.list_(pa.int64())), "owners": pa.array([owners][:n], pa.list_(pa.int64()))})
+
+    x = words.select(F.col("clip").cast("long").alias("clip"), F.col("word").cast("long").alias("word"), F.col("text").alias("text"))
+    return x.groupBy("clip").applyInArrow(run, "clip long, tokens array<long>, owners array<long>")
+
+
+def owned(spans: DataFrame, targets: DataFrame) -> DataFrame:
+    """Spans of align with the word that each token belongs to, from targets (clip, owners): what word_spans and clip_scores take."""
+    return spans.join(targets.select("clip", F.posexplode("owners").alias("token", "word")), ["clip", "token"])
+
+
 def align(emissions: DataFrame, targets: DataFrame, blank: int = 0) -> DataFrame:
     """(clip, token, first, end, score) of targets (clip, tokens); a clip that doesn't fit has no rows. A clip is a window of seconds, so its frames fit a task."""
 

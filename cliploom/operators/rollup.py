@@ -46,6 +46,24 @@ def split(accepted: DataFrame, key: str, seed: int = 1234, ratio: float = 0.02,
     return accepted.join(F.broadcast(val), accepted[key] == val["_key"], "left").withColumn("part", F.when(F.col("_val"), "val").otherwise("train")).drop("_key", "_val")
 
 
+POINTS = {"min": 0.0, "p10": 0.1, "median": 0.5, "p90": 0.9, "max": 1.0}
+
+
+def corpus_summary(accepted: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
+    """One row: clips, total_seconds, total_hours, mean_duration (0 without clips), duration_percentiles, chars_percentiles (null without clips), train, val.
+
+    Sources are a table of their own (source_rollup), since their number is not bounded. options: those of split.
+    """
+    x = accepted.agg(F.count("*").alias("clips"), F.coalesce(F.sum("duration"), F.lit(0.0)).alias("_s"), F.coalesce(F.avg("duration"), F.lit(0.0)).alias("_m"))
+    x = x.select("clips", F.bround("_s", 2).alias("total_seconds"), F.bround(F.col("_s") / 3600, 3).alias("total_hours"), F.bround("_m", 3).alias("mean_duration"))
+    for name, value in (("duration_percentiles", F.col("duration").cast("double")), ("chars_percentiles", F.length(text).cast("double"))):
+        at = nearest_rank(accepted.select(value.alias("_x")), "_x", tuple(POINTS.values()))
+        one = F.struct(*[F.bround(F.max(F.when(F.col("p") == p, F.col("value"))), 3).alias(k) for k, p in POINTS.items()])
+        x = x.crossJoin(at.agg(F.when(F.count("*") > 0, one).alias(name)))
+    val = split(accepted, key, **options).agg(F.count(F.when(F.col("part") == "val", 1)).alias("val"))
+    return x.crossJoin(val).withColumn("train", F.col("clips") - F.col("val")).select("clips", "total_seconds", "total_hours", "mean_duration", "duration_percentiles", "chars_percentiles", "train", "val")
+
+
 def mersenne_split(ids: list, seed: int = 1234, ratio: float = 0.02, most: int = 100) -> tuple[list, list]:
     """(validation, training) of ids in order, shuffled as Python's random does; for lists that fit the driver."""
     import random

@@ -71,23 +71,42 @@ def summary_json(summary: DataFrame) -> DataFrame:
     return summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def report_lines(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> Iterator[str]:
-    """The lines of a Markdown page of per-source and per-reason figures: every source and every reason, a partition at a time on the driver."""
-    yield from (f"# {project}", "", "| source | clips | minutes |", "|-|-|-|")
+#: Heads of the columns of probes, and their values.
+PROBES = {
+    "path": ("file", lambda x: (x or "").rsplit("/", 1)[-1]),
+    "bit_rate": ("kbps", lambda x: round((x or 0) / 1000)),
+    "duration": ("minutes of the original", lambda x: f"{(x or 0) / 60:.2f}"),
+    "decoded_duration": ("minutes decoded", lambda x: f"{(x or 0) / 60:.2f}"),
+}
+
+
+def report_lines(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float], summary: DataFrame | None = None) -> Iterator[str]:
+    """The lines of a Markdown page of per-source and per-reason figures: every source and every reason, a partition at a time on the driver.
+
+    Sources that have columns of probes (PROBES) show them; summary is the row of rollup.corpus_summary.
+    """
+    probes = [c for c in PROBES if c in sources.columns]
+    yield from (f"# {project}", "", "| " + " | ".join(["source", "clips", "minutes", *[PROBES[c][0] for c in probes]]) + " |", "|-|-|-|" + "-|" * len(probes))
     for r in sources.orderBy("source_id").toLocalIterator():
-        yield f"| {r['source_id']} | {r['clips']} | {r['ms'] / 60000:.2f} |"
+        yield f"| {r['source_id']} | {r['clips']} | {r['ms'] / 60000:.2f} |" + "".join(f" {PROBES[c][1](r[c])} |" for c in probes)
+    if summary is not None:
+        s = summary.first().asDict(recursive=True)
+        yield from ("", f"- clips: {s['clips']}", f"- hours: {s['total_hours']} ({s['total_seconds']} s)", f"- mean duration: {s['mean_duration']} s")
+        for k, head in (("duration_percentiles", "seconds"), ("chars_percentiles", "characters")):
+            yield f"- {head}: " + ", ".join(f"{n} {v}" for n, v in (s[k] or {}).items())
+        yield f"- train, val: {s['train']}, {s['val']}"
     yield from ("", "| reason | clips |", "|-|-|")
     for r in reasons.toLocalIterator():
         yield f"| {r['reason']} | {r['n']} |"
     yield from ("", "| stage | seconds |", "|-|-|", *[f"| {k} | {v:.1f} |" for k, v in timings.items()])
 
 
-def report(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> str:
+def report(project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float], summary: DataFrame | None = None) -> str:
     """The page as a whole; write_report holds a line at a time."""
-    return "\n".join(report_lines(project, sources, reasons, timings)) + "\n"
+    return "\n".join(report_lines(project, sources, reasons, timings, summary)) + "\n"
 
 
-def write_report(path: str, project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float]) -> None:
+def write_report(path: str, project: str, sources: DataFrame, reasons: DataFrame, timings: dict[str, float], summary: DataFrame | None = None) -> None:
     """The page as a file of the driver, written line by line."""
     with open(path, "w", encoding="utf-8") as f:
-        f.writelines(x + "\n" for x in report_lines(project, sources, reasons, timings))
+        f.writelines(x + "\n" for x in report_lines(project, sources, reasons, timings, summary))

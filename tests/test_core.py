@@ -190,6 +190,34 @@ def test_report_has_every_source(spark, tmp_path):
     assert (tmp_path / "report.md").read_text() == page
 
 
+def test_corpus_summary(spark):
+    r = random.Random(4)
+    rows = [(i, r.randrange(1000, 12000) / 1000, "é" * r.randrange(1, 90)) for i in range(150)]
+    for some in (rows, rows[:1], []):
+        df = spark.createDataFrame(some, "idx long, duration double, text string")
+        one = rollup.corpus_summary(df, "idx")
+        d, c = sorted(x[1] for x in some), sorted(len(x[2]) for x in some)
+        at = lambda v: {k: float(v[round(p * (len(v) - 1))]) for k, p in (("min", 0), ("p10", 0.1), ("median", 0.5), ("p90", 0.9), ("max", 1))} if v else None
+        n = min(100, max(1, int(len(some) * 0.02)), max(0, len(some) - 1))
+        assert [x.asDict(recursive=True) for x in one.collect()] == [{
+            "clips": len(some), "total_seconds": round(sum(d), 2), "total_hours": round(sum(d) / 3600, 3), "mean_duration": round(sum(d) / len(d), 3) if d else 0.0,
+            "duration_percentiles": at(d), "chars_percentiles": at(c), "train": len(some) - n, "val": n}]
+        sources = spark.createDataFrame([("s", 2, 60000, "/a/b.mp3", 129473, 3446.77, None)], "source_id string, clips long, ms long, path string, bit_rate long, duration double, decoded_duration double")
+        page = sinks.report("p", sources, spark.createDataFrame([], "reason string, n long"), {}, one)
+        assert "| s | 2 | 1.00 | b.mp3 | 129 | 57.45 | 0.00 |" in page and f"- train, val: {len(some) - n}, {n}" in page
+        assert json.loads(sinks.summary_json(one).first()[0])["clips"] == len(some)
+
+
+def test_tokenise(spark):
+    vocab = {"<pad>": 0, "|": 1, "a": 2, "b": 3, "é": 4}
+    words = spark.createDataFrame([(1, 2, "E\u0301!"), (1, 0, "aB"), (1, 1, "?|"), (1, 3, None), (2, 0, "xyz"), (3, 5, "b")], "clip long, word int, text string")
+    targets = ctc.tokenise(words, vocab)
+    assert sorted(tuple(map(lambda v: v if isinstance(v, int) else list(v), r)) for r in targets.collect()) == [(1, [2, 3, 1, 4], [0, 0, -1, 2]), (3, [3], [5])]
+    frames = spark.createDataFrame([(1, i, [9.0 if k == c else 0.0 for k in range(5)]) for i, c in enumerate([0, 2, 3, 3, 1, 4])], "clip long, frame long, scores array<double>")
+    spans = ctc.owned(ctc.align(frames, targets), targets)
+    assert sorted((r["clip"], r["word"], r["first"], r["end"]) for r in ctc.word_spans(spans).collect()) == [(1, 0, 1, 4), (1, 2, 5, 6)]
+
+
 def test_folds(spark):
     p = spark.createDataFrame([(1, i, t) for i, t in enumerate(["aa", "bb", "c" * 9, "é", "f"])], "source_id long, ord long, text string")
     assert [(r["first"], r["last"], r["text"]) for r in grouping.pack_bytes(p, 6).orderBy("first").collect()] == [(0, 1, "aa bb"), (2, 2, "c" * 9), (3, 4, "é f")]
