@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX1, _MIX2 = U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)
+#: Items that one polynomial hash may span.
+MOST_GRAM = 256
 SPACE_LIKE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
@@ -80,6 +82,49 @@ class Rolling:
         return (self.sums[end] - self.sums[start]) * self.down[start]
 
 
+def lanes_of(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of buf as one number, the first lowest; beyond the end are zeros."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+
+
+#: By number of bytes: the mask of those of a lane. Runs beyond LONG_RUN bytes are taken one by one.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+LONG_RUN = 512
+
+
+def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lanes: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each run of bytes. Its lanes of eight bytes are mixed with their place before they are added, so
+    that no algebra of bytes carries over; up to eight bytes, runs of one length never collide."""
+    lanes = lanes_of(buf) if lanes is None else lanes
+    size = end - start
+    h = mix((lanes[start] & _MASKS[np.minimum(size, 8)]) + U(_BASE))
+    todo, j = np.flatnonzero((size > 8) & (size <= LONG_RUN)), 1
+    while len(todo):
+        h[todo] += mix((lanes[start[todo] + 8 * j] & _MASKS[np.minimum(size[todo] - 8 * j, 8)]) + U((j + 1) * _BASE % 2**64))
+        j += 1
+        todo = todo[size[todo] > 8 * j]
+    for i in np.flatnonzero(size > LONG_RUN).tolist():
+        x = lanes[start[i] + 8 : end[i] : 8].copy()
+        x[-1:] &= _MASKS[(int(size[i]) - 1) % 8 + 1]
+        h[i : i + 1] += np.add.reduce(mix(x + np.arange(2, len(x) + 2, dtype=U) * U(_BASE)))
+    return mix(h + size.astype(U) * _MIX2)
+
+
+def runs_equal(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, lanes: np.ndarray | None = None) -> np.ndarray:
+    """Whether the size bytes from a are those from b, byte by byte."""
+    lanes = lanes_of(buf) if lanes is None else lanes
+    ok, todo, j = np.ones(len(a), bool), np.flatnonzero((a != b) & (size <= LONG_RUN)), 0
+    while len(todo):
+        ok[todo] &= (lanes[a[todo] + 8 * j] ^ lanes[b[todo] + 8 * j]) & _MASKS[np.minimum(size[todo] - 8 * j, 8)] == 0
+        j += 1
+        todo = todo[size[todo] > 8 * j]
+    for i in np.flatnonzero((a != b) & (size > LONG_RUN)).tolist():
+        ok[i] = np.array_equal(buf[a[i] : a[i] + size[i]], buf[b[i] : b[i] + size[i]])
+    return ok
+
+
 def text_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets of n + 1 rows) of a string or binary column."""
     if isinstance(col, pa.ChunkedArray):
@@ -133,7 +178,7 @@ class Words:
         self.start, self.end = np.flatnonzero(begin), np.flatnonzero(last) + 1
         self.first = np.searchsorted(self.start, offs)  # of each row, and the total
         self.count = np.diff(self.first)
-        self.hash = mix(Rolling(byte_codes()[buf]).spans(self.start, self.end) + (self.end - self.start).astype(U) * U(_BASE)) if len(self.start) else np.zeros(0, U)
+        self.hash = span_hash(buf, self.start, self.end) if len(self.start) else np.zeros(0, U)
 
     @property
     def row(self) -> np.ndarray:
@@ -141,7 +186,12 @@ class Words:
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash of the k words from each word, whether they are of one row)."""
-        g = mix(Rolling(self.hash).fixed(k))
+        roll, piece = Rolling(self.hash), min(k, MOST_GRAM)
+        g = mix(roll.fixed(piece))
+        for at in range(piece, k, MOST_GRAM):  # longer ones piece by piece: the sum modulo 2^64 alone is weak for those
+            more = mix(roll.fixed(min(MOST_GRAM, k - at)))[at:]
+            g = mix(g[: len(more)] * U(_BASE) + more)
+        g = g[: max(0, len(self.hash) - k + 1)]
         ok = np.arange(len(g)) + k <= np.repeat(self.first[1:], self.count)[: len(g)]
         return g, ok
 

@@ -3,9 +3,11 @@
 A short word is a row of parts with the rank of each adjacent pair beside it. The lowest rank is found by a
 scan, its right boundary is deleted, and the two neighbouring ranks are refreshed, until no pair has a rank.
 Many distinct words are held as rows of one matrix, so each step works on all of them at once. Parts of texts are told
-apart by a 64-bit hash within a slab and by their bytes in the worker's cache, so each distinct part is encoded once.
+apart by their bytes, in a slab and in the worker's cache, so each distinct part is encoded once.
 
-Nulls are empty texts; an empty text has no tokens. Extra columns are ignored; rows are kept as they are, repeated ids included.
+Nulls are empty texts; an empty text has no tokens; an empty table gives none. A text longer than a slab is a slab by itself. Extra
+columns, whatever their names, are ignored; rows are kept as they are, repeated ids included. Ranks are distinct, so equal ranks are
+those of one pair, and the leftmost is merged first.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .columns import Rolling, U, byte_codes, memo, mix, slabs, text_buffer
+from .columns import U, lanes_of, memo, runs_equal, slabs, span_hash, text_buffer
+from .frames import slim
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
@@ -238,10 +241,7 @@ class RankBPE:
         end = np.r_[start[1:], len(buf)] if len(start) else start
         use = ~odd[row]
         start, end, row = start[use], end[use], row[use]
-        key = mix(Rolling(byte_codes()[buf]).spans(start, end) + (end - start).astype(U) * U(0x9E3779B97F4A7C15)) if len(start) else np.zeros(0, U)
-        code, distinct = pd.factorize(key)
-        first = np.empty(len(distinct), np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
+        code, first = distinct_runs(buf, start, end)
         words = [raw[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)]
         found = list(map(self.chunks.get, words))
         new = [i for i, x in enumerate(found) if x is None]
@@ -322,6 +322,37 @@ class RankBPE:
         return out
 
 
+def distinct_runs(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each run among the distinct ones, a place of each distinct one).
+
+    A run of up to seven bytes is its own key; of longer ones a hash is the key, and their bytes are compared with those of the
+    first that has it, so that two different runs are never taken for one.
+    """
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lanes, size = lanes_of(buf), end - start
+    key = (lanes[start] & ~(U(0xFF) << U(56))) & ((U(1) << (U(8) * np.minimum(size, 7).astype(U))) - U(1)) | size.astype(U) << U(56)
+    big = np.flatnonzero(size > 7)
+    key[big] = span_hash(buf, start[big], end[big], lanes) | U(0xFF) << U(56)
+    code, distinct = pd.factorize(key)
+    first = np.empty(len(distinct), np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    one = first[code[big]]
+    same = size[big] == size[one]
+    same[same] = runs_equal(buf, start[big][same], start[one][same], size[big][same], lanes)
+    if not same.all():
+        more: dict[bytes, int] = {}
+        places = first.tolist()
+        for i in big[~same].tolist():
+            run = buf[start[i] : end[i]].tobytes()
+            if run not in more:
+                more[run] = len(places)
+                places.append(i)
+            code[i] = more[run]
+        first = np.array(places, np.int64)
+    return code, first
+
+
 def tokenizer(path: str) -> RankBPE:
     """One encoder per worker and file."""
     return memo(f"bpe {path}", lambda: RankBPE(path))
@@ -359,7 +390,3 @@ def token_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(cut), pa.int64()), pa.array(digest, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in bpe.decode_flat(ids, cut)], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return slim(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
-def slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
