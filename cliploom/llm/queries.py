@@ -78,7 +78,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .token_blocks import read_tokens, scratch_path, write_tokens
+    from .frames import scratch_path
+    from .token_blocks import read_tokens, write_tokens
 
     path = scratch_path(spark, "tokens")
     write_tokens(_documents(spark, sf_dir), path, vocabulary(), end_id=0)

@@ -14,13 +14,13 @@ on over the ends of documents; the last of a segment is filled up with its minim
 
 Files are written by Spark's text writer (a segment and its line feed are one line of bytes), so that its commit
 protocol decides about tasks that run twice, and read by the binaryFile reader; any file system that Spark knows will
-do. Files in order of name hold documents in order of doc_id. Nulls are empty texts, which have the end id only; null
-doc_ids come first; rows of equal doc_id are in order of text; extra columns are ignored; an empty table has no segments.
+do. Files in order of the two numbers in their names hold documents in order of doc_id. Nulls are empty texts, which have the
+end id only; null doc_ids come first; rows of equal doc_id are in order of text, repeated rows next to each other; a text longer than
+a segment is one by itself; extra columns, whatever their names, are ignored; an empty table has no segments.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
@@ -29,9 +29,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .columns import slabs, text_buffer
-from .rank_bpe import slim, tokenizer
+from .frames import slim
+from .rank_bpe import tokenizer
 
 MAGIC = b"TOKPFOR1"
+#: Partition and counter in the name of a file of Spark's writer, numbers of any length.
+FILE = r"/part-(\d+)-[^/]*-c(\d+)[^/]*$"
+#: Partitions whose totals are summed in one go.
+CHUNK = 1024
 HEAD = np.dtype([("magic", "S8"), ("documents", "<u4"), ("ids", "<u8"), ("block", "<u4"), ("blocks", "<u4"), ("payload", "<u8")])
 BLOCK = np.dtype([("low", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
@@ -160,35 +165,37 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, i
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of each document in the files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "content")
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of each document in the files.
 
-    def totals(batches):
-        for b in batches:
-            for name, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sum(s.n_ids for s in segments(raw.as_py()))], pa.int64())], ["file", "total"])
+    Each file is read once. Its place in the order is in its name, as two numbers: the range partition that wrote it and a
+    counter. Starts run inside a partition; what lies before a partition comes from the totals of partitions, a row each.
+    """
+    names = F.col("path")
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+        .select(F.regexp_extract(names, FILE, 1).cast("int").alias("part"), F.regexp_extract(names, FILE, 2).cast("long").alias("file"), "content")
+    )
 
     def documents(batches):
         for b in batches:
-            for name, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                before = 0
+            for part, file, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                at = 0
                 for s in segments(raw.as_py()):
                     ids = memoryview(s.ids().astype("<u4", copy=False)).cast("B")
-                    cut = np.r_[0, np.cumsum(s.count)]
-                    ends = (4 * cut).tolist()
+                    n = len(s.count)
+                    ends = (4 * np.r_[0, np.cumsum(s.count)]).tolist()
                     crc = [zlib.crc32(ids[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(crc)), pa.array(s.doc_ids, pa.int64(), mask=s.null), pa.array(cut[:-1] + before, pa.int64()), pa.array(s.count, pa.int64()), pa.array(crc, pa.int64())], ["file", "doc_id", "start", "n_tokens", "ids_crc32"])
-                    before += s.n_ids
-
-    # One row a file: the running sum of files is the only ordered step over the whole.
-    base = files.mapInArrow(totals, "file string, total long").withColumn("base", F.coalesce(F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("file", "base")
-    rows = files.mapInArrow(documents, "file string, doc_id long, start long, n_tokens long, ids_crc32 long")
-    return rows.join(base, "file").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder; a machine-local one only where none is set, as in tests."""
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/cliploom"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, file, np.int64)), pa.array(np.arange(at, at + n)), pa.array(s.doc_ids, pa.int64(), mask=s.null), pa.array(s.count, pa.int64()), pa.array(crc, pa.int64())], ["part", "file", "k", "doc_id", "n_tokens", "ids_crc32"])
+                    at += n
+
+    rows = files.mapInArrow(documents, "part int, file long, k long, doc_id long, n_tokens long, ids_crc32 long").repartition("part")
+    inside = Window.partitionBy("part").orderBy("file", "k").rowsBetween(Window.unboundedPreceding, -1)
+    total = rows.groupBy("part").agg(F.sum("n_tokens").alias("total")).withColumn("chunk", F.floor(F.col("part") / CHUNK).cast("int"))
+    chunks = total.groupBy("chunk").agg(F.sum("total").alias("total"))
+    last = total.agg(F.max("chunk").alias("last"))
+    # What lies before a chunk: each chunk's total goes to all later ones, which are few.
+    later = chunks.join(F.broadcast(last)).where("chunk < last").select(F.explode(F.sequence(F.col("chunk") + 1, F.col("last"))).alias("chunk"), "total").groupBy("chunk").agg(F.sum("total").alias("before"))
+    within = Window.partitionBy("chunk").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = total.withColumn("run", F.coalesce(F.sum("total").over(within), F.lit(0))).join(later, "chunk", "left").select("part", (F.col("run") + F.coalesce("before", F.lit(0))).alias("base"))
+    placed = rows.withColumn("start", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(base, "part")
+    return placed.select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from cliploom.llm import decontaminate, language_mix, license_scan, quality_rules, queries, rank_bpe, token_blocks, url_rules
+from cliploom.llm import decontaminate, frames, language_mix, license_scan, quality_rules, queries, rank_bpe, token_blocks, url_rules
 
 from .conftest import by_text, frame
 
@@ -252,9 +252,57 @@ def test_token_files(spark, rng, library):
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     for options in ({}, {"segment_bytes": 90, "file_segments": 2, "block": 64}):
-        path = token_blocks.scratch_path(spark, "test")
+        path = frames.scratch_path(spark, "test")
         token_blocks.write_tokens(frame(spark, rows), path, queries.vocabulary(), **options)
         assert [tuple(r) for r in token_blocks.read_tokens(spark, path).orderBy("start").collect()] == want
-    path = token_blocks.scratch_path(spark, "test")
+    path = frames.scratch_path(spark, "test")
     token_blocks.write_tokens(frame(spark, []), path, queries.vocabulary())
     assert token_blocks.read_tokens(spark, path).count() == 0
+
+
+def test_many_token_files(spark, library):
+    """More than a thousand files from one partition and some from each of several: order is by number, not by name."""
+    rows = [(i, f"t{i} " * (1 + i % 3)) for i in range(1300)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            path = frames.scratch_path(spark, "test")
+            token_blocks.write_tokens(frame(spark, rows), path, queries.vocabulary(), segment_bytes=1, file_segments=1)
+            got = token_blocks.read_tokens(spark, path).orderBy("doc_id").collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        start = 0
+        for (i, t), r in zip(rows, got, strict=True):
+            n = len(library.encode(t, add_special_tokens=False).ids) + 1
+            assert (r["doc_id"], r["start"], r["n_tokens"]) == (i, start, n)
+            start += n
+
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_strings_that_a_polynomial_hash_confuses(spark, library, n):
+    a, b = thue_morse(n)
+    rows = [(1, a), (2, b), (3, f"{b} {a}"), (4, a)]
+    for r in rank_bpe.token_digests(frame(spark, rows), queries.vocabulary()).collect():
+        ids = library.encode(rows[r["doc_id"] - 1][1], add_special_tokens=False).ids
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    items = [(7, a + " x"), (8, b + " y z")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows += [(5, f"{b} x {a} y z"), (6, f"q {a} x")]
+    assert by_text(tuple(r)[:6] for r in decontaminate.contamination(frame(spark, rows), bench).collect()) == by_text(brute_contamination(rows, items))
+
+
+def test_runs_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(rank_bpe, "span_hash", lambda buf, start, end, lanes=None: np.zeros(len(start), np.uint64))
+    text = b"".join(w.ljust(12, b".") for w in [b"one", b"two", b"one", b"three", b"two", b"four"])
+    buf = np.frombuffer(text, np.uint8)
+    start = np.arange(0, len(text), 12)
+    code, first = rank_bpe.distinct_runs(buf, start, start + 12)
+    assert [text[start[first[c]] :][:12] for c in code] == [text[s:][:12] for s in start] and len(first) == 4
