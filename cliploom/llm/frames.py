@@ -58,18 +58,24 @@ def _remove(some: list[tuple[SparkSession, str]]) -> None:
 
 
 @contextlib.contextmanager
-def scratch(*keep: list[str]) -> Iterator[None]:
-    """Removes the folders made within it at its end, but those in the given lists (to which the block may add)."""
+def scratch(keep: list[str]) -> Iterator[None]:
+    """Removes the folders made within it at its end, but those in keep (to which the block may add)."""
     since = len(_made)
     try:
         yield
     finally:
-        kept = {p for some in keep for p in some}
-        gone = [x for x in _made[since:] if x[1] not in kept]
-        _made[since:] = [x for x in _made[since:] if x[1] in kept]
+        gone = [x for x in _made[since:] if x[1] not in keep]
+        _made[since:] = [x for x in _made[since:] if x[1] in keep]
         _remove(gone)
 
 
+def discard(path: str) -> None:
+    """Removes a folder that is no longer needed."""
+    gone = [x for x in _made if x[1] == path]
+    _made[:] = [x for x in _made if x[1] != path]
+    _remove(gone)
+
+
 @atexit.register
 def _remove_all() -> None:
     with contextlib.suppress(Exception):  # the session may be gone with its gateway

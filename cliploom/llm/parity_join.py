@@ -6,36 +6,40 @@ lower bound of the symmetric difference. Sets that reach the similarity differ b
 the band of sizes; with more than d words, one word at least is the same in both (pigeonhole). Words are joined, and
 what meets is verified on the sets themselves.
 
-Equal sets are one class from the start, represented by its least doc_id, so copies are not expanded into pairs. A word
-that many classes share is set aside by each document that has more than d other words, which loses no link: of those
-others one is the same in both. Documents that meet in a word are verified in three steps, each only between different
-components so far: every document with the least that it met, with the least of each word, then all pairs left. So
-a group of near copies costs about one verification a document. Links, components and fingerprints stay distributed.
+Equal sets are one class from the start, represented by its least doc_id, so copies are not expanded into pairs. A word that
+many classes share is frequent: a batch that has it often sends its bucket one entry, its members stay with the batch, and
+each that has more than d other words sets it aside, which loses no link: of those others one is the same in both. So what
+reaches a bucket for one word does not follow the number of near copies. Documents that meet in a word are verified in three
+steps, each only between different components so far: every document with the least that it met, with the least of each
+word, then all pairs left. So a group of near copies costs about one verification a document. Before that last step a meeting
+of more than SPLIT members is split by prefixes: each set's rarest shingles, as many as it may lack and one more, one of which
+similar sets share. Links, components and fingerprints stay distributed.
 
 Shingles are runs of `k` words; with fewer words the whole sequence is one. A null or empty text has an empty set and is
 linked with nothing; rows of one doc_id are one document, with the links of each; a row of null doc_id is linked with
-nothing and has a null component. Extra columns are ignored (kept by `one_of_each`); repeated rows each get their row.
+nothing and has a null component. An empty table gives none; a text of any length is one set; of equal sets, and of components, the
+least doc_id stands for all. Extra columns, whatever their names, are ignored (kept by `one_of_each`); repeated rows each get their row.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import SPACE_LIKE, U, Words, mix, planes, separators, slabs, unplanes
+from .frames import named, scratch, scratch_path, settled
 from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 K1, K2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
-#: A word of more classes is set aside where a document can do without.
-FREQUENT = 32
+#: A word of more classes, or of more in one batch, is set aside where a document can do without.
+FREQUENT, MOST_IN_BATCH = 32, 4
 SKETCH_BITS = 2048
 #: Members of a block of a word that many share.
 BLOCK = 1024
+#: Members of a meeting that is split further, and most shingles that are known as frequent there.
+SPLIT, MOST_SHINGLES = 16 * BLOCK, 1 << 16
 #: Bytes of each shingle's hash that are kept for the comparison of two sets.
 SET_BYTES = 6
 NULL_ID = np.iinfo(np.int64).min
@@ -137,107 +141,125 @@ def sketch_words(s: np.ndarray, bands: Bands) -> list[tuple[np.ndarray, int, int
     return out
 
 
-def _sketches(b: Batch, k: int, bands: Bands, buckets: int, got: dict):
-    sets = shingle_sets(b, k)
-    rep = _representatives(b, sets, buckets, got)
-    word, doc, band, spare = [], [], [], []
-    seen: set[tuple[int, bytes]] = set()
-    for i in np.flatnonzero((rep == b.ids) & (b.ids != NULL_ID)).tolist():
-        if len(sets[i]):
-            key = (int(b.ids[i]), hash(sets[i].tobytes()))
-            if key in seen:
-                continue
-            seen.add(key)
-            for w, c, s in sketch_words(sets[i], bands):
-                word.append(w)
-                doc.append(np.full(len(w), b.ids[i]))
-                band.append(np.full(len(w), c, np.uint8))
-                spare.append(np.full(len(w), s, np.int16))
-    if not word:
-        return
-    word, doc, band, spare = map(np.concatenate, (word, doc, band, spare))
-    order = np.argsort(word, kind="stable")
-    word, doc, band, spare = word[order], doc[order], band[order], spare[order]
-    for t, i, j in by_bucket(word, buckets):
-        yield t, np.uint32(j - i).tobytes() + planes(word[i:j]) + planes(doc[i:j]) + band[i:j].tobytes() + planes(spare[i:j], 2)
-
-
-def _meetings(messages: list[bytes]):
-    """Entries of words that two documents or more share: order of places, whether each stays, and its columns."""
-    size = [int(np.frombuffer(m, "<u4", 1)[0]) for m in messages]
-    cols = [[], [], [], []]
-    for m, n in zip(messages, size, strict=True):
-        v = memoryview(m)[4:]
-        cols[0].append(unplanes(v, n))
-        cols[1].append(unplanes(v[8 * n :], n, 8, np.int64))
-        cols[2].append(np.frombuffer(v[16 * n :], np.uint8, n))
-        cols[3].append(unplanes(v[17 * n :], n, 2, np.uint64).astype(np.uint16).view(np.int16))
-    word, doc, band, spare = map(np.concatenate, cols)
-    order = np.lexsort((doc, word))
-    w, d = word[order], doc[order]
-    first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
-    count = np.diff(np.r_[first, len(w)])
-    same = np.minimum.reduceat(d, first) == np.maximum.reduceat(d, first)
-    return size, order, np.repeat(~same, count), first, count, w, d, band[order], spare[order]
-
-
-def _present(messages: list[bytes]) -> list[bytes | None]:
-    """To each batch the doc_ids that met another."""
-    size, order, use, *_, d, _, _ = _meetings(messages)
-    hit, doc = np.zeros(len(order), bool), np.empty(len(order), np.int64)
-    hit[order], doc[order] = use, d
+class Sketches:
+    """The words of the sketches of a batch's classes, in order, and an entry for each member of a word, or one for all of many."""
+
+    def __init__(self, b: Batch, sets: list[np.ndarray], rep: np.ndarray, bands: Bands, buckets: int):
+        cols: list[list[np.ndarray]] = [[], [], [], []]
+        seen: set[tuple[int, bytes]] = set()
+        for i in np.flatnonzero((rep == b.ids) & (b.ids != NULL_ID)).tolist():
+            if len(sets[i]):
+                key = (int(b.ids[i]), sets[i].tobytes())
+                if key in seen:
+                    continue
+                seen.add(key)
+                for w, c, s in sketch_words(sets[i], bands):
+                    for col, x in zip(cols, (w, np.full(len(w), b.ids[i]), np.full(len(w), c, np.uint8), np.full(len(w), s, np.int16)), strict=True):
+                        col.append(x)
+        word, doc, band, spare = (np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(cols, (U, np.int64, np.uint8, np.int16), strict=True))
+        order = np.lexsort((doc, word))
+        self.word, self.doc, self.band, self.spare = word[order], doc[order], band[order], spare[order]
+        first = np.flatnonzero(np.r_[True, self.word[1:] != self.word[:-1]]) if len(word) else np.zeros(0, np.int64)
+        self.members = np.diff(np.r_[first, len(word)])
+        self.of = np.repeat(np.arange(len(first)), self.members)  # number of each member's word
+        many = self.members > MOST_IN_BATCH
+        lead = np.zeros(len(word), bool)
+        lead[first] = True
+        self.entry = np.flatnonzero(~many[self.of] | lead)
+        self.many = many[self.of[self.entry]]
+        self.parts = list(by_bucket(self.word[self.entry], buckets))
+
+    def messages(self):
+        for t, i, j in self.parts:
+            e = self.entry[i:j]
+            yield t, np.uint32(j - i).tobytes() + planes(np.diff(self.word[e], prepend=U(0))) + planes(self.doc[e]) + np.packbits(self.many[i:j]).tobytes()
+
+    def heard(self, got: dict) -> tuple[set[int], np.ndarray, np.ndarray, np.ndarray]:
+        """(doc_ids that met another in a word that is not frequent; and of the members of frequent words who cannot do without: word, doc_id, least doc_id)."""
+        met: list[np.ndarray] = []
+        frequent, least = np.zeros(len(self.members), bool), np.zeros(len(self.members), np.int64)
+        for t, i, j in self.parts:
+            if (2, t) in got:
+                e, r, n = self.entry[i:j], got[2, t], -(-(j - i) // 8)
+                met.append(self.doc[e[np.unpackbits(np.frombuffer(r, np.uint8, n), count=j - i) > 0]])
+                hot = e[np.unpackbits(np.frombuffer(r, np.uint8, n, n), count=j - i) > 0]
+                frequent[self.of[hot]] = True
+                least[self.of[hot]] = unplanes(memoryview(r)[2 * n :], len(hot), 8, np.int64)
+        at = np.flatnonzero(frequent[self.of])
+        order = at[np.lexsort((self.band[at], self.doc[at]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (self.doc[order][1:] != self.doc[order][:-1]) | (self.band[order][1:] != self.band[order][:-1])
+        first = np.flatnonzero(new)
+        bound = np.diff(np.r_[first, len(order)]) > np.minimum.reduceat(self.spare[order], first) if len(order) else np.zeros(0, bool)
+        use = order[np.repeat(bound, np.diff(np.r_[first, len(order)]))]
+        return set(np.concatenate([*met, np.zeros(0, np.int64)]).tolist()) | set(self.doc[use].tolist()), self.word[use], self.doc[use], least[self.of[use]]
+
+
+class Meetings:
+    """The entries of a bucket in order of word and doc_id, and which words are shared and frequent."""
+
+    def __init__(self, messages: list[bytes]):
+        self.size = [int(np.frombuffer(m, "<u4", 1)[0]) for m in messages]
+        word, doc, many = [], [], []
+        for m, n in zip(messages, self.size, strict=True):
+            v = memoryview(m)[4:]
+            word.append(np.cumsum(unplanes(v, n), dtype=U))
+            doc.append(unplanes(v[8 * n :], n, 8, np.int64))
+            many.append(np.unpackbits(np.frombuffer(v[16 * n :], np.uint8), count=n))
+        word, doc, many = map(np.concatenate, (word, doc, many))
+        self.order = np.lexsort((doc, word))
+        self.word, self.doc = word[self.order], doc[self.order]
+        self.first = np.flatnonzero(np.r_[True, self.word[1:] != self.word[:-1]])
+        count = np.diff(np.r_[self.first, len(word)])
+        self.of = np.repeat(np.arange(len(self.first)), count)
+        lo, hi = (f.reduceat(self.doc, self.first) for f in (np.minimum, np.maximum))
+        crowd = np.maximum.reduceat(many[self.order], self.first) > 0
+        self.least, self.frequent = lo, crowd | (count > FREQUENT)
+        self.shared = (lo != hi) | crowd
+
+
+def _meet(messages: list[bytes]) -> list[bytes | None]:
+    """For each entry whether it met another in a word that is not frequent, whether its word is frequent and shared, and the least doc_id of those."""
+    m = Meetings(messages)
+    met, hot, least = np.zeros(len(m.order), bool), np.zeros(len(m.order), bool), np.empty(len(m.order), np.int64)
+    met[m.order], hot[m.order], least[m.order] = (m.shared & ~m.frequent)[m.of], (m.shared & m.frequent)[m.of], m.least[m.of]
     out, at = [], 0
-    for n in size:
-        x = np.unique(doc[at : at + n][hit[at : at + n]])
-        out.append(planes(x) if len(x) else None)
+    for n in m.size:
+        x, y = met[at : at + n], hot[at : at + n]
+        out.append(np.packbits(x).tobytes() + np.packbits(y).tobytes() + planes(least[at : at + n][y]) if x.any() or y.any() else None)
         at += n
     return out
 
 
-MEETING = "kind string, doc_id long, n long, rep long, sketch binary, shingles binary, meeting long, least long, band int, spare int, frequent boolean"
+MEETING = "kind string, doc_id long, n long, rep long, sketch binary, shingles binary, meeting long, least long"
+MEETING_ARROW = pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in ("doc_id", "n", "rep")), ("sketch", pa.binary()), ("shingles", pa.binary()), ("meeting", pa.int64()), ("least", pa.int64())])
+
+
+def _meeting_rows(meeting: np.ndarray, doc: np.ndarray, least: np.ndarray) -> pa.Table:
+    known = {"kind": pa.array(["meeting"] * len(doc), pa.string()), "doc_id": pa.array(doc), "meeting": pa.array(meeting.view(np.int64)), "least": pa.array(least)}
+    return pa.table([known[f.name] if f.name in known else pa.nulls(len(doc), f.type) for f in MEETING_ARROW], schema=MEETING_ARROW)
 
 
 def _lists(t: pa.Table) -> pa.Table:
-    """A row for each document in each word that it shares; words that the same few documents share are one."""
-    _, _, use, first, count, w, d, band, spare = _meetings(t.column("message").to_pylist())
-    of = np.repeat(np.arange(len(first)), count)
-    least = np.minimum.reduceat(d, first)[of]
-    frequent = (count > FREQUENT)[of]
-    name = np.add.reduceat(mix(d.view(U) ^ K1), first)
-    name = np.where(count > FREQUENT, w[first], mix(name + np.maximum.reduceat(band, first).astype(U)))[of]
-    at = np.flatnonzero(use)
-    few = at[~frequent[at]]
-    keep = few[np.unique(np.stack([name[few], d[few].view(U)]), axis=1, return_index=True)[1]] if len(few) else few
-    at = np.r_[keep, at[frequent[at]]]
-    z = pa.nulls(len(at), pa.int64())
-    return pa.table({"kind": ["meeting"] * len(at), "doc_id": d[at], "n": z, "rep": z, "sketch": pa.nulls(len(at), pa.binary()), "shingles": pa.nulls(len(at), pa.binary()), "meeting": name[at].view(np.int64), "least": least[at], "band": band[at].astype(np.int32), "spare": spare[at].astype(np.int32), "frequent": frequent[at]}).cast(pa.schema([("kind", pa.string()), *((c, pa.int64()) for c in ("doc_id", "n", "rep")), ("sketch", pa.binary()), ("shingles", pa.binary()), ("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_())]))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; one of this machine only where none is set, as in tests."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/cliploom")
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def _documents(b: Batch, k: int, buckets: int, got: dict) -> pa.Table:
+    """A row for each document in each word that it shares and that is not frequent; words that the same few documents share are one."""
+    m = Meetings(t.column("message").to_pylist())
+    name = mix(np.add.reduceat(mix(m.doc.view(U) ^ K1), m.first))
+    at = np.flatnonzero((m.shared & ~m.frequent)[m.of])
+    name, doc, least = name[m.of[at]], m.doc[at], m.least[m.of[at]]
+    keep = np.unique(np.stack([name, doc.view(U)]), axis=1, return_index=True)[1] if len(at) else at
+    return _meeting_rows(name[keep], doc[keep], least[keep])
+
+
+def _documents(b: Batch, k: int, bands: Bands, buckets: int, got: dict) -> pa.Table:
     sets = shingle_sets(b, k)
     rep = _representatives(b, sets, buckets, got)
-    met = set(np.concatenate([unplanes(r, len(r) // 8, 8, np.int64) for (n, _), r in got.items() if n == 2] or [np.zeros(0, np.int64)]).tolist())
+    met, word, doc, least = Sketches(b, sets, rep, bands, buckets).heard(got)
     here = [i in met and i == r for i, r in zip(b.ids.tolist(), rep.tolist(), strict=True)]
     held = [planes(s >> U(64 - 8 * SET_BYTES), SET_BYTES) if x else None for x, s in zip(here, sets, strict=True)]
     sketch = [bit_sketch(s) if x else None for x, s in zip(here, sets, strict=True)]
     n = len(sets)
-    null = b.ids == NULL_ID
-    return pa.table({"kind": pa.array(["document"] * n, pa.string()), "doc_id": b.table.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "rep": pa.array(rep, pa.int64(), mask=null), "sketch": pa.array(sketch, pa.binary()), "shingles": pa.array(held, pa.binary()), **{c: pa.nulls(n, t) for c, t in (("meeting", pa.int64()), ("least", pa.int64()), ("band", pa.int32()), ("spare", pa.int32()), ("frequent", pa.bool_()))}})
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read again: its lineage ends, and its size is known when joins are planned."""
-    path = f"{shared_folder(df.sparkSession)}/parity-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = [pa.array(["document"] * n, pa.string()), b.table.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(rep, pa.int64(), mask=b.ids == NULL_ID), pa.array(sketch, pa.binary()), pa.array(held, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
+    return pa.concat_tables([pa.table(rows, schema=MEETING_ARROW), _meeting_rows(word, doc, least)])
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
@@ -272,7 +294,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 ok[i] = 100 * common >= percent * (n[i] + m[i] - common)
             yield t.select([0, 1]).filter(pa.array(ok))
 
-    close = settled(both(pairs, "n", "sketch").mapInArrow(near, "a long, b long").distinct())
+    close = settled(both(pairs, "n", "sketch").mapInArrow(near, "a long, b long").distinct(), "parity")
     return both(close, "n", "shingles").mapInArrow(linked, "a long, b long").distinct()
 
 
@@ -307,13 +329,56 @@ def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataF
     return x.groupBy("meeting", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
+def prefix_of(s: np.ndarray, n: int, percent: int, frequent: np.ndarray) -> np.ndarray:
+    """The first shingles of a set of n, as many as it may lack and one more, in an order of all shingles: those that are not frequent first.
+
+    frequent: the frequent ones in order, the rarest first. Sets that reach the similarity have one of these in common, whatever the order.
+    """
+    by_value = np.argsort(frequent)
+    at = np.minimum(np.searchsorted(frequent[by_value], s), max(0, len(frequent) - 1))
+    known = frequent[by_value][at] == s if len(frequent) else np.zeros(len(s), bool)
+    place = np.where(known, by_value[at] + 1 if len(frequent) else 0, 0)
+    return s[np.lexsort((s, place))][: n - -(-n * percent // 100) + 1]
+
+
+def split_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """members (meeting, doc_id, c, size), those of meetings over SPLIT dealt to a meeting for each shingle of their prefix.
+
+    Frequent are the shingles that more than one in MOST_SHINGLES of all is, so their number, and what is sent of them, is bounded.
+    """
+    big = members.where(F.col("size") > SPLIT)
+    if big.isEmpty():
+        return members
+    x = settled(big.join(docs.select("doc_id", "n", "shingles"), "doc_id").select("meeting", "doc_id", "c", "n", "shingles"), "parity")
+
+    def shingles(bs):
+        for t in bs:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*[unplanes(y.as_buffer(), n, SET_BYTES) for n, y in zip(t.column(0).to_pylist(), t.column(1), strict=True)], np.zeros(0, U)]).view(np.int64))], ["s"])
+
+    counts = x.dropDuplicates(["doc_id"]).select("n", "shingles").mapInArrow(shingles, "s long").groupBy("s").count()
+    total = x.agg(F.sum("n")).collect()[0][0]
+    hot = counts.where(F.col("count") > total / MOST_SHINGLES).orderBy("count", "s").collect()
+    frequent = docs.sparkSession.sparkContext.broadcast(np.array([r["s"] for r in hot], np.int64).view(U))
+
+    def deal(bs):
+        for t in bs:
+            keys = [prefix_of(unplanes(y.as_buffer(), n, SET_BYTES), n, percent, frequent.value) for n, y in zip(t.column(3).to_pylist(), t.column(4), strict=True)]
+            times = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            meeting = mix(np.asarray(t.column(0).take(times)).view(U) * K1 + np.concatenate([*keys, np.zeros(0, U)]))
+            yield pa.RecordBatch.from_arrays([pa.array(meeting.view(np.int64)), t.column(1).take(times), t.column(2).take(times)], ["meeting", "doc_id", "c"])
+
+    dealt = settled(x.mapInArrow(deal, "meeting long, doc_id long, c long"), "parity")
+    mixed = dealt.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("meeting", "size")
+    return members.where(F.col("size") <= SPLIT).select("meeting", "doc_id", "c", "size").unionByName(dealt.join(mixed, "meeting").select("meeting", "doc_id", "c", "size"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, component) of all ends of links: the least doc_id that is reachable.
 
     Labels begin as the vertices themselves. In each round a label that meets a lesser one across a link hooks onto the least
     such, and onto where that one hooks; rounds end when both ends of every link agree, and are written and read again.
     """
-    edges = settled(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
+    edges = settled(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), "parity")
     label = edges.select(F.explode(F.array("lo", "hi")).alias("doc_id")).distinct().withColumn("component", F.col("doc_id"))
 
     def unequal(label: DataFrame) -> DataFrame:
@@ -324,17 +389,26 @@ def components(links: DataFrame) -> DataFrame:
         hook = unequal(label).groupBy("root").agg(F.min("to").alias("to"))
         up = hook.select(F.col("root").alias("to"), F.col("to").alias("top"))
         hook = hook.join(up, "to", "left").select(F.col("root").alias("component"), F.coalesce("top", "to").alias("_to"))
-        label = settled(label.join(hook, "component", "left").select("doc_id", F.coalesce("_to", "component").alias("component")))
+        label = settled(label.join(hook, "component", "left").select("doc_id", F.coalesce("_to", "component").alias("component")), "parity")
         if unequal(label).isEmpty():
             return label
 
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id and class_id (the least doc_id of the same set) of each row."""
+    """doc_id, n_shingles, component_id and class_id (the least doc_id of the same set) of each row; a table in the shared folder."""
+    kept: list[str] = []
+    with scratch(kept):
+        out = _link(docs, k, percent, id_col, text_col, n_batches, n_buckets)
+        kept.append(scratch_path(docs.sparkSession, "components"))
+        out.write.parquet(kept[0])
+    return docs.sparkSession.read.schema(out.schema).parquet(kept[0])
+
+
+def _link(docs, k, percent, id_col, text_col, n_batches, n_buckets) -> DataFrame:
     spark = docs.sparkSession
     if not (n_batches and n_buckets):
         n_batches, n_buckets = sizes(docs, text_col)
-    bands, folder = Bands(percent), f"{shared_folder(spark)}/parity-{uuid.uuid4().hex}"
+    bands, folder = Bands(percent), scratch_path(spark, "parity")
     rows = batches(docs, id_col, text_col, n_batches)
 
     def classes(b: Batch, _):
@@ -342,43 +416,43 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
         for t, i, j in parts:
             yield t, planes(p[one[i:j]]) + planes(q[one[i:j]]) + planes(b.ids[one[i:j]])
 
+    def words(b: Batch, got: dict):
+        sets = shingle_sets(b, k)
+        return Sketches(b, sets, _representatives(b, sets, n_buckets, got), bands, n_buckets).messages()
+
     first = answer(ask(rows, classes), 1, _least)
-    sent = ask(rows, lambda b, got: _sketches(b, k, bands, n_buckets, got), first)
-    second = answer(sent, 2, _present)
-    out = finish(rows, first.unionByName(second), lambda b, got: _documents(b, k, n_buckets, got), MEETING)
+    sent = ask(rows, words, first)
+    second = answer(sent, 2, _meet)
+    out = finish(rows, first.unionByName(second), lambda b, got: _documents(b, k, bands, n_buckets, got), MEETING)
     out.unionByName(sent.groupBy("bucket").applyInArrow(_lists, MEETING)).write.partitionBy("kind").parquet(folder)
     found = spark.read.schema(MEETING).parquet(folder)
     documents = found.where("kind = 'document'").select("doc_id", "n", "rep", "sketch", "shingles")
     sets = documents.where("shingles is not null").select("doc_id", "n", "sketch", "shingles")
-    meeting = found.where("kind = 'meeting'")
-    # A frequent word counts only for documents that cannot do without their frequent words.
-    bound = meeting.where("frequent").groupBy("doc_id", "band").agg(F.count("*").alias("uses"), F.min("spare").alias("spare")).where("uses > spare").select("doc_id", "band")
-    few = meeting.where("not frequent").select("meeting", "doc_id", "least").distinct()
-    many = meeting.where("frequent").join(bound, ["doc_id", "band"], "left_semi").select("meeting", "doc_id", "least")
-    held = settled(few.unionByName(many))
+    held = settled(found.where("kind = 'meeting'").select("meeting", "doc_id", "least").distinct(), "parity")
 
     star = held.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    tested = settled(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    tested = settled(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "parity")
     # Rows of one doc_id are one document: their classes are linked.
     several = documents.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a < hi").select("doc_id", "a")
-    links = settled(verify(tested, sets, percent).unionByName(documents.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()))
+    links = settled(verify(tested, sets, percent).unionByName(documents.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()), "parity")
     label = components(links)
 
     def apart(pairs: DataFrame) -> DataFrame:
         x = pairs.join(label.select(F.col("doc_id").alias("a"), F.col("component").alias("ca")), "a", "left").join(label.select(F.col("doc_id").alias("b"), F.col("component").alias("cb")), "b", "left")
         return x.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    more = settled(apart(star.distinct()).join(tested, ["a", "b"], "left_anti"))
+    more = settled(apart(star.distinct()).join(tested, ["a", "b"], "left_anti"), "parity")
     if not more.isEmpty():
-        tested = settled(tested.unionByName(more))
-        links = settled(links.unionByName(verify(more, sets, percent)))
+        tested = settled(tested.unionByName(more), "parity")
+        links = settled(links.unionByName(verify(more, sets, percent)), "parity")
         label = components(links)
     # What is left: pairs of different components that share a word and were not compared.
     labelled = held.join(label, "doc_id", "left").select("meeting", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting", "size")
-    rest = settled(near_in_meetings(labelled.join(mixed, "meeting"), sets, percent).join(tested, ["a", "b"], "left_anti"))
+    members = split_meetings(settled(labelled.join(mixed, "meeting"), "parity"), sets, percent)
+    rest = settled(near_in_meetings(members, sets, percent).join(tested, ["a", "b"], "left_anti"), "parity")
     if not rest.isEmpty():
-        links = settled(links.unionByName(verify(rest, sets, percent)))
+        links = settled(links.unionByName(verify(rest, sets, percent)), "parity")
         label = components(links)
     return documents.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id")).join(label.select(F.col("doc_id").alias("class_id"), "component"), "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
 
@@ -386,4 +460,4 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
 def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are the least doc_id of their component, all columns as they are; rows of null doc_id stay."""
     keep = link_components(docs, k, percent, id_col, text_col).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_linked")).distinct()
-    return docs.join(keep, docs[id_col].cast("long") == keep["_linked"], "left_anti")
+    return docs.join(keep, named(docs, id_col).cast("long") == keep["_linked"], "left_anti")

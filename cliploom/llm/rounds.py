@@ -2,8 +2,8 @@
 
 Documents are dealt to batches by a hash of their id, once; each round reuses that exchange. A batch sends each
 bucket one message: its distinct keys, already merged, so that a key that a third of the corpus holds reaches its
-bucket at most once per batch. The bucket answers each batch by the places of keys in its message. The numbers of
-batches and buckets follow the size of the input, so both stay small whatever it is.
+bucket at most once per batch. The bucket answers each batch by the places of keys in its message. Batches and buckets are
+of one size, whatever that of the input, so that a task's memory is too.
 """
 
 from __future__ import annotations
@@ -16,32 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import text_buffer, tidy
+from .frames import named, rows_as_struct
 
 REPLY = "batch int, round int, bucket int, reply binary"
 
 
-#: Bytes of input, as it lies on disk, of a batch of documents; of a bucket, a third more.
-BATCH_BYTES, MOST_BATCH_BYTES, EVEN_BYTES = 3 << 19, 64 << 20, 30 << 30
+#: Bytes of input, as it lies on disk, of a batch of documents, and of a bucket.
+BATCH_BYTES, BUCKET_BYTES = 3 << 19, 2 << 20
 
 
 def sizes(docs: DataFrame, text_col: str) -> tuple[int, int]:
     """(batches, buckets) for an input of this size.
 
-    Up to EVEN_BYTES a batch has BATCH_BYTES, so memory is the same at every size. Beyond, batches grow with the root of the
-    input, up to MOST_BATCH_BYTES, so that a message does not shrink to a few keys. The size is the planner's estimate, or the sum of
-    lengths where it has none.
+    Both have the same bytes at every size of input, so memory does not follow it. What follows is the number of messages, which
+    is at most one for each key: beyond some 100 GB a message has few keys and costs about 40 bytes beside them. The size is the
+    planner's estimate, or the sum of lengths where it has none.
     """
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if not 0 < size < 1 << 56:
-        size = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).collect()[0][0] or 0
-    each = int(min(MOST_BATCH_BYTES, BATCH_BYTES * max(1.0, size / EVEN_BYTES) ** 0.5))
-    return max(4, -(-size // each)), max(3, -(-size * 3 // (4 * each)))
+        size = docs.agg(F.sum(F.octet_length(named(docs, text_col).cast("string")))).collect()[0][0] or 0
+    return max(4, -(-size // BATCH_BYTES)), max(3, -(-size // BUCKET_BYTES))
 
 
 def batches(docs: DataFrame, id_col: str, text_col: str, n: int, carry: bool = False) -> DataFrame:
     """(batch, doc_id, text) of all rows, and with carry their whole rows but the text; a null id is dealt out by its text."""
-    i, t = docs[id_col].cast("long"), docs[text_col].cast("string")
-    return docs.select(F.pmod(F.xxhash64(F.coalesce(i, F.xxhash64(t))), F.lit(n)).cast("int").alias("batch"), i.alias("doc_id"), t.alias("text"), *([F.struct(*[docs[c] for c in docs.columns if c != text_col] or [F.lit(0).alias("_")]).alias("row")] if carry else []))
+    i, t = named(docs, id_col).cast("long"), named(docs, text_col).cast("string")
+    more = [rows_as_struct(docs, text_col).alias("row")] if carry else []
+    return docs.select(F.pmod(F.xxhash64(F.coalesce(i, F.xxhash64(t))), F.lit(n)).cast("int").alias("batch"), i.alias("doc_id"), t.alias("text"), *more)
 
 
 class Batch:

@@ -4,17 +4,24 @@ Trigger: each string of `length` bytes has one window of rolling hashes, and the
 that share a trigger form a phrase; with the length - 1 bytes that follow, phrases overlap as those of a prefix-free
 parse do, and equal strings lie in phrases of equal trigger at equal distance from it, in whatever document.
 
-Dictionary: distinct phrases, held by trigger in hash buckets, each with the least doc_id. Parse: the sequence of
-phrases of each document, which is what a batch sends. Equal phrases settle all their suffixes at once, so that
-highly repetitive text costs one comparison a phrase. Only where one trigger has several phrases are their
-suffixes put in order: the suffix array of those phrases, to depth `length` (the bytes past a phrase's own starts
-are those of the next phrases of the parse), in which equal neighbours share the least doc_id.
+Dictionary: distinct phrases, held by trigger in hash buckets, each with the least doc_id. Equal phrases settle all their
+suffixes at once, so that highly repetitive text costs one comparison a phrase. Only where one trigger has several phrases
+are suffixes put in order, as a prefix-free parse does it:
 
-The parse itself is not ordered: there is no suffix array of the sequence of phrases and no merge into corpus order. Equal
-strings share a trigger, so which strings are equal, all that the removal asks, is known within each trigger.
+    suffix array of the dictionary   what lies before the trigger, with the trigger itself at its end, and all suffixes of
+                                     that; none is the beginning of another, for the trigger is nowhere else in it
+    suffix array of the parse        what follows from the trigger on, by rank, with the prefix length that neighbours share
+    corpus order                     starts by rank of their suffix in the dictionary, then by rank of the parse from their trigger
+                                     on; equal neighbours, to depth `length`, share the least doc_id
+
+Hot triggers: one that a batch has in more than MOST_IN_BATCH phrases, or a bucket in more than MOST_KINDS, is named once
+a batch, and its starts are dealt one by one to buckets by the hash of their string, merged in the batch. So what reaches a
+bucket for one trigger does not follow the number of documents that have it.
 
 Matches never cross rows. Nulls count as empty texts; a null doc_id sorts before all others and comes back null; rows
-of equal doc_id do not remove each other's text; repeated rows each get their row. Extra columns are ignored.
+of equal doc_id do not remove each other's text (ties are of no one); repeated rows each get their row. An empty table gives none.
+A text of any length is one row of one batch, parsed by parts of SLAB bytes. Extra columns, whatever their names, are ignored
+(kept by `strip_repeats`).
 """
 
 from __future__ import annotations
@@ -27,26 +34,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from .columns import Rolling, U, byte_codes, mix, planes, starts_of_runs, unplanes
+from .columns import Rolling, U, byte_codes, lanes_of, mix, planes, span_hash, starts_of_runs, unplanes
+from .frames import quoted
 from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 GRAM = 20
 CTX = 6  # bytes of a phrase's hash that are sent, beside the 8 of its trigger's
 SLAB = 1 << 18
+#: A trigger with more phrases than that in a batch or in a bucket, or from more batches, is hot.
+MOST_IN_BATCH, MOST_KINDS, MOST_ENTRIES = 4, 64, 1024
+#: State of an entry of the dictionary: of one document, of more, of a hot trigger; and in the answer: settled, mixed, hot.
+HOT = 2
+FAR = np.iinfo(np.int64).max
 
 
 class Phrases:
-    """Phrases of a batch: trigger hash, phrase hash, first start, number of starts, row."""
+    """Phrases of a batch: trigger hash, phrase hash, first start, number of starts, bytes before the trigger, row."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, length: int):
         gram = min(GRAM, max(1, length // 2))
         m = length - gram + 1
         n = len(buf) - length + 1
-        cols: list[list[np.ndarray]] = [[], [], [], []]
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
         for a in range(0, max(n, 0), SLAB):
             for c, x in zip(cols, self._slab(buf[a : a + SLAB + length - 1], a, offs, length, gram, m), strict=True):
                 c.append(x)
-        self.trigger, self.hash, self.start, self.count = (np.concatenate(c) if c else np.zeros(0, d) for c, d in zip(cols, (U, U, np.int64, np.int64), strict=True))
+        self.trigger, self.hash, self.start, self.count, self.left = (np.concatenate(c) if c else np.zeros(0, d) for c, d in zip(cols, (U, U, *[np.int64] * 3), strict=True))
         self.row = np.searchsorted(offs, self.start, "right") - 1
 
     @staticmethod
@@ -76,22 +89,71 @@ class Phrases:
         last_of[:-1] &= new[1:] | ~ok[1:]
         lo, hi = np.flatnonzero(begin), np.flatnonzero(last_of)
         t = at[lo]
-        h = mix(roll.spans(lo, hi + length) + ((t - lo) * 4096 + hi - lo).astype(U) * U(0x9E3779B97F4A7C15))
-        return g[t], h, lo + a, hi - lo + 1
-
-    def parse(self, ids: np.ndarray, buckets: int):
-        """Distinct phrases in order of trigger: place of one of least doc_id, whether more doc_ids have it, group of each phrase."""
-        short = self.hash & U((1 << (8 * CTX)) - 1)
-        order = np.lexsort((short, self.trigger))  # stable: rows are by rising doc_id
-        t, h = self.trigger[order], short[order]
-        new = np.ones(len(order), bool)
+        h = mix(roll.spans(lo, hi + length) + ((t - lo) * 4096 + hi - lo).astype(U) * U(0x9E3779B97F4A7C15)) if length <= 256 else span_hash(x, lo, hi + length)
+        return g[t], h, lo + a, hi - lo + 1, t - lo
+
+
+class Parse:
+    """The distinct phrases of a batch in order of trigger, and the entries that stand for them: one each, or one for all of a hot trigger."""
+
+    def __init__(self, b: Batch, length: int, buckets: int):
+        p = self.phrases = Phrases(b.buf, b.offs, length)
+        short = p.hash & U((1 << (8 * CTX)) - 1)
+        self.order = np.lexsort((short, p.trigger))  # stable: rows are by rising doc_id
+        t, h = p.trigger[self.order], short[self.order]
+        new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
-        group = np.cumsum(new) - 1
+        self.group = np.cumsum(new) - 1  # distinct phrase of each phrase, in order
+        self.one = self.order[new]  # a phrase of least doc_id of each
+        self.doc = b.ids[p.row[self.one]]
+        many = np.zeros(len(self.one), np.uint8)
+        many[self.group[b.ids[p.row[self.order]] != self.doc[self.group]]] = 1
+        t = p.trigger[self.one]
+        first = starts_of_runs(t)
+        kinds = np.diff(np.r_[first, len(t)])
+        self.of_trigger = np.repeat(np.arange(len(first)), kinds)
+        crowd = kinds[self.of_trigger] > MOST_IN_BATCH
+        lead = np.zeros(len(t), bool)
+        lead[first] = True
+        self.entry = np.flatnonzero(~crowd | lead)
+        self.state = np.where(crowd, HOT, many)[self.entry].astype(np.uint8)
+        self.parts = list(by_bucket(t[self.entry], buckets))
+
+    def answers(self, got: dict):
+        """(least doc_id of each distinct phrase that is elsewhere, which of them are mixed by bucket, which of them have a hot trigger)."""
+        whole = np.full(len(self.one), FAR)
+        hot = np.zeros(int(self.of_trigger[-1]) + 1 if len(self.one) else 0, bool)
+        mixed = []
+        for k, i, _ in self.parts:
+            if (1, k) in got:
+                at, least, state = _first_reply(got[1, k])
+                e = self.entry[i + at]
+                whole[e] = least
+                hot[self.of_trigger[e[state == HOT]]] = True
+                if (state == 1).any():
+                    mixed.append((k, e[state == 1]))
+        hot = np.flatnonzero(hot[self.of_trigger]) if len(self.one) else np.zeros(0, np.int64)
+        whole[hot] = FAR
+        return whole, mixed, hot
+
+
+class Strings:
+    """The distinct strings that start in some phrases, each with its hash, that of its trigger, and the least doc_id of the batch."""
+
+    def __init__(self, b: Batch, parse: Parse, hot: np.ndarray, length: int):
+        p, q = parse.phrases, parse.one[hot]
+        self.count = p.count[q]
+        start = np.repeat(p.start[q], self.count) + _ramp(self.count)
+        h = span_hash(b.buf, start, start + length) if len(start) else np.zeros(0, U)
+        t = np.repeat(p.trigger[q] & U(0xFFFFFFFF), self.count)
+        doc = np.repeat(parse.doc[hot], self.count)
+        order = np.lexsort((doc, t, h))
+        new = np.ones(len(h), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (t[order][1:] != t[order][:-1])
         one = order[new]
-        doc = ids[self.row[order]]
-        many = np.zeros(len(one), np.uint8)
-        many[group[doc != ids[self.row[one]][group]]] = 1
-        return one, many, order, group, list(by_bucket(self.trigger[one], buckets))
+        self.hash, self.trigger, self.doc = h[one], t[one], doc[one]
+        self.of = np.empty(len(h), np.int64)  # distinct string of each start
+        self.of[order] = np.cumsum(new) - 1
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, "
@@ -109,15 +171,15 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
 def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """docs with the kept text; a character that is cut in part goes as a whole. Nulls become empty texts; other columns are as they are."""
     x = _run(docs, length, id_col, text_col, n_batches, n_buckets, False, True)
-    return x.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return x.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) -> DataFrame:
     if not (n_batches and n_buckets):
         n_batches, n_buckets = sizes(docs, text_col)
     rows = batches(docs, id_col, text_col, n_batches, carry)
-    first = answer(ask(rows, lambda b, _: _offer(b, length, n_buckets)), 1, _dictionary)
-    second = answer(ask(rows, lambda b, got: _contexts(b, length, n_buckets, got), first), 2, lambda m: _suffix_order(m, length))
+    first = answer(ask(rows, lambda b, _: _offer(Parse(b, length, n_buckets))), 1, _dictionary)
+    second = answer(ask(rows, lambda b, got: _details(b, length, n_buckets, got), first), 2, lambda m: _settle(m, length))
     kept = ("kept_text" if carry else "kept_sha256") if carry or digest else "kept"
     schema = _parse_datatype_string(RESULT + f"{kept} {'binary' if kept == 'kept' else 'string'}")
     if carry:
@@ -125,48 +187,49 @@ def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) ->
     return finish(rows, first.unionByName(second), lambda b, got: _judge(b, length, n_buckets, got, kept), schema)
 
 
-def _offer(b: Batch, length: int, buckets: int):
-    p = Phrases(b.buf, b.offs, length)
-    one, many, _, _, parts = p.parse(b.ids, buckets)
-    trigger, h, doc = p.trigger[one], p.hash[one], b.ids[p.row[one]]
-    for k, i, j in parts:
-        yield k, np.uint32(j - i).tobytes() + planes(trigger[i:j]) + planes(h[i:j], CTX) + planes(doc[i:j]) + many[i:j].tobytes()
+def _offer(p: Parse):
+    q = p.one[p.entry]
+    trigger, h, doc = p.phrases.trigger[q], p.phrases.hash[q], p.doc[p.entry]
+    for k, i, j in p.parts:
+        yield k, np.uint32(j - i).tobytes() + planes(np.diff(trigger[i:j], prepend=U(0))) + planes(h[i:j], CTX) + planes(doc[i:j]) + p.state[i:j].tobytes()
 
 
 def _dictionary(messages: list[bytes]) -> list[bytes | None]:
-    """For each phrase whose trigger is in two documents: the phrase's least doc_id, and whether other phrases share the trigger."""
+    """For each entry whose trigger is in two documents: the phrase's least doc_id, and whether other phrases share the trigger."""
     size = [int(np.frombuffer(m, "<u4", 1)[0]) for m in messages]
-    t, h, d, many = [], [], [], []
+    t, h, d, state = [], [], [], []
     for m, n in zip(messages, size, strict=True):
         v = memoryview(m)
-        t.append(unplanes(v[4:], n))
+        t.append(np.cumsum(unplanes(v[4:], n), dtype=U))
         h.append(unplanes(v[4 + 8 * n :], n, CTX))
         d.append(unplanes(v[4 + (8 + CTX) * n :], n, 8, np.int64))
-        many.append(np.frombuffer(v[4 + (16 + CTX) * n :], np.uint8, n))
-    t, h, d, many = map(np.concatenate, (t, h, d, many))
+        state.append(np.frombuffer(v[4 + (16 + CTX) * n :], np.uint8, n))
+    t, h, d, state = map(np.concatenate, (t, h, d, state))
     order = np.lexsort((h, t))
     ts, hs, ds = t[order], h[order], d[order]
     new_t = starts_of_runs(ts)
-    low, high, wide = (f.reduceat(x, new_t) for f, x in ((np.minimum, ds), (np.maximum, ds), (np.maximum, many[order])))
-    of_t = np.repeat(np.arange(len(new_t)), np.diff(np.r_[new_t, len(ts)]))
-    shared = ((low != high) | (wide > 0))[of_t]
+    entries = np.diff(np.r_[new_t, len(ts)])
+    low, high, most = (f.reduceat(x, new_t) for f, x in ((np.minimum, ds), (np.maximum, ds), (np.maximum, state[order])))
+    of_t = np.repeat(np.arange(len(new_t)), entries)
+    shared = ((low != high) | (most > 0))[of_t]
     new_h = np.ones(len(ts), bool)
     new_h[1:] = (ts[1:] != ts[:-1]) | (hs[1:] != hs[:-1])
     kinds = np.add.reduceat(new_h.astype(np.int64), new_t)
+    crowded = (most == HOT) | (kinds > MOST_KINDS) | ((kinds > 1) & (entries > MOST_ENTRIES))
     of_h = np.cumsum(new_h) - 1
-    least, use, mixed = np.empty(len(t), np.int64), np.empty(len(t), bool), np.empty(len(t), np.uint8)
-    least[order], use[order], mixed[order] = np.minimum.reduceat(ds, np.flatnonzero(new_h))[of_h], shared, (kinds > 1)[of_t]
+    least, use, say = np.empty(len(t), np.int64), np.empty(len(t), bool), np.empty(len(t), np.uint8)
+    least[order], use[order], say[order] = np.minimum.reduceat(ds, np.flatnonzero(new_h))[of_h], shared, np.where(crowded, HOT, kinds > 1)[of_t]
     out, at = [], 0
     for n in size:
         i = np.flatnonzero(use[at : at + n])
-        out.append(np.uint32(len(i)).tobytes() + planes(i.astype(np.int64), 4) + planes(least[at + i]) + mixed[at + i].tobytes() if len(i) else None)
+        out.append(np.uint32(len(i)).tobytes() + planes(i.astype(np.int64), 4) + planes(least[at + i]) + say[at + i].tobytes() if len(i) else None)
         at += n
     return out
 
 
 def _first_reply(r: bytes):
     n, v = int(np.frombuffer(r, "<u4", 1)[0]), memoryview(r)
-    return unplanes(v[4:], n, 4, np.int64), unplanes(v[4 + 4 * n :], n, 8, np.int64), np.frombuffer(v[4 + 12 * n :], np.uint8, n) > 0
+    return unplanes(v[4:], n, 4, np.int64), unplanes(v[4 + 4 * n :], n, 8, np.int64), np.frombuffer(v[4 + 12 * n :], np.uint8, n)
 
 
 def _wide(length: int) -> int:
@@ -174,104 +237,188 @@ def _wide(length: int) -> int:
     return (length.bit_length() + 7) // 8
 
 
-def _contexts(b: Batch, length: int, buckets: int, got: dict):
-    """Text of the phrases whose trigger has several."""
-    p = Phrases(b.buf, b.offs, length)
-    one, _, _, _, parts = p.parse(b.ids, buckets)
-    for k, i, _j in parts:
-        if (1, k) in got:
-            at, _, mixed = _first_reply(got[1, k])
-            if mixed.any():
-                q = one[i + at[mixed]]
-                text = b"".join(b.buf[s : s + c + length - 1].tobytes() for s, c in zip(p.start[q].tolist(), p.count[q].tolist(), strict=True))
-                yield k, np.uint32(len(q)).tobytes() + planes(p.trigger[q]) + planes(p.hash[q], CTX) + planes(b.ids[p.row[q]]) + planes(p.count[q], _wide(length)) + text
-
-
-def _suffix_order(messages: list[bytes], length: int) -> list[bytes | None]:
-    """Least doc_id of the string at each start of each phrase."""
-    size, t, h, d, c, text = [], [], [], [], [], []
-    for m in messages:
-        n, v = int(np.frombuffer(m, "<u4", 1)[0]), memoryview(m)
-        size.append(n)
-        t.append(unplanes(v[4:], n))
-        h.append(unplanes(v[4 + 8 * n :], n, CTX))
-        d.append(unplanes(v[4 + (8 + CTX) * n :], n, 8, np.int64))
-        c.append(unplanes(v[4 + (16 + CTX) * n :], n, _wide(length), np.int64))
-        text.append(np.frombuffer(v[4 + (16 + CTX + _wide(length)) * n :], np.uint8))
-    t, h, d, c, text = map(np.concatenate, (t, h, d, c, text))
+def _details(b: Batch, length: int, buckets: int, got: dict):
+    """To the bucket of its trigger the text of each mixed phrase; to the bucket of its hash each string of a hot trigger."""
+    parse, wide = Parse(b, length, buckets), _wide(length)
+    p = parse.phrases
+    _, mixed, hot = parse.answers(got)
+    cold: dict[int, bytes] = {}
+    for k, e in mixed:
+        q = parse.one[e]
+        text = b"".join(b.buf[s : s + c + length - 1].tobytes() for s, c in zip(p.start[q].tolist(), p.count[q].tolist(), strict=True))
+        cold[k] = planes(p.trigger[q]) + planes(p.hash[q], CTX) + planes(parse.doc[e]) + planes(p.count[q], wide) + planes(p.left[q], wide) + text
+    number = {k: len(e) for k, e in mixed}
+    strings = Strings(b, parse, hot, length)
+    warm = {k: (i, j) for k, i, j in by_bucket(strings.hash, buckets)}
+    for k in sorted({*cold, *warm}):
+        i, j = warm.get(k, (0, 0))
+        head = np.array([number.get(k, 0), j - i, len(cold.get(k, b""))], "<u4").tobytes()
+        yield k, head + cold.get(k, b"") + planes(np.diff(strings.hash[i:j], prepend=U(0))) + planes(strings.trigger[i:j], 4) + planes(strings.doc[i:j])
+
+
+def _settle(messages: list[bytes], length: int) -> list[bytes | None]:
+    """Least doc_ids: of the string at each start of each mixed phrase, then of each string of a hot trigger (left out if all are the batch's own)."""
+    heads = [np.frombuffer(m, "<u4", 3).tolist() for m in messages]
+    cold = _cold(messages, [h[0] for h in heads], length)
+    h, t, d = [], [], []
+    for m, (_, n, skip) in zip(messages, heads, strict=True):
+        v = memoryview(m)[12 + skip :]
+        h.append(np.cumsum(unplanes(v, n), dtype=U))
+        t.append(unplanes(v[8 * n :], n, 4))
+        d.append(unplanes(v[12 * n :], n, 8, np.int64))
+    h, t, d = map(np.concatenate, (h, t, d))
+    order = np.lexsort((d, t, h))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (t[order][1:] != t[order][:-1])
+    least = np.empty(len(h), np.int64)
+    least[order] = d[order][new][np.cumsum(new) - 1]
+    out, at = [], 0
+    for c, (_, n, _) in zip(cold, heads, strict=True):
+        lower = planes(least[at : at + n]) if (least[at : at + n] < d[at : at + n]).any() else b""
+        out.append(np.uint32(len(c)).tobytes() + c + lower if c or lower else None)
+        at += n
+    return out
+
+
+def _cold(messages: list[bytes], size: list[int], length: int) -> list[bytes]:
+    """Least doc_id of the string at each start of each mixed phrase of each message."""
+    if not sum(size):
+        return [b""] * len(size)
+    t, h, d, c, left, text, wide = [], [], [], [], [], [], _wide(length)
+    for m, n in zip(messages, size, strict=True):
+        v = memoryview(m)[12:]
+        t.append(unplanes(v, n))
+        h.append(unplanes(v[8 * n :], n, CTX))
+        d.append(unplanes(v[(8 + CTX) * n :], n, 8, np.int64))
+        c.append(unplanes(v[(16 + CTX) * n :], n, wide, np.int64))
+        left.append(unplanes(v[(16 + CTX + wide) * n :], n, wide, np.int64))
+        text.append(np.frombuffer(v[(16 + CTX + 2 * wide) * n :], np.uint8, int(c[-1].sum()) + (length - 1) * n))
+    t, h, d, c, left, text = map(np.concatenate, (t, h, d, c, left, text))
     begin = np.cumsum(c + length - 1) - (c + length - 1)
     order = np.lexsort((d, h, t))
     new = np.ones(len(t), bool)
     new[1:] = (t[order][1:] != t[order][:-1]) | (h[order][1:] != h[order][:-1])
     entry = np.empty(len(t), np.int64)
     entry[order] = np.cumsum(new) - 1
-    one = order[new]  # the dictionary: distinct phrases, least doc_id first
-    starts = np.cumsum(c[one]) - c[one]
-    total = int(c[one].sum())
-    inner = np.arange(total) - np.repeat(starts, c[one])
-    at = np.repeat(begin[one], c[one]) + inner
-    least = _ordered_minimum(text, at, np.repeat(t[one], c[one]), np.repeat(d[one], c[one]), length)
+    one = order[new]  # distinct phrases, least doc_id first
+    starts = np.r_[0, np.cumsum(c[one])]
+    least = np.empty(int(starts[-1]), np.int64)
+    edges, last = [0], 0
+    for x in [*starts_of_runs(t[one])[1:].tolist(), len(one)]:  # blocks of whole triggers of about BLOCK_STARTS starts
+        if starts[x] - starts[last] >= BLOCK_STARTS or x == len(one):
+            edges.append(x)
+            last = x
+    for i, j in zip(edges, edges[1:], strict=False):
+        q = one[i:j]
+        at, classes = corpus_order(text, t[q], begin[q], c[q], left[q], length)
+        low = np.minimum.reduceat(np.repeat(d[q], c[q])[at], starts_of_runs(classes))
+        least[starts[i] + at] = low[classes]
     out, i = [], 0
     for n in size:
         e = entry[i : i + n]
         take = np.repeat(starts[e], c[one][e]) + _ramp(c[one][e])
-        out.append(np.uint32(len(take)).tobytes() + planes(least[take]))
+        out.append(np.uint32(len(take)).tobytes() + planes(least[take]) if n else b"")
         i += n
     return out
 
 
-def _ramp(counts: np.ndarray) -> np.ndarray:
-    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+BLOCK_STARTS = 200_000
 
 
-def _ordered_minimum(text: np.ndarray, at: np.ndarray, trigger: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """Order of suffixes to depth length, by big-endian words within a trigger; least doc of equal neighbours. A trigger's suffixes stay together."""
-    least = np.empty(len(at), np.int64)
-    cut = starts_of_runs(trigger)
-    edges, last = [0], 0
-    for x in [*cut[1:].tolist(), len(at)]:  # blocks of whole triggers of about 200,000 suffixes
-        if x - last >= 200_000 or x == len(at):
-            edges.append(x)
-            last = x
-    words = -(-length // 8)
-    pad = np.r_[text, np.zeros(8, np.uint8)]
-    for i, j in zip(edges, edges[1:], strict=False):
-        if i == j:
-            continue
-        keys = []
-        for w in range(words):
-            k = np.zeros(j - i, U)
-            for o in range(8 * w, min(8 * w + 8, length)):
-                k |= pad[at[i:j] + o].astype(U) << U(56 - 8 * (o - 8 * w))
-            keys.append(k)
-        order = np.lexsort([*keys[::-1], trigger[i:j]])
-        new = np.ones(j - i, bool)
-        new[1:] = trigger[i:j][order][1:] != trigger[i:j][order][:-1]
-        for k in keys:
-            new[1:] |= k[order][1:] != k[order][:-1]
-        low = np.minimum.reduceat(doc[i:j][order], np.flatnonzero(new))
-        least[i + order] = low[np.cumsum(new) - 1]
-    return least
+def _lane_keys(lanes: np.ndarray, at: np.ndarray, size: np.ndarray, most: int) -> list[np.ndarray]:
+    """The size bytes from each place as big-endian numbers of eight, in order, with zeros past their ends."""
+    keys = []
+    for o in range(0, most, 8):
+        n = np.clip(size - o, 0, 8)
+        x = lanes[np.where(n > 0, at + o, 0)].byteswap()
+        keys.append(np.where(n > 0, x & ~_LOW[n], U(0)))
+    return keys
+
+
+_LOW = np.array([(1 << 64 - 8 * n) - 1 for n in range(9)], U)
+
+
+def _ranks(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by the keys, the first first; which in it differ from the one before; rank of each among the distinct)."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return order, new, rank
+
+
+def corpus_order(text: np.ndarray, trigger: np.ndarray, begin: np.ndarray, count: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """All starts of distinct phrases by trigger and then by the string of `length` bytes there: (their numbers in order, class of equal strings of each in order).
+
+    A phrase has count starts from begin on, its trigger left bytes after the first, and length - 1 bytes after its last start.
+    """
+    lanes, gram = lanes_of(text), min(GRAM, max(1, length // 2))
+    # Suffix array of the parse, to the depth asked: what follows from each phrase's trigger on.
+    keys = _lane_keys(lanes, begin + left, count + length - 1 - left, length)
+    order, new, follow = _ranks([trigger, *keys])
+    one = order[new]
+    same = np.zeros(len(one), np.int64)  # bytes that each has in common with the one before
+    alive = np.ones(len(one), bool)
+    alive[:1] = False
+    alive[1:] &= trigger[one][1:] == trigger[one][:-1]
+    for k in keys:
+        x = np.zeros(len(one), U)
+        x[1:] = k[one][1:] ^ k[one][:-1]
+        same[alive] += 8 - sum((x[alive] >> U(8 * n) > 0).astype(np.int64) for n in range(8))
+        alive &= x == 0
+    # Suffix array of the dictionary: distinct beginnings of phrases up to the trigger, and all suffixes of them.
+    _, new, piece = _ranks([trigger, left, count, *_lane_keys(lanes, begin, left, int(left.max(initial=0)))])
+    some = np.empty(int(piece.max(initial=-1)) + 1, np.int64)
+    some[piece] = np.arange(len(piece))
+    c = count[some]
+    inner, offset = _ramp(c), np.repeat(left[some], c) - _ramp(c)
+    keys = _lane_keys(lanes, np.repeat(begin[some], c) + inner, offset + gram, int(left.max(initial=0)) + gram)
+    _, _, suffix = _ranks([np.repeat(trigger[some], c), *keys, offset])
+    # Corpus order: the rank of the suffix, then that of the parse from the trigger on.
+    base = (np.cumsum(c) - c)[piece]
+    a = suffix[np.repeat(base, count) + _ramp(count)]
+    f = np.repeat(follow, count)
+    o = np.repeat(left, count) - _ramp(count)
+    order = np.lexsort((f, a))
+    a, f, o = a[order], f[order], o[order]
+    new = np.ones(len(order), bool)
+    new[1:] = a[1:] != a[:-1]
+    by_offset = np.argsort(o, kind="stable")
+    for i in np.split(by_offset, starts_of_runs(o[by_offset])[1:]) if len(o) else ():
+        run = np.cumsum(same < length - o[i[0]])  # runs of the parse that agree as far as these strings go
+        i = i[~new[i]]
+        new[i] = run[f[i]] != run[f[i - 1]]
+    return order, np.cumsum(new) - 1
+
+
+def _ramp(counts: np.ndarray) -> np.ndarray:
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _judge(b: Batch, length: int, buckets: int, got: dict, name: str) -> pa.Table:
-    p = Phrases(b.buf, b.offs, length)
-    one, _, order, group, parts = p.parse(b.ids, buckets)
-    whole = np.full(len(one), np.iinfo(np.int64).max)  # by distinct phrase: the least doc_id that has it
-    place = np.full(len(one), -1, np.int64)  # in detail: the least doc_id of each start
+    parse = Parse(b, length, buckets)
+    p, order, group = parse.phrases, parse.order, parse.group
+    whole, mixed, hot = parse.answers(got)
+    place = np.full(len(parse.one), -1, np.int64)  # in detail: the least doc_id of each start
     detail, n_detail = [], 0
-    for k, i, _j in parts:
-        if (1, k) in got:
-            at, least, mixed = _first_reply(got[1, k])
-            whole[i + at] = least
-            if mixed.any():
-                q = i + at[mixed]
-                r = got[2, k]
-                detail.append(unplanes(memoryview(r)[4:], int(np.frombuffer(r, "<u4", 1)[0]), 8, np.int64))
-                c = p.count[one[q]]
-                place[q] = n_detail + np.cumsum(c) - c
-                n_detail += int(c.sum())
-    detail = np.concatenate(detail) if detail else np.zeros(0, np.int64)
+    for k, e in mixed:
+        n = int(np.frombuffer(got[2, k], "<u4", 1, 4)[0])
+        detail.append(unplanes(memoryview(got[2, k])[8:], n, 8, np.int64))
+        c = p.count[parse.one[e]]
+        place[e] = n_detail + np.cumsum(c) - c
+        n_detail += n
+    strings = Strings(b, parse, hot, length)
+    least = strings.doc
+    for k, i, j in by_bucket(strings.hash, buckets):
+        if (2, k) in got:
+            r = memoryview(got[2, k])[4 + int(np.frombuffer(got[2, k], "<u4", 1)[0]) :]
+            if len(r):
+                least[i:j] = unplanes(r, j - i, 8, np.int64)
+    place[hot] = n_detail + np.cumsum(strings.count) - strings.count
+    detail = np.concatenate([*detail, least[strings.of]])
     doc = b.ids[p.row[order]]
     d = np.zeros(len(b.buf) + 1, np.int32)
     clear = np.flatnonzero((whole[group] < doc))

@@ -1,12 +1,16 @@
 """Suffix-array and substring deduplication against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from cliploom.llm import suffix_dedup
 from cliploom.llm.cover_dedup import difference_cover, remove_repeats
+from cliploom.llm.rounds import answer, ask, batches
 from cliploom.llm.suffix_dedup import deduplicate, strip_repeats
 
 from .conftest import by_text, frame
@@ -94,3 +98,47 @@ def test_cover_has_all_differences(period):
 def test_empty_tables(spark):
     df = frame(spark, [])
     assert deduplicate(df).count() == remove_repeats(df).count() == 0
+
+
+@pytest.mark.parametrize("limits", [(0, 64, 1024), (4, 1, 1024), (4, 64, 1), (2, 3, 9)])
+def test_hot_triggers(spark, rows, monkeypatch, limits):
+    for name, x in zip(("MOST_IN_BATCH", "MOST_KINDS", "MOST_ENTRIES"), limits, strict=True):
+        monkeypatch.setattr(suffix_dedup, name, x)
+    got = deduplicate(frame(spark, rows), digest=True, n_batches=3, n_buckets=5).collect()
+    assert by_text(got) == by_text(brute_bytes(rows, 50))
+
+
+def test_corpus_order(rng):
+    """Starts of phrases of two triggers are in the order of their strings, and in one class if and only if those are equal."""
+    length, gram = 50, 20
+    mark = {7: "TRIGGERtriggerTRIGGE", 3: "zzTRIGGERtriggerTRIG"}
+    pieces = []
+    for i in range(120):
+        t = rng.choice([3, 7])
+        left = rng.choice(["", "ab", "abab", "babab", "x" * 30, "ab" * 15])[: length - gram]
+        right = rng.choice(["", "c", "cd", "dc"]) * rng.randrange(4)
+        count = rng.randrange(1, len(left) + 2)
+        pieces.append((t, (left + mark[t] + right).ljust(200, rng.choice("yz"))[: count + length - 1].encode(), len(left), count))
+    pieces = sorted(set(pieces))
+    t, text, left, count = zip(*pieces, strict=True)
+    begin = np.cumsum([0, *map(len, text)])[:-1]
+    order, classes = suffix_dedup.corpus_order(np.frombuffer(b"".join(text), np.uint8), np.array(t, np.uint64), begin, np.array(count), np.array(left), length)
+    strings = [(t[i], text[i][s : s + length]) for i in range(len(t)) for s in range(count[i])]
+    got = [strings[i] for i in order]
+    assert got == sorted(strings) and len(set(strings)) < len(strings)
+    assert [a == b for a, b in zip(got, got[1:])] == (np.diff(classes) == 0).tolist()
+
+
+def test_a_common_line_does_not_fill_a_bucket(spark):
+    """One line in random texts: what reaches the fullest bucket does not follow the number of texts."""
+    most = []
+    for n in (500, 2000):
+        k = n // 5
+        r = random.Random(n)
+        line = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(80))
+        rows = [(i, "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)) + line + "".join(r.choice("abcdefgh") for _ in range(300))) for i in range(n)]
+        docs = batches(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 4)
+        first = answer(ask(docs, lambda b, _: suffix_dedup._offer(suffix_dedup.Parse(b, 50, k))), 1, suffix_dedup._dictionary)
+        sent = ask(docs, lambda b, got: suffix_dedup._details(b, 50, k, got), first)
+        most.append(sent.selectExpr("bucket", "length(message) as n").groupBy("bucket").sum("n").agg({"sum(n)": "max"}).collect()[0][0])
+    assert most[1] < 1.5 * most[0]

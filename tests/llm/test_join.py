@@ -55,9 +55,13 @@ def test_components(spark, near, options):
     assert by_text(got) == by_text(brute(near, 4, options.get("percent", 85)))
 
 
-def test_frequent_words_lose_no_link(spark, near, monkeypatch):
+@pytest.mark.parametrize("in_batch, split", [(1, 2), (2, 10**9), (100, 4)])
+def test_frequent_words_lose_no_link(spark, near, monkeypatch, in_batch, split):
     monkeypatch.setattr(J, "FREQUENT", 2)
+    monkeypatch.setattr(J, "MOST_IN_BATCH", in_batch)
     monkeypatch.setattr(J, "BLOCK", 3)
+    monkeypatch.setattr(J, "SPLIT", split)
+    monkeypatch.setattr(J, "MOST_SHINGLES", 50)
     got = J.link_components(frame(spark, near)).select("doc_id", "n_shingles", "component_id").collect()
     assert by_text(got) == by_text(brute(near, 4, 85))
 
@@ -107,3 +111,41 @@ def test_sketches_bound_the_difference():
             words = [set(zip(w.tolist(), [c] * len(w))) for s in (x, y) for w, c, _ in [*J.sketch_words(s, bands)]]
             mine = [set().union(*[set(w.tolist()) for w, _, _ in J.sketch_words(s, bands)]) for s in (x, y)]
             assert words and mine[0] & mine[1]
+
+
+def test_prefixes_meet():
+    r = np.random.default_rng(4)
+    for percent in (60, 85):
+        for _ in range(400):
+            a = np.unique(r.integers(0, 400, r.integers(1, 120)).astype(np.uint64))
+            b = np.unique(np.r_[a[r.random(len(a)) < r.uniform(0.7, 1)], r.integers(0, 400, r.integers(0, 9)).astype(np.uint64)])
+            frequent = r.permutation(np.arange(r.integers(0, 300))).astype(np.uint64)
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                assert len(np.intersect1d(*[J.prefix_of(x, len(x), percent, frequent) for x in (a, b)]))
+
+
+def test_many_near_copies(spark):
+    """20,000 near copies of one text are one component, and what reaches the fullest bucket does not follow their number."""
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(120)]
+    most = []
+    for n in (4000, 20000):
+        rows = [(i, " ".join(words[:59] + [f"own{i}"] + words[60:])) for i in range(n)]
+        rows += [(n + i, " ".join(r.choice("abcdefgh") + str(r.randrange(10**6)) for _ in range(40))) for i in range(50)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        b = J.batches(df, "doc_id", "text", 8)
+        bands, sketches, sets = J.Bands(85), J.Sketches, J.shingle_sets
+        sent = J.ask(b, lambda x, _: sketches(x, sets(x, 4), x.ids, bands, n // 100).messages())
+        most.append(sent.selectExpr("bucket", "length(message) as n").groupBy("bucket").sum("n").agg({"sum(n)": "max"}).collect()[0][0])
+    assert most[1] < 2 * most[0]
+    got = J.link_components(df).where("doc_id < 20000").groupBy("component_id").count().collect()
+    assert [tuple(x) for x in got] == [(0, 20000)]
+
+
+def test_nothing_is_left_behind(spark, near):
+    from cliploom.llm import frames
+
+    before = len(frames._made)
+    J.link_components(frame(spark, near)).count()
+    assert len(frames._made) == before + 1
