@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliploom.llm.decontaminate import drop_contaminated
+from cliploom.llm.frames import discard, scratch, scratch_path
 from cliploom.llm.parity_join import one_of_each
 from cliploom.llm.quality_rules import keep_good
 from cliploom.llm.rank_bpe import encode_decode
 from cliploom.llm.suffix_dedup import strip_repeats
-from cliploom.llm.token_blocks import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, each earlier one written to the shared folder and read again."""
+    """The rows of the last stage, each earlier one written to the shared folder and read again.
+
+    What a stage leaves there is removed once the next one has been written, the table that the last one reads when the
+    application ends.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for n, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n < len(STAGES) - 1:
-            docs.write.parquet(path := scratch_path(spark, f"stage{n}"))
-            docs = spark.read.parquet(path)
-    return docs
+    *before, (_, last) = STAGES
+    path = None
+    for n, (_, stage) in enumerate(before):
+        kept: list[str] = []
+        with scratch(kept):
+            out = stage(spark, docs, sf_dir)
+            kept.append(scratch_path(spark, f"stage{n}"))
+            out.write.parquet(kept[0])
+        if path:
+            discard(path)
+        path = kept[0]
+        docs = spark.read.parquet(path)
+    return last(spark, docs, sf_dir)
