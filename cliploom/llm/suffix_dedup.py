@@ -90,7 +90,7 @@ class Phrases:
         lo, hi = np.flatnonzero(begin), np.flatnonzero(last_of)
         t = at[lo]
         h = mix(roll.spans(lo, hi + length) + ((t - lo) * 4096 + hi - lo).astype(U) * U(0x9E3779B97F4A7C15)) if length <= 256 else span_hash(x, lo, hi + length)
-        return g[t], h, lo + a, hi - lo + 1, t - lo
+        return mix(g[t] * U(0xC2B2AE3D27D4EB4F)), h, lo + a, hi - lo + 1, t - lo  # least hashes are small: mixed anew, they fill all buckets alike
 
 
 class Parse:
