@@ -73,7 +73,7 @@ def brute_contamination(rows, items, n=13, share=20):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 40}, {"window": 3}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 40}, {"block_bytes": 4000}, {"window": 3}])
 def test_contamination(spark, rng, rows, options):
     vocabulary = "aB é9 cd ee fgh i j".split()
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 12, 13, 14, 40])))) for i in range(20)] + [(31, None), (32, ""), (33, "!!")]
