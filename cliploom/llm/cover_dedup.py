@@ -7,7 +7,8 @@ that occur once anywhere are dropped; from the others the match is extended: the
 anchor are compared.
 
 Words are runs of other characters than space, tab, LF, VT, FF and CR, unchanged. Nulls have no words. A null doc_id
-comes back null; repeated rows count as further occurrences and each get their row. Extra columns are ignored.
+comes back null; repeated rows, and rows of one doc_id, count as further occurrences and each get their row, so of ties none stays. An empty table
+gives none; a text longer than a slab is one slab. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import U, Words, covered, memo, separators, slabs, starts_of_runs, text_buffer
-from .frames import named, settled, slim
+from .frames import named, numbered, settled, slim
 
 GRAM = 5
 KEPT_BLOCKS = 8
@@ -190,7 +190,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, s
                 keep[x:y] = ~((n_hit > 0) & (share * n_hit >= w.count))
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = numbered(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
 
 
 def _groups(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int, window: int) -> list[list]:

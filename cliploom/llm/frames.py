@@ -28,6 +28,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """df with columns c0, c1, ... in its order; toDF(*names) gives the names back. Spark's maps over Arrow batches take no others than plain names."""
+    return df.select(*[named(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
 def slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text) of all rows."""
     return docs.select(named(docs, id_col).cast("long").alias("doc_id"), named(docs, text_col).cast("string").alias("text"))

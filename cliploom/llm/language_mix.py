@@ -9,7 +9,8 @@ predicted, and its share is the score.
 All documents of a batch go through each step together, on trigrams dealt to `bins` bins by a hash. Trigrams are of
 letters (others count as a blank, runs of them once), lower-cased. A text that is null or has no letter is `und` with
 score 0; with no languages to choose from all are. Repeated rows each get their row, a null id comes back null and is not
-held out. Extra columns are ignored. The number of languages must be small: the model is languages x bins numbers.
+held out. Of equally likely languages the first by name is taken. An empty table gives no rows; a text longer than a slab is one slab.
+Extra columns, whatever their names, are ignored. The number of languages must be small: the model is languages x bins numbers.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import U, memo, mix, slabs, text_buffer
+from .frames import named
 
 BINS = 4096
 
@@ -81,7 +83,7 @@ def trigrams(col, bins: int = BINS):
 
 def count_languages(docs: DataFrame, text_col: str, lang_col: str, bins: int = BINS) -> DataFrame:
     """(lang, bin, n) over all rows with a language. A batch sends a row for each language and bin that it has, so a frequent language is merged before the shuffle."""
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(F.col("lang").isNotNull())
+    rows = docs.select(named(docs, lang_col).cast("string").alias("lang"), named(docs, text_col).cast("string").alias("text")).where(F.col("lang").isNotNull())
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -168,7 +170,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bins: i
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", penalty: float = 3.0) -> DataFrame:
     """doc_id, held_out, lang_pred, score and languages (those chosen with their shares) of each row. No shuffle; the model is broadcast, its size fixed by fit."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(named(docs, id_col).cast("long").alias("doc_id"), held_out(named(docs, id_col)).alias("held_out"), named(docs, text_col).cast("string").alias("text"))
 
     def run(batches):
         m = sent.value
@@ -190,6 +192,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", penalty: float = 3.0) -> DataFrame:
     """predict() by a model of the rows that are not held out."""
-    return predict(docs, fit(docs.where(~held_out(F.col(id_col))), text_col, lang_col), id_col, text_col, penalty)
+    return predict(docs, fit(docs.where(~held_out(named(docs, id_col))), text_col, lang_col), id_col, text_col, penalty)
 
 

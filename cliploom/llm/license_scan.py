@@ -7,10 +7,11 @@ words, the e + 1 longest words, one of which each match has. Around such a word
 band, the words that the coverage asks for; so every alignment within a band about one diagonal is found. Neighbouring
 diagonals are one candidate; there the template is aligned with the document's words within a band around them, and
 the match is reported if its words cover enough of the template; then what lies before and after it is aligned
-likewise. Between two documents nothing is compared, so there is no shuffle.
+likewise. A chain of diagonals longer than the template is taken in parts, each with the band around it. Between two
+documents nothing is compared, so there is no shuffle.
 
-Words are runs of ASCII letters (lower-cased), digits and bytes above 127. A null or empty text has no matches; repeated rows each get their row, a null doc_id comes back null; extra columns are
-ignored. A template of one or two words is refused. The templates are the stated query set and go to every task; their size is checked.
+Words are runs of ASCII letters (lower-cased), digits and bytes above 127. A null or empty text has no matches; repeated rows each get their row, a null doc_id comes back null; an
+empty table gives none; a text longer than a slab is one slab; of equal matches the shortest, then the first stands; extra columns, whatever their names, are ignored. A template of one or two words is refused. The templates are the stated query set and go to every task; their size is checked.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .columns import U, Words, memo, slabs, text_buffer
 from .decontaminate import words_of
+from .frames import slim
 
 GRAM, RUN = 3, 2
 #: Words looked at in one go around hits of rare words.
@@ -147,30 +148,41 @@ class Templates:
             yield np.full(len(good), r), np.full(len(good), k), good
 
 
-def align(template: list[int], doc: list[int], lo: int, low_diagonal: int, high_diagonal: int) -> tuple[int, int, int]:
+#: More than any place in a document: words matched are counted above it.
+ONE = 1 << 40
+
+
+def align(template: list[int], doc: np.ndarray, lo: int, low_diagonal: int, high_diagonal: int) -> tuple[int, int, int]:
     """(words matched, first, end) of the alignment of most matched words, then of the shortest span, within a band.
 
-    doc[j] stands at place lo + j; row i of the band holds places i + low_diagonal to i + high_diagonal.
+    doc[j] stands at place lo + j; row i of the band holds places i + low_diagonal to i + high_diagonal. A cell holds the most words
+    matched up to it, and of those alignments the last start; a row of cells is one step.
     """
     width = high_diagonal - low_diagonal + 1
-    none = (0, 0, 0)  # matched, -start (greatest is best), end
-    last = [none] * (width + 1)
+    place = np.arange(width) + low_diagonal
+    padded = np.zeros(len(template) + width, U)
+    known = np.zeros(len(padded), bool)  # cell b of row i is place i + b of these
+    a, z = max(low_diagonal, lo), min(low_diagonal + len(padded), lo + len(doc))
+    if a < z:
+        padded[a - low_diagonal : z - low_diagonal] = doc[a - lo : z - lo]
+        known[a - low_diagonal : z - low_diagonal] = True
+    last = np.zeros(width + 1, np.int64)
+    best, found = 0, (0, 0, 0)
     for i, word in enumerate(template):
-        row = [none] * (width + 1)
-        for b in range(width):
-            best = last[b + 1] if b + 1 <= width else none  # template word skipped: same place, one diagonal up
-            if b and row[b - 1] > best:
-                best = row[b - 1]  # document word skipped
-            j = i + low_diagonal + b - lo
-            if 0 <= j < len(doc) and doc[j] == word:
-                before = last[b]
-                new = (before[0] + 1, before[1], j + 1 + lo) if before[0] else (1, -(j + lo), j + 1 + lo)
-                if (new[0], new[1] - new[2]) > (best[0], best[1] - best[2]):
-                    best = new
-            row[b] = best
+        row = np.zeros(width + 1, np.int64)
+        row[:-1] = last[1:]  # template word skipped: same place, one diagonal up
+        hit = np.flatnonzero((padded[i : i + width] == word) & known[i : i + width])
+        if len(hit):
+            new = np.where(last[hit] >= ONE, last[hit], place[hit] + i) + ONE
+            row[hit] = np.maximum(row[hit], new)
+            span = place[hit] + i + 1 - new % ONE
+            score = new // ONE * ONE - span
+            k = int(np.argmax(score))
+            if score[k] > best:
+                best, found = int(score[k]), (int(new[k] // ONE), int(new[k] % ONE), int(place[hit[k]] + i + 1))
+        np.maximum.accumulate(row[:-1], out=row[:-1])  # document words skipped
         last = row
-    best = max(last, key=lambda x: (x[0], x[1] - x[2]))
-    return best[0], -best[1], best[2]
+    return found
 
 
 def matches(w: Words, r: int, template: np.ndarray, diagonal: np.ndarray, t: Templates) -> list[dict]:
@@ -181,14 +193,14 @@ def matches(w: Words, r: int, template: np.ndarray, diagonal: np.ndarray, t: Tem
         d = np.unique(diagonal[template == k])
         cut = np.flatnonzero(np.diff(d) > slack) + 1
         found = []
-        for group in np.split(d, cut):
+        for group in (part for chain in np.split(d, cut) for part in np.split(chain, np.flatnonzero(np.diff((chain - chain[0]) // len(words))) + 1)):
             low, high = int(group[0]) - slack, int(group[-1]) + slack
             base = int(w.first[r])
             todo = [(max(0, low), min(int(w.count[r]), high + len(words)))]
             while todo:
                 lo, hi = todo.pop()
                 if hi - lo >= need:
-                    n, s, e = align(words, w.hash[base + lo : base + hi].tolist(), lo, low, high)
+                    n, s, e = align(words, w.hash[base + lo : base + hi], lo, low, high)
                     if n >= need:
                         found.append((n, s, e))
                         todo += [(lo, s), (e, hi)]
@@ -232,5 +244,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                 kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("matched", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), pa.array(w.count, pa.int64()), pa.array([len(f) for f in found], pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(found, kind)], ["doc_id", "n_words", "n_matches", "licenses", "matches"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, n_words long, n_matches long, licenses array<string>, matches {MATCHES}")
+    return slim(docs, id_col, text_col).mapInArrow(run, f"doc_id long, n_words long, n_matches long, licenses array<string>, matches {MATCHES}")

@@ -6,7 +6,9 @@ right there often enough; the rows that it covers are then set aside. The rules
 
 Statistics are of whole texts; a null text has no words and all its statistics are 0. Labels that are null, or of
 documents that are absent, are ignored; a document with several labels counts once for each. Without labels of both
-kinds there are no rules and only the base limits decide. Extra columns are kept by `keep_good` and ignored otherwise.
+kinds there are no rules and only the base limits decide. Of conditions of equal gain the first feature's lowest threshold is taken, of
+prefixes that do equally well the shortest, and labelled rows of equal hash stand in order of id. Repeated rows each get their row, an
+empty table none; a text longer than a slab is one slab. Extra columns, whatever their names, are kept by `keep_good` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from .columns import SPACE_LIKE, U, Words, covered, separators, slabs, text_buffer
+from .frames import free_name, named, numbered, quoted
 
 #: The statistics that the base limits and the result use, and those that only rules use.
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -61,14 +65,14 @@ def statistics(col) -> pa.StructArray:
 def with_statistics(docs: DataFrame, text_col: str, name: str, keep_text: bool = True) -> DataFrame:
     """docs with a struct column of statistics."""
     names = [c for c in docs.columns if keep_text or c != text_col]
-    source = docs.select(*[docs[c] for c in names], docs[text_col].cast("string").alias(name))
+    source = numbered(docs.select(*[named(docs, c) for c in names], named(docs, text_col).cast("string").alias(name)))
 
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], statistics(b.columns[-1])], names=b.schema.names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(run, f"{schema + ', ' if schema else ''}`{name}` {STATS}")
+    stats = StructField(source.columns[-1], _parse_datatype_string(STATS))
+    return source.mapInArrow(run, StructType([*source.schema.fields[:-1], stats])).toDF(*names, name)
 
 
 #: Features of rules: statistics per word, so that the length of a text does not decide alone.
@@ -165,10 +169,10 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray, cuts: int
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label: str = "quality", **options) -> DecisionList:
     """Rules from at most max_labelled labelled rows, those of least hash; the driver gets their numbers only. Documents that the base limits reject teach nothing."""
     some = (
-        labels.select(F.col(label_id).cast("long").alias("_id"), F.col(label).cast("int").alias("_label")).dropna()
+        labels.select(named(labels, label_id).cast("long").alias("_id"), named(labels, label).cast("int").alias("_label")).dropna()
         .withColumn("_hash", F.xxhash64("_id", "_label")).orderBy("_hash", "_id").limit(max_labelled)
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(some), "_id")
+    rows = docs.select(named(docs, id_col).cast("long").alias("_id"), named(docs, text_col).alias("_text")).join(F.broadcast(some), "_id")
     found = with_statistics(rows, "_text", "_stats", keep_text=False).where(~base_failed("_stats")).select("_label", (F.pmod(F.col("_hash"), F.lit(3)) > 0).alias("_grow"), "_hash", *[c.alias(k) for k, c in feature_columns("_stats").items()]).orderBy("_hash", *FEATURES).toPandas()
     bad = (found["_label"] == 0).to_numpy(bool)
     if not len(bad) or bad.all() or not bad.any():
@@ -184,7 +188,7 @@ def base_failed(stats: str) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept and rule (the number of the rule that rejects, 0 for none). No shuffle of documents."""
     rules = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
-    x = with_statistics(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), "text", "_stats", keep_text=False)
+    x = with_statistics(docs.select(named(docs, id_col).cast("long").alias("doc_id"), named(docs, text_col).alias("text")), "text", "_stats", keep_text=False)
     rule = rules.column("_stats")
     return x.select("doc_id", *[f"_stats.{c}" for c in BASE], base_failed("_stats").alias("base_failed"), (~base_failed("_stats") & (rule == 0)).alias("kept"), rule.alias("rule"))
 
@@ -192,8 +196,6 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs that are kept, all columns as they are."""
     rules = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
-    name = "_stats"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_stats")
     x = with_statistics(docs, text_col, name)
-    return x.where(~base_failed(name) & (rules.column(name) == 0)).select(*[f"`{c}`" for c in docs.columns])
+    return x.where(~base_failed(name) & (rules.column(name) == 0)).select(*[quoted(c) for c in docs.columns])

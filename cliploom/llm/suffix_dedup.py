@@ -171,7 +171,7 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
 def strip_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", n_batches: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """docs with the kept text; a character that is cut in part goes as a whole. Nulls become empty texts; other columns are as they are."""
     x = _run(docs, length, id_col, text_col, n_batches, n_buckets, False, True)
-    return x.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
+    return x.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"`row`.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def _run(docs, length, id_col, text_col, n_batches, n_buckets, digest, carry) -> DataFrame:

@@ -6,13 +6,16 @@ among them, and one sweep carries the rule on top of the stack: intervals of pre
 under a rule is known beforehand (the longest other rule that is a prefix of it) and the closing of a rule brings back
 exactly that one.
 
-URLs are dealt to `lanes` by a hash of their row, whatever their host, and each lane sweeps its URLs among all rules: a
-host with a third of the rows is spread over all lanes, and each URL is sorted once. What is copied to all lanes is the
-rules, 2 x rules x lanes short rows.
+URLs are dealt to `lanes`, and each lane sweeps its URLs among the rules that it has; each URL is sorted once. Up to MOST_COPIED
+rules, URLs are dealt by a hash of their row, whatever their host, and all lanes have all rules. Beyond, they are dealt by domain (the
+last two labels of the host), a domain of more than HOT_URLS of them to several lanes; a rule goes to the lanes of its domain, and
+only rules for top-level domains go to all. So a host with a third of the rows is spread either way, and rules are copied for
+hot domains only.
 
 Null URLs and those without :// have an empty host and path and no rule. Rules with a null host or an empty one are
-ignored; a null path is empty; of rules with the same host and path a block stands before an allow. Repeated rows each
-get their row; a null id comes back null. Extra columns are ignored.
+ignored; a null path is empty; of rules with the same host and path a block stands before an allow; without rules the default
+decides. A URL of any length is one row. Repeated rows each get their row; a null id comes back null; an empty table gives none.
+Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import named, settled
+
+#: Rules that are copied to every lane; URLs of a domain that one lane takes, where there are more rules.
+MOST_COPIED, HOT_URLS = 10_000, 1_000_000
 #: Stands after all characters of a host or path, and before none: it ends a key's interval.
 LAST = "\U0010ffff\U0010ffff"
 #: Ends the reversed host in a key. It cannot be in a host, so a host's key is no prefix of another host's.
@@ -44,6 +51,11 @@ def reversed_host(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.", -1)), ".")
 
 
+def domain_of(host: Column) -> Column:
+    """The last two labels of a host."""
+    return F.substring_index(host, ".", -2)
+
+
 def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", lanes: int | None = None) -> DataFrame:
     """page_id, host, path, rule (host + path of the longest rule that fits, else null), verdict.
 
@@ -63,10 +75,24 @@ def apply_rules(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     top = rule.join(under, rule["key"] == under["inner"], "left").select("key", F.struct("rule", "verdict").alias("own"), "under")
     none = F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
     event = top.select(F.explode(F.array(F.struct(F.col("key").alias("key"), F.lit(0).alias("kind"), F.col("own").alias("top")), F.struct(F.concat("key", F.lit(LAST)).alias("key"), F.lit(2).alias("kind"), F.coalesce("under", none).alias("top")))).alias("e")).select("e.*")
-    events = event.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "key", "kind", "top", F.lit(None).cast("struct<page_id:bigint,host:string,path:string,row:bigint,levels:int>").alias("page"))
-
-    page = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    page = page.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.pmod(F.xxhash64("page_id", "url"), F.lit(lanes)).cast("int").alias("lane"), F.monotonically_increasing_id().alias("n"))
+    event = event.withColumn("page", F.lit(None).cast("struct<page_id:bigint,host:string,path:string,row:bigint,levels:int>"))
+    page = pages.select(named(pages, id_col).cast("long").alias("page_id"), named(pages, url_col).cast("string").alias("url"))
+    page = page.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.xxhash64("page_id", "url").alias("hash"), F.monotonically_increasing_id().alias("n"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
+    if rule.limit(MOST_COPIED + 1).count() <= MOST_COPIED:
+        page = page.withColumn("lane", F.pmod(F.col("hash"), F.lit(lanes)).cast("int"))
+        events = event.select(every, "key", "kind", "top", "page")
+    else:
+        hot = page.groupBy(domain_of(F.col("host")).alias("domain")).count().where(F.col("count") > HOT_URLS)
+        hot = settled(hot.select("domain", F.ceil(F.col("count") / HOT_URLS).cast("int").alias("parts")), "domains")  # at most a row for HOT_URLS URLs
+        lane = lambda part: F.pmod(F.xxhash64("domain", part), F.lit(lanes)).cast("int")
+        parts = F.coalesce("parts", F.lit(1))
+        page = page.withColumn("domain", domain_of(F.col("host"))).join(hot, "domain", "left").withColumn("lane", lane(F.pmod(F.col("hash"), parts).cast("int"))).drop("domain", "parts")
+        own = event.withColumn("host", F.substring_index("key", END, 1))  # reversed
+        wide = F.instr("host", ".") == 0
+        narrow = own.where(~wide).withColumn("domain", F.array_join(F.reverse(F.slice(F.split("host", r"\.", -1), 1, 2)), "."))
+        narrow = narrow.join(hot, "domain", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        events = own.where(wide).select(every, "key", "kind", "top", "page").unionByName(narrow.select(lane(F.col("part")).alias("lane"), "key", "kind", "top", "page").distinct())
     labels = F.split(F.col("host"), r"\.", -1)
     # Each row asks once for each suffix; its questions stay in one lane, so its answers meet without a further shuffle.
     asked = page.select("*", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("level"), F.size(labels).alias("levels"))

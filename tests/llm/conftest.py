@@ -25,7 +25,7 @@ def frame(spark, rows):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    return df.withColumns({"batch": F.lit(1), "n": F.lit("x"), "row": F.lit(2.0), "kept": F.lit(True), "_stats": F.lit("s")})
+    return df.withColumns({"batch": F.lit(1), "n": F.lit("x"), "row": F.lit(2.0), "kept": F.lit(True), "_stats": F.lit("s"), "a.b": F.lit(3), "doc_id.text": F.lit("y"), "q`": F.lit(4)})
 
 
 @pytest.fixture

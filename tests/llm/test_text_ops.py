@@ -52,6 +52,27 @@ def test_quality_rules_learn(spark):
     assert quality_rules.judge(frame(spark, []), labels).count() == 0
 
 
+def test_verdicts_are_those_of_the_list(spark):
+    """kept against the rules read one by one in plain Python, and rejects against labels that the rules did not see."""
+    data = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    seen, fresh = labels.where("doc_id % 2 = 0"), {r["doc_id"]: r["quality"] for r in labels.where("doc_id % 2 = 1").collect()}
+    rules = quality_rules.fit(docs, seen)
+    again = quality_rules.fit(docs, seen)
+    assert rules.rules == again.rules and rules.rules
+    wrong = right = bad = good = 0
+    stats = {r["doc_id"]: r["_stats"] for r in quality_rules.with_statistics(docs.select("doc_id", "text"), "text", "_stats", keep_text=False).collect()}
+    for r in quality_rules.judge(docs, seen).collect():
+        s = stats[r["doc_id"]]
+        f = {k: float(s[a]) if b is None else (s[a] / s[b] if s[b] else 0.0) for k, (a, b) in quality_rules.FEATURES.items()}
+        first = next((n for n, rule in enumerate(rules.rules, 1) if all(f[c.feature] >= c.threshold if c.above else f[c.feature] <= c.threshold for c in rule)), 0)
+        assert (r["rule"], r["kept"]) == (first, not r["base_failed"] and first == 0)
+        if r["doc_id"] in fresh:
+            bad, good = bad + (fresh[r["doc_id"]] == 0), good + (fresh[r["doc_id"]] == 1)
+            right, wrong = right + (fresh[r["doc_id"]] == 0 and not r["kept"]), wrong + (fresh[r["doc_id"]] == 1 and first > 0)
+    assert right >= 0.95 * bad and wrong <= 0.01 * good and bad and good
+
+
 def brute_contamination(rows, items, n=13, share=20):
     windows = {}
     for i, t in items:
@@ -105,6 +126,51 @@ def test_mixture_finds_both(spark):
     assert both["lang_pred"] == "en" and 0.5 < both["score"] < 0.75 and set(both["languages"]) == {"en", "fr"}
 
 
+def plain_shares(counts, p, penalty, steps=12):
+    """Expectation-maximisation for one text in plain Python, with the same choice of languages."""
+    m, total = len(p), sum(counts)
+    at = [b for b, n in enumerate(counts) if n]
+    like = lambda s: sum(counts[b] * np.log(sum(s[k] * p[k][b] for k in range(m))) for b in at)
+    single = [like([float(k == j) for k in range(m)]) for j in range(m)]
+    chosen = {int(np.argmax(single))}
+    share, score = [float(k in chosen) for k in range(m)], max(single)
+    while len(chosen) < m:
+        mixed = {b: sum(share[k] * p[k][b] for k in range(m)) for b in at}
+        slope = {k: sum(counts[b] * p[k][b] / mixed[b] for b in at) for k in range(m) if k not in chosen}
+        new = max(slope, key=slope.get)
+        if slope[new] <= total * 1.0001:
+            break
+        s = [share[k] * 0.9 if k in chosen else 0.1 * (k == new) for k in range(m)]
+        for _ in range(steps):
+            mixed = {b: sum(s[k] * p[k][b] for k in range(m)) for b in at}
+            s = [s[k] * sum(counts[b] * p[k][b] / mixed[b] for b in at) / total for k in range(m)]
+        now = like(s)
+        if now <= score + penalty * np.log(max(total, 2)):
+            break
+        chosen, share, score = chosen | {new}, s, now
+    return share
+
+
+def test_shares_against_plain_em():
+    r = np.random.default_rng(5)
+    model = language_mix.Model({k: r.integers(0, 400, 60) * (r.random(60) < 0.6) for k in "abcd"}, 60)
+    counts = []
+    for _ in range(60):
+        w = r.dirichlet([0.4] * 4)
+        counts.append(r.multinomial(r.integers(1, 600), np.clip(w @ model.p.astype(float), 0, None) / (w @ model.p.astype(float)).sum()))
+    got, n = model.shares(np.array(counts, np.float32), 3.0)
+    want = np.array([plain_shares(c.tolist(), model.p.astype(float), 3.0) for c in counts])
+    same = ((got > 0) == (want > 0)).all(1)
+    assert same.mean() >= 0.95 and np.abs(got - want)[same].max() < 0.01 and (n > 1).any()
+
+
+def test_languages_of_ties_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "abc abc", "xx"), (2, "abc abc", "aa"), (2, "abc abc", "aa"), (4, "abc", None)], "doc_id long, text string, lang string")
+    model = language_mix.Model({"xx": np.ones(4096), "aa": np.ones(4096)})
+    got = language_mix.predict(docs, model).collect()
+    assert len(got) == 4 and {r["lang_pred"] for r in got} == {"aa"}
+
+
 def test_licences(spark):
     rows = [(1, "foo Released under the MIT License. bar"), (2, "Released xx under yy"), (3, None), (4, ""), (None, "licensed under the apache license version 2.0 " * 3), (5, "This work is licensed under the GNU Public License, version 3"), (6, "all rights reserved"), (6, "x " * 5000 + "All\nRIGHTS reserved.")]
     got = {(r["doc_id"], r["n_words"]): [(m["license"], round(m["coverage"], 2), m["start"], m["end"]) for m in r["matches"]] for r in license_scan.scan(frame(spark, rows)).collect()}
@@ -193,6 +259,66 @@ def test_urls(spark, rng):
         assert by_text(got.collect()) == by_text(brute_urls(rows, some))
 
 
+def test_urls_with_many_rules(spark, rng, monkeypatch):
+    """Dealt by domain, with hot domains in several lanes."""
+    monkeypatch.setattr(url_rules, "MOST_COPIED", 3)
+    monkeypatch.setattr(url_rules, "HOT_URLS", 20)
+    hosts = ["net", "a.net", "b.a.net", "c.b.a.net", "x.com", "y.x.com", "notx.com", "a..net", "net.", ".net", ""]
+    paths = ["", "/", "/a", "/a/b", "/b"]
+    rows = [(i, "http://" + rng.choice(hosts + ["a.net"] * 9) + rng.choice(paths)) for i in range(400)] + [(None, None)]
+    rules = [(h, p, rng.choice(["allow", "block"])) for h in hosts for p in paths if rng.random() < 0.5]
+    got = url_rules.apply_rules(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string"))
+    assert by_text(got.collect()) == by_text(brute_urls(rows, rules))
+
+
+def plain_align(template, doc, lo, low, high):
+    """All alignments within the band by recursion over cells: most words matched, then the shortest span."""
+    best = (0, 0, 0, 0)
+    cells = {}
+    for i, word in enumerate(template):
+        for p in range(i + low, i + high + 1):
+            options = [cells.get((i - 1, p)) if p <= i - 1 + high else None, cells.get((i, p - 1)) if p > i + low else None]
+            if 0 <= p - lo < len(doc) and doc[p - lo] == word:
+                before = cells.get((i - 1, p - 1))
+                options.append((before[0] + 1, before[1]) if before else (1, p))
+                best = max(best, (options[-1][0], -(p + 1 - options[-1][1]), -options[-1][1], p + 1))
+            options = [x for x in options if x]
+            if options:
+                cells[i, p] = max(options)
+    return best[0], best[1]
+
+
+def test_alignment_against_plain_cells():
+    r = random.Random(11)
+    for _ in range(300):
+        template = [r.randrange(5) for _ in range(r.randrange(3, 12))]
+        doc = [r.randrange(5) for _ in range(r.randrange(0, 20))]
+        lo, low = r.randrange(3), r.randrange(-4, 6)
+        high = low + r.randrange(0, 8)
+        n, s, e = license_scan.align(template, np.array(doc, np.uint64), lo, low, high)
+        assert (n, -(e - s)) == plain_align(template, doc, lo, low, high)
+
+
+def test_recall_of_licences_under_edits(spark):
+    """Notices with a fifth of their words left out, changed or put in, at random: those whose alignment within the band reaches the coverage."""
+    r = random.Random(8)
+    rows, want = [], {}
+    for k, text in license_scan.NOTICES.items():
+        words = ALNUM.findall(text.translate(FOLD))
+        for _ in range(30):
+            d, slack = list(words), max(2, int(0.15 * len(words)))
+            for _ in range(r.randrange(0, 1 + len(words) // 5)):
+                at = r.randrange(len(d))
+                d[at : at + 1] = r.choice([[], ["zz"], [d[at], "zz"]])
+            i = len(rows)
+            rows.append((i, "some words before " + " ".join(d) + " and some behind"))
+            full = ALNUM.findall(rows[-1][1])
+            if any(common_words(words, full, c - slack, c + slack) >= 0.8 * len(words) for c in range(-len(words), len(full))):
+                want[i] = k
+    got = {x["doc_id"]: x["licenses"] for x in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 150 and sum(k in got[i] for i, k in want.items()) == len(want)
+
+
 def test_urls_run_no_python(spark):
     plan = queries.op8_url_filters(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
