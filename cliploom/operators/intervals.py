@@ -119,6 +119,11 @@ def cut_points(silences: DataFrame, words: DataFrame, limits: DataFrame, pad: fl
     return kept.select("source_id", "ord", mid.alias("time"), F.least(mid, F.col("s") + pad).alias("before"), F.greatest(mid, F.col("e") - pad).alias("after"), (F.col("e") - F.col("s")).alias("length"))
 
 
+def silence_targets(silences: DataFrame, shortest: float = 0.1, longest: float = 1.0) -> DataFrame:
+    """The silences that purity is measured on, by their length, both limits included."""
+    return silences.where((F.col("e") - F.col("s")).between(shortest, longest))
+
+
 def silence_coverage(silences: DataFrame, words: DataFrame, most: float = 0.2, width: float = 60.0) -> DataFrame:
     """n_targets and n_clean of each source: silences of which words cover less than `most`."""
     p = overlaps(silences, words, width).groupBy("source_id", "ord").agg(F.sum(F.greatest(F.lit(0.0), F.least("re", "e") - F.greatest("rs", "s"))).alias("covered"))
@@ -128,6 +133,7 @@ def silence_coverage(silences: DataFrame, words: DataFrame, most: float = 0.2, w
 
 
 def purity(coverage: DataFrame) -> DataFrame:
+    """The share of clean targets, 0 without any."""
     return coverage.agg(F.coalesce(F.sum("n_clean") / F.sum("n_targets"), F.lit(0.0)).alias("purity"))
 
 

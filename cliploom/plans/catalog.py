@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import reading, text
-from ..operators import ctc, edits, grouping, intervals, quality, rollup
-from ..sources import sinks
+from ..operators import ctc, edits, grouping, intervals, quality, rollup, transcripts
+from ..sources import scans, sinks
 from ..streaming import jobs
 from . import fixtures
-from .fixtures import CLIPS_SQL, INTERVALS_SQL, table
+from .fixtures import ASR_SQL, CLIPS_SQL, INTERVALS_SQL, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -400,6 +400,165 @@ def job_state(spark, sf_dir):
     return jobs.latest(log)
 
 
+@query(f"with {ASR_SQL} select source_id, seg, trim(text) as text, no_speech_prob, 0::double as avg_logprob, case when listed then len(string_split(text, ' ')) else 0 end::int as n_words from asr")
+def asr_normalise(spark, sf_dir):
+    return transcripts.normalise(fixtures.asr_segments(spark, sf_dir)).select("source_id", "seg", "text", "no_speech_prob", "avg_logprob", F.size("words").alias("n_words"))
+
+
+FLAT_SQL = ASR_SQL + """,
+    ends as (select *, max(e) over (partition by source_id order by s, e, ord rows between unbounded preceding and 1 preceding) as before from flat),
+    repaired as (select source_id, ord, seg, text, prob, s, e, greatest(s, coalesce(before, s)) as s2, greatest(e, coalesce(before, e), s) as e2 from ends)"""
+
+
+def _flat(spark, sf_dir):
+    return transcripts.flatten_words(transcripts.normalise(fixtures.asr_segments(spark, sf_dir)), chunk=500.0)
+
+
+@query(f"with {FLAT_SQL} select source_id, ord, seg, text, prob, s2, e2 from repaired")
+def flatten_words(spark, sf_dir):
+    return _flat(spark, sf_dir).select("source_id", "ord", "seg", "text", "prob", "s2", "e2")
+
+
+RECORDS_SQL = FLAT_SQL + """,
+    w as (select source_id, floor(s2 / 250)::bigint as g, ord, seg, text, prob, s2, e2, case when ord % 3 = 0 then null else (ord % 8)::double / 8 end as ctc from repaired),
+    own as (select source_id, g, max(no_speech_prob) as ns from (select distinct source_id, g, seg from w) join asr using (source_id, seg) group by 1, 2),
+    rec as (select source_id, g, arg_min(s2, (s2, e2, ord)) as a, arg_max(e2, (s2, e2, ord)) as z, count(*) as n, sum(prob) / count(*) as p, min(prob) as mp,
+        sum(coalesce(ctc, 1)) / count(*) as c, min(coalesce(ctc, 1)) as mc, string_agg(text, ' ' order by s2, e2, ord) as t from w group by 1, 2)"""
+
+
+def _records(spark, sf_dir):
+    w = _flat(spark, sf_dir).withColumn("ctc_score", F.when(F.col("ord") % 3 != 0, (F.col("ord") % 8).cast("double") / 8))
+    w = w.select("source_id", F.floor(F.col("s2") / 250).alias("group_block"), "seg", "ord", F.col("s2").alias("s"), F.col("e2").alias("e"), "text", "prob", "ctc_score")
+    spans = w.groupBy("source_id", "group_block").agg((F.col("group_block") * 250.0).alias("start"), (F.max("e") + 0.25).alias("end"))
+    return transcripts.segment_records(w, spans, transcripts.normalise(fixtures.asr_segments(spark, sf_dir)), most=200.0)
+
+
+@query(f"""with {RECORDS_SQL}, x as (select rec.*, g * 250::double as b, max_e + 0.25::double as f, coalesce(ns, 0) as ns from rec join (select source_id, g, max(e2) as max_e from w group by 1, 2) using (source_id, g) left join own using (source_id, g))
+    select source_id, g as group_block, floor(b * 1e3 + 0.5) / 1e3 as start, floor(f * 1e3 + 0.5) / 1e3 as "end", floor((f - b) * 1e3 + 0.5) / 1e3 as duration, floor(a * 1e3 + 0.5) / 1e3 as speech_start, floor(z * 1e3 + 0.5) / 1e3 as speech_end,
+        floor(p * 1e4 + 0.5) / 1e4 as asr_prob, floor(mp * 1e4 + 0.5) / 1e4 as min_word_prob, floor(c * 1e4 + 0.5) / 1e4 as ctc_score, floor(mc * 1e4 + 0.5) / 1e4 as min_ctc_word_score, floor(ns * 1e4 + 0.5) / 1e4 as no_speech_prob,
+        trim(regexp_replace(t, '\\s+', ' ', 'g')) as raw_text, n as word_count from x""")
+def segment_record(spark, sf_dir):
+    return _records(spark, sf_dir)[0]
+
+
+@query(f"with {RECORDS_SQL} select rec.source_id, count(*) as groups, count(*) filter (max_e + 0.25::double - g * 250::double > 200) as oversize, sum(n)::bigint as words from rec join (select source_id, g, max(e2) as max_e from w group by 1, 2) using (source_id, g) group by 1")
+def segment_figures(spark, sf_dir):
+    return _records(spark, sf_dir)[1]
+
+
+@query(f"""with {INTERVALS_SQL}, p as (select x.source_id, x.ord, any_value(x.e - x.s) as len, coalesce(sum(least(w.e, x.e) - greatest(w.s, x.s)) filter (w.s is not null), 0) as covered
+        from iv x left join iv w on not w.is_sil and w.source_id = x.source_id and w.s < x.e and w.e > x.s where x.is_sil and x.e - x.s between 100 and 1000 group by 1, 2),
+    s as (select count(*) filter (covered / len < 0.2::double) as clean, count(*) as n from p) select case when n = 0 then 0 else clean / n::double end as purity from s""")
+def silence_purity(spark, sf_dir):
+    targets = intervals.silence_targets(_silences(spark, sf_dir), 100.0, 1000.0)
+    return intervals.purity(intervals.silence_coverage(targets, _named(_words(spark, sf_dir)), width=4000.0))
+
+
+@query("""with w as (select conv_id as clip, turn as word, lower(text) as t from conversations),
+    c as (select clip, word, unnest(range(1, length(t) + 1)) as i, t from w), k as (select clip, word, i, strpos('|abcdefghijklmnopqrstuvwxyz', t[i]) - 1 as id from c),
+    kept as (select * from k where id > 0), first as (select clip, min(word) as word from kept group by clip),
+    tok as (select clip, word, i, id, word as owner from kept union all select distinct kept.clip, kept.word, 0, 0, -1 from kept join first on first.clip = kept.clip and first.word < kept.word)
+    select clip, string_agg(id, ',' order by word, i) as tokens, string_agg(owner, ',' order by word, i) as owners from tok group by clip""")
+def tokenise(spark, sf_dir):
+    w = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("clip"), F.col("turn").alias("word"), "text")
+    t = ctc.tokenise(w, {c: i for i, c in enumerate("|abcdefghijklmnopqrstuvwxyz")})
+    return t.select("clip", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("tokens", "owners")])
+
+
+@query("""with recursive f as (select '/d' || lpad((doc_id % 89)::varchar, 2, '0') || '/' || doc_id || '/Take ' || (doc_id % 11) || case when doc_id % 3 = 0 then '_2' when doc_id % 7 = 0 then '_3_2' else '' end || '.wav' as path,
+        'take_' || (doc_id % 11) || case when doc_id % 3 = 0 then '_2' when doc_id % 7 = 0 then '_3_2' else '' end as base from documents),
+    o as (select *, row_number() over (partition by regexp_extract(base, '^take_\\d+') order by path) as k, regexp_extract(base, '^take_\\d+') as root from f),
+    walk as (select root, k, path, base as id, [base] as taken from o where k = 1
+        union all select o.root, o.k, o.path, pick, list_append(taken, pick) from (select o.*, taken, case when not list_contains(taken, base) then base else base || '_' || list_min(list_filter(range(2, o.k + 2), lambda n: not list_contains(taken, base || '_' || n))) end as pick from walk join o on o.root = walk.root and o.k = walk.k + 1) o)
+    select path, id from walk""")
+def source_ids(spark, sf_dir):
+    i = F.col("doc_id")
+    tail = F.when(i % 3 == 0, "_2").when(i % 7 == 0, "_3_2").otherwise("")
+    path = F.concat(F.lit("/d"), F.lpad((i % 89).cast("string"), 2, "0"), F.lit("/"), i.cast("string"), F.lit("/Take "), (i % 11).cast("string"), tail, F.lit(".wav"))
+    return scans.with_ids(table(spark, sf_dir, "documents").select(path.alias("path")))
+
+
+@query("""with l as (select conv_id, turn * 3 as n, '# c' || (turn // 3) || '.wav ' || (turn + 1) || '.50 s' as line from conversations union all select conv_id, turn * 3 + 1, '  ' || text || ' ' from conversations union all select conv_id, turn * 3 + 2, '# note' from conversations),
+    r as (select conv_id, turn, 'c' || (turn // 3) || '.wav' as name, turn + 1.5::double as duration, trim(text) as text, row_number() over (partition by conv_id order by turn) as k from conversations)
+    select conv_id::varchar as file, min(k)::bigint as ord, name, arg_max(duration, k) as duration, arg_max(text, k) as text from r group by conv_id, name""")
+def edit_records(spark, sf_dir):
+    c, t = table(spark, sf_dir, "conversations"), F.col("turn")
+    head = F.concat(F.lit("# c"), F.floor(t / 3).cast("string"), F.lit(".wav "), (t + 1).cast("string"), F.lit(".50 s"))
+    lines = F.posexplode(F.array(head, F.concat(F.lit("  "), "text", F.lit(" ")), F.lit("# note")))
+    x = c.select(F.col("conv_id").cast("string").alias("file"), "turn", lines.alias("k", "line")).select("file", (t * 3 + F.col("k")).alias("n"), "line")
+    return scans.edit_records(x)
+
+
+@query("select doc_id, source as voice, replace(text, '|', '') as text, lang from documents")
+def pipe_fields(spark, sf_dir):
+    """Each row written as a line with escapes, and read back: a backslash before a separator of the voice, none is left."""
+    d = table(spark, sf_dir, "documents")
+    line = F.concat_ws("|", F.regexp_replace("source", "([|\\\\])", "\\\\$1"), F.regexp_replace(F.replace("text", F.lit("|"), F.lit("")), "(\\\\)", "\\\\$1"), "lang")
+    f = d.select("doc_id", scans.pipe_fields(line).alias("f"))
+    return f.select("doc_id", *[F.element_at("f", i + 1).alias(c) for i, c in enumerate(("voice", "text", "lang"))])
+
+
+@query("""with f as (select distinct case o_custkey % 5 when 0 then 'model_last.pt' when 1 then 'pretrained_' || o_custkey || '.safetensors' when 2 then 'final_' || o_custkey || '.pt' when 3 then 'notes' || o_custkey else 'model_' || o_custkey || '.pt' end as name from orders),
+    k as (select name, nullif(regexp_replace(name, '[^0-9]', '', 'g'), '')::bigint as number, case when name = 'model_last.pt' then 2 when name like 'final%' then 1 when name like 'pretrained%' then 3 when name like 'model%' then 0 end as kind from f)
+    select name, number, row_number() over (order by kind, number desc nulls last, name)::int as place from k where kind is not null""")
+def checkpoint_order(spark, sf_dir):
+    k = F.col("o_custkey")
+    s = k.cast("string")
+    name = F.when(k % 5 == 0, "model_last.pt").when(k % 5 == 1, F.concat(F.lit("pretrained_"), s, F.lit(".safetensors"))).when(k % 5 == 2, F.concat(F.lit("final_"), s, F.lit(".pt"))).when(k % 5 == 3, F.concat(F.lit("notes"), s)).otherwise(F.concat(F.lit("model_"), s, F.lit(".pt")))
+    return scans.checkpoints(table(spark, sf_dir, "orders").select(F.concat(F.lit("/m/"), name).alias("path")).distinct())
+
+
+@query("""select case when page_id % 10 = 0 then 'error' when page_id % 9 = 0 then 'stop' else 'infer' end as kind, case when page_id % 10 <> 0 then url end as text, count(*) as n,
+        case when page_id % 10 <> 0 and page_id % 4 = 0 then 0.5::double else 1 end as speed from pages group by all""")
+def task_lines(spark, sf_dir):
+    p, i = table(spark, sf_dir, "pages"), F.col("page_id")
+    body = F.to_json(F.struct(F.when(i % 9 == 0, "stop").otherwise("say").alias("action"), F.col("url").alias("text"), F.when(i % 4 == 0, 0.5).alias("speed")))
+    lines = p.select(F.when(i % 10 == 0, F.lit("{broken")).otherwise(body).alias("value")).unionByName(p.select(F.lit(" ").alias("value")))
+    return scans.tasks(lines).groupBy("kind", "text", "speed").agg(F.count("*").alias("n"))
+
+
+@query("""with s as (select user_id as source_id, count(*) as n, count(*) filter (event_type = 'error') as replaced, count(*) filter (event_type = 'error' and value > 20) as by_score, count(*) filter (value is null) as failed from events group by 1)
+    select source_id, n as clips, replaced, by_score, failed from s""")
+def outcome_counts(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "source_id")
+    hit = F.col("event_type") == "error"
+    return transcripts.outcome_counts(e, replaced=hit, by_score=hit & (F.col("value") > 20), failed=F.col("value").isNull())
+
+
+@query("""with t as (select label::bigint as clip, vec_id as token, vec_id % 5 - 1 as word, vec_id * 2 as first, vec_id * 2 + 3 as e, (vec_id % 16)::double / 16 as score from embeddings)
+    select clip, word, min(first) as first, max(e) as "end", floor(sum((score * 16)::bigint) / count(*)::double / 16 * 1e6 + 0.5) / 1e6 as score from t where word >= 0 group by 1, 2""")
+def word_spans(spark, sf_dir):
+    return ctc.word_spans(_spans(spark, sf_dir)).withColumn("score", transcripts.rounded(F.col("score"), 6))
+
+
+def _spans(spark, sf_dir):
+    v = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("clip"), v.alias("token"), (v % 5 - 1).alias("word"), (v * 2).alias("first"), (v * 2 + 3).alias("end"), ((v % 16).cast("double") / 16).alias("score"))
+
+
+@query("""with t as (select label::bigint as clip, vec_id % 5 - 1 as word, (vec_id % 16)::double / 16 as score from embeddings), c as (select distinct label::bigint as clip from embeddings union select 99999)
+    select c.clip, coalesce(floor(sum((score * 16)::bigint) filter (word >= 0) / count(*) filter (word >= 0)::double / 16 * 1e6 + 0.5) / 1e6, 0) as ctc_score from c left join t on t.clip = c.clip group by 1""")
+def clip_scores(spark, sf_dir):
+    s = _spans(spark, sf_dir)
+    return ctc.clip_scores(s, s.select("clip").unionByName(spark.range(99999, 100000).select(F.col("id").alias("clip")))).withColumn("ctc_score", transcripts.rounded(F.col("ctc_score"), 6))
+
+
+@query(f"""with {INTERVALS_SQL}, a as (select ord, s + 1 as first, case when ord % 4 = 0 then s else e end as z, (ord % 32)::double / 32 as score from iv where ord % 3 > 0)
+    select source_id as clip, iv.ord as word, case when z > first then floor(first * 1e3 + 0.5) / 1e3 else s end as s, case when z > first then floor(z * 1e3 + 0.5) / 1e3 else e end as e, case when z > first then floor(score * 1e4 + 0.5) / 1e4 end as ctc_score, coalesce(z > first, false) as realigned from iv left join a using (ord)""")
+def retime_words(spark, sf_dir):
+    x = fixtures.intervals(spark, sf_dir).select(F.col("source_id").alias("clip"), F.col("ord").alias("word"), "s", "e")
+    a = x.where("word % 3 > 0").select("clip", "word", (F.col("s") + 1).alias("first"), F.when(F.col("word") % 4 == 0, F.col("s")).otherwise(F.col("e")).alias("end"), ((F.col("word") % 32).cast("double") / 32).alias("score"))
+    return ctc.retime(x, a)
+
+
+@query(f"""with {FLAT_SQL}, g as (select source_id, seg, min(s2) as a, max(e2) as z, string_agg(text, ' ' order by s2, e2, text) as t, count(*) as n from repaired where ord % 4 > 0 group by 1, 2)
+    select asr.source_id, asr.seg, coalesce(a, s) as s, coalesce(z, e) as e, coalesce(n, 0)::int as n_words, t as words from asr left join g on g.source_id = asr.source_id and g.seg = asr.seg""")
+def regroup_words(spark, sf_dir):
+    w = _flat(spark, sf_dir).where("ord % 4 > 0").select("source_id", "seg", F.col("s2").alias("s"), F.col("e2").alias("e"), "text")
+    x = ctc.regroup(w, fixtures.asr_segments(spark, sf_dir).select("source_id", "seg", "s", "e"))
+    return x.select("source_id", "seg", "s", "e", F.coalesce(F.size("words"), F.lit(0)).alias("n_words"), F.array_join(F.col("words.text"), " ").alias("words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,16 +11,55 @@ from ..functions.text import basename, sanitise_id, stem
 
 
 def recordings(spark: SparkSession, paths: str | list[str], pattern: str = "*", content: bool = False) -> DataFrame:
-    """(path, id) of files in order of path; the second file with an id gets _2, the third _3. A missing path raises."""
+    """(path, id) of files in order of path, each with an id of its own. A missing path raises."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
     files = files.select("path", *(["content"] if content else [])).dropDuplicates(["path"])
     return with_ids(files)
 
 
+def discover(spark: SparkSession, override: list[str] | None = None, paths: list[str] | None = None, folder: str | None = None, path: str | None = None, pattern: str = "*", content: bool = False) -> DataFrame:
+    """recordings() of the first of these that is given: files named for this run, files of the configuration, its folder, its one file."""
+    for given in (override, paths, folder, path):
+        if given:
+            return recordings(spark, given, pattern, content)
+    raise ValueError("no source is given")
+
+
 def with_ids(files: DataFrame) -> DataFrame:
+    """files (path, ...) with id: the sanitised stem, or with the first of _2, _3, ... that no file before has taken, in order of path.
+
+    Ids can only meet where a stem is there twice, or is one with a number behind it; files of other stems keep theirs. The
+    files of a stem and of those that begin with it and numbers are one ordered run where both kinds are there, else they are counted.
+    """
     base = files.withColumn("_id", sanitise_id(stem(F.col("path"))))
+    twice = base.groupBy("_id").count().where("count > 1").select(F.col("_id").alias("_root"))
+    head, tail = F.regexp_extract("_id", r"^(.*?)((?:_\d+)*)$", 1), F.regexp_extract_all(F.regexp_extract("_id", r"^(.*?)((?:_\d+)*)$", 2), F.lit(r"_\d+"), F.lit(0))
+    begins = F.transform(F.sequence(F.lit(0), F.size(tail)), lambda n: F.concat(head, F.array_join(F.slice(tail, F.lit(1), n), "")))
+    roots = base.select("_id").distinct().select("_id", F.explode(begins).alias("_root")).join(twice, "_root").groupBy("_id").agg(F.min_by("_root", F.length("_root")).alias("_root"))
+    named = base.join(roots, "_id", "left")
+    kinds = roots.groupBy("_root").agg((F.count("*") > 1).alias("_mixed"))
+    named = named.join(kinds, "_root", "left")
     n = F.row_number().over(Window.partitionBy("_id").orderBy("path"))
-    return base.withColumn("id", F.when(n == 1, F.col("_id")).otherwise(F.concat("_id", F.lit("_"), n.cast("string")))).drop("_id")
+    counted = named.where(~F.coalesce("_mixed", F.lit(False))).withColumn("id", F.when(n == 1, F.col("_id")).otherwise(F.concat("_id", F.lit("_"), n.cast("string"))))
+
+    def first_free(t: pa.Table) -> pa.Table:
+        taken: set[str] = set()
+        last: dict[str, int] = {}
+        out = []
+        t = t.sort_by("path")
+        for name in t.column("_id").to_pylist():
+            k, free = last.get(name, 1), name
+            while free in taken:
+                k += 1
+                free = f"{name}_{k}"
+            last[name] = k
+            taken.add(free)
+            out.append(free)
+        return pa.table({"path": t.column("path"), "id": pa.array(out, pa.string())})
+
+    met = named.where("_mixed")
+    ids = met.groupBy("_root").applyInArrow(lambda t: first_free(t.select(["path", "_id"])), "path string, id string")
+    return counted.select(*files.columns, "id").unionByName(met.join(ids, "path").select(*files.columns, "id"))
 
 
 PROBE = "struct<streams:array<struct<codec_type:string,codec_name:string,sample_rate:string,channels:int,bit_rate:string>>,format:struct<duration:string,bit_rate:string>>"

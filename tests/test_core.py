@@ -309,3 +309,56 @@ def test_stream_of_jobs(spark, tmp_path):
         q.stop()
     x = spark.createDataFrame([(10.0, 2, 6, 14.0), (0.0, 0, 3, 0.0)], "started double, done int, total int, done_at double")
     assert [r[0] for r in x.select(jobs.seconds_left(F.lit(15.0))).collect()] == [7, None]
+
+
+def test_ids_take_the_first_free_number(spark):
+    """Against a plain loop in order of path: numbered stems in the way, before and after, and ids of those that had to move."""
+    r = random.Random(9)
+    for _ in range(3):
+        names = ["x", "x_2", "x_3", "x_2_2", "y", "Y", "y_10", "z", "x_02", "w_1"]
+        paths = sorted({f"/{r.randrange(40):02d}/{r.choice(names)}.wav" for _ in range(60)}) + ["/a/x.wav", "/b/x.wav", "/c/x_2.wav"]
+        got = {x["path"]: x["id"] for x in scans.with_ids(spark.createDataFrame([(p, 1) for p in paths], "path string, size int")).collect()}
+        taken = set()
+        for p in sorted(paths):
+            base = p.split("/")[-1].removesuffix(".wav").lower()
+            name, k = base, 1
+            while name in taken:
+                k += 1
+                name = f"{base}_{k}"
+            taken.add(name)
+            assert got[p] == name
+        assert len(taken) == len(paths)
+
+
+def test_samples_of_any_width():
+    import io
+    import wave
+
+    for width, values in ((1, [0, 128, 255]), (2, [-32768, 0, 16384]), (3, [-(2**23), 0, 2**22, -1]), (4, [-(2**31), 0, 2**30])):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(1)
+            w.setsampwidth(width)
+            w.setframerate(8000)
+            w.writeframes(b"".join(v.to_bytes(width, "little", signed=width > 1) for v in values))
+        x, rate = signal.read_wav(out.getvalue())
+        want = [(v - 128) / 128 if width == 1 else v / 2 ** (8 * width - 1) for v in values]
+        assert np.allclose(x, want, atol=1e-6) and rate == 8000 and signal.duration_of(out.getvalue()) == len(values) / 8000
+
+
+def test_speech_chunks(spark):
+    long = "một hai ba, bốn năm sáu, bảy tám chín, mười một. hai? ba. bốn"
+    df = spark.createDataFrame([(long,), ("a.\x00 ,, \x00b? c? d",), ("!!",), ("",)], "t string")
+    got = [r[0] for r in df.select(text.speech_chunks(F.col("t"), 30)).collect()]
+    assert got[0] == ["một hai ba, bốn năm sáu,", "bảy tám chín,", "mười một. hai. ba. bốn"] and all(len(c.encode()) <= 45 for c in got[0])
+    assert got[1:] == [["a.", "b. c. d"], ["!!"], [""]]
+
+
+def test_discovery_takes_the_first_that_is_given(spark, tmp_path):
+    for n in ("a.wav", "b.wav"):
+        (tmp_path / n).write_bytes(b"x")
+    got = lambda **k: [r["id"] for r in scans.discover(spark, **k).orderBy("path").collect()]
+    a, folder = f"{tmp_path}/a.wav", str(tmp_path)
+    assert got(folder=folder) == ["a", "b"] and got(paths=[a], folder=folder) == ["a"] and got(override=[f"{tmp_path}/b.wav"], paths=[a]) == ["b"] and got(path=a) == ["a"]
+    with pytest.raises(ValueError):
+        scans.discover(spark)
