@@ -11,7 +11,7 @@ many classes share is frequent: a batch that has it often sends its bucket one e
 each that has more than d other words sets it aside, which loses no link: of those others one is the same in both. So what
 reaches a bucket for one word does not follow the number of near copies. Documents that meet in a word are verified in three
 steps, each only between different components so far: every document with the least that it met, with the least of each
-word, then all pairs left. So a group of near copies costs about one verification a document. Before that last step a meeting
+word, then all pairs left, the nearest of each two components before the others. So a group of near copies costs about one verification a document. Before that last step a meeting
 of more than SPLIT members is split by prefixes: each set's rarest shingles, as many as it may lack and one more, one of which
 similar sets share. Links, components and fingerprints stay distributed.
 
@@ -38,6 +38,8 @@ FREQUENT, MOST_IN_BATCH = 32, 4
 SKETCH_BITS = 2048
 #: Members of a block of a word that many share.
 BLOCK = 1024
+#: Most doc_ids that are broadcast, 8 bytes each.
+MOST_SENT = 1 << 20
 #: Members of a meeting that is split further, and most shingles that are known as frequent there.
 SPLIT, MOST_SHINGLES = 16 * BLOCK, 1 << 16
 #: Bytes of each shingle's hash that are kept for the comparison of two sets.
@@ -271,7 +273,7 @@ def bit_sketch(s: np.ndarray) -> bytes:
 def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of pairs whose sets reach the similarity. Sketches are compared first; the sets follow only where those are near enough."""
 
-    def both(p: DataFrame, *columns: str) -> DataFrame:
+    def both(p: DataFrame, *columns: str) -> DataFrame:  # of docs as they are by then
         one = docs.select("doc_id", *columns)
         x = p.join(one, p["a"] == one["doc_id"]).select("a", "b", *[F.col(c).alias(f"a_{c}") for c in columns])
         return x.join(one, x["b"] == one["doc_id"]).select("a", "b", *[f"a_{c}" for c in columns], *[F.col(c).alias(f"b_{c}") for c in columns])
@@ -295,12 +297,17 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             yield t.select([0, 1]).filter(pa.array(ok))
 
     close = settled(both(pairs, "n", "sketch").mapInArrow(near, "a long, b long").distinct(), "parity")
+    # Few of the documents are in a pair that is near enough: only their sets are shuffled.
+    ends = settled(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "parity")
+    docs = docs.join(F.broadcast(ends) if ends.count() <= MOST_SENT else ends, "doc_id", "left_semi")
     return both(close, "n", "shingles").mapInArrow(linked, "a long, b long").distinct()
 
 
-def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """The (a, b) with a < b of members (meeting, doc_id, c, size) of different c in one meeting whose sketches are near enough.
 
+    nearest: of each two c in a block only the pair whose sketches are nearest.
+
     Sketches are compared in blocks of about BLOCK members, so no pair that is too far apart becomes a row and no meeting, however
     large, is one task: its members are dealt to blocks, and each pair of blocks is a group of its own.
     """
@@ -313,7 +320,14 @@ def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataF
         s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), U).reshape(len(i), SKETCH_BITS // 64)
         p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
         rows, cols = (np.flatnonzero(mine == k) for k in (p, q))
-        found = []
+        found = [np.zeros((5, 0), np.int64)]
+
+        def one_each(x: np.ndarray) -> np.ndarray:
+            x = x[:, np.lexsort((x[4], x[3], x[2]))]
+            new = np.ones(x.shape[1], bool)
+            new[1:] = (x[2:4, 1:] != x[2:4, :-1]).any(0)
+            return x[:, new]
+
         for at in range(0, len(rows), 32):
             r = rows[at : at + 32, None]
             ok = (c[r] != c[cols]) & (100 * np.minimum(n[r], n[cols]) >= percent * np.maximum(n[r], n[cols]))
@@ -322,8 +336,10 @@ def near_in_meetings(members: DataFrame, docs: DataFrame, percent: int) -> DataF
             u, v = r[k, 0], cols[j]
             apart = np.bitwise_count(s[u] ^ s[v]).sum(1, dtype=np.int64)
             near = (100 + percent) * apart <= (100 - percent) * (n[u] + n[v])
-            found.append(np.stack([np.minimum(i[u], i[v])[near], np.maximum(i[u], i[v])[near]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            x = np.stack([np.minimum(i[u], i[v]), np.maximum(i[u], i[v]), np.minimum(c[u], c[v]), np.maximum(c[u], c[v]), apart])[:, near]
+            found.append(one_each(x) if nearest else x)
+        pairs = np.concatenate(found, axis=1)
+        pairs = one_each(pairs) if nearest else pairs
         return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
     return x.groupBy("meeting", "p", "q").applyInArrow(run, "a long, b long").distinct()
@@ -446,14 +462,17 @@ def _link(docs, k, percent, id_col, text_col, n_batches, n_buckets) -> DataFrame
         tested = settled(tested.unionByName(more), "parity")
         links = settled(links.unionByName(verify(more, sets, percent)), "parity")
         label = components(links)
-    # What is left: pairs of different components that share a word and were not compared.
-    labelled = held.join(label, "doc_id", "left").select("meeting", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting", "size")
-    members = split_meetings(settled(labelled.join(mixed, "meeting"), "parity"), sets, percent)
-    rest = settled(near_in_meetings(members, sets, percent).join(tested, ["a", "b"], "left_anti"), "parity")
-    if not rest.isEmpty():
-        links = settled(links.unionByName(verify(rest, sets, percent)), "parity")
-        label = components(links)
+    # What is left: pairs of different components that share a word and were not compared. First the nearest pair of each two
+    # components, which joins most of those that belong together; then all pairs of components that are still apart.
+    for nearest in (True, False):
+        labelled = held.join(label, "doc_id", "left").select("meeting", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+        mixed = labelled.groupBy("meeting").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("meeting", "size")
+        members = split_meetings(settled(labelled.join(mixed, "meeting"), "parity"), sets, percent)
+        rest = settled(near_in_meetings(members, sets, percent, nearest).join(tested, ["a", "b"], "left_anti"), "parity")
+        if not rest.isEmpty():
+            tested = settled(tested.unionByName(rest), "parity")
+            links = settled(links.unionByName(verify(rest, sets, percent)), "parity")
+            label = components(links)
     return documents.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id")).join(label.select(F.col("doc_id").alias("class_id"), "component"), "class_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
 
 
