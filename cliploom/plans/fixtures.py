@@ -10,14 +10,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What is added to the doc_id of a document for its further clip.
+FURTHER = 1_000_000_000_000
+
+
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One clip a document, with whole texts; numbers that a recogniser would give are functions of the id and the labels."""
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    """One clip a document, with its whole text, and further ones with shared or empty texts; numbers that a recogniser would give are functions of the
+    id and the labels."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").withColumn("idx", F.col("doc_id"))
     i = F.col("doc_id")
-    text = F.when(i % 97 == 1, "").when(i % 5 == 0, F.concat(F.lit("Shared phrase number "), (i % 35).cast("string"), F.lit(" of the set"))).otherwise(F.col("text"))
-    d = d.withColumn("text", text)
+    shared = F.concat(F.lit("Shared phrase number "), (i % 35).cast("string"), F.lit(" of the set"))
+    d = d.unionByName(d.where((i % 5 == 0) | (i % 97 == 1)).withColumns({"text": F.when(i % 97 == 1, "").otherwise(shared), "idx": i + FURTHER}))
     return d.select(
-        F.col("source").alias("source_id"), i.alias("idx"), "text",
+        F.col("source").alias("source_id"), "idx", "text",
         (F.length("text").cast("double") / (2 + i % 30)).alias("duration"),
         F.when(F.col("toxic") == 1, 0.01).otherwise(0.0).alias("clip_ratio"),
         (5 + i * 13 % 40).cast("double").alias("snr_db"),
@@ -29,11 +34,11 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CLIPS_SQL = """
+CLIPS_SQL = f"""
+    labelled as (select source as source_id, d.doc_id as i, quality, toxic, text from documents d left join labels l on d.doc_id = l.doc_id),
     clip0 as (
-        select source as source_id, d.doc_id as idx, quality, toxic, d.doc_id as i,
-            case when d.doc_id % 97 = 1 then '' when d.doc_id % 5 = 0 then 'Shared phrase number ' || (d.doc_id % 35) || ' of the set' else text end as text
-        from documents d left join labels l on d.doc_id = l.doc_id
+        select *, i as idx from labelled union all
+        select source_id, i, quality, toxic, case when i % 97 = 1 then '' else 'Shared phrase number ' || (i % 35) || ' of the set' end, i + {FURTHER} from labelled where i % 5 = 0 or i % 97 = 1
     ),
     clips as (
         select source_id, idx, text, length(text)::double / (2 + i % 30) as duration,
