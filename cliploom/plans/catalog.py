@@ -339,11 +339,46 @@ def post_clean_ascii(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.post_clean(F.col("text"), "A-Za-z").alias("text"))
 
 
-@query()
+_WS = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPEECH_SQL = rf"""
+    lines as (select doc_id, string_split_regex(text, '[ \t]*\n{_WS}*') as ls from documents),
+    broken as (select doc_id, array_to_string(list_transform(ls, lambda x: array_to_string(list_transform(string_split(regexp_replace(x, '(\.{{2,}}|…)({_WS}*)$', '.\2'), '»')[:-2],
+        lambda p: case when rtrim(p, ' ' || chr(9)) <> '' and right(rtrim(p, ' ' || chr(9)), 1) in ('.', '!', '?') then rtrim(left(rtrim(p, ' ' || chr(9)), length(rtrim(p, ' ' || chr(9))) - 1), ' ' || chr(9)) || right(rtrim(p, ' ' || chr(9)), 1) else rtrim(p, ' ' || chr(9)) || '.' end)
+        || [regexp_replace(string_split(regexp_replace(x, '(\.{{2,}}|…)({_WS}*)$', '.\2'), '»')[-1], '[ \t]*:[ \t]*$', '.' || chr(0))], chr(0))), chr(0)) as t from lines),
+    plain as (select doc_id, regexp_replace(regexp_replace(lower(t), '[:;\-–—()\[\]]', ',', 'g'), '["''“”‘’«]', '', 'g') as t from broken),
+    signs as (select doc_id, regexp_replace(regexp_replace(regexp_replace(t, '\.{{2,}}|…', ',', 'g'), '{_WS}*!+(?:{_WS}|[.,!])*', '. ', 'g'), '{_WS}*,(?:{_WS}|,)*', ', ', 'g') as t from plain),
+    prepared as (select doc_id, regexp_replace(regexp_replace(regexp_replace(t, ',{_WS}*([.!?…])', '\1', 'g'), '[ \t]+', ' ', 'g'), '^(?:{_WS}|,)+|(?:{_WS}|,)+$', '', 'g') as t from signs)"""
+
+
+@query(f"with {SPEECH_SQL} select doc_id, t as text from prepared")
 def prepare_tts_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.prepare_speech(F.col("text")).alias("text"))
 
 
+def _packed_sql(pieces: str, limit: int) -> str:
+    """The fold that joins neighbours while they stay within limit bytes, over lists of one piece each."""
+    own = f"list_transform(list_filter(list_transform({pieces}, lambda q: trim(q)), lambda q: q <> ''), lambda q: [q])"
+    return f"case when len({own}) = 0 then [] else list_reduce({own}, lambda done, q: case when strlen(done[-1] || ' ' || q[1]) <= {limit} then done[:-2] || [done[-1] || ' ' || q[1]] else done || q end) end"
+
+
+CHUNK_BYTES = 230
+
+
+@query(rf"""with {SPEECH_SQL},
+    block as (select doc_id, unnest(string_split(t, chr(0))) as raw, generate_subscripts(string_split(t, chr(0)), 1) as b from prepared),
+    spoken as (select doc_id, b, trim(raw, ' ,' || chr(9) || chr(10)) as t from block where regexp_matches(trim(raw, ' ,' || chr(9) || chr(10)), '[\p{{L}}\p{{M}}\p{{N}}]')),
+    sentence as (select doc_id, b, unnest(x) as t, generate_subscripts(x, 1) as k from (select doc_id, b, string_split(regexp_replace(trim(t), '([.!?]){_WS}+', '\1' || chr(1), 'g'), chr(1)) as x from spoken)),
+    unit as (select doc_id, b, k, case when strlen(t) <= {CHUNK_BYTES} then [t] else {_packed_sql(rf"string_split(regexp_replace(t, '([,;:]){_WS}+', '\1' || chr(1), 'g'), chr(1))", CHUNK_BYTES)} end as us from sentence where t <> ''),
+    units as (select doc_id, b, flatten(list(us order by k)) as us from unit group by doc_id, b),
+    chunks as (select doc_id, flatten(list(c order by b)) as cs from (select doc_id, b, {_packed_sql("us", CHUNK_BYTES)} as c from units) group by doc_id),
+    whole as (select doc_id, case when len(cs) > 0 then list_transform(cs, lambda c: case when length(c) < 2 then c else replace(left(c, length(c) - 1), '?', '.') || right(c, 1) end) else [trim(replace(t, chr(0), ' '))] end as cs from prepared left join chunks using (doc_id))
+    select doc_id, generate_subscripts(cs, 1) - 1 as n, unnest(cs) as chunk from whole""")
+def speech_chunks(spark, sf_dir):
+    """Chunks of about CHUNK_BYTES bytes of each whole text."""
+    chunks = text.speech_chunks(text.prepare_speech(F.col("text")), CHUNK_BYTES)
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunks).alias("n", "chunk"))
+
+
 @query("""with s as (select conv_id, turn, strlen(text) as n from conversations)
     select conv_id, turn, floor(case when n >= 115 then 0.85::double when n <= 25 then 0.85::double * 0.76::double else 0.85::double * (0.76::double + 0.24::double * ((n - 25)::double / 90)) end * 1e6 + 0.5) / 1e6 as speed from s""")
 def speed_ramp(spark, sf_dir):
