@@ -319,10 +319,17 @@ def ctc_greedy(spark, sf_dir):
     return g.select("clip", F.array_join(F.transform("classes", lambda c: c.cast("string")), ",").alias("classes"))
 
 
-@query()
+@query("""with f as (select label::bigint as clip, row_number() over (partition by label order by vec_id) - 1 as t, embedding::double[] as x, list_max(embedding)::double as m from embeddings),
+    p as (select clip, t, list_position(x, m) - 1 as c, 1 / list_sum(list_transform(x, lambda v: exp(v - m))) as s from f),
+    l as (select *, lag(c) over (partition by clip order by t) as before from p),
+    r as (select *, sum(case when c is distinct from before then 1 else 0 end) over (partition by clip order by t) as run from l)
+    select clip, row_number() over (partition by clip order by run) - 1 as token, min(t) as "first", max(t) + 1 as "end", floor(avg(s) * 1e6 + 0.5) / 1e6 as score
+    from r where c <> 0 group by clip, run""")
 def ctc_align(spark, sf_dir):
+    """The best path through what greedy decoding gave is the greedy one, so each run of a class is a token's span."""
     e = fixtures.emissions(spark, sf_dir)
-    return ctc.align(e, ctc.greedy(e).withColumnRenamed("classes", "tokens"))
+    spans = ctc.align(e, ctc.greedy(e).withColumnRenamed("classes", "tokens"))
+    return spans.withColumn("score", F.floor(F.col("score") * 1e6 + 0.5) / 1e6)
 
 
 @query("select doc_id, trim(regexp_replace(regexp_replace(replace(replace(text, '–', '-'), '—', '-'), '\\.{3,}|…{2,}', '…', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) as text from documents")
