@@ -352,6 +352,9 @@ def test_speech_chunks(spark):
     got = [r[0] for r in df.select(text.speech_chunks(F.col("t"), 30)).collect()]
     assert got[0] == ["một hai ba, bốn năm sáu,", "bảy tám chín,", "mười một. hai. ba. bốn"] and all(len(c.encode()) <= 45 for c in got[0])
     assert got[1:] == [["a.", "b. c. d"], ["!!"], [""]]
+    figures = ", ".join(str(n) for n in range(12))
+    r = spark.createDataFrame([(figures, " a ; b ")], "t string, u string").select(text.speech_chunks(F.col("t"), 10, F.trim), text.packed(F.split("u", ";"), 10)).first()
+    assert " ".join(r[0]) == figures and r[1] == ["a b"]
 
 
 def test_discovery_takes_the_first_that_is_given(spark, tmp_path):
