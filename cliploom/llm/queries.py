@@ -86,6 +86,14 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_sweep import Vocabularies, alignment
+
+    return alignment(_documents(spark, sf_dir), Vocabularies(vocabulary(), public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and callable(f)}
 
