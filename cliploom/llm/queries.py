@@ -94,6 +94,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(_documents(spark, sf_dir), Vocabularies(vocabulary(), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_repair import damaged, repair_table
+
+    return repair_table(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")), copies_col="copies").drop("lines")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and callable(f)}
 
@@ -104,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": sql.OP3,
         "op5_jaccard_join": sql.OP5,
         "op6_substring_dedup": sql.OP6,
+        "op12_conversation_repair": sql.OP12,
         "op8_url_filters": """
             with p as (
                 select page_id,

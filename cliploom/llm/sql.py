@@ -56,3 +56,41 @@ OP6 = """
     select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
     from d left join kept using (r) left join (select r, count(*) as n_removed from gone group by r) c using (r)
 """
+
+#: Damage by crc32 (a table of 256 numbers), then costs and audits from the last row to the first, then the rows that the audit leaves.
+OP12 = """
+    with recursive crc as (select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as tab from range(256) r(i)),
+    raw as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+    sums as (select raw.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: ord(c)::bigint)), lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295) % 20 as kind from raw, crc),
+    hurt as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role, case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+        from sums, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) u(x)),
+    ranked as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role) || ':' || role || text)) as i from hurt),
+    marked as (select *, row_number() over (partition by conv_id, role, text order by i) as seen, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare, count(*) over (partition by conv_id) as n from ranked),
+    judged as (
+        select conv_id, turn, role, text, i, n, substr(role, 1, 1) as r, bare = '' as blank, bare <> '' and seen > 1 as dup,
+            bare <> '' and seen = 1 and right(bare, 1) not in ('.', '!', '?') as cut, lag(substr(role, 1, 1)) over (partition by conv_id order by i) || substr(role, 1, 1) as step
+        from marked),
+    paid(conv_id, i, f0, fs, fu, fa) as (
+        select distinct conv_id, n + 1, {'c': 0, 'e': ''}, {'c': 10, 'e': 'II'}, {'c': 5, 'e': 'I'}, {'c': 0, 'e': ''} from judged
+        union all
+        select conv_id, i, list_min([g0, {'c': hu.c + 5, 'e': 'I' || hu.e}]), list_min([gs, {'c': hu.c + 5, 'e': 'I' || hu.e}]), hu, list_min([ga, {'c': gu.c + 5, 'e': 'I' || gu.e}])
+        from (select *, list_min([gu, {'c': ga.c + 5, 'e': 'I' || ga.e}]) as hu from (
+            select j.conv_id, j.i,
+                list_min([{'c': f0.c + 2, 'e': 'D' || f0.e}, {'c': fu.c + t + 1, 'e': 'R' || fu.e}, {'c': fs.c + t + case r when 's' then 0 else 1000000 end, 'e': 'K' || fs.e}, {'c': fu.c + t + case r when 'u' then 0 else 1000000 end, 'e': 'K' || fu.e}]) as g0,
+                list_min([{'c': fs.c + 2, 'e': 'D' || fs.e}, {'c': fu.c + t + 1, 'e': 'R' || fu.e}, {'c': fu.c + t + case r when 'u' then 0 else 1000000 end, 'e': 'K' || fu.e}]) as gs,
+                list_min([{'c': fu.c + 2, 'e': 'D' || fu.e}, {'c': fa.c + t + 1, 'e': 'R' || fa.e}, {'c': fa.c + t + case r when 'a' then 0 else 1000000 end, 'e': 'K' || fa.e}]) as gu,
+                list_min([{'c': fa.c + 2, 'e': 'D' || fa.e}, {'c': fu.c + t + 1, 'e': 'R' || fu.e}, {'c': fu.c + t + case r when 'u' then 0 else 1000000 end, 'e': 'K' || fu.e}]) as ga
+            from paid join (select *, case when blank or dup then 1000000 when cut then 5 else 0 end as t from judged) j on j.conv_id is not distinct from paid.conv_id and j.i = paid.i - 1))),
+    audits as (select conv_id, f0.c as cost, f0.e as audit from paid where i = 1),
+    edits as (select conv_id, p, audit[p] as e, p - length(replace(audit[:p], 'I', '')) as n_in, length(regexp_replace(audit[:p], '[^KRI]', '', 'g')) as k from audits, unnest(range(1, length(audit) + 1)) u(p)),
+    placed as (select edits.*, j.role, j.text, j.r, max(case when e = 'K' and r = 's' then 1 else 0 end) over (partition by edits.conv_id) as shift from edits left join judged j on j.conv_id is not distinct from edits.conv_id and j.i = p - n_in and e <> 'I'),
+    lines as (select conv_id, string_agg(case when e = 'K' then role when (k - shift) % 2 = 1 then 'user' else 'assistant' end || ':' || case when e = 'I' then '' else text end, chr(10) order by p) as t from placed where e <> 'D' group by conv_id),
+    counts as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (dup) as duplicate, count(*) filter (cut) as truncated, count(*) filter (step not in ('su', 'ua', 'au')) as illegal
+        from judged group by conv_id)
+    select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal,
+        coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit, sha256(coalesce(t, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c
+        left join counts on counts.conv_id is not distinct from c.conv_id left join audits on audits.conv_id is not distinct from c.conv_id left join lines on lines.conv_id is not distinct from c.conv_id
+"""
