@@ -100,6 +100,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_table(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")), copies_col="copies").drop("lines")
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_model import fit, score
+
+    docs = _documents(spark, sf_dir)
+    return score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), max_labelled=20_000), threshold=0.3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and callable(f)}
 
