@@ -23,6 +23,7 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from .columns import SPACE_LIKE, U, Words, covered, separators, slabs, text_buffer
 from .frames import free_name, named, numbered, quoted
+from .labelled import labelled_rows
 
 #: The statistics that the base limits and the result use, and those that only rules use.
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -167,17 +168,14 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray, cuts: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label: str = "quality", **options) -> DecisionList:
-    """Rules from at most max_labelled labelled rows, those of least hash; the driver gets their numbers only. Documents that the base limits reject teach nothing."""
-    some = (
-        labels.select(named(labels, label_id).cast("long").alias("_id"), named(labels, label).cast("int").alias("_label")).dropna()
-        .withColumn("_hash", F.xxhash64("_id", "_label")).orderBy("_hash", "_id").limit(max_labelled)
-    )
-    rows = docs.select(named(docs, id_col).cast("long").alias("_id"), named(docs, text_col).alias("_text")).join(F.broadcast(some), "_id")
-    found = with_statistics(rows, "_text", "_stats", keep_text=False).where(~base_failed("_stats")).select("_label", (F.pmod(F.col("_hash"), F.lit(3)) > 0).alias("_grow"), "_hash", *[c.alias(k) for k, c in feature_columns("_stats").items()]).orderBy("_hash", *FEATURES).toPandas()
-    bad = (found["_label"] == 0).to_numpy(bool)
+    """Rules from at most max_labelled labelled rows, those of least hash, each but once; the driver gets their numbers only. Documents that the base limits reject teach nothing."""
+    marks = labels.select(named(labels, label_id).cast("long").alias("doc_id"), named(labels, label).cast("int").alias("mark"))
+    rows = labelled_rows(docs, marks, max_labelled, id_col, text_col)
+    found = with_statistics(rows, "text", "_stats", keep_text=False).where(~base_failed("_stats")).select("mark", (F.pmod("order", F.lit(3)) > 0).alias("grow"), "order", *[c.alias(k) for k, c in feature_columns("_stats").items()]).orderBy("order").toPandas()
+    bad = (found["mark"] == 0).to_numpy(bool)
     if not len(bad) or bad.all() or not bad.any():
         return DecisionList([])
-    return learn({k: found[k].to_numpy(float) for k in FEATURES}, bad, found["_grow"].to_numpy(bool), **options)
+    return learn({k: found[k].to_numpy(float) for k in FEATURES}, bad, found["grow"].to_numpy(bool), **options)
 
 
 def base_failed(stats: str) -> Column:

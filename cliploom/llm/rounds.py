@@ -25,16 +25,21 @@ REPLY = "batch int, round int, bucket int, reply binary"
 BATCH_BYTES, BUCKET_BYTES = 3 << 19, 2 << 20
 
 
+def size_of(docs: DataFrame, text_col: str) -> int:
+    """Bytes of docs: the planner's estimate, or the sum of lengths where it has none."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if not 0 < size < 1 << 56:
+        size = docs.agg(F.sum(F.octet_length(named(docs, text_col).cast("string")))).collect()[0][0] or 0
+    return size
+
+
 def sizes(docs: DataFrame, text_col: str) -> tuple[int, int]:
     """(batches, buckets) for an input of this size.
 
     Both have the same bytes at every size of input, so memory does not follow it. What follows is the number of messages, which
-    is at most one for each key: beyond some 100 GB a message has few keys and costs about 40 bytes beside them. The size is the
-    planner's estimate, or the sum of lengths where it has none.
+    is at most one for each key: beyond some 100 GB a message has few keys and costs about 40 bytes beside them.
     """
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if not 0 < size < 1 << 56:
-        size = docs.agg(F.sum(F.octet_length(named(docs, text_col).cast("string")))).collect()[0][0] or 0
+    size = size_of(docs, text_col)
     return max(4, -(-size // BATCH_BYTES)), max(3, -(-size // BUCKET_BYTES))
 
 

@@ -31,12 +31,15 @@ from pyspark.sql import functions as F
 from .columns import slabs, text_buffer
 from .frames import slim
 from .rank_bpe import tokenizer
+from .rounds import size_of
 
 MAGIC = b"TOKPFOR1"
 #: Partition and counter in the name of a file of Spark's writer, numbers of any length.
 FILE = r"/part-(\d+)-[^/]*-c(\d+)[^/]*$"
 #: Partitions whose totals are summed in one go.
 CHUNK = 1024
+#: Bytes of input, as it lies on disk, of a range of doc_ids at most; characters of a text that ranges go by where ids are equal.
+RANGE_BYTES, PREFIX = 64 << 20, 64
 HEAD = np.dtype([("magic", "S8"), ("documents", "<u4"), ("ids", "<u8"), ("block", "<u4"), ("blocks", "<u4"), ("payload", "<u8")])
 BLOCK = np.dtype([("low", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
@@ -158,8 +161,9 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 0, i
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["segment"])
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = slim(docs, id_col, text_col).repartitionByRange(n, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size_of(docs, text_col) // RANGE_BYTES))
+    # Ranges know the beginning of a text only, so that their bounds are small; rows that agree in it are in one range, and sorted there.
+    ordered = slim(docs, id_col, text_col).repartitionByRange(n, F.col("doc_id"), F.left("text", F.lit(PREFIX))).sortWithinPartitions("doc_id", "text")
     lines = ordered.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value"))
     lines.write.option("maxRecordsPerFile", file_segments).text(path)
 
