@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from .intervals import overlap_repair
 
 #: Decimals of times and of scores in the records.
@@ -17,10 +18,10 @@ def rounded(c: Column, places: int) -> Column:
 
 def normalise(segments: DataFrame) -> DataFrame:
     """segments (source_id, seg, s, e, text, no_speech_prob, avg_logprob, words: array of (word, s, e, prob)) without gaps: missing probabilities of the segment
-    are 0, those of words 1, times of words those of the segment; texts lose blanks at the ends, a missing list of words is empty."""
+    are 0, those of words 1, times of words those of the segment; texts lose white space at the ends, a missing list of words is empty."""
     none = F.array().cast(segments.schema["words"].dataType)
     words = F.transform(F.coalesce("words", none), lambda w: F.struct(F.coalesce(w["word"], F.lit("")).alias("word"), F.coalesce(w["s"], F.col("s")).alias("s"), F.coalesce(w["e"], F.col("e")).alias("e"), F.coalesce(w["prob"], F.lit(1.0)).alias("prob")))
-    return segments.withColumns({"text": F.trim(F.coalesce("text", F.lit(""))), "no_speech_prob": F.coalesce("no_speech_prob", F.lit(0.0)), "avg_logprob": F.coalesce("avg_logprob", F.lit(0.0)), "words": words})
+    return segments.withColumns({"text": strip(F.coalesce("text", F.lit(""))), "no_speech_prob": F.coalesce("no_speech_prob", F.lit(0.0)), "avg_logprob": F.coalesce("avg_logprob", F.lit(0.0)), "words": words})
 
 
 def flatten_words(segments: DataFrame, chunk: float = 60.0) -> DataFrame:
@@ -31,7 +32,7 @@ def flatten_words(segments: DataFrame, chunk: float = 60.0) -> DataFrame:
     whole = F.array(F.struct(F.col("text").alias("word"), "s", "e", F.lit(1.0).alias("prob")))
     listed = F.when(F.size("words") == 0, whole).otherwise(F.col("words"))
     w = segments.select("source_id", "seg", F.posexplode(listed).alias("_n", "w"))
-    w = w.select("source_id", (F.col("seg") * (1 << 20) + F.col("_n")).alias("ord"), "seg", F.trim("w.word").alias("text"), F.col("w.prob").alias("prob"), F.col("w.s").alias("s"), F.col("w.e").alias("e")).where("text <> ''")
+    w = w.select("source_id", (F.col("seg") * (1 << 20) + F.col("_n")).alias("ord"), "seg", strip(F.col("w.word")).alias("text"), F.col("w.prob").alias("prob"), F.col("w.s").alias("s"), F.col("w.e").alias("e")).where("text <> ''")
     return overlap_repair(w, chunk=chunk)
 
 

@@ -332,10 +332,21 @@ def ctc_align(spark, sf_dir):
     return spans.withColumn("score", F.floor(F.col("score") * 1e6 + 0.5) / 1e6)
 
 
-@query("select doc_id, trim(regexp_replace(regexp_replace(replace(replace(text, '–', '-'), '—', '-'), '\\.{3,}|…{2,}', '…', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) as text from documents")
+@query(r"""with a as (select doc_id, translate('‘Rào’ «' || text || '» [Nhạc nền] 5 km² 3 m³ cà—phê a–1 ♪ x....y …… (music) z' || chr(8203) || 'z', '‘’«»—–♪', '''''""-- ') as t from documents),
+    b as (select doc_id, regexp_replace(regexp_replace(regexp_replace(replace(t, chr(8203), ''), '[\[(]\s*(nhạc|music|laugh\w*|applause|silence|inaudible|tiếng\s+[^\])]{0,20})[^\])]*[\])]', ' ', 'gi'), '\.{3,}|…{2,}', '…', 'g'), 'm([²³])', 'm\1', 'g') as t from a)
+    select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(t, 'm²', 'm2'), 'm³', 'm3'), '(\p{L})-(\p{L})', '\1 \2', 'g'), '(\p{L})-(\p{L})', '\1 \2', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')) as text from b""")
 def pre_clean(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.squeeze(F.regexp_replace(F.translate("text", "–—", "--"), r"\.{3,}|…{2,}", "…")).alias("text"))
+    """Whole texts between signs of every kind that the clean-up knows."""
+    t = F.concat(F.lit("‘Rào’ «"), "text", F.lit("» [Nhạc nền] 5 km² 3 m³ cà—phê a–1 ♪ x....y …… (music) z\u200bz"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.pre_clean(t).alias("text"))
+
+
+@query(r"""with a as (select doc_id, regexp_replace(text, '[^ ,.!?…\p{Latin}]', ' ', 'g') as t from documents),
+    w as (select doc_id, regexp_extract_all(t, '\p{Latin}+|[,.!?…][^\p{Latin}]*') as w from a),
+    c as (select doc_id, trim(array_to_string(list_transform(w, lambda x: case when left(x, 1) in (',', '.', '!', '?', '…') then left(x, 1) else ' ' || x end), ''), ' ,;:-') as t from w)
+    select doc_id, case when t <> '' and right(t, 1) not in ('.', '!', '?', '…') then t || '.' else t end as text from c""")
+def post_clean(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.post_clean(F.col("text")).alias("text"))
 
 
 @query("""with a as (select doc_id, regexp_replace(text, '[^ ,.!?…A-Za-z]', ' ', 'g') as t from documents),
@@ -442,7 +453,7 @@ def job_state(spark, sf_dir):
     return jobs.latest(log)
 
 
-@query(f"with {ASR_SQL} select source_id, seg, trim(text) as text, no_speech_prob, 0::double as avg_logprob, case when listed then len(string_split(text, ' ')) else 0 end::int as n_words from asr")
+@query(f"with {ASR_SQL} select source_id, seg, text, no_speech_prob, 0::double as avg_logprob, case when listed then len(string_split(t0, ' ')) else 0 end::int as n_words from asr")
 def asr_normalise(spark, sf_dir):
     return transcripts.normalise(fixtures.asr_segments(spark, sf_dir)).select("source_id", "seg", "text", "no_speech_prob", "avg_logprob", F.size("words").alias("n_words"))
 
@@ -531,22 +542,23 @@ def edit_records(spark, sf_dir):
     return scans.edit_records(x)
 
 
-@query("select doc_id, source as voice, replace(text, '|', '') as text, lang from documents")
+@query("select doc_id, source || chr(1) || '|' || chr(4) as voice, chr(2) || text || chr(92) || chr(3) as text, lang from documents")
 def pipe_fields(spark, sf_dir):
-    """Each row written as a line with escapes, and read back: a backslash before a separator of the voice, none is left."""
-    d = table(spark, sf_dir, "documents")
-    line = F.concat_ws("|", F.regexp_replace("source", "([|\\\\])", "\\\\$1"), F.regexp_replace(F.replace("text", F.lit("|"), F.lit("")), "(\\\\)", "\\\\$1"), "lang")
+    """Each row written as a line with escapes, control characters among them, and read back."""
+    d = table(spark, sf_dir, "documents").withColumns({"source": F.concat("source", F.lit("\u0001|\u0004")), "text": F.concat(F.lit("\u0002"), "text", F.lit("\\\u0003"))})
+    line = F.concat_ws("|", *[F.regexp_replace(c, r"([|\\])", r"\\$1") for c in ("source", "text", "lang")])
     f = d.select("doc_id", scans.pipe_fields(line).alias("f"))
     return f.select("doc_id", *[F.element_at("f", i + 1).alias(c) for i, c in enumerate(("voice", "text", "lang"))])
 
 
-@query("""with f as (select distinct case o_custkey % 5 when 0 then 'model_last.pt' when 1 then 'pretrained_' || o_custkey || '.safetensors' when 2 then 'final_' || o_custkey || '.pt' when 3 then 'notes' || o_custkey else 'model_' || o_custkey || '.pt' end as name from orders),
-    k as (select name, nullif(regexp_replace(name, '[^0-9]', '', 'g'), '')::bigint as number, case when name = 'model_last.pt' then 2 when name like 'final%' then 1 when name like 'pretrained%' then 3 when name like 'model%' then 0 end as kind from f)
-    select name, number, row_number() over (order by kind, number desc nulls last, name)::int as place from k where kind is not null""")
+@query("""with f as (select distinct case o_custkey % 6 when 0 then 'model_last.pt' when 1 then 'pretrained_' || o_custkey || '.safetensors' when 2 then 'model_final.pt' when 3 then 'notes' || o_custkey when 4 then 'model_' || o_custkey || '0000000000000000000.pt' else 'model_0' || o_custkey || '.pt' end as name from orders),
+    k as (select name, nullif(regexp_replace(name, '[^0-9]', '', 'g'), '')::hugeint as number, case when name = 'model_last.pt' then 2 when name = 'model_final.pt' then 1 when name like 'pretrained%' then 3 when name like 'model%' then 0 end as kind from f)
+    select name, number::varchar as number, row_number() over (order by kind, number desc nulls last, name)::int as place from k where kind is not null""")
 def checkpoint_order(spark, sf_dir):
+    """Names as the trainer gives them, some with numbers beyond 64 bits."""
     k = F.col("o_custkey")
     s = k.cast("string")
-    name = F.when(k % 5 == 0, "model_last.pt").when(k % 5 == 1, F.concat(F.lit("pretrained_"), s, F.lit(".safetensors"))).when(k % 5 == 2, F.concat(F.lit("final_"), s, F.lit(".pt"))).when(k % 5 == 3, F.concat(F.lit("notes"), s)).otherwise(F.concat(F.lit("model_"), s, F.lit(".pt")))
+    name = F.when(k % 6 == 0, "model_last.pt").when(k % 6 == 1, F.concat(F.lit("pretrained_"), s, F.lit(".safetensors"))).when(k % 6 == 2, "model_final.pt").when(k % 6 == 3, F.concat(F.lit("notes"), s)).when(k % 6 == 4, F.concat(F.lit("model_"), s, F.lit("0" * 19 + ".pt"))).otherwise(F.concat(F.lit("model_0"), s, F.lit(".pt")))
     return scans.checkpoints(table(spark, sf_dir, "orders").select(F.concat(F.lit("/m/"), name).alias("path")).distinct())
 
 

@@ -72,20 +72,22 @@ def emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asr_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as a recogniser's segments, whole texts: a third of them without a list of words, some numbers missing."""
+    """Turns as a recogniser's segments, whole texts: a third of them without a list of words, some numbers missing, all kinds of white space at ends, some words of nothing else."""
     c = table(spark, sf_dir, "conversations")
     at = F.col("turn") * 1000.0
     word = lambda w, i: F.struct(
-        w.alias("word"), F.when(i % 7 != 3, at + i * 2.5).alias("s"), F.when(i % 7 != 3, at + i * 2.5 + 1 + i % 3).alias("e"), F.when(i % 5 != 0, (i % 8).cast("double") / 8).alias("prob"))
+        F.when(i % 11 == 5, F.lit("\n")).when(i % 11 == 7, F.concat(F.lit("\t"), w, F.lit("\u00a0\n"))).otherwise(w).alias("word"), F.when(i % 7 != 3, at + i * 2.5).alias("s"), F.when(i % 7 != 3, at + i * 2.5 + 1 + i % 3).alias("e"), F.when(i % 5 != 0, (i % 8).cast("double") / 8).alias("prob"))
     words = F.when(F.col("turn") % 3 != 1, F.transform(F.split("text", " "), word))
-    return c.select(F.col("conv_id").alias("source_id"), F.col("turn").alias("seg"), at.alias("s"), (at + 900).alias("e"), F.concat(F.lit(" "), "text", F.lit(" ")).alias("text"), F.when(F.col("turn") % 4 != 0, (F.col("turn") % 5).cast("double") / 5).alias("no_speech_prob"), F.lit(None).cast("double").alias("avg_logprob"), words.alias("words"))
+    return c.select(F.col("conv_id").alias("source_id"), F.col("turn").alias("seg"), at.alias("s"), (at + 900).alias("e"), F.concat(F.lit("\t "), "text", F.lit(" \r\n\u00a0")).alias("text"), F.when(F.col("turn") % 4 != 0, (F.col("turn") % 5).cast("double") / 5).alias("no_speech_prob"), F.lit(None).cast("double").alias("avg_logprob"), words.alias("words"))
 
 
-ASR_SQL = """
-    asr as (select conv_id as source_id, turn as seg, turn * 1000::double as s, turn * 1000::double + 900 as e, text, coalesce(case when turn % 4 <> 0 then (turn % 5)::double / 5 end, 0) as no_speech_prob, turn % 3 <> 1 as listed from conversations),
-    listed as (select source_id, seg, s as s0, e as e0, unnest(string_split(text, ' ')) as word, unnest(range(len(string_split(text, ' ')))) as i from asr where listed),
+_ENDS = r"^[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$"
+ASR_SQL = f"""
+    asr as (select conv_id as source_id, turn as seg, turn * 1000::double as s, turn * 1000::double + 900 as e, regexp_replace(text, '{_ENDS}', '', 'g') as text, text as t0, coalesce(case when turn % 4 <> 0 then (turn % 5)::double / 5 end, 0) as no_speech_prob, turn % 3 <> 1 as listed from conversations),
+    listed as (select source_id, seg, s as s0, e as e0, unnest(string_split(t0, ' ')) as w0, unnest(range(len(string_split(t0, ' ')))) as i from asr where listed),
+    stripped as (select *, case when i % 11 = 5 then '' else regexp_replace(w0, '{_ENDS}', '', 'g') end as word from listed),
     flat as (
-        select source_id, seg * 1048576 + i as ord, seg, trim(word) as text, case when i % 5 <> 0 then (i % 8)::double / 8 else 1 end as prob,
-            case when i % 7 <> 3 then s0 + i * 2.5::double else s0 end as s, case when i % 7 <> 3 then s0 + i * 2.5::double + 1 + i % 3 else e0 end as e from listed where trim(word) <> ''
-        union all select source_id, seg * 1048576, seg, trim(text), 1, s, e from asr where not listed and trim(text) <> ''
+        select source_id, seg * 1048576 + i as ord, seg, word as text, case when i % 5 <> 0 then (i % 8)::double / 8 else 1 end as prob,
+            case when i % 7 <> 3 then s0 + i * 2.5::double else s0 end as s, case when i % 7 <> 3 then s0 + i * 2.5::double + 1 + i % 3 else e0 end as e from stripped where word <> ''
+        union all select source_id, seg * 1048576, seg, text, 1, s, e from asr where not listed and text <> ''
     )"""

@@ -11,10 +11,17 @@ from ..functions.text import basename, sanitise_id, stem
 
 
 def recordings(spark: SparkSession, paths: str | list[str], pattern: str = "*", content: bool = False) -> DataFrame:
-    """(path, id) of files in order of path, each with an id of its own. A missing path raises."""
+    """(path, id) of files, each with an id of its own, in order of path; files that are listed by name come first, as they are listed. A missing path raises."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
     files = files.select("path", *(["content"] if content else [])).dropDuplicates(["path"])
-    return with_ids(files)
+    if isinstance(paths, str):
+        return with_ids(files)
+    whole = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    listed = {}
+    for k, p in enumerate(whole):
+        listed.setdefault(str(p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()), k)
+    places = spark.createDataFrame(list(listed.items()), "path string, _place long")
+    return with_ids(files.join(places, "path", "left").withColumn("_place", F.coalesce("_place", F.lit(len(paths)))), ["_place", "path"]).drop("_place")
 
 
 def discover(spark: SparkSession, override: list[str] | None = None, paths: list[str] | None = None, folder: str | None = None, path: str | None = None, pattern: str = "*", content: bool = False) -> DataFrame:
@@ -25,12 +32,13 @@ def discover(spark: SparkSession, override: list[str] | None = None, paths: list
     raise ValueError("no source is given")
 
 
-def with_ids(files: DataFrame) -> DataFrame:
-    """files (path, ...) with id: the sanitised stem, or with the first of _2, _3, ... that no file before has taken, in order of path.
+def with_ids(files: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """files (path, ...) with id: the sanitised stem, or with the first of _2, _3, ... that no file before has taken, in order of path or of the given columns.
 
     Ids can only meet where a stem is there twice, or is one with a number behind it; files of other stems keep theirs. The
     files of a stem and of those that begin with it and numbers are one ordered run where both kinds are there, else they are counted.
     """
+    order = order or ["path"]
     base = files.withColumn("_id", sanitise_id(stem(F.col("path"))))
     twice = base.groupBy("_id").count().where("count > 1").select(F.col("_id").alias("_root"))
     head, tail = F.regexp_extract("_id", r"^(.*?)((?:_\d+)*)$", 1), F.regexp_extract_all(F.regexp_extract("_id", r"^(.*?)((?:_\d+)*)$", 2), F.lit(r"_\d+"), F.lit(0))
@@ -39,14 +47,14 @@ def with_ids(files: DataFrame) -> DataFrame:
     named = base.join(roots, "_id", "left")
     kinds = roots.groupBy("_root").agg((F.count("*") > 1).alias("_mixed"))
     named = named.join(kinds, "_root", "left")
-    n = F.row_number().over(Window.partitionBy("_id").orderBy("path"))
+    n = F.row_number().over(Window.partitionBy("_id").orderBy(*order))
     counted = named.where(~F.coalesce("_mixed", F.lit(False))).withColumn("id", F.when(n == 1, F.col("_id")).otherwise(F.concat("_id", F.lit("_"), n.cast("string"))))
 
     def first_free(t: pa.Table) -> pa.Table:
         taken: set[str] = set()
         last: dict[str, int] = {}
         out = []
-        t = t.sort_by("path")
+        t = t.sort_by([(c, "ascending") for c in order])
         for name in t.column("_id").to_pylist():
             k, free = last.get(name, 1), name
             while free in taken:
@@ -58,7 +66,7 @@ def with_ids(files: DataFrame) -> DataFrame:
         return pa.table({"path": t.column("path"), "id": pa.array(out, pa.string())})
 
     met = named.where("_mixed")
-    ids = met.groupBy("_root").applyInArrow(lambda t: first_free(t.select(["path", "_id"])), "path string, id string")
+    ids = met.groupBy("_root").applyInArrow(lambda t: first_free(t.select([*dict.fromkeys(["path", *order]), "_id"])), "path string, id string")
     return counted.select(*files.columns, "id").unionByName(met.join(ids, "path").select(*files.columns, "id"))
 
 
@@ -101,10 +109,10 @@ def text_lines(spark: SparkSession, paths) -> DataFrame:
 
 def pipe_fields(line: Column) -> Column:
     """Fields of a line: | separates, a backslash takes the next character as it is, nothing is quoted."""
-    marked = F.regexp_replace(line, r"(?s)\\(.)|(\|)", "$1\u0001$2\u0002")  # after each: an escaped character, or a separator
-    whole = F.regexp_replace(marked, r"\u0001\u0002", "\u0003")  # an escaped character
-    cut = F.split(F.regexp_replace(whole, r"\u0001\|\u0002", "\u0004"), "\u0004", -1)
-    return F.transform(cut, lambda f: F.replace(f, F.lit("\u0003"), F.lit("")))
+    # U+0001 of the data becomes U+0001 a, so that U+0001 b can stand before an escaped separator or backslash.
+    x = F.regexp_replace(F.replace(line, F.lit("\u0001"), F.lit("\u0001a")), r"\\([\\|])", "\u0001b$1")
+    bare = lambda f: F.replace(F.regexp_replace(f, r"(?<!\u0001b)\\", ""), F.lit("\u0001b"), F.lit(""))
+    return F.transform(F.split(x, r"(?<!\u0001b)\|", -1), lambda f: F.replace(bare(f), F.lit("\u0001a"), F.lit("\u0001")))
 
 
 def pipe_table(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
@@ -113,13 +121,16 @@ def pipe_table(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return f.select(*[F.try_element_at("f", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
 
-def checkpoints(files: DataFrame) -> DataFrame:
-    """(name, number, place) of model files: numbered ones by falling number (all digits of the name), then final, last, pretrained."""
+def checkpoints(files: DataFrame, final: str = "model_final.pt", last: str = "model_last.pt", pretrained: str = "pretrained") -> DataFrame:
+    """(name, number, place) of model files: numbered ones by falling number (all digits of the name, however many), then the final and the last one, then
+    those whose names begin with `pretrained`. The list is one of files of a folder, short enough for one task."""
+    name = F.col("name")
     x = files.select(basename(F.col("path")).alias("name"))
-    number = F.nullif(F.regexp_replace("name", "[^0-9]", ""), F.lit("")).cast("bigint")
-    kind = F.when((F.col("name") == "model_last.pt"), 2).when(F.col("name").startswith("final"), 1).when(F.col("name").startswith("pretrained"), 3).when(F.col("name").rlike(r"^model_.*\.pt$") & number.isNotNull(), 0)
-    x = x.withColumn("kind", kind).where("kind is not null").withColumn("number", number)
-    return x.withColumn("place", F.row_number().over(Window.orderBy("kind", F.desc("number"), "name"))).select("name", "number", "place")
+    digits = F.nullif(F.regexp_replace(name, "[^0-9]", ""), F.lit(""))
+    number = F.when(digits.isNotNull(), F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0")))
+    kind = F.when(name == final, 1).when(name == last, 2).when(name.startswith("model_") & name.endswith(".pt") & digits.isNotNull(), 0).when(name.startswith(pretrained), 3)
+    x = x.withColumns({"kind": kind, "number": number}).where("kind is not null")
+    return x.withColumn("place", F.row_number().over(Window.orderBy("kind", F.length("number").desc_nulls_last(), F.col("number").desc_nulls_last(), "name"))).select("name", "number", "place")
 
 
 def resolve_checkpoint(listed: DataFrame, wanted: str, pretrained: str) -> DataFrame:

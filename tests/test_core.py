@@ -63,6 +63,41 @@ def test_text_forms(spark):
     assert one.select(text.for_alignment(F.lit("Ab|c-9"), "abc|-")).first()[0] == "abc-"
 
 
+def test_white_space_of_any_length(spark):
+    """Long runs take one pass: no pattern starts anew inside them, none recurses."""
+    blanks, n = " \u00a0\t" * 70_000, 200_000
+    df = spark.createDataFrame([(blanks + "a" + blanks + "." + blanks + "b" + blanks,), ("," * n,), ("a" + " .." * 60_000 + "!b",), ("\\|" * n + "|x",)], "t string")
+    got = df.select(text.strip(F.col("t")), text.pre_clean(F.col("t")), text.post_clean(F.col("t")), text.prepare_speech(F.col("t")), F.size(scans.pipe_fields(F.col("t")))).collect()
+    assert got[0][1:3] == ("a . b", "a. b.") and len(got[0][0]) == 2 * len(blanks) + 3 and got[0][3].startswith("a") and got[0][3].endswith("b")
+    assert got[1][2:4] == ("", "") and got[2][3] == "a. b" and got[3][4] == 2
+
+
+def test_clean_up_of_single_signs(spark):
+    cases = ["a1b", ". abc", ", . a", "a ,b", "a?,", "..a", "a . b , c", "ca-phê x-1 ½", "[nhạc] a-[music]b", "…… a.... b", "km² m³ ²", "", "  ", "é;b"]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    r = reading.Reader()
+    for native, plain in ((text.pre_clean, r.clean_before), (text.post_clean, r.clean_after)):
+        assert [x[0] for x in df.select(native(F.col("t"))).collect()] == [plain(c) for c in cases]
+    assert [r.clean_after(c) for c in cases[:7]] == ["a b.", ". abc.", "a.", "a, b.", "a?", ". a.", "a. b, c."]
+    said = {"a . . b": "a . . b", "a,.b": "a.b", "a, ?b": "a?b", "a !? b": "a. ? b", "a ... !, b": "a. b", "« a » b: ": "a.\x00 b.\x00", "a\r\n\n b…": "a\r\x00b."}
+    got = spark.createDataFrame([(k,) for k in said], "t string").select("t", text.prepare_speech(F.col("t")).alias("p")).collect()
+    assert {x["t"]: x["p"] for x in got} == said
+
+
+def test_numbers_of_any_length():
+    r = reading.Reader()
+    assert r("9" * 5000 + ",5").startswith("chín chín") and r("9" * 5000 + ",5").endswith("chín phẩy năm.") and r.whole("0005") == "năm" and r.whole("000") == "không"
+
+
+def test_listed_files_keep_their_place(spark, tmp_path):
+    for d in "ab":
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "x.wav").write_bytes(b"")
+    listed = [str(tmp_path / "b" / "x.wav"), str(tmp_path / "a" / "x.wav")]
+    ids = {r["path"].split("/")[-2]: r["id"] for r in scans.recordings(spark, listed).collect()}
+    assert ids == {"b": "x", "a": "x_2"}
+
+
 def test_running_is_a_plain_run(spark):
     r = random.Random(1)
     rows = [(r.randrange(2), i, r.choice([None, r.randrange(9)])) for i in range(300)]
@@ -153,10 +188,10 @@ def test_scans(spark, tmp_path):
     assert tuple(spark.range(1).select(scans.probe_summary(F.lit(probe)).alias("p")).select("p.*").first()) == ("aac", 44100, 2, 0, 3.5)
     (tmp_path / "m.csv").write_text("a\\|b|c\\\\d\n\nx|y|z\n")
     assert [tuple(r) for r in scans.pipe_table(spark, str(tmp_path / "m.csv"), ["p", "q"]).collect()] == [("a|b", "c\\d"), ("x", "y")]
-    names = spark.createDataFrame([(f"/m/{n}",) for n in ("model_last.pt", "model_9.pt", "model_1200.pt", "pretrained_x.pt", "final.pt", "note.txt")], "path string")
+    names = spark.createDataFrame([(f"/m/{n}",) for n in ("model_last.pt", "model_9.pt", "model_1200.pt", "pretrained_x.pt", "model_final.pt", "final.pt", "note.txt", "model_00123456789012345678901234567890.pt")], "path string")
     listed = scans.checkpoints(names)
-    assert [r["name"] for r in listed.orderBy("place").collect()] == ["model_1200.pt", "model_9.pt", "final.pt", "model_last.pt", "pretrained_x.pt"]
-    assert scans.resolve_checkpoint(listed, "model_9.pt", "p").first()[0] == "model_9.pt" and scans.resolve_checkpoint(listed, "no", "p").first()[0] == "model_1200.pt"
+    assert [r["name"] for r in listed.orderBy("place").collect()] == ["model_00123456789012345678901234567890.pt", "model_1200.pt", "model_9.pt", "model_final.pt", "model_last.pt", "pretrained_x.pt"]
+    assert scans.resolve_checkpoint(listed, "model_9.pt", "p").first()[0] == "model_9.pt" and scans.resolve_checkpoint(listed, "no", "p").first()[0] == "model_00123456789012345678901234567890.pt"
     lines = spark.createDataFrame([('{"text":"a","out":"o"}',), ("",), ("{bad",), ('{"action":"stop"}',)], "value string")
     assert [(r["kind"], r["speed"]) for r in scans.tasks(lines).collect()] == [("infer", 1.0), ("error", 1.0), ("stop", 1.0)]
     ps = spark.createDataFrame([("PID CPU S",), ("12 1.5 S",), (" 40 2.5 T+",)], "value string")
