@@ -121,7 +121,7 @@ def labelled(docs: DataFrame, labels: DataFrame, max_labelled: int, id_col: str
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, passes: int = 5, shards: int = 8, rates: Rates = Rates(), **columns) -> Model:
     """The model of at most max_labelled labelled rows; columns: id_col, text_col, label_id, label."""
-    sample = settled(labelled(docs, labels, max_labelled, **columns).select(F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order", "good", "text"), "labelled")
+    sample = settled(labelled(docs, labels, max_labelled, **columns).select(F.pmod("order", F.lit(shards)).cast("int").alias("shard"), "order", "good", "text"), "labelled").repartition(shards, "shard")
     model = Model.empty(rates)
     for _ in range(passes):
         sent = docs.sparkSession.sparkContext.broadcast(model)
