@@ -42,15 +42,15 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir. Where that is unset, one of this machine in local mode, as in tests, and an error on a cluster.
+    """A new folder under spark.checkpoint.dir. Where that is unset, one of this machine where all runs on it, as in tests, and an error on a cluster.
 
     What is made in a `scratch` block is removed at its end, all else when the application ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = f"file://{tempfile.gettempdir()}/cliploom"
+        root = f"file://{tempfile.gettempdir()}/cliploom"  # one machine, so all that run share it
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _made.append((spark, path))
     return path
@@ -87,10 +87,23 @@ def _remove_all() -> None:
         _remove(_made)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query that is run within go when it ends, not when the driver happens to collect garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: its lineage ends, and its size is known when joins are planned."""
+    """df written to the shared folder and read again: its lineage and its shuffle files end, and its size is known when joins are planned."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import SPACE_LIKE, U, Words, mix, planes, separators, slabs, unplanes
-from .frames import named, scratch, scratch_path, settled
+from .frames import named, scratch, scratch_path, settled, shuffles_dropped
 from .rounds import Batch, answer, ask, batches, by_bucket, finish, sizes
 
 K1, K2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
@@ -416,7 +416,8 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     with scratch(kept):
         out = _link(docs, k, percent, id_col, text_col, n_batches, n_buckets)
         kept.append(scratch_path(docs.sparkSession, "components"))
-        out.write.parquet(kept[0])
+        with shuffles_dropped(docs.sparkSession):
+            out.write.parquet(kept[0])
     return docs.sparkSession.read.schema(out.schema).parquet(kept[0])
 
 
@@ -440,7 +441,8 @@ def _link(docs, k, percent, id_col, text_col, n_batches, n_buckets) -> DataFrame
     sent = ask(rows, words, first)
     second = answer(sent, 2, _meet)
     out = finish(rows, first.unionByName(second), lambda b, got: _documents(b, k, bands, n_buckets, got), MEETING)
-    out.unionByName(sent.groupBy("bucket").applyInArrow(_lists, MEETING)).write.partitionBy("kind").parquet(folder)
+    with shuffles_dropped(spark):
+        out.unionByName(sent.groupBy("bucket").applyInArrow(_lists, MEETING)).write.partitionBy("kind").parquet(folder)
     found = spark.read.schema(MEETING).parquet(folder)
     documents = found.where("kind = 'document'").select("doc_id", "n", "rep", "sketch", "shingles")
     sets = documents.where("shingles is not null").select("doc_id", "n", "sketch", "shingles")
