@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .running import running
+from .selection import medians
 
 CHUNK = 4096.0  # seconds or places of one chunk of an ordered run
 
@@ -57,7 +58,10 @@ def islands(frames: DataFrame, quiet: Column, step: float = 0.01, min_length: fl
 
 def reference_level(frames: DataFrame, offset: float = 25.0) -> DataFrame:
     """The median level of frames inside speech, else of all, less an offset, for each source."""
-    return frames.groupBy("source_id").agg((F.coalesce(F.median(F.when(F.col("inside"), F.col("level"))), F.median("level")) - offset).alias("threshold"))
+    both = frames.select("source_id", F.explode(F.when(F.col("inside"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("_all"), "level")
+    m = medians(both, ["source_id", "_all"], "level")
+    found = m.groupBy("source_id").agg(F.min_by("median", "_all").alias("_m"))
+    return frames.select("source_id").distinct().join(found, "source_id", "left").select("source_id", (F.col("_m") - offset).alias("threshold"))
 
 
 def noise_budget(regions: DataFrame, budget: float = 30.0, min_length: float = 0.30, trim: float = 0.05, min_trimmed: float = 0.1) -> DataFrame:
@@ -107,7 +111,8 @@ def word_rate(text: str = "text", s: str = "rs", e: str = "re") -> Column:
 
 def rate_limits(words: DataFrame, factor: float = 2.0, floor: float = 0.12) -> DataFrame:
     """Twice the median rate of each source, at least the floor."""
-    return words.groupBy("source_id").agg(F.greatest(F.lit(floor), F.median(word_rate()) * factor).alias("limit"))
+    m = medians(words.select("source_id", word_rate().alias("_rate")), ["source_id"], "_rate")
+    return words.select("source_id").distinct().join(m, "source_id", "left").select("source_id", F.greatest(F.lit(floor), F.col("median") * factor).alias("limit"))
 
 
 def cut_points(silences: DataFrame, words: DataFrame, limits: DataFrame, pad: float = 0.08, most: float = 0.8, width: float = 60.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running import running
+from .selection import nearest_ranks, percentiles
 
 
 def source_rollup(accepted: DataFrame, sources: DataFrame) -> DataFrame:
@@ -14,24 +14,15 @@ def source_rollup(accepted: DataFrame, sources: DataFrame) -> DataFrame:
     return sources.select("source_id").distinct().join(a, "source_id", "left").select("source_id", F.coalesce("clips", F.lit(0)).alias("clips"), F.coalesce("ms", F.lit(0)).alias("ms"))
 
 
-def nearest_rank(df: DataFrame, value: str, points=(0.0, 0.1, 0.5, 0.9, 1.0), chunk: float = 1000.0) -> DataFrame:
-    """(p, value) at the sorted place round-half-even(p * (n - 1)); no rows for an empty input.
-
-    Values are counted first, so the ordered step is over distinct values, in chunks of the value axis.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    upto = running(counts, [], ["_v"], "_n", "sum", F.floor(F.col("_v") / chunk), "_upto")
-    p = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(float(x)) for x in points])).alias("p"))
-    wanted = p.crossJoin(total).where("_total is not null").select("p", F.bround(F.col("p") * (F.col("_total") - 1)).cast("long").alias("_k"))
-    # five wanted places at most meet each distinct value
-    return upto.join(F.broadcast(wanted), F.col("_upto") > F.col("_k")).groupBy("p").agg(F.min("_v").alias("value"))
+def nearest_rank(df: DataFrame, value: str, points=(0.0, 0.1, 0.5, 0.9, 1.0)) -> DataFrame:
+    """(p, value) at the sorted place round-half-even(p * (n - 1)); no rows for an empty input."""
+    return nearest_ranks(df, [], value, points).select("p", "value")
 
 
 def linear_spread(df: DataFrame, value: str, low: float = 0.08, high: float = 0.92) -> DataFrame:
     """n and the difference of two linear percentiles; 0 under 8 rows."""
-    x = df.agg(F.count(value).alias("n"), F.percentile(value, F.lit(high)).alias("h"), F.percentile(value, F.lit(low)).alias("l"))
-    return x.select("n", F.when(F.col("n") < 8, 0.0).otherwise(F.col("h") - F.col("l")).alias("spread"))
+    x = percentiles(df, [], value, (low, high)).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), (F.max("value") - F.min("value")).alias("spread"))
+    return x.select("n", F.when(F.col("n") < 8, 0.0).otherwise(F.col("spread")).alias("spread"))
 
 
 def split(accepted: DataFrame, key: str, seed: int = 1234, ratio: float = 0.02, most: int = 100) -> DataFrame:

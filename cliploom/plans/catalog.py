@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import reading, text
-from ..operators import ctc, edits, grouping, intervals, quality, rollup, transcripts
-from ..sources import scans, sinks
+from ..functions import reading, signal, text
+from ..functions.text import basename
+from ..operators import ctc, edits, frames, grouping, intervals, quality, rollup, transcripts
+from ..sources import scans, sinks, wav_blocks
 from ..streaming import jobs
 from . import fixtures
 from .fixtures import ASR_SQL, CLIPS_SQL, INTERVALS_SQL, table
@@ -613,6 +617,80 @@ def regroup_words(spark, sf_dir):
     return x.select("source_id", "seg", "s", "e", F.coalesce(F.size("words"), F.lit(0)).alias("n_words"), F.array_join(F.col("words.text"), " ").alias("words"))
 
 
+@query(f"""with {fixtures.blocks_sql(16)},
+    f as (select source_id, unnest([i // 10, i // 10 - 1]) as frame, x from wave)
+    select source_id, frame, floor(10 * log10(avg(x * x) + 1e-12) * 1e4 + 0.5) / 1e4 as level from f where frame >= 0 group by 1, 2 having count(*) = 20
+    union all select source_id, 0, -120 from totals where total < 20""")
+def block_levels(spark, sf_dir):
+    """Windows of 20 samples every 10 over blocks of 64, so that every block's edge is crossed."""
+    x = frames.frame_levels(fixtures.blocks(spark, sf_dir, 16, 1000, 64))
+    return x.withColumn("level", F.floor(F.col("level") * 1e4 + 0.5) / 1e4)
+
+
+@query(f"""with {fixtures.blocks_sql(16)},
+    f as (select source_id, unnest([i // 10, i // 10 - 1]) as frame, x from wave),
+    l as (select source_id, frame, 10 * log10(avg(x * x) + 1e-12) as level from f where frame >= 0 group by 1, 2 having count(*) = 20),
+    q as (select source_id, count(*) as n, quantile_cont(level, 0.92) - quantile_cont(level, 0.08) as snr, max(level) - 40 as low from l group by 1),
+    v as (select source_id, min(frame) * 10 - 30 as a, max(frame) * 10 + 50 as z from l join q using (source_id) where level > low group by 1)
+    select totals.source_id, floor(case when n >= 8 then snr else 0 end * 1e3 + 0.5) / 1e3 as snr_db, case when coalesce(n, 0) < 3 then 0 else greatest(0, a) end as "begin", case when coalesce(n, 0) < 3 then total else least(total, z) end as "end"
+    from totals left join q using (source_id) left join v using (source_id)""")
+def block_speech(spark, sf_dir):
+    """Signal to noise and the span of voice of each recording, from its levels."""
+    b = fixtures.blocks(spark, sf_dir, 16, 1000, 64)
+    levels = frames.frame_levels(b)
+    x = frames.signal_to_noise(levels).join(frames.voiced_span(levels, b.groupBy("source_id", "rate").agg(F.max("total").alias("total"))), "source_id")
+    return x.withColumn("snr_db", F.floor(F.col("snr_db") * 1e3 + 0.5) / 1e3)
+
+
+_RATE = 4000
+_K1, _K2 = "tan(pi() * 1681.974450955533 / 4000)", "tan(pi() * 38.13547087602444 / 4000)"
+
+
+@query(f"""with recursive {fixtures.blocks_sql(2)},
+    c as (select {_K1} as k, pow(10, 3.999843853973347 / 20) as h, pow(pow(10, 3.999843853973347 / 20), 0.4996667741545416) as b, 0.7071752369554196 as q, {_K2} as k2, 0.5003270373238773 as q2),
+    co as (select (h + b * k / q + k * k) / (1 + k / q + k * k) as b0, 2 * (k * k - h) / (1 + k / q + k * k) as b1, (h - b * k / q + k * k) / (1 + k / q + k * k) as b2, 2 * (k * k - 1) / (1 + k / q + k * k) as a1, (1 - k / q + k * k) / (1 + k / q + k * k) as a2,
+        2 * (k2 * k2 - 1) / (1 + k2 / q2 + k2 * k2) as e1, (1 - k2 / q2 + k2 * k2) / (1 + k2 / q2 + k2 * k2) as e2 from c),
+    run(source_id, i, z1, z2, z3, z4, y) as (
+        select source_id, -1::bigint, 0::double, 0::double, 0::double, 0::double, 0::double from totals
+        union all
+        select source_id, i, b1 * x - a1 * u + z2, b2 * x - a2 * u, -2 * u - e1 * (u + z3) + z4, u - e2 * (u + z3), u + z3
+        from (select w.source_id, w.i, w.x, b0 * w.x + z1 as u, z1, z2, z3, z4, co.* from run join wave w on w.source_id = run.source_id and w.i = run.i + 1, co)),
+    s as (select source_id, i // 400 as step, avg(y * y) as p from run where i >= 0 group by 1, 2 having count(*) = 400),
+    g as (select source_id, g, avg(p) as p from (select source_id, p, unnest(range(step - 3, step + 1)) as g from s) group by 1, 2 having count(*) = 4),
+    h1 as (select * from g where -0.691 + 10 * log10(p) > -70),
+    h2 as (select h1.source_id, -0.691 + 10 * log10(avg(p)) as lufs from h1 join (select source_id, -10.691 + 10 * log10(avg(p)) as low from h1 group by 1) t on t.source_id = h1.source_id where -0.691 + 10 * log10(p) > low group by 1),
+    top as (select source_id, max(abs(x)) as top, count(*) / 4000 as sec from wave group by 1),
+    w as (select source_id, lufs, top, case when sec >= 0.5 and lufs is not null then pow(10, (-23 - lufs) / 20) else 1 end as wanted from top left join h2 using (source_id))
+    select source_id, floor(lufs * 1e4 + 0.5) / 1e4 as lufs, floor(case when top * wanted > pow(10, -1.5 / 20) then pow(10, -1.5 / 20) / top else wanted end * 1e6 + 0.5) / 1e6 as gain from w""")
+def block_loudness(spark, sf_dir):
+    """Integrated loudness and gain of each recording, against the filter's recursion sample by sample."""
+    b = fixtures.blocks(spark, sf_dir, 2, _RATE, 1000)
+    x = frames.loudness(b).join(frames.gains(b), "source_id")
+    return x.select("source_id", (F.floor(F.col("lufs") * 1e4 + 0.5) / 1e4).alias("lufs"), (F.floor(F.col("gain") * 1e6 + 0.5) / 1e6).alias("gain"))
+
+
+@query("""with s as (select event_id % 5 as k, event_id // 5 as i, floor(value)::bigint % 30000 as v from events), t as (select k, count(*) as total from s group by 1)
+    select 'r' || k || '.wav' as name, i // 100 as block, (i // 100 * 100) / 100::double as start, least(total, i // 100 * 100 + 100) / 100::double as "end", sum(v)::double as level, count(*)::int as n
+    from s join t using (k) where k <> 3 and i // 100 * 100 / 100::double < 30 and least(total, i // 100 * 100 + 100) / 100::double > 0.5 group by k, i // 100, total""")
+def wav_range_scan(spark, sf_dir):
+    """Recordings of event values, written as files under a commit, and a stretch of all but one read back by byte range."""
+    e = table(spark, sf_dir, "events").select((F.col("event_id") % 5).alias("k"), F.col("event_id").alias("i"), (F.floor("value") % 30000).cast("int").alias("v"))
+    content = F.udf(lambda x: signal.write_wav(np.array(x) / 32767, 100), "binary")  # a fixture: one value a file
+    files = e.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("s")).select(F.concat(F.lit("r"), F.col("k").cast("string"), F.lit(".wav")).alias("name"), content("s.v").alias("content"))
+    folder = _shared(spark, "recordings")
+    wav_blocks.save_files(files, folder)
+    x = wav_blocks.blocks(spark, folder, seconds=1.0, split_bytes=1 << 12).where((F.col("start") < 30) & (F.col("end") > 0.5)).withColumn("name", basename(F.col("path"))).where("name <> 'r3.wav'")
+    return x.select("name", "block", "start", "end", F.aggregate("samples", F.lit(0.0), lambda a, v: a + v.cast("double") * 32768).alias("level"), F.size("samples").alias("n"))
+
+
+def _shared(spark, name: str) -> str:
+    """A new folder that all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or (f"file://{tempfile.gettempdir()}/cliploom" if spark.sparkContext.master.startswith("local[") else None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

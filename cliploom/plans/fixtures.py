@@ -91,3 +91,17 @@ ASR_SQL = f"""
             case when i % 7 <> 3 then s0 + i * 2.5::double else s0 end as s, case when i % 7 <> 3 then s0 + i * 2.5::double + 1 + i % 3 else e0 end as e from stripped where word <> ''
         union all select source_id, seg * 1048576, seg, text, 1, s, e from asr where not listed and text <> ''
     )"""
+
+
+def blocks(spark: SparkSession, sf_dir: str, sources: int, rate: int, length: int) -> DataFrame:
+    """Event values as the samples of so many recordings, in blocks of `length`."""
+    e = table(spark, sf_dir, "events").select((F.col("event_id") % sources).cast("string").alias("source_id"), F.floor(F.col("event_id") / sources).alias("i"), ((F.col("value") - 50) / 512).cast("float").alias("x"))
+    b = e.groupBy("source_id", F.floor(F.col("i") / length).alias("block")).agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("s"))
+    total = e.groupBy("source_id").agg(F.count("*").alias("total"))
+    return b.join(total, "source_id").select("source_id", F.lit(rate).alias("rate"), "total", "block", (F.col("block") * length).alias("first"), F.col("s.x").alias("samples"))
+
+
+def blocks_sql(sources: int) -> str:
+    return f"""
+    wave as (select (event_id % {sources})::varchar as source_id, event_id // {sources} as i, ((value - 50) / 512)::float::double as x from events),
+    totals as (select source_id, count(*) as total from wave group by 1)"""

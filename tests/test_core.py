@@ -400,3 +400,28 @@ def test_discovery_takes_the_first_that_is_given(spark, tmp_path):
     assert got(folder=folder) == ["a", "b"] and got(paths=[a], folder=folder) == ["a"] and got(override=[f"{tmp_path}/b.wav"], paths=[a]) == ["b"] and got(path=a) == ["a"]
     with pytest.raises(ValueError):
         scans.discover(spark)
+
+
+def test_selection_is_that_of_sorted_values(spark):
+    from cliploom.operators import selection
+
+    r, points = random.Random(1), (0.0, 0.08, 0.1, 0.5, 0.92, 1.0)
+    rows = [(k, r.choice([0.0, -0.0, 1.5, -2.25, 1e300, -1e-300, r.gauss(0, 1), r.gauss(0, 1), None])) for k in ("a", "b", None) for _ in range(500)] + [("c", 3.0), ("d", None)]
+    df, values = spark.createDataFrame(rows, "k string, v double"), {k: np.sort([v for q, v in rows if q == k and v is not None]) for k in ("a", "b", None, "c")}
+    got = {(x["k"], x["p"]): x["value"] for x in selection.percentiles(df, ["k"], "v", points).collect()}
+    assert got.keys() == {(k, p) for k in values for p in points} and all(np.isclose(got[k, p], np.percentile(v, 100 * p), rtol=1e-12) for k, v in values.items() for p in points)
+    near = {(x["k"], x["p"]): x["value"] for x in selection.nearest_ranks(df, ["k"], "v", points).collect()}
+    assert near == {(k, p): v[round(p * (len(v) - 1))] for k, v in values.items() for p in points}
+    for most in (10, 1000):
+        assert {x["k"]: x["median"] for x in selection.medians(df, ["k"], "v", most).collect()} == {k: np.median(v) for k, v in values.items()}
+
+
+def test_many_values_of_a_key_lie_over_many_tasks(spark):
+    """100,000 distinct durations: the ordered step of a round has some thousand counts, not all values."""
+    from cliploom.operators import selection
+
+    df = spark.range(100_000).select((F.col("id") * 0.00015).alias("v")).repartition(4)
+    out = selection.nearest_ranks(df, [], "v", (0.5,))
+    assert out.first()["value"] == 50_000 * 0.00015
+    first_digits = df.select(F.shiftrightunsigned(selection.sortable(F.col("v")), 42).alias("d")).distinct().count()
+    assert 1000 < first_digits < 20_000
