@@ -481,4 +481,5 @@ def _link(docs, k, percent, id_col, text_col, n_batches, n_buckets) -> DataFrame
 def one_of_each(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are the least doc_id of their component, all columns as they are; rows of null doc_id stay."""
     keep = link_components(docs, k, percent, id_col, text_col).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_linked")).distinct()
+    keep = F.broadcast(keep) if keep.count() <= MOST_SENT else keep  # ids alone, so the texts need not be shuffled
     return docs.join(keep, named(docs, id_col).cast("long") == keep["_linked"], "left_anti")
