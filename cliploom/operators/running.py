@@ -6,9 +6,22 @@ key; and each row adds what came before its chunk.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df as a checkpoint in the folder of spark.checkpoint.dir, where what it is made of is used more than once; without that setting a local session takes a folder of its own."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="cliploom-"))
+    return df.checkpoint()
+
+
 HOW = {"sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))), "max": (F.max, F.greatest), "last": (lambda c: F.last(c, ignorenulls=True), lambda a, b: F.coalesce(b, a))}
 
 

@@ -425,3 +425,35 @@ def test_many_values_of_a_key_lie_over_many_tasks(spark):
     assert out.first()["value"] == 50_000 * 0.00015
     first_digits = df.select(F.shiftrightunsigned(selection.sortable(F.col("v")), 42).alias("d")).distinct().count()
     assert 1000 < first_digits < 20_000
+
+
+def test_pointers_equal_the_folds(spark, monkeypatch):
+    from cliploom.operators import jumps
+
+    monkeypatch.setattr(jumps, "FAN", 4)
+    r = random.Random(9)
+    spans = [(k, b := r.randrange(0, 40_000) / 10, b + r.choice([0.2, 0.4, 0.8, 3.0])) for k in (1, 2, 3, 4) for _ in range(400 if k < 3 else 3)]
+    s = spark.createDataFrame(spans, "source_id long, s double, e double")
+    t = spark.createDataFrame([(1, 4100.0), (2, 4003.0), (3, 4000.0), (4, 10.0), (5, 7.0)], "source_id long, total double")
+    want = sorted(map(tuple, grouping.chunk_bounds(s, t).collect()))
+    assert sorted(map(tuple, grouping.chunk_bounds(s, t, most=2).collect())) == want
+    mid = s.where("e - s >= 0.4").select("source_id", ((F.col("s") + F.col("e")) / 2).alias("t"))
+    assert sorted(map(tuple, grouping.pointed_bounds(mid, t, 20.0, width=90.0).collect())) == [w for w in want if w[0] < 5]
+    pieces = [(k, o * 3, r.choice(["", " "]) + "aé"[r.randrange(2)] * r.choice([0, 1, 2, 5, 9, 30])) for k in (1, 2, 3) for o in range(300 if k < 3 else 1)]
+    p = spark.createDataFrame(pieces, "source_id long, ord long, text string")
+    want = sorted(map(tuple, grouping.pack_bytes(p, 20).collect()))
+    assert want and sorted(map(tuple, grouping.pack_bytes(p, 20, most=2).collect())) == want
+    clean = p.select(F.col("source_id").alias("k"), F.col("ord").alias("o"), F.trim("text").alias("t")).where("t <> ''")
+    assert sorted(map(tuple, grouping.pointed_packs(clean, 20, width=64.0, chunk=16).collect())) == want
+
+
+def test_one_source_of_a_million(spark):
+    """All silences of one source: the same bounds as a plain loop."""
+    s = spark.range(1_000_000).select(F.lit(1).cast("long").alias("source_id"), (F.col("id") * 3 + F.col("id") % 7).cast("double").alias("s")).withColumn("e", F.col("s") + 1)
+    got = sorted((x["n"], x["bound"]) for x in grouping.chunk_bounds(s, spark.createDataFrame([(1, 3_000_010.0)], "source_id long, total double")).collect())
+    want = [0.0]
+    for t in sorted(i * 3 + i % 7 + 0.5 for i in range(1_000_000)):
+        if t - want[-1] >= 20:
+            want.append(t)
+    want = [*want[:-1], 3_000_010.0] if 3_000_010.0 - want[-1] < 10 else [*want, 3_000_010.0]
+    assert [b for _, b in got] == want and [n for n, _ in got] == list(range(len(want)))
