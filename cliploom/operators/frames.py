@@ -31,19 +31,21 @@ def with_halo(blocks: DataFrame, left: int | Column = 0, right: int | Column = 0
     return x
 
 
-def _each(blocks: DataFrame, kernel, schema: str) -> DataFrame:
-    """kernel(row) gives columns of numpy arrays for a block's row, besides source_id."""
+def _each(blocks: DataFrame, kernel, schema: str, block: bool = False, threshold: bool = False) -> DataFrame:
+    """kernel(row) gives columns, as arrays, for a block's row, besides source_id. block, threshold: whether it is given these columns too."""
+    arrays = ["samples", "before", "after", *["threshold"] * threshold]
+    values = ["first", "rate", "total", *["block"] * block]
 
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
                 r = {c: b.column(c)[i] for c in b.schema.names}
-                wave = {k: np.asarray(r[k].values) if r[k].is_valid else np.zeros(0, np.float32) for k in ("samples", "before", "after")}
-                out = kernel(**wave, first=r["first"].as_py(), rate=r["rate"].as_py(), total=r["total"].as_py())
+                given = {k: np.asarray(r[k].values) if r[k].is_valid else np.zeros(0, np.float32) for k in arrays} | {k: r[k].as_py() for k in values}
+                out = {k: pa.array(v) if isinstance(v, np.ndarray) else v for k, v in kernel(**given).items()}
                 n = len(next(iter(out.values())))
-                yield pa.RecordBatch.from_arrays([pa.array([r["source_id"].as_py()] * n, pa.string()), *map(pa.array, out.values())], ["source_id", *out])
+                yield pa.RecordBatch.from_arrays([pa.array([r["source_id"].as_py()] * n, pa.string()), *out.values()], ["source_id", *out])
 
-    return blocks.select("source_id", "rate", "total", "first", "samples", "before", "after").mapInArrow(run, schema)
+    return blocks.select("source_id", *values, *arrays).mapInArrow(run, schema)
 
 
 def _windows(samples: np.ndarray, after: np.ndarray, first: int, total: int, size: int, hop: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:

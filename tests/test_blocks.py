@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import GreaterThan, LessThan
 
 from cliploom.functions import signal
-from cliploom.operators import frames
+from cliploom.operators import filters, frames
 from cliploom.sources import wav_blocks
 
 
@@ -116,3 +116,62 @@ def test_loudness_of_known_tones(spark):
     assert abs(again["full"] + 23) < 0.05 and abs(again["low"] + 23) < 0.05
     halves = {r["source_id"]: r["lufs"] for r in frames.loudness(table(spark, waves, rate, rate // 3 + 7)).collect()}
     assert all(abs(halves[k] - v) < 1e-6 for k, v in got.items() if v is not None)
+
+
+def waves_of(df):
+    out = {}
+    for r in df.orderBy("source_id", "block").collect():
+        assert len(out.setdefault(r["source_id"], [])) == r["first"]
+        out[r["source_id"]] += r["samples"]
+    return {k: np.array(v) for k, v in out.items()}
+
+
+def level(x):
+    return 10 * np.log10(np.mean(np.square(x)) + 1e-20)
+
+
+def test_another_rate(spark):
+    rate = 44_100
+    waves = {"low": sine(1.0, rate, 1000.0), "high": sine(1.0, rate, 9000.0), "same": sine(0.01, rate, 500.0)}
+    got = waves_of(filters.resampled(table(spark, waves, rate, 10_000), 16_000))
+    cut = waves_of(filters.resampled(table(spark, waves, rate, 4_321), 16_000))
+    assert all(len(got[k]) == -(-len(x) * 160 // 441) and np.allclose(got[k], cut[k], atol=1e-6) for k, x in waves.items())
+    middle = slice(1000, -1000)
+    assert level(got["high"][middle]) < -80  # would be an alias at 7 kHz
+    assert level(got["low"][middle] - sine(1.0, 16_000, 1000.0)[middle]) < -80
+    up = waves_of(filters.resampled(table(spark, {"a": sine(0.5, 8_000, 1000.0)}, 8_000, 999), 22_050))["a"]
+    assert len(up) == -(-4000 * 22_050 // 8_000) and level(up[middle] - sine(0.5, 22_050, 1000.0)[middle]) < -80
+    assert np.array_equal(waves_of(filters.resampled(table(spark, {"a": waves["low"]}, rate, 10_000), rate))["a"].astype(np.float32), waves["low"])
+
+
+def test_high_pass_and_head(spark):
+    rate = 8_000
+    waves = {"hum": sine(1.0, rate, 10.0), "voice": sine(1.0, rate, 1000.0)}
+    got = waves_of(filters.high_passed(table(spark, waves, rate, 3_000), 60.0))
+    turn = 2 * np.pi * 60 / rate
+    side, c = np.sin(turn) * 2**-0.5, np.cos(turn)
+    for k, x in waves.items():
+        y = np.zeros(len(x) + 2)
+        z = np.concatenate([[0, 0], x])
+        for i in range(2, len(z)):
+            y[i] = ((1 + c) / 2 * (z[i] - 2 * z[i - 1] + z[i - 2]) + 2 * c * y[i - 1] - (1 - side) * y[i - 2]) / (1 + side)
+        assert np.allclose(got[k], y[2:], atol=1e-6)
+    some = waves_of(filters.decoded(table(spark, waves, rate, 3_000), rate=4_000, seconds=0.5))
+    assert {k: len(v) for k, v in some.items()} == {"hum": 2_000, "voice": 2_000}
+
+
+def test_less_noise(spark):
+    r, rate = np.random.default_rng(5), 16_000
+    noise = r.normal(0, 0.01, 4 * rate).astype(np.float32)
+    tone = np.concatenate([np.zeros(2 * rate), 0.3 * sine(2.0, rate, 1000.0)]).astype(np.float32)
+    b = table(spark, {"a": noise + tone, "none": noise}, rate, rate)
+    profile = filters.noise_profile(b.where("source_id = 'a' and block < 2"))
+    got = waves_of(filters.denoised(b, profile))
+    quiet, loud = slice(rate // 2, 3 * rate // 2), slice(5 * rate // 2, 7 * rate // 2)
+    assert level(got["a"][quiet]) < level(noise[quiet]) - 10
+    assert abs(level(got["a"][loud]) - level(tone[loud])) < 0.3 and level(got["a"][loud] - tone[loud]) < level(noise[loud]) - 6
+    assert np.allclose(got["none"], noise, atol=1e-7)
+    other = waves_of(filters.denoised(table(spark, {"a": noise + tone}, rate, 7_777), profile))
+    assert np.allclose(other["a"], got["a"], atol=1e-5)
+    clear = waves_of(filters.denoised(b, profile.withColumn("threshold", F.transform("threshold", lambda t: t - 1000)), steps=0))
+    assert np.allclose(clear["a"], noise + tone, atol=1e-5)  # all bands are heard: the frames add up to what was there
