@@ -22,7 +22,8 @@ def sha(b):
     return hashlib.sha256(b).hexdigest()
 
 
-def brute_bytes(rows, length):
+def brute_gone(rows, length):
+    """For each row its bytes, and which of them go."""
     key = lambda d: -(10**30) if d is None else d
     raw = [(d, (t or "").encode()) for d, t in rows]
     first = {}
@@ -30,17 +31,33 @@ def brute_bytes(rows, length):
         for i in range(len(t) - length + 1):
             s = t[i : i + length]
             first[s] = min(first.get(s, key(d)), key(d))
-    out = []
     for d, t in raw:
         gone = bytearray(len(t))
         for i in range(len(t) - length + 1):
             if first[t[i : i + length]] < key(d):
                 gone[i : i + length] = b"\1" * length
+        yield d, t, gone
+
+
+def brute_bytes(rows, length):
+    out = []
+    for d, t, gone in brute_gone(rows, length):
         spans = sum(1 for i in range(len(t)) if gone[i] and not (i and gone[i - 1]))
         out.append((d, len(t), sum(gone), spans, sha(bytes(c for c, g in zip(t, gone) if not g))))
     return out
 
 
+def brute_text(rows, length):
+    """What is left of each text; a character of which a byte goes, goes."""
+    for d, t, gone in brute_gone(rows, length):
+        out, at = "", 0
+        for c in t.decode():
+            n = len(c.encode())
+            out += "" if any(gone[at : at + n]) else c
+            at += n
+        yield d, out
+
+
 @pytest.mark.parametrize("options", [{"length": 50}, {"length": 50, "n_batches": 1, "n_buckets": 1}, {"length": 9}])
 def test_suffix(spark, rows, options):
     got = deduplicate(frame(spark, rows), digest=True, **options).collect()
