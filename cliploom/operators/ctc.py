@@ -58,7 +58,7 @@ def viterbi(logp: np.ndarray, tokens: np.ndarray, blank: int = 0) -> np.ndarray
     path = np.empty(t_max, np.int64)
     for t in range(t_max - 1, -1, -1):
         path[t] = at
-        at -= back[t, at]
+        at -= int(back[t, at])
     out = np.zeros((n, 3))
     for k in range(n):
         hit = np.flatnonzero(path == 2 * k + 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reading, signal, text
 from ..functions.text import basename
-from ..operators import ctc, edits, frames, grouping, intervals, quality, rollup, transcripts
+from ..operators import alignment, ctc, edits, frames, grouping, intervals, quality, rollup, transcripts
 from ..sources import scans, sinks, wav_blocks
 from ..streaming import jobs
 from . import fixtures
@@ -683,6 +683,23 @@ def wav_range_scan(spark, sf_dir):
     return x.select("name", "block", "start", "end", F.aggregate("samples", F.lit(0.0), lambda a, v: a + v.cast("double") * 32768).alias("level"), F.size("samples").alias("n"))
 
 
+@query(f"""with {fixtures.SPOKEN_SQL}
+    select source_id, seg * 1000000 + k as ord, seg % 5 <> 3 as realigned, floor((case when seg % 5 <> 3 then begin * 0.02::double else begin * 0.02::double + 0.3 end) * 1e3 + 0.5) / 1e3 as s,
+        floor((case when seg % 5 <> 3 then (begin + 2 * length(text) - 1) * 0.02::double else (begin + 2 * length(text) - 1) * 0.02::double + 0.4 end) * 1e3 + 0.5) / 1e3 as e, case when seg % 5 <> 3 then 0.9988::double end as ctc_score from spoken""")
+def chunk_alignment(spark, sf_dir):
+    """Words of whole texts by chunk; those of chunks without frames keep their times."""
+    words, heard, bounds = fixtures.spoken(spark, sf_dir)
+    x = alignment.aligned_words(words, heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP)
+    return x.select("source_id", "ord", "realigned", transcripts.rounded(F.col("s"), 3).alias("s"), transcripts.rounded(F.col("e"), 3).alias("e"), "ctc_score")
+
+
+@query(f"""with {fixtures.SPOKEN_SQL}, w as (select source_id, count(*) as words, count(*) filter (seg % 5 <> 3) as realigned, count(distinct seg) filter (seg % 5 = 3) as failed from spoken group by 1)
+    select p.source_id, count(*) as chunks, coalesce(any_value(failed), 0) as failed_chunks, coalesce(any_value(words), 0) as words, coalesce(any_value(realigned), 0) as realigned from placed p left join w on w.source_id = p.source_id group by 1""")
+def alignment_counters(spark, sf_dir):
+    words, heard, bounds = fixtures.spoken(spark, sf_dir)
+    return alignment.counters(alignment.aligned_words(words, heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP), bounds)
+
+
 def _shared(spark, name: str) -> str:
     """A new folder that all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or (f"file://{tempfile.gettempdir()}/cliploom" if spark.sparkContext.master.startswith("local[") else None)

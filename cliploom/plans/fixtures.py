@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -105,3 +105,33 @@ def blocks_sql(sources: int) -> str:
     return f"""
     wave as (select (event_id % {sources})::varchar as source_id, event_id // {sources} as i, ((value - 50) / 512)::float::double as x from events),
     totals as (select source_id, count(*) as total from wave group by 1)"""
+
+
+#: Seconds of a frame, and frames of silence before each turn, of the spoken fixture; every fifth turn has no frames.
+STEP, SILENT = 0.02, 300
+SPOKEN_VOCAB = {c: k for k, c in enumerate("_|abcdefghijklmnopqrstuvwxyz")}
+
+
+def spoken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Turns as if read letter by letter, a letter or a gap between words every other frame: words with times that are somewhat late, frames of scores, bounds in the middle of silences."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source_id"), "turn", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w"))
+    c = c.withColumn("n", F.lit(2) * F.greatest(F.lit(0), F.length(F.array_join("w", "|"))))
+    order = Window.partitionBy("source_id").orderBy("turn")
+    c = c.withColumns({"seg": F.row_number().over(order) - 1, "at": F.sum(F.col("n") + SILENT).over(order) - F.col("n")})
+    one = c.select("source_id", "seg", "at", F.posexplode("w").alias("k", "text"), "w")
+    begin = F.col("at") + 2 * F.when(F.col("k") > 0, F.length(F.array_join(F.slice("w", F.lit(1), F.col("k")), "|")) + 1).otherwise(0)
+    words = one.select("source_id", F.col("seg").cast("long").alias("seg"), (F.col("seg") * 1_000_000 + F.col("k")).alias("ord"), "text", (begin * STEP + 0.3).alias("s"), ((begin + 2 * F.length("text") - 1) * STEP + 0.4).alias("e"))
+    said = F.concat(F.array_repeat(F.lit("_"), 20), F.flatten(F.transform(F.filter(F.split(F.array_join("w", "|"), ""), lambda x: x != ""), lambda x: F.array(x, F.lit("_")))))
+    f = c.where("seg % 5 <> 3").select("source_id", "at", F.posexplode(said).alias("k", "c"))
+    scores = F.transform(F.array(*[F.lit(x) for x in SPOKEN_VOCAB]), lambda x: F.when(x == F.col("c"), 10.0).otherwise(0.0).cast("float"))
+    frames = f.select("source_id", ((F.col("at") + F.col("k") - 20) * STEP).alias("t"), scores.alias("scores"))
+    left = c.select("source_id", F.col("seg").cast("long").alias("n"), F.when(F.col("seg") == 0, 0.0).otherwise((F.col("at") - SILENT / 2) * STEP).alias("bound"))
+    last = c.groupBy("source_id").agg(F.count("*").alias("n"), (F.max(F.col("at") + F.col("n")) * STEP + 1).alias("bound"))
+    return words, frames, left.unionByName(last)
+
+
+SPOKEN_SQL = f"""
+    turns as (select conv_id as source_id, turn, regexp_extract_all(lower(text), '[a-z]+') as w from conversations),
+    sized as (select *, 2 * length(array_to_string(w, '|')) as n from turns),
+    placed as (select *, row_number() over o - 1 as seg, sum(n + {SILENT}) over o - n as begins from sized window o as (partition by source_id order by turn)),
+    spoken as (select source_id, seg, k, w[k + 1] as text, begins + 2 * case when k > 0 then length(array_to_string(w[1:k], '|')) + 1 else 0 end as begin from placed, unnest(range(len(w))) u(k))"""

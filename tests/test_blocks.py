@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import GreaterThan, LessThan
 
 from cliploom.functions import signal
-from cliploom.operators import filters, frames
+from cliploom.operators import alignment, filters, frames
 from cliploom.sources import wav_blocks
 
 
@@ -175,3 +175,55 @@ def test_less_noise(spark):
     assert np.allclose(other["a"], got["a"], atol=1e-5)
     clear = waves_of(filters.denoised(b, profile.withColumn("threshold", F.transform("threshold", lambda t: t - 1000)), steps=0))
     assert np.allclose(clear["a"], noise + tone, atol=1e-5)  # all bands are heard: the frames add up to what was there
+
+
+def test_alignment_by_chunk(spark):
+    """Scores at random against a plain dynamic programme of each chunk, margins and all; chunks without room or frames fall back."""
+    import random
+
+    r, vocab = random.Random(3), {c: k for k, c in enumerate("_|abc")}
+    bounds = [0.0, 3.0, 6.5, 9.0, 12.0]
+    words = [(1, k, s := r.randrange(0, 1300) / 100, s + 0.2, "".join(r.choice("abcx") for _ in range(r.choice([1, 2, 2, 3])))) for k in range(20)]
+    words += [(1, 100 + k, 9.5 + k / 1000, 9.6 + k / 1000, "abcabc") for k in range(40)]  # more letters than the chunk has frames
+    words += [(1, 500, 13.0, 13.2, "a"), (2, 1, 0.1, 0.2, "ab")]
+    frames_ = [(1, k * 0.05, [r.gauss(0, 2) for _ in vocab]) for k in range(240)]
+    w = spark.createDataFrame(words, "source_id long, ord long, s double, e double, text string")
+    f = spark.createDataFrame(frames_, "source_id long, t double, scores array<double>")
+    b = spark.createDataFrame([(k, n, x) for k in (1, 2) for n, x in enumerate(bounds)], "source_id long, n long, bound double")
+    got = {(x["source_id"], x["ord"]): x for x in alignment.aligned_words(w, f, b, vocab, 0.05, margin=0.5).collect()}
+    assert len(got) == len(words)
+    failed = 0
+    for n, (left, right) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        mine = sorted(x for x in words if x[0] == 1 and left <= (x[2] + x[3]) / 2 < right)
+        mine.sort(key=lambda x: x[1])
+        heard = [(t, s) for _, t, s in frames_ if left - 0.5 <= t < right + 0.5]
+        tokens, owners = alignment.targets([x[4] for x in mine], vocab, "|")
+        p = np.array([s for _, s in heard])
+        p = p - np.log(np.exp(p).sum(1, keepdims=True))
+        labels = [0] + [y for t in tokens for y in (t, 0)]
+        best = {(0, 0): (p[0, 0], None)} | ({(0, 1): (p[0, labels[1]], None)} if tokens else {})
+        for t in range(1, len(heard)):
+            for j in range(len(labels)):
+                before = [i for i in (j, j - 1, *([j - 2] if j % 2 and j > 1 and labels[j] != labels[j - 2] else [])) if (t - 1, i) in best]
+                if before:
+                    i = max(before, key=lambda i: best[t - 1, i][0])
+                    best[t, j] = best[t - 1, i][0] + p[t, labels[j]], i
+        ends = [j for j in (len(labels) - 1, len(labels) - 2) if (len(heard) - 1, j) in best]
+        if not ends or not tokens:
+            failed += bool(mine)
+            assert all(got[1, x[1]]["failed"] and not got[1, x[1]]["realigned"] and got[1, x[1]]["s"] == x[2] and got[1, x[1]]["ctc_score"] is None for x in mine)
+            continue
+        j, path = max(ends, key=lambda j: best[len(heard) - 1, j][0]), []
+        for t in range(len(heard) - 1, -1, -1):
+            path.append(j)
+            j = best[t, j][1]
+        path.reverse()
+        for k, x in enumerate(mine):
+            own = [t for t, j in enumerate(path) if j % 2 and owners[j // 2] == k]
+            y = got[1, x[1]]
+            assert y["realigned"] == bool(own) and y["chunk"] == n
+            if own:
+                assert (y["s"], y["e"]) == (round(heard[own[0]][0], 3), round(heard[own[-1]][0] + 0.05, 3))
+    assert failed == 1 and not got[1, 500]["realigned"] and got[1, 500]["chunk"] is None and got[2, 1]["failed"]
+    count = {x["source_id"]: (x["chunks"], x["failed_chunks"], x["words"]) for x in alignment.counters(alignment.aligned_words(w, f, b, vocab, 0.05, margin=0.5), b).collect()}
+    assert count == {1: (4, 1, 61), 2: (4, 1, 1)}
