@@ -47,10 +47,12 @@ def corpus_summary(accepted: DataFrame, key: str, text: str = "text", **options)
     """
     x = accepted.agg(F.count("*").alias("clips"), F.coalesce(F.sum("duration"), F.lit(0.0)).alias("_s"), F.coalesce(F.avg("duration"), F.lit(0.0)).alias("_m"))
     x = x.select("clips", F.bround("_s", 2).alias("total_seconds"), F.bround(F.col("_s") / 3600, 3).alias("total_hours"), F.bround("_m", 3).alias("mean_duration"))
-    for name, value in (("duration_percentiles", F.col("duration").cast("double")), ("chars_percentiles", F.length(text).cast("double"))):
-        at = nearest_rank(accepted.select(value.alias("_x")), "_x", tuple(POINTS.values()))
-        one = F.struct(*[F.bround(F.max(F.when(F.col("p") == p, F.col("value"))), 3).alias(k) for k, p in POINTS.items()])
-        x = x.crossJoin(at.agg(F.when(F.count("*") > 0, one).alias(name)))
+    values = {"duration_percentiles": F.col("duration").cast("double"), "chars_percentiles": F.length(text).cast("double")}
+    both = accepted.select(F.explode(F.array(*[F.struct(F.lit(k).alias("_what"), v.alias("_x")) for k, v in values.items()])).alias("_v")).select("_v.*")
+    at = nearest_ranks(both, ["_what"], "_x", tuple(POINTS.values()))
+    own = lambda name, p: F.max(F.when((F.col("_what") == name) & (F.col("p") == p), F.col("value")))
+    one = lambda name: F.struct(*[F.bround(own(name, p), 3).alias(k) for k, p in POINTS.items()])
+    x = x.crossJoin(at.agg(*[F.when(F.count_if(F.col("_what") == name) > 0, one(name)).alias(name) for name in values]))
     val = split(accepted, key, **options).agg(F.count(F.when(F.col("part") == "val", 1)).alias("val"))
     return x.crossJoin(val).withColumn("train", F.col("clips") - F.col("val")).select("clips", "total_seconds", "total_hours", "mean_duration", "duration_percentiles", "chars_percentiles", "train", "val")
 

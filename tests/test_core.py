@@ -230,7 +230,7 @@ def test_corpus_summary(spark):
     rows = [(i, r.randrange(1000, 12000) / 1000, "é" * r.randrange(1, 90)) for i in range(150)]
     for some in (rows, rows[:1], []):
         df = spark.createDataFrame(some, "idx long, duration double, text string")
-        one = rollup.corpus_summary(df, "idx")
+        one = rollup.corpus_summary(df, "idx").cache()
         d, c = sorted(x[1] for x in some), sorted(len(x[2]) for x in some)
         at = lambda v: {k: float(v[round(p * (len(v) - 1))]) for k, p in (("min", 0), ("p10", 0.1), ("median", 0.5), ("p90", 0.9), ("max", 1))} if v else None
         n = min(100, max(1, int(len(some) * 0.02)), max(0, len(some) - 1))
