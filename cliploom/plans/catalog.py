@@ -429,7 +429,7 @@ def read_integer(spark, sf_dir):
 
 @query()
 def read_aloud(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", reading.read_aloud(F.col("text")).alias("text"))
+    return reading.read_aloud(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query("select distinct unnest(string_split(text, '')) as ch from documents")

@@ -2,6 +2,7 @@
 
 import json
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -14,6 +15,8 @@ from cliploom.plans import stages
 from cliploom.sources import scans, sinks
 from cliploom.streaming import jobs
 
+from .plain_reader import Reader
+
 READ = [
     ("Năm 2005 có 104 người", "Năm hai nghìn không trăm lẻ năm có một trăm lẻ bốn người."),
     ("1.000.005 và 1.500,25", "một triệu không trăm lẻ năm và một nghìn năm trăm phẩy hai năm."),
@@ -30,19 +33,36 @@ READ = [
 ]
 
 
-@pytest.mark.parametrize(("source", "want"), READ)
-def test_read_aloud(source, want):
-    got = reading.Reader()(source)
-    assert got == want or source == "24:00" and got.startswith("hai mươi")
+def test_read_aloud(spark):
+    """Golden rows, and random texts of all forms against the plain reader; nothing of Python in the plan."""
+    r = random.Random(7)
+    words = ["chương", "thế kỷ", "Phần", "ngày", "mùng", "THỨ", "và", "ABC", "TP.", "tp.hcm", "v.v.", "đt.", "USD", "vnđ", "đ", "km", "m²", "m2", "km/h", "h", "g", "IV", "xii", "IIIX", "CCC", "Ạ", "quý"]
+    seps = ["", "", " ", " ", "-", "/", ":", ".", ",", "%", "°C", "°f", "$", "₫", "@", "½", "²", "_", "(", ")", "…", "...", "!", "?", ";", "\n", "\t", " - "]
+
+    def number():
+        d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+        return r.choice([d(r.randint(1, 12)), f"{d(2)}.{d(3)}", f"{d(1)},{d(3)}.{d(2)}", f"{d(2)},{d(2)}", f"{d(1)}.{d(1)}.{d(2)}", d(28), str(r.randint(0, 31)), str(r.randint(0, 60)).zfill(2)])
+
+    texts = [x for x, _ in READ] + ["".join((number() if r.random() < 0.5 else r.choice(words)) + r.choice(seps) for _ in range(r.randint(1, 8))) for _ in range(600)]
+    texts += [None, "", "a\x01b 5\x01km", "\x01", "9" * 5000 + ",5", "1." * 2000, "5 " * 2000, "ậ ớ", unicodedata.normalize("NFD", "Ngày 5/4 Ạ ậ ộ ứ ở")]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    out = reading.read_aloud(df, "t", "said")
+    assert out.columns == ["i", "t", "said"] and "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got, plain = {x["i"]: x["said"] for x in out.collect()}, Reader()
+    for i, (source, want) in enumerate(READ):
+        assert got[i] == want or source == "24:00" and got[i].startswith("hai mươi"), source
+    assert [(t, got[i]) for i, t in enumerate(texts) if got[i] != plain(t)] == []
 
 
-def test_style():
-    r = reading.Reader(reading.Style(thousand="ngàn", filler="linh", lowercase=True, abbreviations={"ABC.": "xyz"}, fraction_by_digit=False))
-    assert r("1.005 Abc. 1,25") == "một ngàn không trăm linh năm xyz một phẩy hai mươi lăm."
+def test_style(spark):
+    style = reading.Style(thousand="ngàn", filler="linh", lowercase=True, abbreviations={"ABC.": "xyz"}, fraction_by_digit=False, punctuation=",.!?…;:")
+    texts = ["1.005 Abc. 1,25", "A ; b:c 5 : d", "٣ km", ";a", "a;;b :"]
+    got = [r[0] for r in reading.read_aloud(spark.createDataFrame([(t,) for t in texts], "text string"), style=style).collect()]
+    assert got[:3] == ["một ngàn không trăm linh năm xyz một phẩy hai mươi lăm.", "a; b:c năm: d.", "ba ki lô mét."] and got == [Reader(style)(t) for t in texts]
 
 
 def test_native_integers_equal_the_reader(spark):
-    r, n = reading.Reader(), [0, 1, 4, 5, 10, 11, 14, 15, 20, 21, 24, 25, 100, 101, 110, 999, 1000, 1001, 1_000_005, 10**9, 10**12 + 24, 10**15 + 105, 9_223_372_036_854_775_807] + [random.Random(3).randrange(10**k) for k in range(1, 19)]
+    r, n = Reader(), [0, 1, 4, 5, 10, 11, 14, 15, 20, 21, 24, 25, 100, 101, 110, 999, 1000, 1001, 1_000_005, 10**9, 10**12 + 24, 10**15 + 105, 9_223_372_036_854_775_807] + [random.Random(3).randrange(10**k) for k in range(1, 19)]
     got = spark.createDataFrame([(x,) for x in n], "n long").select("n", reading.read_integer(F.col("n")).alias("w")).collect()
     assert [(x["n"], x["w"]) for x in got] == [(x, r.whole(x)) for x in n]
 
@@ -75,7 +95,7 @@ def test_white_space_of_any_length(spark):
 def test_clean_up_of_single_signs(spark):
     cases = ["a1b", ". abc", ", . a", "a ,b", "a?,", "..a", "a . b , c", "ca-phê x-1 ½", "[nhạc] a-[music]b", "…… a.... b", "km² m³ ²", "", "  ", "é;b"]
     df = spark.createDataFrame([(c,) for c in cases], "t string")
-    r = reading.Reader()
+    r = Reader()
     for native, plain in ((text.pre_clean, r.clean_before), (text.post_clean, r.clean_after)):
         assert [x[0] for x in df.select(native(F.col("t"))).collect()] == [plain(c) for c in cases]
     assert [r.clean_after(c) for c in cases[:7]] == ["a b.", ". abc.", "a.", "a, b.", "a?", ". a.", "a. b, c."]
@@ -85,7 +105,7 @@ def test_clean_up_of_single_signs(spark):
 
 
 def test_numbers_of_any_length():
-    r = reading.Reader()
+    r = Reader()
     assert r("9" * 5000 + ",5").startswith("chín chín") and r("9" * 5000 + ",5").endswith("chín phẩy năm.") and r.whole("0005") == "năm" and r.whole("000") == "không"
 
 
