@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,15 +13,21 @@ from ..functions.text import basename, sanitise_id, stem
 
 
 def recordings(spark: SparkSession, paths: str | list[str], pattern: str = "*", content: bool = False) -> DataFrame:
-    """(path, id) of files, each with an id of its own, in order of path; files that are listed by name come first, as they are listed. A missing path raises."""
+    """(path, id) of files, each with an id of its own, in order of path; files that are listed by name come first, as they are listed. A missing path raises; in a folder, files without bytes are not seen."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
     files = files.select("path", *(["content"] if content else [])).dropDuplicates(["path"])
     if isinstance(paths, str):
         return with_ids(files)
     whole = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
     listed = {}
+    empty = []  # named files without bytes, which a scan leaves out
     for k, p in enumerate(whole):
-        listed.setdefault(str(p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()), k)
+        system = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        name = str(system.makeQualified(p).toString())
+        if name not in listed and system.exists(p) and system.getFileStatus(p).isFile() and not system.getFileStatus(p).getLen() and fnmatch(p.getName(), pattern):
+            empty.append((name, bytearray()))
+        listed.setdefault(name, k)
+    files = files.unionByName(spark.createDataFrame(empty, "path string, content binary").select(*files.columns))
     places = spark.createDataFrame(list(listed.items()), "path string, _place long")
     return with_ids(files.join(places, "path", "left").withColumn("_place", F.coalesce("_place", F.lit(len(paths)))), ["_place", "path"]).drop("_place")
 
