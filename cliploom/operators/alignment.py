@@ -27,11 +27,14 @@ def chunks_of(bounds: DataFrame) -> DataFrame:
 
 
 def _inside(rows: DataFrame, at: Column, chunks: DataFrame, margin: float, width: float) -> DataFrame:
-    """rows with the chunk of each [left - margin, right + margin) that holds `at`: an equality join on source and time bucket."""
+    """rows with the chunk of each [left - margin, right + margin) that holds `at`: an equality join on source and time bucket.
+
+    The chunks are hashed by bucket. rows are never sent to all: the planner takes frames, which come of an explode, for as small as what they are made of.
+    """
     lo, hi = F.col("left") - margin, F.col("right") + margin
     dealt = chunks.withColumn("_bucket", F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))).withColumnRenamed("source_id", "_s")
     x = rows.withColumns({"_at": at, "_b": F.floor(at / width)})
-    return x.join(dealt, (F.col("source_id") == F.col("_s")) & (F.col("_b") == F.col("_bucket")) & (F.col("_at") >= lo) & (F.col("_at") < hi)).drop("_at", "_b", "_bucket", "_s")
+    return x.join(dealt.hint("shuffle_hash"), (F.col("source_id") == F.col("_s")) & (F.col("_b") == F.col("_bucket")) & (F.col("_at") >= lo) & (F.col("_at") < hi)).drop("_at", "_b", "_bucket", "_s")
 
 
 def targets(texts: list, vocab: dict[str, int], delimiter: str) -> tuple[list[int], list[int]]:

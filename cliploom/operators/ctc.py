@@ -36,34 +36,66 @@ def completeness(text: Column, decoded: Column) -> Column:
     return F.when(n > 0, F.length(text) / n).otherwise(1.0)
 
 
-def viterbi(logp: np.ndarray, tokens: np.ndarray, blank: int = 0) -> np.ndarray | None:
-    """(first frame, end frame, mean probability) of each token on the best path; None if it doesn't fit."""
+#: Steps back that viterbi holds at once; of a longer path some score rows are held, and the steps between two of them are found anew.
+CELLS = 1 << 26
+
+
+def viterbi(logp: np.ndarray, tokens: np.ndarray, blank: int = 0, cells: int = CELLS) -> np.ndarray | None:
+    """(first frame, end frame, mean probability) of each token on the best path; None if it doesn't fit.
+
+    No path is better than that of each frame's best class, so where this one reads as the tokens nothing is searched.
+    """
     t_max, n = len(logp), len(tokens)
     if not n or t_max < n + int((tokens[1:] == tokens[:-1]).sum()):
         return None
+    best = logp.argmax(1)
+    starts = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
+    p, ends, said = np.exp(logp[np.arange(t_max), best]), np.r_[starts[1:], t_max], best[starts] != blank
+    if np.array_equal(best[starts[said]], tokens) and np.isfinite(p).all() and p.all():
+        return np.column_stack([starts, ends, np.add.reduceat(p, starts) / (ends - starts)])[said]
     labels = np.full(2 * n + 1, blank)
     labels[1::2] = tokens
     jump = np.zeros(len(labels), bool)
     jump[3::2] = tokens[1:] != tokens[:-1]
+
+    def run(score: np.ndarray, t: int, end: int, back: np.ndarray | None = None) -> np.ndarray:
+        for k in range(t, end):
+            best = score.copy()
+            one = score[:-1] > score[1:]
+            np.maximum(score[1:], score[:-1], out=best[1:])
+            two = (score[:-2] > best[2:]) & jump[2:]
+            np.copyto(best[2:], score[:-2], where=two)
+            if back is not None:
+                back[k - t, 1:] = one
+                np.copyto(back[k - t, 2:], 2, where=two)
+            best += logp[k].take(labels)
+            score = best
+        return score
+
     score = np.full(len(labels), -np.inf)
     score[:2] = logp[0, labels[:2]]
-    back = np.zeros((t_max, len(labels)), np.int8)
-    for t in range(1, t_max):
-        options = np.stack([score, np.r_[-np.inf, score[:-1]], np.where(jump, np.r_[-np.inf, -np.inf, score[:-2]], -np.inf)])
-        back[t] = options.argmax(0)
-        score = options.max(0) + logp[t, labels]
-    at = len(labels) - 1 if score[-1] >= score[-2] else len(labels) - 2
-    if not np.isfinite(score[at]):
+    rows = t_max if t_max * len(labels) <= cells else max(cells // len(labels), int(np.ceil(np.sqrt(8 * t_max))))
+    starts, held = list(range(1, t_max, rows)), []
+    for k in starts[:-1]:
+        held.append(score)
+        score = run(score, k, k + rows)
+    path, at = np.zeros(t_max, np.int64), None
+    for k in reversed(starts):
+        end = min(k + rows, t_max)
+        back = np.zeros((end - k, len(labels)), np.int8)
+        last = run(score if at is None else held.pop(), k, end, back)
+        if at is None:
+            score, at = last, len(labels) - 1 if last[-1] >= last[-2] else len(labels) - 2
+        for t in range(end - 1, k - 1, -1):
+            path[t] = at
+            at -= int(back[t - k, at])
+    path[0] = (len(labels) - 1 if score[-1] >= score[-2] else len(labels) - 2) if at is None else at
+    if not np.isfinite(score[path[-1]]):
         return None
-    path = np.empty(t_max, np.int64)
-    for t in range(t_max - 1, -1, -1):
-        path[t] = at
-        at -= int(back[t, at])
-    out = np.zeros((n, 3))
-    for k in range(n):
-        hit = np.flatnonzero(path == 2 * k + 1)
-        out[k] = hit[0], hit[-1] + 1, np.exp(logp[hit, tokens[k]]).mean()
-    return out
+    first, end = (np.searchsorted(path, np.arange(1, 2 * n, 2), side) for side in ("left", "right"))
+    said = np.flatnonzero(path % 2)
+    p = np.exp(logp[said, labels[path[said]]])
+    return np.column_stack([first, end, np.add.reduceat(p, np.searchsorted(said, first)) / (end - first)])
 
 
 def tokenise(words: DataFrame, vocab: dict[str, int], delimiter: str = "|") -> DataFrame:

@@ -118,8 +118,9 @@ def spoken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     c = c.withColumn("n", F.lit(2) * F.greatest(F.lit(0), F.length(F.array_join("w", "|"))))
     order = Window.partitionBy("source_id").orderBy("turn")
     c = c.withColumns({"seg": F.row_number().over(order) - 1, "at": F.sum(F.col("n") + SILENT).over(order) - F.col("n")})
-    one = c.select("source_id", "seg", "at", F.posexplode("w").alias("k", "text"), "w")
-    begin = F.col("at") + 2 * F.when(F.col("k") > 0, F.length(F.array_join(F.slice("w", F.lit(1), F.col("k")), "|")) + 1).otherwise(0)
+    before = lambda k: F.when(k > 0, F.length(F.array_join(F.slice("w", F.lit(1), k), "|")) + 1).otherwise(0)
+    one = c.select("source_id", "seg", "at", F.posexplode(F.transform("w", lambda x, k: F.struct(x.alias("text"), before(k).alias("before")))).alias("k", "x")).select("source_id", "seg", "at", "k", "x.*")
+    begin = F.col("at") + 2 * F.col("before")
     words = one.select("source_id", F.col("seg").cast("long").alias("seg"), (F.col("seg") * 1_000_000 + F.col("k")).alias("ord"), "text", (begin * STEP + 0.3).alias("s"), ((begin + 2 * F.length("text") - 1) * STEP + 0.4).alias("e"))
     said = F.concat(F.array_repeat(F.lit("_"), 20), F.flatten(F.transform(F.filter(F.split(F.array_join("w", "|"), ""), lambda x: x != ""), lambda x: F.array(x, F.lit("_")))))
     f = c.where("seg % 5 <> 3").select("source_id", "at", F.posexplode(said).alias("k", "c"))

@@ -227,3 +227,28 @@ def test_alignment_by_chunk(spark):
     assert failed == 1 and not got[1, 500]["realigned"] and got[1, 500]["chunk"] is None and got[2, 1]["failed"]
     count = {x["source_id"]: (x["chunks"], x["failed_chunks"], x["words"]) for x in alignment.counters(alignment.aligned_words(w, f, b, vocab, 0.05, margin=0.5), b).collect()}
     assert count == {1: (4, 1, 61), 2: (4, 1, 1)}
+
+
+def test_frames_are_not_sent_to_all(spark):
+    """Frames come of an explode, which the planner takes for small; neither they nor words may be broadcast."""
+    turns = spark.range(3).select(F.col("id").alias("source_id"), F.posexplode(F.array_repeat(F.lit(0.5), 900)).alias("k", "x"))
+    f = turns.select("source_id", (F.col("k") * 0.02).alias("t"), F.array_repeat("x", 28).alias("scores"))
+    b = spark.createDataFrame([(k, n, 6.0 * n) for k in range(3) for n in range(4)], "source_id long, n long, bound double")
+    x = alignment._inside(f, F.col("t"), alignment.chunks_of(b), 2.5, 60.0)
+    assert x.count() == 3 * (900 + 2 * 250)
+    assert "ShuffledHashJoin" in (plan := x._jdf.queryExecution().executedPlan().toString()) and "BuildLeft" not in plan
+
+
+def test_long_paths_in_little_memory():
+    """The best path from held rows of scores is that of all steps at once."""
+    from cliploom.operators import ctc
+
+    r = np.random.default_rng(4)
+    logp = np.log(r.dirichlet(np.ones(5), 300))
+    tokens = r.integers(1, 5, 60)
+    whole, parts = ctc.viterbi(logp, tokens), ctc.viterbi(logp, tokens, cells=1)
+    assert np.array_equal(whole, parts) and len(whole) == 60
+    heard = logp.argmax(1)
+    plain = heard[np.flatnonzero((heard > 0) & np.r_[True, heard[1:] != heard[:-1]])]
+    spans = ctc.viterbi(logp, plain)
+    assert spans[:, 2] == pytest.approx([np.exp(logp[int(a) : int(b)].max(1)).mean() for a, b, _ in spans])
