@@ -130,10 +130,10 @@ def silence_targets(silences: DataFrame, shortest: float = 0.1, longest: float =
 
 
 def silence_coverage(silences: DataFrame, words: DataFrame, most: float = 0.2, width: float = 60.0) -> DataFrame:
-    """n_targets and n_clean of each source: silences of which words cover less than `most`."""
+    """n_targets and n_clean of each source: silences of which words cover less than `most`; one without length is no clean one."""
     p = overlaps(silences, words, width).groupBy("source_id", "ord").agg(F.sum(F.greatest(F.lit(0.0), F.least("re", "e") - F.greatest("rs", "s"))).alias("covered"))
     x = silences.join(p, ["source_id", "ord"], "left")
-    clean = F.coalesce("covered", F.lit(0.0)) / (F.col("e") - F.col("s")) < most
+    clean = F.try_divide(F.coalesce("covered", F.lit(0.0)), F.col("e") - F.col("s")) < most
     return x.groupBy("source_id").agg(F.count("*").alias("n_targets"), F.count_if(clean).alias("n_clean"))
 
 
