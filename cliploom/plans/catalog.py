@@ -274,7 +274,8 @@ GROUPS_SQL = ASSIGN_SQL + """,
 def _grouped(spark, sf_dir):
     w, c, t = _words(spark, sf_dir), _cuts(spark, sf_dir), _totals(spark, sf_dir)
     a = intervals.assign_blocks(w, c, chunk=100_000.0)
-    n = a.groupBy("source_id", "block").agg(F.count("*").alias("n_words"), F.max_by("text", (F.col("s") + F.col("e")) / 2).isin("click", "view").alias("ends"))
+    last = F.max_by("text", F.struct((F.col("s") + F.col("e")) / 2, -F.col("ord")))  # of words with one middle the first
+    n = a.groupBy("source_id", "block").agg(F.count("*").alias("n_words"), last.isin("click", "view").alias("ends"))
     b = grouping.blocks_of(w, c, t).join(n, ["source_id", "block"], "left").select("source_id", "block", "span_start", "span_end", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("ends", F.lit(False)).alias("ends"))
     return a, grouping.greedy_groups(b, 1500.0, 8000.0, 12000.0)
 
