@@ -447,8 +447,10 @@ def vocab_check(spark, sf_dir):
     s as (select job, min(sec) as started, max(sec) as done_at, count(*) as done, arg_max(floor(value)::bigint, sec) as extra from e group by job)
     select job, done, greatest(0, floor((done_at - started) / done::double * extra - 60 + 0.5))::bigint as eta from s""")
 def job_eta(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long").alias("at"), "value")
-    s = e.groupBy("job").agg(F.min("at").alias("started"), F.max("at").alias("done_at"), F.count("*").alias("done"), F.max_by(F.floor("value"), "at").alias("extra"))
+    """Of the last second's events the first one counts."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("job"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long").alias("at"), "value", "event_id")
+    latest = F.when(F.col("value").isNotNull(), F.struct("at", -F.col("event_id")))
+    s = e.groupBy("job").agg(F.min("at").alias("started"), F.max("at").alias("done_at"), F.count("*").alias("done"), F.max_by(F.floor("value"), latest).alias("extra"))
     return s.withColumn("total", F.col("done") + F.col("extra")).select("job", "done", jobs.seconds_left(F.col("done_at") + 60).alias("eta"))
 
 
