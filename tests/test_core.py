@@ -477,3 +477,9 @@ def test_one_source_of_a_million(spark):
             want.append(t)
     want = [*want[:-1], 3_000_010.0] if 3_000_010.0 - want[-1] < 10 else [*want, 3_000_010.0]
     assert [b for _, b in got] == want and [n for n, _ in got] == list(range(len(want)))
+
+
+def test_packing_takes_time_of_its_length(spark):
+    df = spark.createDataFrame([("a, b. " * 200_000,)], "t string")
+    got = df.select(F.posexplode(text.speech_chunks(F.col("t"), 230)).alias("n", "c")).agg(F.count("*"), F.max(F.octet_length("c"))).first()
+    assert got == (-(-200_000 // 38), 38 * 6 - 1)
