@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import cut_lineage
+
 
 def best_class(scores: Column) -> Column:
     """The first greatest of an array, from 0."""
@@ -128,22 +130,47 @@ def owned(spans: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def align(emissions: DataFrame, targets: DataFrame, blank: int = 0) -> DataFrame:
-    """(clip, token, first, end, score) of targets (clip, tokens); a clip that doesn't fit has no rows. A clip is a window of seconds, so its frames fit a task."""
+    """(clip, token, first, end, score) of targets (clip, tokens), a row a clip; a clip that doesn't fit has no rows.
+
+    Where greedy decoding gives the tokens, its path is the best one and is read off the frames in Spark, for clips of any length. For
+    the others a clip is a window of seconds, so its frames fit a task.
+    """
+    said = targets.select("clip", F.col("tokens").cast("array<bigint>").alias("tokens"))
+    heard = greedy(emissions, blank).withColumnRenamed("clip", "_clip")
+    rest = cut_lineage(said.join(heard, (F.col("clip") == F.col("_clip")) & (F.col("tokens") == F.col("classes")), "left_anti"))
+    if rest.isEmpty():
+        return _greedy_spans(emissions.join(said.select("clip"), "clip", "left_semi"), blank)
+    own = said.join(rest.select("clip"), "clip", "left_anti").select("clip")
+    return _greedy_spans(emissions.join(own, "clip", "left_semi"), blank).unionByName(_searched(emissions.join(rest.select("clip"), "clip", "left_semi"), rest, blank))
+
+
+def _greedy_spans(emissions: DataFrame, blank: int) -> DataFrame:
+    """Spans of what greedy decoding gives: frames of one class in a row, with the mean of its probability."""
+    top = F.zip_with("scores", F.array_repeat(F.array_max("scores"), F.size("scores").cast("int")), lambda v, m: F.exp(v.cast("double") - m))
+    over = F.aggregate(top, F.lit(0.0), lambda a, v: a + v)
+    w = Window.partitionBy("clip").orderBy("frame")
+    x = emissions.select(F.col("clip").cast("long").alias("clip"), F.col("frame").cast("long").alias("frame"), best_class(F.col("scores")).alias("c"), (1 / over).alias("p"))
+    x = x.withColumns({"_k": F.row_number().over(w).cast("long") - 1, "_same": F.col("c").eqNullSafe(F.lag("c").over(w))})
+    x = x.withColumn("token", F.sum(F.when(~F.col("_same") & (F.col("c") != blank), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).where(F.col("c") != blank)
+    return x.groupBy("clip", "token").agg(F.min("_k").alias("first"), (F.max("_k") + 1).alias("end"), F.avg("p").alias("score"))
+
+
+def _searched(emissions: DataFrame, targets: DataFrame, blank: int) -> DataFrame:
+    """align by search of the best path, clip by clip."""
 
     def run(key, e: pa.Table, t: pa.Table) -> pa.Table:
-        rows = {"clip": [], "token": [], "first": [], "end": [], "score": []}
+        spans = None
         if len(e) and len(t):
             e = e.sort_by("frame")
-            x = np.array(e.column("scores").to_pylist(), float)
-            x -= x.max(1, keepdims=True)
+            x = np.asarray(e.column("scores").combine_chunks().flatten(), np.float64).reshape(len(e), -1)
+            x = x - x.max(1, keepdims=True)
             x -= np.log(np.exp(x).sum(1, keepdims=True))
-            spans = viterbi(x, np.array(t.column("tokens")[0].as_py(), np.int64), blank)
-            for k, (a, b, s) in enumerate(() if spans is None else spans):
-                for c, v in zip(rows, (key[0].as_py(), k, int(a), int(b), float(s)), strict=True):
-                    rows[c].append(v)
-        return pa.table(rows, schema=pa.schema([("clip", pa.int64()), ("token", pa.int64()), ("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+            spans = viterbi(x, np.array(t.column("tokens")[0].as_py() or [], np.int64), blank)
+        spans = np.zeros((0, 3)) if spans is None else spans
+        values = [np.full(len(spans), key[0].as_py(), np.int64), np.arange(len(spans)), spans[:, 0].astype(np.int64), spans[:, 1].astype(np.int64), spans[:, 2]]
+        return pa.table(dict(zip(("clip", "token", "first", "end", "score"), values, strict=True)))
 
-    return emissions.select(F.col("clip").alias("clip"), "frame", "scores").groupBy("clip").cogroup(targets.select(F.col("clip").alias("clip"), F.col("tokens").alias("tokens")).groupBy("clip")).applyInArrow(run, "clip long, token long, first long, end long, score double")
+    return emissions.select("clip", "frame", "scores").groupBy("clip").cogroup(targets.select("clip", "tokens").groupBy("clip")).applyInArrow(run, "clip long, token long, first long, end long, score double")
 
 
 def word_spans(tokens: DataFrame) -> DataFrame:

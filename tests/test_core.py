@@ -483,3 +483,19 @@ def test_packing_takes_time_of_its_length(spark):
     df = spark.createDataFrame([("a, b. " * 200_000,)], "t string")
     got = df.select(F.posexplode(text.speech_chunks(F.col("t"), 230)).alias("n", "c")).agg(F.count("*"), F.max(F.octet_length("c"))).first()
     assert got == (-(-200_000 // 38), 38 * 6 - 1)
+
+
+def test_align_reads_and_searches(spark):
+    """A clip whose greedy path is its tokens is read off its frames, another one searched; both as the best path of the whole clip."""
+    r = np.random.default_rng(6)
+    scores = {k: r.normal(0, 2, (60, 5)) for k in (1, 2, 3)}
+    f = spark.createDataFrame([(k, 2 * i + 7, x.tolist()) for k, m in scores.items() for i, x in enumerate(m)], "clip long, frame long, scores array<double>")
+    heard = {k: [c for i, c in enumerate(m.argmax(1).tolist()) if c and (not i or m[i - 1].argmax() != c)] for k, m in scores.items()}
+    for tokens in ({1: heard[1], 3: heard[3]}, {1: heard[1], 2: [1, 2, 2, 4], 3: [1] * 60}):
+        t = spark.createDataFrame(list(tokens.items()), "clip long, tokens array<long>")
+        got = sorted(tuple(x) for x in ctc.align(f, t).collect())
+        logp = {k: m - np.log(np.exp(m).sum(1, keepdims=True)) for k, m in scores.items()}
+        spans = {k: ctc.viterbi(logp[k], np.array(x)) for k, x in tokens.items()}
+        want = sorted((k, i, int(a), int(b), s) for k, v in spans.items() if v is not None for i, (a, b, s) in enumerate(v))
+        assert [x[:4] for x in got] == [x[:4] for x in want] and [x[4] for x in got] == pytest.approx([x[4] for x in want])
+        assert {x[0] for x in got} == set(tokens) - {k for k, x in tokens.items() if len(x) == 60}
