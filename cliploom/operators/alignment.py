@@ -3,21 +3,27 @@
 Words go to the chunk that holds their middle, frames of scores to each chunk that they lie in or within a margin of. Each (source, chunk) is
 aligned by itself; times are those of the recording. A chunk that can't be aligned keeps its words' times and is counted, and so do words with no
 character in the vocabulary. A source of any length lies over as many tasks as it has chunks.
+
+Frames are many and their scores wide, so they are packed where they are read: what is sent is a row for some seconds of frames, compressed without
+loss. Words carry all of their columns to their chunk, and none of them is joined again.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ctc import viterbi
 
 TIMES, SCORES = 3, 4
-WORDS = [("source_id", pa.int64()), ("ord", pa.int64()), ("first", pa.float64()), ("end", pa.float64()), ("score", pa.float64()), ("failed", pa.bool_()), ("chunk", pa.int64())]
+#: Blocks of frames a time bucket has: a chunk gets whole blocks, so few more frames than lie in it.
+PIECES = 12
 
 
 def chunks_of(bounds: DataFrame) -> DataFrame:
@@ -26,15 +32,79 @@ def chunks_of(bounds: DataFrame) -> DataFrame:
     return bounds.select("source_id", F.col("n").alias("chunk"), F.col("bound").alias("left")).join(right, ["source_id", "chunk"])
 
 
-def _inside(rows: DataFrame, at: Column, chunks: DataFrame, margin: float, width: float) -> DataFrame:
+def _dealt(chunks: DataFrame, margin: float, width: float) -> DataFrame:
+    """The span [_lo, _hi) of each chunk with its margins, for each time bucket that it touches, hashed by source and bucket."""
+    lo, hi = F.col("left") - margin, F.col("right") + margin
+    x = chunks.select(F.col("source_id").alias("_s"), "chunk", lo.alias("_lo"), hi.alias("_hi"))
+    return x.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)))).hint("shuffle_hash")
+
+
+def _inside(rows: DataFrame, at: Column, chunks: DataFrame, margin: float, width: float, how: str = "inner") -> DataFrame:
     """rows with the chunk of each [left - margin, right + margin) that holds `at`: an equality join on source and time bucket.
 
     The chunks are hashed by bucket. rows are never sent to all: the planner takes frames, which come of an explode, for as small as what they are made of.
+    how: inner, or left, which keeps rows outside of all chunks.
     """
-    lo, hi = F.col("left") - margin, F.col("right") + margin
-    dealt = chunks.withColumn("_bucket", F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))).withColumnRenamed("source_id", "_s")
-    x = rows.withColumns({"_at": at, "_b": F.floor(at / width)})
-    return x.join(dealt.hint("shuffle_hash"), (F.col("source_id") == F.col("_s")) & (F.col("_b") == F.col("_bucket")) & (F.col("_at") >= lo) & (F.col("_at") < hi)).drop("_at", "_b", "_bucket", "_s")
+    holds = (F.col("source_id") == F.col("_s")) & (F.floor(at / width) == F.col("_bucket")) & (at >= F.col("_lo")) & (at < F.col("_hi"))
+    return rows.join(_dealt(chunks, margin, width), holds, how).drop("_bucket", "_s", "_lo", "_hi")
+
+
+def packed(frames: DataFrame, width: float) -> DataFrame:
+    """frames (source_id, t, scores) in blocks (source_id, bucket, first, last, n, classes, times, scores) of width / PIECES seconds at most, packed where they are.
+
+    Scores go class by class, times by their steps, both compressed: nothing is lost, and equal steps and quiet classes take next to no room.
+    Frames may come in any order; those of one block that lie in several batches make several rows. Frames without a source or a time go.
+    """
+    kind = "float" if _kind(frames) == "f4" else "double"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            source, t = (np.asarray(x.column(k)) for k in (0, 1))
+            order = np.lexsort((t, source))
+            order = order[np.isfinite(t[order])]
+            if not len(order):
+                continue
+            source, t, values = source[order], t[order], x.column(2).take(pa.array(order))
+            lengths = np.asarray(values.value_lengths().fill_null(0))
+            flat, ends = np.asarray(values.flatten()), np.r_[0, np.cumsum(lengths)]
+            bucket, piece = np.floor(t / width).astype(np.int64), np.floor(t / (width / PIECES))
+            starts = np.flatnonzero(np.r_[True, (source[1:] != source[:-1]) | (bucket[1:] != bucket[:-1]) | (piece[1:] != piece[:-1]) | (lengths[1:] != lengths[:-1])])
+            times, scores = [], []
+            for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(t)], strict=True):
+                times.append(_shrunk(np.diff(t[a:z].view(np.int64), prepend=0)))
+                scores.append(_shrunk(flat[ends[a] : ends[z]].reshape(z - a, lengths[a]).T))
+            last = np.r_[starts[1:], len(t)] - 1
+            blocks = [source[starts], bucket[starts], t[starts], t[last], (last - starts + 1).astype(np.int32), lengths[starts].astype(np.int32), pa.array(times, pa.binary()), pa.array(scores, pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in blocks], names=["source_id", "bucket", "first", "last", "n", "classes", "times", "scores"])
+
+    x = frames.select(F.col("source_id").cast("long"), F.col("t").cast("double"), F.col("scores").cast(f"array<{kind}>"))
+    return x.where("source_id is not null and t is not null").mapInArrow(pack, "source_id long, bucket long, first double, last double, n int, classes int, times binary, scores binary")
+
+
+def _kind(frames: DataFrame) -> str:
+    return "f4" if frames.schema["scores"].dataType.elementType.typeName() == "float" else "f8"
+
+
+def _shrunk(x: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(x), "zstd", asbytes=True)
+
+
+def _grown(x: bytes, kind: str, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(x, n * np.dtype(kind).itemsize, "zstd"), kind)
+
+
+def unpacked(blocks: pa.Table, lo: float, hi: float, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Times and scores, in order of time, of the frames in [lo, hi) that blocks of packed() hold, whose scores are floats of the kind."""
+    times, scores = [np.zeros(0)], []
+    for n, classes, t, x in zip(*(blocks.column(c).to_pylist() for c in ("n", "classes", "times", "scores")), strict=True):
+        t = np.cumsum(_grown(t, "i8", n)).view(np.float64)
+        keep = (t >= lo) & (t < hi)
+        if keep.any():
+            times.append(t[keep])
+            scores.append(_grown(x, kind, n * classes).reshape(classes, n)[:, keep])
+    t = np.concatenate(times)
+    order = np.argsort(t, kind="stable")
+    return t[order], (np.concatenate(scores, 1).T[order] if scores else np.zeros((0, 0)))
 
 
 def targets(texts: list, vocab: dict[str, int], delimiter: str) -> tuple[list[int], list[int]]:
@@ -49,9 +119,9 @@ def targets(texts: list, vocab: dict[str, int], delimiter: str) -> tuple[list[in
     return tokens, owners
 
 
-def log_softmax(scores: pa.ChunkedArray, n: int) -> np.ndarray:
-    """Rows of scores as logarithms of probabilities, from the flat values of a list column."""
-    x = np.asarray(scores.combine_chunks().flatten(), np.float64).reshape(n, -1)
+def log_softmax(scores: np.ndarray) -> np.ndarray:
+    """Rows of scores as logarithms of probabilities."""
+    x = np.ascontiguousarray(scores, np.float64)
     x = x - x.max(1, keepdims=True)
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
@@ -63,31 +133,40 @@ def aligned_words(words: DataFrame, frames: DataFrame, bounds: DataFrame, vocab:
     """
     if delimiter not in vocab:
         raise ValueError(f"the vocabulary has no delimiter {delimiter}")
-    chunks = chunks_of(bounds)
-    mine = _inside(words.select("source_id", "ord", "s", "e", "text"), (F.col("s") + F.col("e")) / 2, chunks, 0.0, width).select(F.col("source_id").cast("long"), F.col("ord").cast("long"), "text", F.col("chunk").cast("long"))
-    heard = _inside(frames.select("source_id", "t", "scores"), F.col("t"), chunks, margin, width).select(F.col("source_id").cast("long"), "t", "scores", F.col("chunk").cast("long"))
+    chunks, middle, kind = chunks_of(bounds), (F.col("s") + F.col("e")) / 2, _kind(frames)
+    mine = _inside(words, middle, chunks, 0.0, width, "left").withColumn("chunk", F.col("chunk").cast("long"))
+    # Words outside of all chunks go by their bucket, below the numbers of chunks, so that those of a source are not one group.
+    away = -1 - F.abs(F.coalesce(F.floor(middle / width), F.lit(0)))
+    mine = mine.withColumns({"_s": F.col("source_id").cast("long"), "_k": F.coalesce("chunk", away)})
+    heard = packed(frames, width).join(_dealt(chunks, margin, width), (F.col("source_id") == F.col("_s")) & (F.col("bucket") == F.col("_bucket")) & (F.col("first") < F.col("_hi")) & (F.col("last") >= F.col("_lo")))
+    heard = heard.select("source_id", F.col("chunk").cast("long").alias("_k"), "_lo", "_hi", "n", "classes", "times", "scores")
 
     def run(key, w: pa.Table, f: pa.Table) -> pa.Table:
-        w, f = w.sort_by("ord"), f.sort_by("t")
-        n = len(w)
+        w, n = w.sort_by("ord"), len(w)
         first, end, score = (np.full(n, np.nan) for _ in range(3))
         tokens, owners = targets(w.column("text").to_pylist(), vocab, delimiter)
-        spans = viterbi(log_softmax(f.column("scores"), len(f)), np.array(tokens, np.int64), blank) if tokens and len(f) else None
+        spans = None
+        if tokens and len(f):
+            t, scores = unpacked(f, f.column("_lo")[0].as_py(), f.column("_hi")[0].as_py(), kind)
+            spans = viterbi(log_softmax(scores), np.array(tokens, np.int64), blank) if len(t) else None
         if spans is not None:
-            t, owners = np.asarray(f.column("t"), np.float64), np.array(owners)
-            for k in np.unique(owners[owners >= 0]).tolist():
-                own = spans[owners == k]
-                first[k], end[k], score[k] = t[int(own[:, 0].min())], t[int(own[:, 1].max()) - 1] + step, own[:, 2].mean()
+            owners = np.array(owners)
+            own, owners = spans[owners >= 0], owners[owners >= 0]
+            at = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
+            k = owners[at]
+            first[k], end[k] = t[np.minimum.reduceat(own[:, 0], at).astype(int)], t[np.maximum.reduceat(own[:, 1], at).astype(int) - 1] + step
+            score[k] = np.add.reduceat(own[:, 2], at) / np.diff(np.r_[at, len(own)])
         gone = np.isnan(first)
-        values = [w.column("source_id"), w.column("ord"), *(pa.array(x, mask=gone) for x in (first, end, score)), pa.array(np.full(n, spans is None)), w.column("chunk")]
-        return pa.table(values, schema=pa.schema(WORDS))
+        failed = np.full(n, spans is None) & np.asarray(w.column("chunk").is_valid())
+        found = [*(pa.array(x, mask=gone) for x in (first, end, score)), pa.array(failed)]
+        return pa.table([*(w.column(c) for c in kept), *found], names=[*kept, "_a", "_b", "_c", "_f"])
 
-    schema = "source_id long, ord long, first double, end double, score double, failed boolean, chunk long"
-    found = mine.groupBy("source_id", "chunk").cogroup(heard.groupBy("source_id", "chunk")).applyInArrow(run, schema)
-    x = words.join(found.withColumnsRenamed({"first": "_a", "end": "_b", "score": "_c", "failed": "_f"}), ["source_id", "ord"], "left")
+    kept = [*words.columns, "chunk"]
+    schema = T.StructType([*mine.select(*kept).schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "_c")), T.StructField("_f", T.BooleanType())])
+    x = mine.groupBy("_s", "_k").cogroup(heard.groupBy("source_id", "_k")).applyInArrow(run, schema)
     hit = F.coalesce(F.col("_b") > F.col("_a"), F.lit(False))
     r = lambda c, p: F.floor(F.col(c) * 10**p + 0.5) / 10**p
-    return x.withColumns({"s": F.when(hit, r("_a", TIMES)).otherwise(F.col("s")), "e": F.when(hit, r("_b", TIMES)).otherwise(F.col("e")), "ctc_score": F.when(hit, r("_c", SCORES)), "realigned": hit, "failed": F.coalesce("_f", F.lit(False))}).drop("_a", "_b", "_c", "_f")
+    return x.withColumns({"s": F.when(hit, r("_a", TIMES)).otherwise(F.col("s")), "e": F.when(hit, r("_b", TIMES)).otherwise(F.col("e")), "ctc_score": F.when(hit, r("_c", SCORES)), "realigned": hit, "failed": F.col("_f")}).drop("_a", "_b", "_c", "_f")
 
 
 def counters(aligned: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -692,7 +692,7 @@ def wav_range_scan(spark, sf_dir):
 def chunk_alignment(spark, sf_dir):
     """Words of whole texts by chunk; those of chunks without frames keep their times."""
     words, heard, bounds = fixtures.spoken(spark, sf_dir)
-    x = alignment.aligned_words(words, heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP)
+    x = alignment.aligned_words(words.drop("seg"), heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP)
     return x.select("source_id", "ord", "realigned", transcripts.rounded(F.col("s"), 3).alias("s"), transcripts.rounded(F.col("e"), 3).alias("e"), "ctc_score")
 
 
@@ -700,7 +700,7 @@ def chunk_alignment(spark, sf_dir):
     select p.source_id, count(*) as chunks, coalesce(any_value(failed), 0) as failed_chunks, coalesce(any_value(words), 0) as words, coalesce(any_value(realigned), 0) as realigned from placed p left join w on w.source_id = p.source_id group by 1""")
 def alignment_counters(spark, sf_dir):
     words, heard, bounds = fixtures.spoken(spark, sf_dir)
-    return alignment.counters(alignment.aligned_words(words, heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP), bounds)
+    return alignment.counters(alignment.aligned_words(words.drop("seg"), heard, bounds, fixtures.SPOKEN_VOCAB, fixtures.STEP), bounds)
 
 
 def _shared(spark, name: str) -> str:

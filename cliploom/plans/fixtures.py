@@ -114,17 +114,20 @@ SPOKEN_VOCAB = {c: k for k, c in enumerate("_|abcdefghijklmnopqrstuvwxyz")}
 
 def spoken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Turns as if read letter by letter, a letter or a gap between words every other frame: words with times that are somewhat late, frames of scores, bounds in the middle of silences."""
-    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source_id"), "turn", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w"))
-    c = c.withColumn("n", F.lit(2) * F.greatest(F.lit(0), F.length(F.array_join("w", "|"))))
+    of = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("source_id"), "turn", "text", (F.lit(2) * F.greatest(F.lit(0), F.length(F.array_join(of, "|")))).alias("n"))
     order = Window.partitionBy("source_id").orderBy("turn")
     c = c.withColumns({"seg": F.row_number().over(order) - 1, "at": F.sum(F.col("n") + SILENT).over(order) - F.col("n")})
-    before = lambda k: F.when(k > 0, F.length(F.array_join(F.slice("w", F.lit(1), k), "|")) + 1).otherwise(0)
-    one = c.select("source_id", "seg", "at", F.posexplode(F.transform("w", lambda x, k: F.struct(x.alias("text"), before(k).alias("before")))).alias("k", "x")).select("source_id", "seg", "at", "k", "x.*")
+    c = c.select("source_id", "n", "seg", "at", of.alias("w"))  # only here: the text is what is dealt by source, not its list of words
+    places = F.aggregate("w", F.array(F.lit(0)), lambda p, x: F.array_append(p, F.element_at(p, -1) + F.length(x) + 1))  # of each word in the text, and one past the last
+    one = c.select("source_id", "seg", "at", F.posexplode(F.arrays_zip(F.col("w").alias("text"), places.alias("before"))).alias("k", "x")).select("source_id", "seg", "at", "k", "x.*").where("text is not null")
     begin = F.col("at") + 2 * F.col("before")
     words = one.select("source_id", F.col("seg").cast("long").alias("seg"), (F.col("seg") * 1_000_000 + F.col("k")).alias("ord"), "text", (begin * STEP + 0.3).alias("s"), ((begin + 2 * F.length("text") - 1) * STEP + 0.4).alias("e"))
     said = F.concat(F.array_repeat(F.lit("_"), 20), F.flatten(F.transform(F.filter(F.split(F.array_join("w", "|"), ""), lambda x: x != ""), lambda x: F.array(x, F.lit("_")))))
     f = c.where("seg % 5 <> 3").select("source_id", "at", F.posexplode(said).alias("k", "c"))
-    scores = F.transform(F.array(*[F.lit(x) for x in SPOKEN_VOCAB]), lambda x: F.when(x == F.col("c"), 10.0).otherwise(0.0).cast("float"))
+    # The scores of each class are a constant, looked up by its place.
+    rows = F.expr("array(" + ", ".join("array(" + ", ".join("10f" if x == y else "0f" for y in SPOKEN_VOCAB) + ")" for x in SPOKEN_VOCAB) + ")")
+    scores = F.element_at(rows, F.array_position(F.array(*[F.lit(x) for x in SPOKEN_VOCAB]), F.col("c")).cast("int"))
     frames = f.select("source_id", ((F.col("at") + F.col("k") - 20) * STEP).alias("t"), scores.alias("scores"))
     left = c.select("source_id", F.col("seg").cast("long").alias("n"), F.when(F.col("seg") == 0, 0.0).otherwise((F.col("at") - SILENT / 2) * STEP).alias("bound"))
     last = c.groupBy("source_id").agg(F.count("*").alias("n"), (F.max(F.col("at") + F.col("n")) * STEP + 1).alias("bound"))

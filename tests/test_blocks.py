@@ -239,6 +239,37 @@ def test_frames_are_not_sent_to_all(spark):
     assert "ShuffledHashJoin" in (plan := x._jdf.queryExecution().executedPlan().toString()) and "BuildLeft" not in plan
 
 
+def _nodes(plan):
+    """The nodes of a plan that has run, those of adaptive stages included."""
+    yield plan
+    name = plan.getClass().getSimpleName()
+    below = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else [plan.children().apply(k) for k in range(plan.children().size())]
+    for x in below:
+        yield from _nodes(x)
+
+
+def test_frames_travel_packed(spark):
+    """Frames at random times, shuffled over partitions, with margins: what chunks hear is each of them once, bit by bit, and few bytes are dealt for many quiet classes."""
+    r = np.random.default_rng(6)
+    rows = [(k, float(t), r.normal(0, 3, 5).tolist()) for k in (1, 2) for t in np.r_[r.uniform(-70, 130, 300), 3.0, 3.0, 59.999999999999, 60.0]]
+    for kind, convert in (("double", float), ("float", lambda v: float(np.float32(v)))):
+        f = spark.createDataFrame([*rows, (1, float("nan"), [0.0] * 5), (1, float("inf"), [0.0] * 5), (None, 1.0, [0.0] * 5), (1, None, [0.0] * 5)], f"source_id int, t double, scores array<{kind}>")
+        blocks = alignment.packed(f.repartition(3), 60.0).where("source_id = 1").toArrow()
+        assert all(np.floor(a / 60.0) == np.floor(z / 60.0) == b and z - a < 60.0 / alignment.PIECES for a, z, b in zip(*(blocks.column(c).to_pylist() for c in ("first", "last", "bucket")), strict=True))
+        t, x = alignment.unpacked(blocks, -20.0, 60.0, "f4" if kind == "float" else "f8")
+        assert sorted(zip(t.tolist(), x.tolist(), strict=True)) == sorted((t, [convert(v) for v in s]) for k, t, s in rows if k == 1 and -20 <= t < 60) and (np.diff(t) >= 0).all()
+    vocab, n = {c: k for k, c in enumerate("_|abcdefghijklmnopqrstuvwxyz")}, 30_000
+    f = spark.range(n).select((F.col("id") % 3).alias("source_id"), (F.floor(F.col("id") / 3) * 0.02).alias("t"), F.transform(F.sequence(F.lit(0), F.lit(27)), lambda c: F.when(c == F.col("id") % 7, 9.0).otherwise(0.0).cast("float")).alias("scores"))
+    b = spark.createDataFrame([(k, m, 20.0 * m) for k in range(3) for m in range(11)], "source_id long, n long, bound double")
+    w = spark.createDataFrame([(k, m, 2.0 * m, 2.0 * m + 0.5, "ab", [m]) for k in range(3) for m in range(110)], "source_id int, ord int, s double, e double, text string, more array<int>")
+    x = alignment.aligned_words(w, f, b, vocab, 0.02)
+    got = x.collect()
+    assert sorted((y["source_id"], y["ord"], y["more"]) for y in got) == [(k, m, [m]) for k in range(3) for m in range(110)]
+    assert all((y["chunk"], y["realigned"], y["failed"]) == ((y["ord"] // 10, True, False) if y["ord"] < 100 else (None, False, False)) for y in got)
+    dealt = sum(y.metrics().apply("dataSize").value() for y in _nodes(x._jdf.queryExecution().executedPlan()) if y.getClass().getSimpleName() == "ShuffleExchangeExec")
+    assert 0 < dealt < 40 * n
+
+
 def test_long_paths_in_little_memory():
     """The best path from held rows of scores is that of all steps at once."""
     from cliploom.operators import ctc
