@@ -172,7 +172,8 @@ def aligned_words(words: DataFrame, frames: DataFrame, bounds: DataFrame, vocab:
 def counters(aligned: DataFrame, bounds: DataFrame) -> DataFrame:
     """(source_id, chunks, failed_chunks, words, realigned): a chunk fails if it has words and could not be aligned."""
     n = bounds.groupBy("source_id").agg((F.count("*") - 1).alias("chunks"))
-    w = aligned.groupBy("source_id").agg(F.count("*").alias("words"), F.count_if("realigned").alias("realigned"))
-    bad = aligned.where("failed").select("source_id", "chunk").distinct().groupBy("source_id").agg(F.count("*").alias("failed_chunks"))
+    # Counted by chunk first, so that what is aligned is computed once.
+    w = aligned.groupBy("source_id", "chunk").agg(F.count("*").alias("words"), F.count_if("realigned").alias("realigned"), F.max("failed").alias("failed"))
+    w = w.groupBy("source_id").agg(F.sum("words").alias("words"), F.sum("realigned").alias("realigned"), F.count_if("failed").alias("failed_chunks"))
     none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return n.join(bad, "source_id", "left").join(w, "source_id", "left").select("source_id", "chunks", none("failed_chunks"), none("words"), none("realigned"))
+    return n.join(w, "source_id", "left").select("source_id", "chunks", none("failed_chunks"), none("words"), none("realigned"))

@@ -270,6 +270,15 @@ def test_frames_travel_packed(spark):
     assert 0 < dealt < 40 * n
 
 
+def test_counters_align_once(spark):
+    w = spark.createDataFrame([(1, 1, 0.0, 1.0, "a")], "source_id long, ord long, s double, e double, text string")
+    f = spark.createDataFrame([(1, 0.5, [0.0, 0.0, 1.0])], "source_id long, t double, scores array<float>")
+    b = spark.createDataFrame([(k, n, x) for k in (1, 2) for n, x in enumerate((0.0, 3.0, 6.0))], "source_id long, n long, bound double")
+    x = alignment.counters(alignment.aligned_words(w, f, b, {"_": 0, "|": 1, "a": 2}, 0.02), b)
+    assert sorted(map(tuple, x.collect())) == [(1, 2, 0, 1, 1), (2, 2, 0, 0, 0)]
+    assert x._jdf.queryExecution().optimizedPlan().toString().count("FlatMapCoGroupsInArrow") == 1
+
+
 def test_long_paths_in_little_memory():
     """The best path from held rows of scores is that of all steps at once."""
     from cliploom.operators import ctc
