@@ -134,10 +134,9 @@ def aligned_words(words: DataFrame, frames: DataFrame, bounds: DataFrame, vocab:
     if delimiter not in vocab:
         raise ValueError(f"the vocabulary has no delimiter {delimiter}")
     chunks, middle, kind = chunks_of(bounds), (F.col("s") + F.col("e")) / 2, _kind(frames)
-    mine = _inside(words, middle, chunks, 0.0, width, "left").withColumn("chunk", F.col("chunk").cast("long"))
     # Words outside of all chunks go by their bucket, below the numbers of chunks, so that those of a source are not one group.
-    away = -1 - F.abs(F.coalesce(F.floor(middle / width), F.lit(0)))
-    mine = mine.withColumns({"_s": F.col("source_id").cast("long"), "_k": F.coalesce("chunk", away)})
+    away = -1 - F.pmod(F.coalesce(F.floor(middle / width), F.lit(0)), F.lit(1 << 40))
+    mine = _inside(words, middle, chunks, 0.0, width, "left").withColumn("_k", F.coalesce(F.col("chunk").cast("long"), away)).drop("chunk")
     heard = packed(frames, width).join(_dealt(chunks, margin, width), (F.col("source_id") == F.col("_s")) & (F.col("bucket") == F.col("_bucket")) & (F.col("first") < F.col("_hi")) & (F.col("last") >= F.col("_lo")))
     heard = heard.select("source_id", F.col("chunk").cast("long").alias("_k"), "_lo", "_hi", "n", "classes", "times", "scores")
 
@@ -156,14 +155,14 @@ def aligned_words(words: DataFrame, frames: DataFrame, bounds: DataFrame, vocab:
             k = owners[at]
             first[k], end[k] = t[np.minimum.reduceat(own[:, 0], at).astype(int)], t[np.maximum.reduceat(own[:, 1], at).astype(int) - 1] + step
             score[k] = np.add.reduceat(own[:, 2], at) / np.diff(np.r_[at, len(own)])
-        gone = np.isnan(first)
-        failed = np.full(n, spans is None) & np.asarray(w.column("chunk").is_valid())
-        found = [*(pa.array(x, mask=gone) for x in (first, end, score)), pa.array(failed)]
-        return pa.table([*(w.column(c) for c in kept), *found], names=[*kept, "_a", "_b", "_c", "_f"])
-
-    kept = [*words.columns, "chunk"]
-    schema = T.StructType([*mine.select(*kept).schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "_c")), T.StructField("_f", T.BooleanType())])
-    x = mine.groupBy("_s", "_k").cogroup(heard.groupBy("source_id", "_k")).applyInArrow(run, schema)
+        gone, chunk = np.isnan(first), key[1].as_py()
+        chunk = chunk if chunk >= 0 else None
+        found = [pa.array([chunk] * n, pa.int64()), *(pa.array(x, mask=gone) for x in (first, end, score)), pa.array(np.full(n, spans is None and chunk is not None))]
+        return pa.table([*(w.column(c) for c in kept), *found], names=[*kept, "chunk", "_a", "_b", "_c", "_f"])
+
+    kept = words.columns
+    schema = T.StructType([*words.schema.fields, T.StructField("chunk", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "_c")), T.StructField("_f", T.BooleanType())])
+    x = mine.groupBy(F.col("source_id").cast("long").alias("_s"), "_k").cogroup(heard.groupBy("source_id", "_k")).applyInArrow(run, schema)
     hit = F.coalesce(F.col("_b") > F.col("_a"), F.lit(False))
     r = lambda c, p: F.floor(F.col(c) * 10**p + 0.5) / 10**p
     return x.withColumns({"s": F.when(hit, r("_a", TIMES)).otherwise(F.col("s")), "e": F.when(hit, r("_b", TIMES)).otherwise(F.col("e")), "ctc_score": F.when(hit, r("_c", SCORES)), "realigned": hit, "failed": F.col("_f")}).drop("_a", "_b", "_c", "_f")
